@@ -58,3 +58,21 @@ def merge_report_long(summaries: DataFrame, attendees: DataFrame, order_by: str
     a = (attendees.withColumn("Date", lenient_date("Date")).where(F.col("Date").isNotNull())
          .select("Date", order_by, *[F.col(f"`{f}`") for f in ATTENDEE_FIELDS]))
     return s.join(a, "Date", "left")
+
+
+def run_stats(outcomes: DataFrame, status: str = "status", seconds: str | None = "seconds",
+              statuses=("already_ocr", "processed", "failed")) -> DataFrame:
+    """One row of run counters from a status column (no shared
+    counters, so parallel work cannot lose updates).  The average seconds per
+    file counts processed and already-done files, and is only given when
+    something was processed."""
+    st = F.col(status)
+    aggs = [F.count(F.lit(1)).alias("found")]
+    aggs += [F.count_if(st == s).alias(s) for s in statuses]
+    if seconds:
+        aggs.append(F.sum(seconds).alias("seconds"))
+    out = outcomes.agg(*aggs)
+    if seconds and "processed" in statuses and "already_ocr" in statuses:
+        out = out.withColumn("avg_seconds", F.when(
+            F.col("processed") > 0, F.col("seconds") / (F.col("processed") + F.col("already_ocr"))))
+    return out

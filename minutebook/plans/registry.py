@@ -47,3 +47,206 @@ FROM v_summaries s LEFT JOIN ({_A1_SQL}) a ON CAST(s."Date" AS DATE) = a."Date"
 """, "v_summaries", "v_attendees"))
 def j1_merge_report(spark, sf):
     return report.merge_report(V.v_summaries(spark, sf), V.v_attendees(spark, sf))
+
+
+# ------------------------------------------------------ P1-P5, W1, W2, W5, W6
+from ..functions.dates import meeting_key, parse_date  # noqa: E402
+from ..functions.text import upper_text  # noqa: E402
+from ..operators import segment  # noqa: E402
+from . import oracle_funcs as Q  # noqa: E402
+
+_UP = "upper(text)"
+_PAGES_CLASSIFIED = f"""
+SELECT *, CASE WHEN is_start THEN page_date END AS start_date FROM (
+  SELECT *, {Q.is_start('upper(text)', 'page_date')} AS is_start FROM (
+    SELECT *, {Q.parse_date(_UP)} AS page_date FROM v_pages))"""
+
+
+# Python and Java upper-case with the full mapping (sharp s -> SS); DuckDB
+# maps it to the capital sharp s, so the oracle spells the mapping out.
+@register("p1_upper_text", with_views(
+    "SELECT path, upper(replace(text, 'ß', 'ss')) AS text_upper FROM v_pages", "v_pages"))
+def p1_upper_text(spark, sf):
+    return V.v_pages(spark, sf).select("path", upper_text("text").alias("text_upper"))
+
+
+@register("p2_parse_date", with_views(f"SELECT path, {Q.parse_date(_UP)} AS page_date FROM v_pages", "v_pages"))
+def p2_parse_date(spark, sf):
+    return V.v_pages(spark, sf).select("path", parse_date(upper_text("text")).alias("page_date"))
+
+
+@register("p3_meeting_key", with_views(
+    f"SELECT path, {Q.meeting_key(Q.parse_date(_UP))} AS meeting_key FROM v_pages", "v_pages"))
+def p3_meeting_key(spark, sf):
+    return V.v_pages(spark, sf).select("path", meeting_key(parse_date(upper_text("text"))).alias("meeting_key"))
+
+
+@register("p4_is_start", with_views(f"""
+SELECT path, CAST({Q.phrase_hits(_UP)} AS INTEGER) AS phrase_hits, is_start FROM ({_PAGES_CLASSIFIED})""", "v_pages"))
+def p4_is_start(spark, sf):
+    c = segment.classify_pages(V.v_pages(spark, sf))
+    return c.select("path", segment.phrase_hits(upper_text("text")).alias("phrase_hits"), "is_start")
+
+
+_IND = ", ".join(Q.lit(i) for i in segment.EVIDENCE_INDICATORS)
+
+
+@register("p5_page_evidence", with_views(f"""
+SELECT collection, page_name, is_start, page_date, indicator, contains(upper(text), indicator) AS present
+FROM (SELECT *, row_number() OVER (PARTITION BY collection ORDER BY page_name) AS rn FROM ({_PAGES_CLASSIFIED})),
+     (SELECT unnest([{_IND}]) AS indicator) i
+WHERE rn <= 10""", "v_pages"))
+def p5_page_evidence(spark, sf):
+    return segment.page_evidence(V.v_pages(spark, sf))
+
+
+_W1_SQL = f"""
+SELECT collection, path, page_name, is_start, page_date, meeting_date, {Q.meeting_key('meeting_date')} AS meeting_key
+FROM (SELECT *, last_value(start_date IGNORE NULLS) OVER (PARTITION BY collection ORDER BY page_name
+        ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS meeting_date FROM ({_PAGES_CLASSIFIED}))"""
+_W_COLS = ["collection", "path", "page_name", "is_start", "page_date", "meeting_date", "meeting_key"]
+
+
+@register("w1_assign_meetings", with_views(_W1_SQL, "v_pages"))
+def w1_assign_meetings(spark, sf):
+    return segment.assign_meetings(V.v_pages(spark, sf)).select(*_W_COLS)
+
+
+@register("w2_assign_meetings_bucketed", with_views(_W1_SQL, "v_pages"))
+def w2_assign_meetings_bucketed(spark, sf):
+    pages = V.v_pages(spark, sf).withColumn("bucket", F.expr("page_no div 40"))
+    return segment.assign_meetings_bucketed(pages, bucket="bucket").select(*_W_COLS)
+
+
+@register("w5_number_pages", with_views(f"""
+SELECT collection, meeting_key, page_name,
+       CAST(row_number() OVER (PARTITION BY collection, meeting_key ORDER BY lower(page_name), page_name) AS INTEGER)
+         AS page_in_meeting
+FROM ({_W1_SQL})""", "v_pages"))
+def w5_number_pages(spark, sf):
+    a = segment.assign_meetings(V.v_pages(spark, sf))
+    return segment.number_pages(a).select("collection", "meeting_key", "page_name", "page_in_meeting")
+
+
+@register("w6_first_files", with_views(
+    "SELECT path, page_name FROM v_pages ORDER BY path LIMIT 25", "v_pages"))
+def w6_first_files(spark, sf):
+    return segment.first_files(V.v_pages(spark, sf).select("path", "page_name"), 25)
+
+
+# ------------------------------------------- S2, S3, P6, P12, P15, P16, W3, W4, J3
+from ..functions.dates import file_date_key  # noqa: E402
+from ..operators import catalog  # noqa: E402
+
+
+@register("s2_pending_pdfs", with_views("""
+SELECT path, name FROM v_files
+WHERE name LIKE '%.pdf' AND NOT (name LIKE '%\\_backup.pdf' ESCAPE '\\' OR name LIKE '%\\_ocr.pdf' ESCAPE '\\'
+      OR starts_with(name, 'temp_') OR contains(name, '.backup'))""", "v_files"))
+def s2_pending_pdfs(spark, sf):
+    return catalog.pending_pdfs(V.v_files(spark, sf)).select("path", "name")
+
+
+def _part_files(spark, sf):
+    p = V.v_parts(spark, sf)
+    return p.select(F.concat("part_name", F.lit(".wav")).alias("name"), F.col("meeting").alias("parent"))
+
+
+@register("s3_meeting_folders", with_views("""
+SELECT DISTINCT meeting AS folder FROM v_parts WHERE regexp_matches(part_name || '.wav', '^.*_part_.*\\.wav$')""",
+                                          "v_parts"))
+def s3_meeting_folders(spark, sf):
+    return catalog.meeting_folders(_part_files(spark, sf))
+
+
+@register("p6_file_date_key", with_views(
+    f"SELECT path, {Q.file_date_key('name', 'parent')} AS date_key FROM v_files", "v_files"))
+def p6_file_date_key(spark, sf):
+    return V.v_files(spark, sf).select("path", file_date_key("name", "parent").alias("date_key"))
+
+
+_P12_SQL = f"""
+SELECT c.path, coalesce(p.chars > 100, false) AS has_text
+FROM (SELECT DISTINCT path FROM v_pdf_pages) c
+LEFT JOIN (SELECT path, sum(length({Q.strip('text')})) AS chars FROM v_pdf_pages WHERE page_no <= 3 GROUP BY path) p
+  ON c.path = p.path"""
+
+
+@register("p12_has_text", with_views(_P12_SQL, "v_pdf_pages"))
+def p12_has_text(spark, sf):
+    pages = V.v_pdf_pages(spark, sf)
+    return catalog.has_text(pages, pages)
+
+
+@register("p15_plan_moves", with_views("""
+SELECT path AS source, 'flat/' || name AS target, count(*) OVER (PARTITION BY 'flat/' || name) > 1 AS conflict
+FROM v_files WHERE lower(name) LIKE '%.pdf' AND NOT contains(lower(name), '_ocr')""", "v_files"))
+def p15_plan_moves(spark, sf):
+    return catalog.plan_moves(V.v_files(spark, sf), "flat")
+
+
+@register("p16_derived_names", with_views("""
+SELECT path, regexp_replace(name, '\\.pdf$', '') || '_ocr.pdf' AS ocr_name,
+       regexp_replace(name, '\\.pdf$', '') || '.pdf.backup' AS backup_name, 'temp_' || name AS temp_name
+FROM v_files""", "v_files"))
+def p16_derived_names(spark, sf):
+    return catalog.derived_names(V.v_files(spark, sf)).select("path", "ocr_name", "backup_name", "temp_name")
+
+
+@register("w3_best_version", with_views(f"""
+SELECT date_key, path, name FROM (
+  SELECT *, row_number() OVER (PARTITION BY date_key ORDER BY contains(name, '_ocr') DESC, path) AS rn
+  FROM (SELECT path, name, {Q.file_date_key('name', 'parent')} AS date_key FROM v_files
+        WHERE NOT contains(lower(name), 'backup'))
+  WHERE date_key IS NOT NULL) WHERE rn = 1""", "v_files"))
+def w3_best_version(spark, sf):
+    return catalog.best_version(V.v_files(spark, sf)).select("date_key", "path", "name")
+
+
+@register("w4_best_candidate", with_views(f"""
+SELECT path, config_rank, text FROM (
+  SELECT *, row_number() OVER (PARTITION BY path ORDER BY length({Q.strip('text')}) DESC, config_rank) AS rn
+  FROM v_candidates) WHERE rn = 1""", "v_candidates"))
+def w4_best_candidate(spark, sf):
+    return catalog.best_candidate(V.v_candidates(spark, sf))
+
+
+@register("j3_pending", with_views("""
+SELECT w.file, w.stem FROM v_recordings w
+WHERE w.kind = 'wav' AND NOT EXISTS (SELECT 1 FROM v_recordings m WHERE m.kind = 'mp3' AND m.stem = w.stem)""",
+                                   "v_recordings"))
+def j3_pending(spark, sf):
+    r = V.v_recordings(spark, sf)
+    wav = r.where("kind = 'wav'").select("file", "stem")
+    mp3 = r.where("kind = 'mp3'").select("stem")
+    return catalog.pending(wav, mp3, "stem")
+
+
+# ------------------------------------------------------------- A7, A9 stats
+_A7_SQL = f"""
+SELECT CAST(count(*) AS BIGINT) AS found,
+       CAST(count_if(status = 'already_ocr') AS BIGINT) AS already_ocr,
+       CAST(count_if(status = 'processed') AS BIGINT) AS processed,
+       CAST(count_if(status = 'failed') AS BIGINT) AS failed,
+       sum(seconds) AS seconds,
+       CASE WHEN count_if(status = 'processed') > 0
+            THEN sum(seconds) / (count_if(status = 'processed') + count_if(status = 'already_ocr')) END AS avg_seconds
+FROM (
+  SELECT h.path, CASE WHEN h.has_text THEN 'already_ocr' WHEN t.chars > 0 THEN 'processed' ELSE 'failed' END AS status,
+         CAST(t.pages * 2.5 AS DOUBLE) AS seconds
+  FROM ({_P12_SQL}) h
+  JOIN (SELECT path, sum(length({Q.strip('text')})) AS chars, count(*) AS pages FROM v_pdf_pages GROUP BY path) t
+    ON h.path = t.path)"""
+
+
+@register("a7_ocr_run_stats", with_views(_A7_SQL, "v_pdf_pages"))
+def a7_ocr_run_stats(spark, sf):
+    pages = V.v_pdf_pages(spark, sf)
+    ht = catalog.has_text(pages, pages)
+    tot = pages.groupBy("path").agg(F.sum(F.length(catalog.strip("text"))).alias("chars"),
+                                    F.count(F.lit(1)).alias("pages"))
+    outcomes = ht.join(tot, "path").select(
+        "path",
+        F.when(F.col("has_text"), "already_ocr").when(F.col("chars") > 0, "processed").otherwise("failed").alias("status"),
+        (F.col("pages") * 2.5).alias("seconds"))
+    return report.run_stats(outcomes)

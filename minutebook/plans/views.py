@@ -189,13 +189,15 @@ def v_recordings(spark: SparkSession, sf: str) -> DataFrame:
     c = table(spark, sf, "conversations").select("conv_id", "text")
     per = c.groupBy("conv_id").agg((F.sum(F.length("text")) * 0.625).alias("base"))
     cid = F.col("conv_id")
+    def kind(name, ext, keep, dur):
+        return F.struct(F.lit(name).alias("kind"), F.lit(ext).alias("ext"), keep.alias("keep"),
+                        dur.cast("double").alias("duration_s"))
+
     kinds = F.array(
-        F.struct(F.lit("wav").alias("kind"), F.lit(".wav").alias("ext"), (cid % 13 != 5).alias("keep"),
-                 F.when(cid % 17 == 0, F.lit(0.0)).otherwise(F.col("base")).alias("duration_s")),
-        F.struct(F.lit("mp3"), F.lit(".mp3"), (cid % 5 != 1),
-                 F.col("base") + F.when(cid % 10 == 0, 5.0).otherwise(0.0)),
-        F.struct(F.lit("transcript"), F.lit(".txt"), (cid % 7 != 2), F.lit(None).cast("double")),
-        F.struct(F.lit("summary"), F.lit(".summary.txt"), (cid % 11 != 3), F.lit(None).cast("double")),
+        kind("wav", ".wav", cid % 13 != 5, F.when(cid % 17 == 0, F.lit(0.0)).otherwise(F.col("base"))),
+        kind("mp3", ".mp3", cid % 5 != 1, F.col("base") + F.when(cid % 10 == 0, 5.0).otherwise(0.0)),
+        kind("transcript", ".txt", cid % 7 != 2, F.lit(None)),
+        kind("summary", ".summary.txt", cid % 11 != 3, F.lit(None)),
     )
     rows = per.select(cid, _stem(cid).alias("stem"), F.inline(kinds))
     return rows.where("keep").select(
