@@ -86,7 +86,7 @@ def truncate_for_prompt(t: str) -> str:
 
 
 def words(t: str) -> str:
-    return f"list_filter(regexp_split_to_array({t}, '{WS_CLASS}+'), x -> x <> '')"
+    return f"list_filter(regexp_split_to_array({t}, '{WS_CLASS}+'), lambda x: x <> '')"
 
 
 def word_count(t: str) -> str:
@@ -117,8 +117,8 @@ def file_date_key(name: str, parent: str) -> str:
 
 
 def recording_date(stem: str) -> str:
-    first = (f"list_filter(list_transform(string_split({stem}, '_'), t -> CASE WHEN length(t) = 10 "
-             f"AND substr(t, 5, 1) = '-' AND substr(t, 8, 1) = '-' THEN {iso('t')} END), d -> d IS NOT NULL)[1]")
+    first = (f"list_filter(list_transform(string_split({stem}, '_'), lambda t: CASE WHEN length(t) = 10 "
+             f"AND substr(t, 5, 1) = '-' AND substr(t, 8, 1) = '-' THEN {iso('t')} END), lambda d: d IS NOT NULL)[1]")
     return f"coalesce(strftime({first}, '%B %d, %Y'), 'an unknown date')"
 
 

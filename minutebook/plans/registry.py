@@ -250,3 +250,136 @@ def a7_ocr_run_stats(spark, sf):
         F.when(F.col("has_text"), "already_ocr").when(F.col("chars") > 0, "processed").otherwise("failed").alias("status"),
         (F.col("pages") * 2.5).alias("seconds"))
     return report.run_stats(outcomes)
+
+
+# ------------------------------------------ P10, P11, P13, P14, A2, A3, J2
+from ..functions import text as T  # noqa: E402
+from ..functions.dates import folder_year  # noqa: E402
+from ..functions.tokens import token_count  # noqa: E402
+from ..operators import assemble, chunk  # noqa: E402
+from ..functions.patterns import MARKER_LENGTH, MAX_CHARS  # noqa: E402
+
+
+@register("p10_clean_text", with_views(f"SELECT doc_id, {Q.clean_text('text')} AS text FROM v_dirty", "v_dirty"))
+def p10_clean_text(spark, sf):
+    return V.v_dirty(spark, sf).select("doc_id", T.clean_text("text").alias("text"))
+
+
+@register("p11_truncate_text", with_views(f"""
+SELECT doc_id, {Q.truncate('text', MAX_CHARS, MARKER_LENGTH)} AS text_extracted,
+       {Q.truncate_for_prompt('text')} AS text_prompt FROM v_texts""", "v_texts"))
+def p11_truncate_text(spark, sf):
+    return V.v_texts(spark, sf).select(
+        "doc_id", T.truncate_text("text", MAX_CHARS, MARKER_LENGTH).alias("text_extracted"),
+        T.truncate_for_prompt("text").alias("text_prompt"))
+
+
+@register("p13_word_count", with_views(f"SELECT doc_id, {Q.word_count('text')} AS word_count FROM v_texts",
+                                       "v_texts"))
+def p13_word_count(spark, sf):
+    return V.v_texts(spark, sf).select("doc_id", T.word_count("text").alias("word_count"))
+
+
+@register("p14_minutes", with_views(f"""
+SELECT file, {Q.minutes('duration_s')} AS duration_min FROM v_recordings WHERE duration_s IS NOT NULL""",
+                                    "v_recordings"))
+def p14_minutes(spark, sf):
+    r = V.v_recordings(spark, sf).where("duration_s IS NOT NULL")
+    return r.select("file", T.minutes("duration_s").alias("duration_min"))
+
+
+_PIECE = (f"CASE WHEN {Q.strip('text')} <> '' THEN chr(10) || '--- Page ' || CAST(page_no AS VARCHAR) || ' ---' "
+          "|| chr(10) || text || chr(10) END")
+_A2_SQL = f"""
+SELECT path, {Q.truncate(Q.clean_text('raw'), MAX_CHARS, MARKER_LENGTH)} AS text FROM (
+  SELECT path, coalesce(string_agg({_PIECE}, '' ORDER BY page_no), '') AS raw FROM v_pdf_pages GROUP BY path)"""
+
+
+@register("a2_assemble_text", with_views(_A2_SQL, "v_pdf_pages"))
+def a2_assemble_text(spark, sf):
+    return assemble.assemble_text(V.v_pdf_pages(spark, sf))
+
+
+_YEAR = Q.folder_year("meeting")
+_A3_SQL = f"""
+SELECT b.meeting, concat_ws(chr(10), 'Board Members: ' || m.names, b.body) AS transcript
+FROM (SELECT meeting, string_agg(coalesce(text, ''), chr(10) ORDER BY {Q.part_no('part_name')}, part_name) AS body
+      FROM v_parts GROUP BY meeting) b
+LEFT JOIN (SELECT y.meeting, string_agg(r.name, ', ' ORDER BY r.row_no) AS names
+           FROM (SELECT DISTINCT meeting, {_YEAR} AS year FROM v_parts) y
+           JOIN v_roster r ON y.year IS NOT NULL AND contains(r.year_range, y.year) AND r.name IS NOT NULL
+           GROUP BY y.meeting) m ON b.meeting = m.meeting"""
+
+
+@register("a3_assemble_transcript", with_views(_A3_SQL, "v_parts", "v_roster"))
+def a3_assemble_transcript(spark, sf):
+    return assemble.assemble_transcript(V.v_parts(spark, sf), V.v_roster(spark, sf))
+
+
+@register("j2_roster_for", with_views(f"""
+SELECT y.meeting, y.year, r.name, r.year_range, r.row_no
+FROM (SELECT DISTINCT meeting, {_YEAR} AS year FROM v_parts) y
+LEFT JOIN v_roster r ON contains(r.year_range, y.year)""", "v_parts", "v_roster"))
+def j2_roster_for(spark, sf):
+    m = V.v_parts(spark, sf).select("meeting").distinct().select("meeting", folder_year("meeting").alias("year"))
+    return assemble.roster_for(m, V.v_roster(spark, sf)).select("meeting", "year", "name", "year_range", "row_no")
+
+
+# ------------------------------------------------------------------ C1-C4
+def _c1_sql(n: int) -> str:
+    sl = f"toks[i * {n} + 1:(i + 1) * {n}]"
+    return with_views(f"""
+SELECT doc_id, CAST(i AS INTEGER) AS chunk_no, CAST(len({sl}) AS BIGINT) AS n_tokens,
+       array_to_string({sl}, '') AS text
+FROM (SELECT doc_id, toks, unnest(range(0, CAST(ceil(len(toks) / {n}) AS BIGINT))) AS i
+      FROM (SELECT doc_id, {Q.tokens('text')} AS toks FROM v_texts))""", "v_texts")
+
+
+@register("c1_token_chunks", _c1_sql(3000))
+def c1_token_chunks(spark, sf):
+    return chunk.token_chunks(V.v_texts(spark, sf), 3000)
+
+
+@register("c1_token_chunks_300", _c1_sql(300))
+def c1_token_chunks_300(spark, sf):
+    return chunk.token_chunks(V.v_texts(spark, sf), 300)
+
+
+_C2_STEP = ("lambda acc, t: CASE WHEN acc.i > 0 AND acc.c + t > {m} "
+            "THEN {{'s': list_append(acc.s, acc.i), 'c': t, 'i': acc.i + 1}} "
+            "ELSE {{'s': acc.s, 'c': acc.c + t, 'i': acc.i + 1}} END")
+
+
+def _c2_sql(whole_below: int, max_tokens: int) -> str:
+    costs = f"list_transform(paras, lambda p: {Q.token_count('p')} + 1)"
+    fold = (f"list_reduce({costs}, {_C2_STEP.format(m=max_tokens)}, "
+            "{'s': [0], 'c': CAST(0 AS BIGINT), 'i': 0}).s")
+    return with_views(f"""
+SELECT doc_id, CAST(k AS INTEGER) AS chunk_no,
+       CASE WHEN n < {whole_below} THEN text
+            ELSE array_to_string(paras[s[k + 1] + 1:coalesce(s[k + 2], len(paras))], chr(10)) END AS text
+FROM (SELECT *, unnest(range(0, len(s))) AS k FROM (
+  SELECT *, CASE WHEN n < {whole_below} THEN [0] ELSE {fold} END AS s FROM (
+    SELECT doc_id, text, {Q.token_count('text')} AS n, string_split(text, chr(10)) AS paras FROM v_texts)))""",
+                      "v_texts")
+
+
+@register("c2_paragraph_chunks", _c2_sql(500, 400))
+def c2_paragraph_chunks(spark, sf):
+    return chunk.paragraph_chunks(V.v_texts(spark, sf), whole_below=500, max_tokens=400)
+
+
+@register("c3_segment_plan", with_views("""
+SELECT stem, CAST(i AS INTEGER) AS part_no, CAST(i * 1800 AS DOUBLE) AS start_s,
+       least(CAST((i + 1) * 1800 AS DOUBLE), duration_s) AS end_s,
+       stem || '_part_' || lpad(CAST(i AS VARCHAR), 3, '0') || '.wav' AS part_file
+FROM (SELECT stem, duration_s, unnest(range(0, CAST(ceil(duration_s / 1800.0) AS BIGINT))) AS i
+      FROM v_recordings WHERE kind = 'wav' AND duration_s > 0)""", "v_recordings"))
+def c3_segment_plan(spark, sf):
+    return chunk.segment_plan(V.v_recordings(spark, sf).where("kind = 'wav'"), 1800)
+
+
+@register("c4_token_count", with_views(f"SELECT doc_id, {Q.token_count('text')} AS n_tokens FROM v_texts",
+                                       "v_texts"))
+def c4_token_count(spark, sf):
+    return V.v_texts(spark, sf).select("doc_id", token_count("text").alias("n_tokens"))
