@@ -154,12 +154,13 @@ FROM (SELECT doc_id AS doc, string_split(text, chr(10)) AS lines,
 
 VIEWS["v_decisions"] = """
 SELECT 'o' || CAST(l_orderkey AS VARCHAR) AS doc,
-       CASE WHEN l_orderkey % 7 = 0 THEN to_json(recs[1])
-            WHEN l_orderkey % 11 = 0 THEN left(to_json(recs), CAST(length(to_json(recs)) // 2 AS INTEGER))
-            ELSE to_json(recs) END AS content
+       CASE WHEN l_orderkey % 7 = 0 THEN CAST(to_json(recs[1]) AS VARCHAR)
+            WHEN l_orderkey % 11 = 0
+              THEN left(CAST(to_json(recs) AS VARCHAR), CAST(length(CAST(to_json(recs) AS VARCHAR)) // 2 AS INTEGER))
+            ELSE CAST(to_json(recs) AS VARCHAR) END AS content
 FROM (SELECT l_orderkey,
              list({'motion': l_returnflag, 'result': l_linestatus, 'yes': CAST(l_linenumber AS INTEGER),
-                   'no': CAST(NULL AS INTEGER)} ORDER BY l_linenumber) AS recs
+                   'no': CAST(NULL AS INTEGER)} ORDER BY l_linenumber, l_returnflag, l_linestatus) AS recs
       FROM lineitem GROUP BY l_orderkey)
 UNION ALL
 SELECT 'e' || CAST(event_id AS VARCHAR), props FROM events"""
@@ -171,12 +172,14 @@ WHERE length(regexp_extract(text, '^([A-Za-z]+)', 1)) >= 4"""
 DEPENDS = {"v_file_text": ["v_files"]}
 
 
-def with_views(body: str, *names: str) -> str:
-    """``WITH`` clause holding the named views (and what they need)."""
+def with_views(body: str, *names: str, extra: dict[str, str] | None = None) -> str:
+    """``WITH`` clause holding the named views (and what they need), then
+    ``extra`` materialized steps of the query itself."""
     order: list[str] = []
     for n in names:
         for dep in DEPENDS.get(n, []) + [n]:
             if dep not in order:
                 order.append(dep)
-    ctes = ",\n".join(f"{n} AS ({VIEWS[n]})" for n in order)
-    return f"WITH {ctes}\n{body}"
+    ctes = [f"{n} AS ({VIEWS[n]})" for n in order]
+    ctes += [f"{n} AS MATERIALIZED ({q})" for n, q in (extra or {}).items()]
+    return "WITH " + ",\n".join(ctes) + "\n" + body

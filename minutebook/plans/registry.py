@@ -326,13 +326,17 @@ def j2_roster_for(spark, sf):
 
 
 # ------------------------------------------------------------------ C1-C4
-def _c1_sql(n: int) -> str:
+def _c1_body(n: int) -> str:
     sl = f"toks[i * {n} + 1:(i + 1) * {n}]"
-    return with_views(f"""
+    return f"""
 SELECT doc_id, CAST(i AS INTEGER) AS chunk_no, CAST(len({sl}) AS BIGINT) AS n_tokens,
        array_to_string({sl}, '') AS text
 FROM (SELECT doc_id, toks, unnest(range(0, CAST(ceil(len(toks) / {n}) AS BIGINT))) AS i
-      FROM (SELECT doc_id, {Q.tokens('text')} AS toks FROM v_texts))""", "v_texts")
+      FROM (SELECT doc_id, {Q.tokens('text')} AS toks FROM v_texts))"""
+
+
+def _c1_sql(n: int) -> str:
+    return with_views(_c1_body(n), "v_texts")
 
 
 @register("c1_token_chunks", _c1_sql(3000))
@@ -383,3 +387,188 @@ def c3_segment_plan(spark, sf):
                                        "v_texts"))
 def c4_token_count(spark, sf):
     return V.v_texts(spark, sf).select("doc_id", token_count("text").alias("n_tokens"))
+
+
+# ---------------------------------------------------------- R1-R3, U1-U3, A5, J4, A8, W7
+from ..functions.patterns import SECTION_DEFAULTS, SECTION_HEADERS, WS_CLASS  # noqa: E402
+from ..functions.templates import SHORT_SUMMARY, STAGES, STRUCTURED_SUMMARY  # noqa: E402
+from ..operators import model, parse  # noqa: E402
+from ..session import checkpoint_dir  # noqa: E402
+from . import stub_model  # noqa: E402
+
+
+def sql_fill(template: str, text: str, date: str | None = None) -> str:
+    out, rest = [], template
+    while rest:
+        cands = [(rest.find(k), k) for k in ("{text}", "{date}") if rest.find(k) >= 0]
+        if not cands:
+            out.append(Q.lit(rest))
+            break
+        i, k = min(cands)
+        if i:
+            out.append(Q.lit(rest[:i]))
+        out.append(text if k == "{text}" else date)
+        rest = rest[i + 6:]
+    return "(" + " || ".join(out) + ")"
+
+
+def _r1_sql(src: str, doc: str, content: str, tolerant: bool = False) -> str:
+    hdr, txt = [], []
+    for name, pat in SECTION_HEADERS:
+        rx = ("(?i)" + pat) if not tolerant else (
+            "(?i)^(?:[0-9]+\\." + WS_CLASS + "*)?" + pat[1:] + "\\**")
+        hdr.append(f"WHEN regexp_matches(line, '{rx}') THEN '{name}'")
+        txt.append(f"WHEN regexp_matches(line, '{rx}') THEN regexp_replace(line, '{rx}{WS_CLASS}*', '')")
+    secs = [n for n, _ in SECTION_HEADERS]
+    wide = ", ".join(f"max(CASE WHEN section = '{s}' THEN v END) AS {s}" for s in secs)
+    final = ", ".join(f"coalesce(nullif({Q.strip(f'w.{s}')}, ''), {Q.lit(SECTION_DEFAULTS[s])}) AS {s}"
+                      for s in secs)
+    return f"""
+SELECT d.{doc}, {final}
+FROM (SELECT DISTINCT {doc} FROM ({src}) s0) d LEFT JOIN (
+  SELECT {doc}, {wide} FROM (
+    SELECT {doc}, section,
+           string_agg(piece, ' ' ORDER BY pos) FILTER (WHERE piece IS NOT NULL AND (f IS NULL OR pos >= f)) AS v
+    FROM (
+      SELECT *, max(CASE WHEN hdr IS NOT NULL AND htext <> '' THEN pos END) OVER (PARTITION BY {doc}, section) AS f,
+             CASE WHEN hdr IS NOT NULL THEN nullif(htext, '') ELSE nullif(line, '') END AS piece
+      FROM (
+        SELECT *, last_value(hdr IGNORE NULLS) OVER (PARTITION BY {doc} ORDER BY pos
+                    ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS section
+        FROM (
+          SELECT *, CASE {' '.join(hdr)} END AS hdr, CASE {' '.join(txt)} END AS htext
+          FROM (
+            SELECT {doc}, pos, {Q.strip('raw')} AS line
+            FROM (
+              SELECT {doc}, unnest(ls) AS raw, unnest(range(0, len(ls))) AS pos
+              FROM (SELECT {doc}, string_split({content}, chr(10)) AS ls FROM ({src}) s1) a1
+            ) a2
+          ) a3
+        ) a4
+      ) a5
+      WHERE section IS NOT NULL
+    ) a6
+    GROUP BY {doc}, section
+  ) a7
+  GROUP BY {doc}
+) w ON d.{doc} = w.{doc}"""
+
+
+@register("r1_parse_sections", with_views(_r1_sql("SELECT * FROM v_responses", "doc", "content"), "v_responses"))
+def r1_parse_sections(spark, sf):
+    return parse.parse_sections(V.v_responses(spark, sf))
+
+
+@register("r1_parse_sections_tolerant",
+          with_views(_r1_sql("SELECT * FROM v_responses", "doc", "content", True), "v_responses"))
+def r1_parse_sections_tolerant(spark, sf):
+    return parse.parse_sections(V.v_responses(spark, sf), tolerant=True)
+
+
+_DEC_TYPE = '[{"motion":"VARCHAR","result":"VARCHAR","yes":"INTEGER","no":"INTEGER"}]'
+
+
+@register("r2_parse_decisions", with_views(f"""
+SELECT doc, CAST(i - 1 AS INTEGER) AS idx, arr[i].motion AS motion, arr[i].result AS result,
+       arr[i].yes AS yes, arr[i].no AS no
+FROM (SELECT doc, arr, unnest(range(1, len(arr) + 1)) AS i FROM (
+  SELECT doc, from_json(content, '{_DEC_TYPE}') AS arr FROM dec_ok))""", "v_decisions", extra={
+    "dec_ok": f"SELECT doc, content FROM v_decisions "
+              f"WHERE regexp_matches(content, '^{WS_CLASS}*\\[') AND json_valid(content)"}))
+def r2_parse_decisions(spark, sf):
+    return parse.parse_decisions(V.v_decisions(spark, sf))
+
+
+# Summary requests over the documents: text cut for the prompt, dated by doc_id.
+def _doc_requests(spark, sf):
+    d = V.v_texts(spark, sf).select(
+        "doc_id", T.truncate_for_prompt("text").alias("text"),
+        F.date_format(V.day(F.col("doc_id")), "yyyy-MM-dd").alias("date"))
+    return model.build_requests(d, "structured_summary", text="text", date="date", keys=["doc_id", "date"])
+
+
+_DOC_REQ_SQL = f"""
+SELECT doc_id, dt AS date, 'structured_summary' AS stage, 'gpt-3.5-turbo-16k' AS model, CAST(0.2 AS DOUBLE) AS temperature,
+       {sql_fill(STRUCTURED_SUMMARY, 't', 'dt')} AS prompt, t AS source_text,
+       {sql_fill(SHORT_SUMMARY, 'left(t, 8000)', 'dt')} AS retry_prompt
+FROM (SELECT doc_id, {Q.truncate_for_prompt('text')} AS t,
+             strftime({'(DATE ' + chr(39) + '1970-01-01' + chr(39) + ' + CAST(doc_id AS INTEGER))'}, '%Y-%m-%d') AS dt
+      FROM v_texts)"""
+
+
+@register("u1_build_requests", with_views(
+    f"SELECT doc_id, stage, model, temperature, prompt FROM ({_DOC_REQ_SQL})", "v_texts"))
+def u1_build_requests(spark, sf):
+    return _doc_requests(spark, sf).select("doc_id", "stage", "model", "temperature", "prompt")
+
+
+def _run_stub(req, keys, retry=True, date="date"):
+    return model.run_model(req, stub_model.make_stub_client, keys=keys,
+                           retry_template=SHORT_SUMMARY if retry else None, date=date if retry else None)
+
+
+@register("u3_run_model", with_views(f"""
+SELECT doc_id, {stub_model.sql_call('prompt', None, 'source_text', 'retry_prompt')} FROM ({_DOC_REQ_SQL})""",
+                                     "v_texts"))
+def u3_run_model(spark, sf):
+    checkpoint_dir(spark)
+    out = _run_stub(_doc_requests(spark, sf), ["doc_id"])
+    return out.checkpoint(eager=True)
+
+
+def _u2_sql(whole_below: int, max_tokens: int) -> str:
+    costs = f"list_transform(paras, lambda p: {Q.token_count('p')} + 1)"
+    fold = (f"list_reduce({costs}, {_C2_STEP.format(m=max_tokens)}, "
+            "{'s': [0], 'c': CAST(0 AS BIGINT), 'i': 0}).s")
+    return f"""
+SELECT doc_id, stage, CAST(0 AS INTEGER) AS chunk_no, text AS input, CAST(NULL AS VARCHAR) AS depends_on
+FROM (SELECT doc_id, text FROM v_texts WHERE {Q.token_count('text')} < {whole_below}),
+     (SELECT unnest(['summary', 'outline', 'decisions']) AS stage) s
+UNION ALL
+SELECT doc_id, 'summary', CAST(k AS INTEGER), array_to_string(paras[s[k + 1] + 1:coalesce(s[k + 2], len(paras))], chr(10)),
+       CAST(NULL AS VARCHAR)
+FROM (SELECT *, unnest(range(0, len(s))) AS k FROM (
+  SELECT *, {fold} AS s FROM (
+    SELECT doc_id, string_split(text, chr(10)) AS paras FROM v_texts WHERE {Q.token_count('text')} >= {whole_below})))
+UNION ALL
+SELECT doc_id, stage, CAST(0 AS INTEGER), CAST(NULL AS VARCHAR), dep
+FROM (SELECT doc_id FROM v_texts WHERE {Q.token_count('text')} >= {whole_below}),
+     (SELECT unnest(['fuse', 'outline', 'decisions']) AS stage, unnest(['summary', 'fuse', 'fuse']) AS dep) s"""
+
+
+@register("u2_plan_stages", with_views(_u2_sql(500, 400), "v_texts"))
+def u2_plan_stages(spark, sf):
+    return model.plan_stages(V.v_texts(spark, sf), doc="doc_id", whole_below=500, max_tokens=400)
+
+
+def _system_sql(stage_col: str) -> str:
+    whens = " ".join(f"WHEN '{s}' THEN {Q.lit(STAGES[s][0])}" for s in ("summary", "outline", "decisions", "fuse"))
+    return f"(CASE {stage_col} {whens} END)"
+
+
+@register("j4_attach_responses", with_views(f"""
+SELECT p.doc_id, p.stage, p.chunk_no, coalesce(r.status, 'missing') AS status, r.content
+FROM ({_u2_sql(500, 400)}) p
+LEFT JOIN (SELECT doc_id, stage, chunk_no, {stub_model.sql_call(_system_sql('stage'), 'input', 'input', None)}
+           FROM ({_u2_sql(500, 400)}) WHERE input IS NOT NULL) r
+  ON p.doc_id = r.doc_id AND p.stage = r.stage AND p.chunk_no = r.chunk_no""", "v_texts"))
+def j4_attach_responses(spark, sf):
+    checkpoint_dir(spark)
+    plan = model.plan_stages(V.v_texts(spark, sf), doc="doc_id", whole_below=500, max_tokens=400)
+    sys_prompt = None
+    for s in ("summary", "outline", "decisions", "fuse"):
+        v = F.lit(STAGES[s][0])
+        sys_prompt = F.when(F.col("stage") == s, v) if sys_prompt is None else sys_prompt.when(F.col("stage") == s, v)
+    req = plan.where("input IS NOT NULL").select(
+        "doc_id", "stage", "chunk_no", sys_prompt.alias("prompt"), F.col("input").alias("user_text"),
+        F.col("input").alias("source_text"))
+    resp = _run_stub(req, ["doc_id", "stage", "chunk_no"], retry=False).checkpoint(eager=True)
+    return model.attach_responses(plan.select("doc_id", "stage", "chunk_no"), resp, ["doc_id", "stage", "chunk_no"])
+
+
+@register("a5_fuse", with_views(f"""
+SELECT doc_id, string_agg(text, chr(10) || chr(10) || '---' || chr(10) || chr(10) ORDER BY chunk_no) AS fused
+FROM ({_c1_body(300)}) GROUP BY doc_id""", "v_texts"))
+def a5_fuse(spark, sf):
+    chunks = chunk.token_chunks(V.v_texts(spark, sf), 300)
+    return model.fuse(chunks, doc="doc_id", content="text", sep="\n\n---\n\n")
