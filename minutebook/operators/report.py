@@ -76,3 +76,43 @@ def run_stats(outcomes: DataFrame, status: str = "status", seconds: str | None =
         out = out.withColumn("avg_seconds", F.when(
             F.col("processed") > 0, F.col("seconds") / (F.col("processed") + F.col("already_ocr"))))
     return out
+
+
+def organization_report(assigned: DataFrame, part_by: str = "collection") -> DataFrame:
+    """A4: files per meeting, and per collection and overall: meetings found,
+    unassigned files and meeting starts (``level`` 0 = meeting row, 1 =
+    collection total, 3 = grand total)."""
+    key = F.col("meeting_key")
+    return assigned.rollup(part_by, "meeting_key").agg(
+        F.grouping_id().cast("int").alias("level"),
+        F.count(F.lit(1)).alias("n_files"),
+        F.count("start_date").alias("n_starts"),
+        F.countDistinct(F.when(key != UNASSIGNED, key)).alias("n_meetings"),
+        F.count_if(key == UNASSIGNED).alias("n_unassigned"))
+
+
+def meeting_manifest(numbered: DataFrame, part_by: str = "collection", name: str = "page_name") -> DataFrame:
+    """Per dated meeting: page total, PDF name and the numbered source
+    list (``" 1. name"`` per line, page order).  ``unassigned`` is left out."""
+    m = numbered.where(F.col("meeting_key") != UNASSIGNED)
+    line = F.format_string("%2d. %s", F.col("page_in_meeting"), F.col(name))
+    st = F.struct(F.col("page_in_meeting"), line.alias("_l"))
+    return m.groupBy(part_by, "meeting_key").agg(
+        F.count(F.lit(1)).alias("n_pages"),
+        F.array_join(F.transform(F.sort_array(F.collect_list(st)), lambda x: x["_l"]), "\n").alias("sources")
+    ).withColumn("pdf_file", F.concat("meeting_key", F.lit(MEETING_PDF_SUFFIX)))
+
+
+def recording_index(recordings: DataFrame, transcripts: DataFrame) -> DataFrame:
+    """One index row per WAV: file, meeting date from the stem, minutes
+    (2 decimals) and the transcript word count."""
+    wav = recordings.where(F.col("kind") == "wav").select("file", "stem", "duration_s")
+    return index_rows(wav.join(transcripts, "stem", "left"))
+
+
+def index_rows(rows: DataFrame) -> DataFrame:
+    """The stateless part of I1 over joined rows (file, stem, duration_s,
+    transcript); shared by the batch and the streaming index."""
+    return rows.select("file", recording_date("stem").alias("meeting_date"),
+                       minutes("duration_s").alias("duration_min"),
+                       word_count("transcript").alias("word_count"))

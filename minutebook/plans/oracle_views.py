@@ -56,7 +56,7 @@ FROM (
   FROM (SELECT page_id, CASE WHEN page_id % 2 = 0 THEN '-' ELSE '_' END AS sep FROM pages)
 )"""
 
-_d3s = day("page_id // 3 + CASE WHEN page_id % 6 = 1 THEN 1 ELSE 0 END")
+_d3s = day("p.page_id // 3 + CASE WHEN p.page_id % 6 = 1 THEN 1 ELSE 0 END")
 VIEWS["v_file_text"] = f"""
 SELECT f.path, f.parent, f.name,
        concat_ws(chr(10), CASE WHEN p.page_id % 8 <> 7 THEN 'MEETING OF ' || {long_date(_d3s)} END, p.html) AS text

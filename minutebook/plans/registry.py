@@ -572,3 +572,167 @@ FROM ({_c1_body(300)}) GROUP BY doc_id""", "v_texts"))
 def a5_fuse(spark, sf):
     chunks = chunk.token_chunks(V.v_texts(spark, sf), 300)
     return model.fuse(chunks, doc="doc_id", content="text", sep="\n\n---\n\n")
+
+
+# ---------------------------------------------- R3 / A8 / W7: the summary run
+from ..functions.patterns import MARKER_LONGER, MAX_PROMPT_CHARS  # noqa: E402
+
+
+def _best_with_text(spark, sf):
+    best = catalog.best_version(V.v_files(spark, sf)).select("date_key", "path", "name")
+    txt = V.v_file_text(spark, sf).select("path", "text")
+    ext = T.truncate_text(T.clean_text("text"), MAX_CHARS, MARKER_LENGTH)
+    return best.join(txt, "path").select(
+        F.date_format("date_key", "yyyy-MM-dd").alias("date"), "path", "name", ext.alias("text"))
+
+
+def _summary_run(spark, sf):
+    """Best PDF per date -> text -> prompt -> model -> status per file."""
+    checkpoint_dir(spark)
+    b = _best_with_text(spark, sf)
+    req = model.build_requests(
+        b.select("date", "path", "name", T.truncate_text("text", MAX_PROMPT_CHARS, MARKER_LONGER).alias("text")),
+        "structured_summary", text="text", date="date", keys=["path", "name", "date"])
+    return _run_stub(req, ["path", "name", "date"]).checkpoint(eager=True)
+
+
+def summary_records(replies):
+    """CSV rows of the summary run: parsed sections for answered files,
+    fixed records for failed calls, no row for blank text."""
+    ok = replies.where("status = 'ok'")
+    parsed = parse.parse_sections(ok, doc="path", content="content")
+    good = ok.select("path", "name", "date").join(parsed, "path").select(
+        "date", "name", "synopsis", "summary", "key_notes")
+    bad = replies.where(F.col("status").isin("error", "too_long")).select(
+        "date", "name", *parse.placeholder("status", "error"))
+    recs = good.unionByName(bad)
+    return recs.select(F.col("date").alias("Date"), F.col("name").alias("PDF_File"),
+                       F.col("synopsis").alias("Synopsis"), F.col("summary").alias("Summary"),
+                       F.col("key_notes").alias("Key Notes"))
+
+
+_BEST_SQL = f"""
+SELECT date_key, path, name FROM (
+  SELECT *, row_number() OVER (PARTITION BY date_key ORDER BY contains(name, '_ocr') DESC, path) AS rn
+  FROM (SELECT path, name, {Q.file_date_key('name', 'parent')} AS date_key FROM v_files
+        WHERE NOT contains(lower(name), 'backup'))
+  WHERE date_key IS NOT NULL) WHERE rn = 1"""
+_RUN_SQL = f"""
+SELECT path, name, dt AS date, {stub_model.sql_call('prompt', None, 'src', 'retry_prompt')}
+FROM (SELECT path, name, dt, t AS src, {sql_fill(STRUCTURED_SUMMARY, 't', 'dt')} AS prompt,
+             {sql_fill(SHORT_SUMMARY, 'left(t, 8000)', 'dt')} AS retry_prompt
+      FROM (SELECT b.path, b.name, strftime(b.date_key, '%Y-%m-%d') AS dt,
+                   {Q.truncate(Q.truncate(Q.clean_text('x.text'), MAX_CHARS, MARKER_LENGTH), MAX_PROMPT_CHARS,
+                               MARKER_LONGER)} AS t
+            FROM ({_BEST_SQL}) b JOIN v_file_text x ON b.path = x.path))"""
+_PH = {k: v for k, v in parse.PLACEHOLDERS.items()}
+
+
+def _ph_sql(i: int) -> str:
+    whens = []
+    for s, texts in _PH.items():
+        t = texts[i]
+        v = (Q.lit(t.split("{e}")[0]) + " || coalesce(error, '')") if "{e}" in t else Q.lit(t)
+        whens.append(f"WHEN '{s}' THEN {v}")
+    return f"CASE status {' '.join(whens)} END"
+
+
+_RECORDS_SQL = f"""
+SELECT r.date AS "Date", r.name AS PDF_File, p.synopsis AS Synopsis, p.summary AS Summary, p.key_notes AS "Key Notes"
+FROM run r JOIN ({_r1_sql("SELECT path, content FROM run WHERE status = 'ok'", 'path', 'content')}) p
+  ON r.path = p.path
+WHERE r.status = 'ok'
+UNION ALL
+SELECT date, name, {_ph_sql(0)}, {_ph_sql(1)}, {_ph_sql(2)} FROM run WHERE status IN ('error', 'too_long')"""
+
+
+@register("r3_placeholder", with_views(_RECORDS_SQL, "v_files", "v_file_text", extra={"run": _RUN_SQL}))
+def r3_placeholder(spark, sf):
+    return summary_records(_summary_run(spark, sf))
+
+
+@register("w7_sorted_summaries", with_views(_RECORDS_SQL + ' ORDER BY "Date"', "v_files", "v_file_text",
+                                            extra={"run": _RUN_SQL}))
+def w7_sorted_summaries(spark, sf):
+    return summary_records(_summary_run(spark, sf)).orderBy("Date")
+
+
+@register("a8_summary_run_stats", with_views("""
+SELECT CAST(count(*) AS BIGINT) AS found, CAST(count_if(status <> 'blank') AS BIGINT) AS processed,
+       CAST(count_if(status = 'blank') AS BIGINT) AS failed FROM run""", "v_files", "v_file_text",
+                                             extra={"run": _RUN_SQL}))
+def a8_summary_run_stats(spark, sf):
+    run = _summary_run(spark, sf)
+    out = run.select(F.when(F.col("status") == "blank", "failed").otherwise("processed").alias("status"))
+    return report.run_stats(out, seconds=None, statuses=("processed", "failed"))
+
+
+# --------------------------------------------------------------- A4, A6, A9
+_A4_SQL = f"""
+SELECT collection, meeting_key, CAST(GROUPING(collection, meeting_key) AS INTEGER) AS level,
+       CAST(count(*) AS BIGINT) AS n_files, CAST(count(start_date) AS BIGINT) AS n_starts,
+       CAST(count(DISTINCT CASE WHEN meeting_key <> 'unassigned' THEN meeting_key END) AS BIGINT) AS n_meetings,
+       CAST(count_if(meeting_key = 'unassigned') AS BIGINT) AS n_unassigned
+FROM (SELECT *, last_value(start_date IGNORE NULLS) OVER (PARTITION BY collection ORDER BY page_name
+        ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS md FROM ({_PAGES_CLASSIFIED})) x,
+     LATERAL (SELECT {Q.meeting_key('md')} AS meeting_key)
+GROUP BY ROLLUP (collection, meeting_key)"""
+
+
+@register("a4_organization_report", with_views(_A4_SQL, "v_pages"))
+def a4_organization_report(spark, sf):
+    return report.organization_report(segment.assign_meetings(V.v_pages(spark, sf)))
+
+
+_NUMBERED_SQL = f"""
+SELECT *, row_number() OVER (PARTITION BY collection, meeting_key ORDER BY lower(page_name), page_name) AS pim
+FROM ({_W1_SQL.replace('SELECT collection, path, page_name,', 'SELECT collection, path, page_name, text,', 1)})"""
+
+
+@register("a6_meeting_manifest", with_views(f"""
+SELECT collection, meeting_key, CAST(count(*) AS BIGINT) AS n_pages,
+       string_agg(printf('%2d. %s', pim, page_name), chr(10) ORDER BY pim) AS sources,
+       meeting_key || '_meeting_minutes.pdf' AS pdf_file
+FROM ({_NUMBERED_SQL}) WHERE meeting_key <> 'unassigned' GROUP BY collection, meeting_key""", "v_pages"))
+def a6_meeting_manifest(spark, sf):
+    n = segment.number_pages(segment.assign_meetings(V.v_pages(spark, sf)))
+    return report.meeting_manifest(n)
+
+
+@register("a9_folder_stats", with_views(f"""
+SELECT CAST(count(*) AS BIGINT) AS found, CAST(count_if(ok) AS BIGINT) AS successful,
+       CAST(count_if(NOT ok) AS BIGINT) AS failed
+FROM (SELECT collection, meeting_key, bool_or({Q.strip('text')} <> '') AS ok FROM ({_NUMBERED_SQL})
+      WHERE meeting_key <> 'unassigned' GROUP BY collection, meeting_key)""", "v_pages"))
+def a9_folder_stats(spark, sf):
+    a = segment.assign_meetings(V.v_pages(spark, sf)).where(F.col("meeting_key") != "unassigned")
+    folders = a.groupBy("collection", "meeting_key").agg(F.bool_or(T.strip("text") != "").alias("ok"))
+    out = folders.select(F.when(F.col("ok"), "successful").otherwise("failed").alias("status"))
+    return report.run_stats(out, seconds=None, statuses=("successful", "failed"))
+
+
+# ---------------------------------------------------------------- I1, ST1
+import os  # noqa: E402
+import uuid  # noqa: E402
+
+from ..session import scratch_path  # noqa: E402
+from ..streaming.index import stream_index  # noqa: E402
+
+_I1_SQL = f"""
+SELECT w.file, {Q.recording_date('w.stem')} AS meeting_date, {Q.minutes('w.duration_s')} AS duration_min,
+       {Q.word_count('t.transcript')} AS word_count
+FROM (SELECT * FROM v_recordings WHERE kind = 'wav') w LEFT JOIN v_transcripts t ON w.stem = t.stem"""
+
+
+@register("i1_recording_index", with_views(_I1_SQL, "v_recordings", "v_transcripts"))
+def i1_recording_index(spark, sf):
+    return report.recording_index(V.v_recordings(spark, sf), V.v_transcripts(spark, sf))
+
+
+@register("st1_stream_index", with_views(_I1_SQL, "v_recordings", "v_transcripts"))
+def st1_stream_index(spark, sf):
+    run = scratch_path(spark, f"st1-{uuid.uuid4().hex}")
+    wav = V.v_recordings(spark, sf).where("kind = 'wav'").select("file", "stem", "duration_s")
+    rows = wav.join(V.v_transcripts(spark, sf), "stem", "left")
+    rows.write.mode("overwrite").parquet(os.path.join(run, "in"))
+    return stream_index(spark, os.path.join(run, "in"), os.path.join(run, "out"), os.path.join(run, "ckpt"))
