@@ -41,10 +41,17 @@ def _valid_date(y: Column, m: Column, d: Column) -> Column:
 
 
 def date_from_pattern(text, i: int) -> Column:
-    """Date from the first match of pattern ``i`` only (null if invalid)."""
+    """Date from the first match of pattern ``i`` only (null if invalid).
+
+    The long text is scanned once for the whole first match; the three
+    groups are then read from that short match with the anchored pattern
+    (same engine, same backtracking order, so the same groups).
+    """
     t = _col(text)
     p = java(DATE_PATTERNS[i])
-    g1, g2, g3 = (F.regexp_extract(t, p, k) for k in (1, 2, 3))
+    whole = F.regexp_extract(t, p, 0)
+    anchored = "^" + p if not p.startswith("(?d)") else "(?d)^" + p[4:]
+    g1, g2, g3 = (F.regexp_extract(whole, anchored, k) for k in (1, 2, 3))
     if i in _NAMED_MONTH_FIRST:
         month = F.try_element_at(_month_map(), g1)
         return _valid_date(g3, month, g2)

@@ -736,3 +736,118 @@ def st1_stream_index(spark, sf):
     rows = wav.join(V.v_transcripts(spark, sf), "stem", "left")
     rows.write.mode("overwrite").parquet(os.path.join(run, "in"))
     return stream_index(spark, os.path.join(run, "in"), os.path.join(run, "out"), os.path.join(run, "ckpt"))
+
+
+# ------------------------------------------------------------------ Q1-Q10
+from ..operators import qc  # noqa: E402
+
+_Q1_SQL = """
+SELECT wav AS file, 'missing_' || k AS "check", stem AS detail
+FROM (SELECT stem, max(CASE WHEN kind = 'wav' THEN file END) AS wav,
+             count_if(kind = 'mp3') AS mp3, count_if(kind = 'transcript') AS transcript,
+             count_if(kind = 'summary') AS summary
+      FROM v_recordings GROUP BY stem) g,
+     (SELECT unnest(['mp3', 'transcript', 'summary']) AS k) ks
+WHERE wav IS NOT NULL AND CASE k WHEN 'mp3' THEN mp3 WHEN 'transcript' THEN transcript ELSE summary END = 0"""
+_Q2_SQL = """
+SELECT w.file, 'duration_mismatch' AS "check", printf('%.3f', m.duration_s - w.duration_s) AS detail
+FROM v_recordings w JOIN v_recordings m ON w.stem = m.stem AND w.kind = 'wav' AND m.kind = 'mp3'
+WHERE abs(w.duration_s - m.duration_s) > 1.0"""
+_Q3_SQL = """
+SELECT file, 'unreadable' AS "check", kind AS detail FROM v_recordings
+WHERE kind IN ('wav', 'mp3') AND (duration_s IS NULL OR duration_s <= 0)"""
+_Q4_SQL = f"""
+SELECT file, 'short_transcript' AS "check", printf('%.2f', word_count / duration_min) AS detail
+FROM ({_I1_SQL}) WHERE duration_min > 0 AND word_count / duration_min < 16"""
+_Q8_SQL = f"""
+SELECT path AS file, c AS "check", concat_ws(' / ', CAST(fd AS VARCHAR), CAST(td AS VARCHAR)) AS detail FROM (
+  SELECT path, fd, td, CASE WHEN fd IS NULL THEN 'no_file_date' WHEN td IS NULL THEN 'no_text_date'
+                            WHEN fd <> td THEN 'date_mismatch' END AS c
+  FROM (SELECT path, {Q.file_date_key('name', 'parent')} AS fd, {Q.parse_date('upper(text)')} AS td FROM v_file_text))
+WHERE c IS NOT NULL"""
+
+
+def _recs(spark, sf):
+    return V.v_recordings(spark, sf)
+
+
+@register("q1_check_complete", with_views(_Q1_SQL, "v_recordings"))
+def q1_check_complete(spark, sf):
+    return qc.check_complete(_recs(spark, sf))
+
+
+@register("q2_check_durations", with_views(_Q2_SQL, "v_recordings"))
+def q2_check_durations(spark, sf):
+    return qc.check_durations(_recs(spark, sf))
+
+
+@register("q3_check_readable", with_views(_Q3_SQL, "v_recordings"))
+def q3_check_readable(spark, sf):
+    return qc.check_readable(_recs(spark, sf))
+
+
+# The derived recordings run at about 16 words per minute (0.625 s per
+# character), so the threshold is set there to give both outcomes.
+@register("q4_check_short", with_views(_Q4_SQL, "v_recordings", "v_transcripts"))
+def q4_check_short(spark, sf):
+    return qc.check_short(report.recording_index(_recs(spark, sf), V.v_transcripts(spark, sf)), min_wpm=16)
+
+
+@register("q5_check_repeats", with_views(f"""
+SELECT CAST(doc_id AS VARCHAR) AS file, 'repeated_words' AS "check", CAST(n AS VARCHAR) AS detail FROM (
+  SELECT doc_id, len(list_filter(range(1, len(w)), lambda i: w[i] = w[i + 1])) AS n
+  FROM (SELECT doc_id, {Q.words('lower(text)')} AS w FROM v_texts)) WHERE n > 0""", "v_texts"))
+def q5_check_repeats(spark, sf):
+    return qc.check_repeats(V.v_texts(spark, sf))
+
+
+@register("q6_check_terms", with_views(f"""
+SELECT CAST(doc_id AS VARCHAR) AS file, 'missing_terms' AS "check", array_to_string(m, ',') AS detail FROM (
+  SELECT doc_id, list_filter((SELECT list(term ORDER BY term) FROM v_terms), lambda t: NOT list_contains(w, t)) AS m
+  FROM (SELECT doc_id, {Q.words('lower(text)')} AS w FROM v_texts)) WHERE len(m) > 0""", "v_texts", "v_terms"))
+def q6_check_terms(spark, sf):
+    return qc.check_terms(V.v_texts(spark, sf), V.v_terms(spark, sf))
+
+
+@register("q7_check_support", with_views("""
+SELECT CAST(doc_id AS VARCHAR) AS file, 'unsupported_numbers' AS "check", array_to_string(u, ',') AS detail FROM (
+  SELECT doc_id, list_sort(list_distinct(list_filter(regexp_extract_all(summary, '[0-9]{2,}'),
+           lambda x: NOT list_contains(regexp_extract_all(transcript, '[0-9]{2,}'), x)))) AS u FROM v_support)
+WHERE len(u) > 0""", "v_support"))
+def q7_check_support(spark, sf):
+    return qc.check_support(V.v_support(spark, sf))
+
+
+@register("q8_check_dates", with_views(_Q8_SQL, "v_file_text"))
+def q8_check_dates(spark, sf):
+    return qc.check_dates(V.v_file_text(spark, sf))
+
+
+@register("q9_check_names", with_views(f"""
+SELECT y.meeting AS file, 'name_missing' AS "check", r.name AS detail
+FROM (SELECT meeting, {_YEAR} AS year, string_agg(coalesce(text, ''), chr(10)) AS body
+      FROM v_parts GROUP BY meeting) y
+JOIN v_roster r ON y.year IS NOT NULL AND contains(r.year_range, y.year) AND r.name IS NOT NULL
+WHERE NOT contains(upper(y.body), upper(r.name))""", "v_parts", "v_roster"))
+def q9_check_names(spark, sf):
+    parts = V.v_parts(spark, sf)
+    body = assemble.assemble_transcript(parts, None)
+    years = body.select("meeting", folder_year("meeting").alias("year")).where("year IS NOT NULL")
+    members = assemble.roster_for(years, V.v_roster(spark, sf))
+    return qc.check_names(body, members)
+
+
+@register("q10_qc_report", with_views(f"""
+SELECT u.file, CAST(coalesce(g.n, 0) AS BIGINT) AS n_issues, g.checks,
+       CASE WHEN g.n IS NULL THEN 'pass' ELSE 'fail' END AS status
+FROM (SELECT file FROM v_recordings UNION SELECT path FROM v_files) u
+LEFT JOIN (SELECT file, count(*) AS n, array_to_string(list_sort(list_distinct(list("check"))), ',') AS checks
+           FROM ({_Q1_SQL} UNION ALL {_Q2_SQL} UNION ALL {_Q3_SQL} UNION ALL {_Q4_SQL} UNION ALL {_Q8_SQL})
+           GROUP BY file) g ON u.file = g.file""", "v_recordings", "v_transcripts", "v_files", "v_file_text"))
+def q10_qc_report(spark, sf):
+    r = _recs(spark, sf)
+    idx = report.recording_index(r, V.v_transcripts(spark, sf))
+    issues = [qc.check_complete(r), qc.check_durations(r), qc.check_readable(r), qc.check_short(idx, min_wpm=16),
+              qc.check_dates(V.v_file_text(spark, sf))]
+    files = r.select("file").unionByName(V.v_files(spark, sf).select(F.col("path").alias("file")))
+    return qc.qc_report(issues, files)
