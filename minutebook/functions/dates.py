@@ -122,3 +122,68 @@ def part_no(name) -> Column:
     """Part number from ``_part_<n>`` (any case), 0 when absent."""
     digits = F.regexp_extract(_col(name), "(?i)_part_([0-9]+)", 1)
     return F.coalesce(F.nullif(digits, F.lit("")).try_cast("bigint"), F.lit(0).cast("bigint"))
+
+
+# Necessary conditions for a pattern to match at all: cheap substring tests
+# that let most texts skip the regex scan.  Every date needs a 4-digit year.
+_GUARDS = {
+    0: ("MEETING",),
+    2: (),
+    4: ("/",),
+    6: ("MEETING",),
+    7: ("BOARD", "EDUCATION"),
+}
+
+# Spark-side forms of the same patterns that scan faster and match exactly
+# the same text: pattern 2 may only start where a letter run starts (a match
+# starting inside a run implies one starting at the run's first letter, which
+# is further left), and its runs cannot give back characters (the next token
+# could never match them), so they are possessive.
+_FAST = {
+    2: "(?<![A-Z])([A-Z]++)" + "[WS]++([0-9]{1,2}+),?[WS]++([0-9]{4})",
+}
+
+
+def _scan_pattern(i: int) -> str:
+    if i in _FAST:
+        from .patterns import WS
+        return _FAST[i].replace("[WS]", "[" + WS + "]")
+    return java(DATE_PATTERNS[i])
+
+
+def _date_from_whole(whole: Column, i: int) -> Column:
+    p = java(DATE_PATTERNS[i])
+    anchored = "^" + p if not p.startswith("(?d)") else "(?d)^" + p[4:]
+    g1, g2, g3 = (F.regexp_extract(whole, anchored, k) for k in (1, 2, 3))
+    if i in _NAMED_MONTH_FIRST:
+        return _valid_date(g3, F.try_element_at(_month_map(), g1), g2)
+    mi = g1.try_cast("int")
+    return _valid_date(g3, F.when(mi.between(1, 12), mi), g2)
+
+
+def with_page_date(df, text, out: str = "page_date"):
+    """``parse_date`` as a DataFrame step, for large texts.
+
+    Same result as ``parse_date(text)``.  Each pattern is its own projection
+    that scans the text only when no earlier pattern gave a date and its
+    cheap necessary condition holds, so every text is scanned at most once
+    per pattern and usually far less.  The whole match is kept in a column,
+    so the three groups are read from that short string.
+    """
+    t = _col(text)
+    cols = []
+    d = df.withColumn("_has_year", t.rlike("[0-9]{4}"))
+    prev = None
+    for i in (0, 2, 4, 6, 7):
+        guard = F.col("_has_year")
+        for s in _GUARDS[i]:
+            guard = guard & (F.instr(t, s) > 0)
+        if prev is not None:
+            guard = guard & F.col(prev).isNull()
+        w, dc = f"_w{i}", f"_d{i}"
+        d = d.withColumn(w, F.when(guard, F.regexp_extract(t, _scan_pattern(i), 0)))
+        d = d.withColumn(dc, F.when(F.col(w) != "", _date_from_whole(F.col(w), i)))
+        d = d.withColumn(dc, F.coalesce(F.col(prev), F.col(dc)) if prev else F.col(dc))
+        cols += [w, dc]
+        prev = dc
+    return d.withColumn(out, F.col(prev)).drop("_has_year", *cols)

@@ -7,16 +7,22 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.dates import file_date_key, parse_date
+from ..functions.dates import file_date_key, with_page_date
 from ..functions.text import upper_text, words
 
 ISSUE_COLS = ["file", "check", "detail"]
 
 
-def _issue(df: DataFrame, file, check, detail) -> DataFrame:
+def _issue(df: DataFrame, file, check, detail, when=None) -> DataFrame:
+    """Issue rows; with ``when`` only rows meeting it.  The condition is
+    applied inside a generator, not as a Filter, so Catalyst cannot push it
+    below the projection and evaluate an expensive check twice."""
     f = F.col(file) if isinstance(file, str) else file
     c = F.lit(check) if isinstance(check, str) else check
-    return df.select(f.cast("string").alias("file"), c.alias("check"), detail.cast("string").alias("detail"))
+    row = F.struct(f.cast("string").alias("file"), c.alias("check"), detail.cast("string").alias("detail"))
+    if when is None:
+        return df.select(row.alias("r")).select("r.*")
+    return df.select(F.inline(F.filter(F.array(row), lambda r: when)))
 
 
 def check_complete(recordings: DataFrame, kinds=("mp3", "transcript", "summary")) -> DataFrame:
@@ -53,17 +59,20 @@ def check_short(index: DataFrame, min_wpm: float = 60.0) -> DataFrame:
 
 
 def repeat_count(text) -> F.Column:
-    """How often a word is directly followed by the same word (case folded)."""
-    w = words(F.lower(text if not isinstance(text, str) else F.col(text)))
-    n = F.greatest(F.size(w) - 1, F.lit(0))
-    return F.size(F.filter(F.zip_with(F.slice(w, 1, n), F.slice(w, 2, n), lambda a, b: a == b),
-                           lambda x: x)).cast("bigint")
+    """How often a word is directly followed by the same word (case folded;
+    words are whitespace-separated runs).  One regex pass: each match is a
+    word whose next word is equal (look-ahead, so runs of three count two)."""
+    from ..functions.patterns import WS
+    nws = f"[^{WS}]"
+    rx = f"(?<!{nws})({nws}++)(?=[{WS}]++\\1(?!{nws}))"
+    t = F.lower(text if not isinstance(text, str) else F.col(text))
+    return F.size(F.regexp_extract_all(t, F.lit(rx), 0)).cast("bigint")
 
 
 def check_repeats(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Q5: repeated words (``the the``)."""
-    r = df.select(key, repeat_count(text).alias("n")).where("n > 0")
-    return _issue(r, key, "repeated_words", F.col("n"))
+    r = df.select(key, repeat_count(text).alias("n"))
+    return _issue(r, key, "repeated_words", F.col("n"), when=F.col("n") > 0)
 
 
 def check_terms(df: DataFrame, terms: DataFrame, key: str = "doc_id", text: str = "text",
@@ -82,8 +91,8 @@ def check_terms(df: DataFrame, terms: DataFrame, key: str = "doc_id", text: str
         .otherwise(all_terms)
     d = df.select(key).join(present, key, "left")
     missing = F.sort_array(F.array_except(checked, F.coalesce("present", F.array().cast("array<string>"))))
-    d = d.select(key, missing.alias("m")).where(F.size("m") > 0)
-    return _issue(d, key, "missing_terms", F.array_join("m", ","))
+    d = d.select(key, missing.alias("m"))
+    return _issue(d, key, "missing_terms", F.array_join("m", ","), when=F.size("m") > 0)
 
 
 NUMBER = "[0-9]{2,}"
@@ -95,8 +104,8 @@ def check_support(df: DataFrame, key: str = "doc_id", summary: str = "summary",
     that do not occur in its transcript.  Lexical evidence only."""
     s = F.regexp_extract_all(F.col(summary), F.lit(NUMBER), 0)
     t = F.regexp_extract_all(F.col(transcript), F.lit(NUMBER), 0)
-    d = df.select(key, F.array_sort(F.array_distinct(F.array_except(s, t))).alias("u")).where(F.size("u") > 0)
-    return _issue(d, key, "unsupported_numbers", F.array_join("u", ","))
+    d = df.select(key, F.sort_array(F.array_distinct(F.array_except(s, t))).alias("u"))
+    return _issue(d, key, "unsupported_numbers", F.array_join("u", ","), when=F.size("u") > 0)
 
 
 def check_dates(files: DataFrame, path: str = "path", name: str = "name", parent: str = "parent",
@@ -107,7 +116,8 @@ def check_dates(files: DataFrame, path: str = "path", name: str = "name", parent
     check, so Catalyst cannot push the check below the projection and parse
     every text twice; the two dates are computed once per file.
     """
-    d = files.select(path, file_date_key(name, parent).alias("fd"), parse_date(upper_text(text)).alias("td"))
+    d = with_page_date(files.select(path, file_date_key(name, parent).alias("fd"), upper_text(text).alias("_up")),
+                       "_up", "td")
     check = (F.when(F.col("fd").isNull(), "no_file_date").when(F.col("td").isNull(), "no_text_date")
              .when(F.col("fd") != F.col("td"), "date_mismatch"))
     det = F.concat_ws(" / ", F.col("fd").cast("string"), F.col("td").cast("string"))
@@ -120,8 +130,7 @@ def check_names(transcripts: DataFrame, members: DataFrame, meeting: str = "meet
     """Q9: roster members of the meeting year whose name the transcript
     never mentions (case folded)."""
     j = members.where(F.col("name").isNotNull()).join(transcripts, meeting)
-    j = j.where(F.instr(F.upper(text), F.upper("name")) == 0)
-    return _issue(j, meeting, "name_missing", F.col("name"))
+    return _issue(j, meeting, "name_missing", F.col("name"), when=F.instr(F.upper(text), F.upper("name")) == 0)
 
 
 def qc_report(issues: list[DataFrame], files: DataFrame, file: str = "file") -> DataFrame:

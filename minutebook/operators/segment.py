@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.dates import meeting_key, parse_date
+from ..functions.dates import meeting_key, parse_date, with_page_date
 from ..functions.patterns import EVIDENCE_INDICATORS, START_PHRASES
 from ..functions.text import upper_text
 
@@ -39,10 +39,8 @@ def is_start(text, phrases=START_PHRASES, min_hits: int = 2, date: Column | None
 def classify_pages(pages: DataFrame, text: str = "text") -> DataFrame:
     """Adds ``page_date`` (P2 on upper-cased text), ``is_start`` (P4) and
     ``start_date`` (the date a page opens a meeting with, else null)."""
-    up = upper_text(text)
-    d = parse_date(up)
-    out = pages.withColumn("page_date", d)
-    out = out.withColumn("is_start", is_start(upper_text(text), date=F.col("page_date")))
+    out = with_page_date(pages.withColumn("_up", upper_text(text)), "_up")
+    out = out.withColumn("is_start", is_start(F.col("_up"), date=F.col("page_date"))).drop("_up")
     return out.withColumn("start_date", F.when(F.col("is_start"), F.col("page_date")))
 
 

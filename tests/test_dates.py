@@ -50,3 +50,16 @@ def test_part_no_and_folder_year(spark):
     assert one(spark, folder_year, "boe_meeting_1972-01-05_x") == "1972"
     assert one(spark, folder_year, "boe_meeting_1972-01-05_x_y") is None
     assert one(spark, folder_year, "a_b_-x_c") is None      # empty year: no roster header
+
+
+def test_with_page_date_equals_parse_date(spark):
+    from minutebook.functions.dates import with_page_date
+    from minutebook.plans import views as V
+    from tests.conftest import SF_SMALL
+    golden = ["MEETING OF JANUARY 5, 1971", "1971-01-05", "ROOM 12, 1234 THEN JANUARY 5, 1971",
+              "ROOM 12, 1234 MEETING HELD JANUARY 5, 1971", "FEBRUARY 30, 1971", "SEPT 3, 1974", "13/1/1971",
+              "XJANUARY 5, 1971 AND MAY 2, 1970", "BOARD X EDUCATION Y JUNE 3, 1975"]
+    df = spark.createDataFrame([(g,) for g in golden], "text string").unionByName(
+        V.v_pages(spark, SF_SMALL).select(F.upper("text").alias("text")))
+    out = with_page_date(df.withColumn("ref", parse_date(F.col("text"))), "text")
+    assert out.where("NOT (ref <=> page_date)").count() == 0
