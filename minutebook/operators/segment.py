@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from ..functions.dates import meeting_key, parse_date, with_page_date
 from ..functions.patterns import EVIDENCE_INDICATORS, START_PHRASES
 from ..functions.text import upper_text
+from ..session import checkpoint_dir
 
 
 def _col(c) -> Column:
@@ -60,33 +61,41 @@ def assign_meetings(pages: DataFrame, part_by="collection", order_by="page_name"
 
 
 def assign_meetings_bucketed(pages: DataFrame, part_by="collection", bucket="bucket",
-                             order_by="page_name", text: str = "text") -> DataFrame:
+                             order_by="page_name", text: str = "text", materialize: bool = True) -> DataFrame:
     """The same answer as ``assign_meetings`` without one task per
     collection.
 
     ``bucket`` must grow with the page order (e.g. page number / 10,000).
     Step 1 fills inside each (collection, bucket) window, which spreads one
     huge collection over many tasks.  Step 2 takes the last opened meeting of
-    every bucket (same window partitioning, no new shuffle) into a table with
-    one row per bucket, and a running ``last(ignorenulls)`` over the earlier
-    buckets gives each bucket its carry-in.  Step 3 joins the carry back and
-    fills the leading pages of a bucket with it.  No partition ids are used,
-    so re-execution or AQE cannot change the answer.
+    every bucket into a table with one row per bucket, and a running
+    ``last(ignorenulls)`` over the earlier buckets gives each bucket its
+    carry-in.  Step 3 joins the carry back (a small table: one row per
+    bucket) and fills the leading pages of a bucket with it.  No partition
+    ids are used, so re-execution or AQE cannot change the answer.
+
+    Both steps need the page classification (the costly regex scans), so the
+    classified pages, without their text, are written once with
+    ``checkpoint()`` to the shared checkpoint folder; lineage is cut there and
+    a lost executor does not repeat the scans.  The page text is not part of
+    the result.
     """
     parts = [part_by] if isinstance(part_by, str) else list(part_by)
     keys = parts + [bucket]
-    inside = Window.partitionBy(*keys).orderBy(order_by)
-    run = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    whole = inside.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    out = classify_pages(pages, text)
-    out = (out.withColumn("_local", F.last("start_date", ignorenulls=True).over(run))
-              .withColumn("_bucket_last", F.last("start_date", ignorenulls=True).over(whole)))
-    per_bucket = out.groupBy(*keys).agg(F.max("_bucket_last").alias("_bucket_last"))
+    c = classify_pages(pages, text).drop(text)
+    if materialize:
+        checkpoint_dir(c.sparkSession)
+        c = c.checkpoint(eager=True)
+    run = (Window.partitionBy(*keys).orderBy(order_by)
+           .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    out = c.withColumn("_local", F.last("start_date", ignorenulls=True).over(run))
+    per_bucket = c.groupBy(*keys).agg(
+        F.max_by("start_date", F.when(F.col("start_date").isNotNull(), F.col(order_by))).alias("_bucket_last"))
     earlier = (Window.partitionBy(*parts).orderBy(bucket)
                .rowsBetween(Window.unboundedPreceding, -1))
     carry = per_bucket.select(*keys, F.last("_bucket_last", ignorenulls=True).over(earlier).alias("_carry"))
     out = out.join(carry, keys, "left")
-    out = out.withColumn("meeting_date", F.coalesce("_local", "_carry")).drop("_local", "_bucket_last", "_carry")
+    out = out.withColumn("meeting_date", F.coalesce("_local", "_carry")).drop("_local", "_carry")
     return out.withColumn("meeting_key", meeting_key("meeting_date"))
 
 
