@@ -851,3 +851,79 @@ def q10_qc_report(spark, sf):
               qc.check_dates(V.v_file_text(spark, sf))]
     files = r.select("file").unionByName(V.v_files(spark, sf).select(F.col("path").alias("file")))
     return qc.qc_report(issues, files)
+
+
+# ------------------------------------------------------------ P7, P8, P9
+from ..functions.dates import part_no, recording_date  # noqa: E402
+
+
+@register("p7_recording_date", with_views(
+    f"SELECT DISTINCT stem, {Q.recording_date('stem')} AS meeting_date FROM v_recordings", "v_recordings"))
+def p7_recording_date(spark, sf):
+    return V.v_recordings(spark, sf).select("stem").distinct().select(
+        "stem", recording_date("stem").alias("meeting_date"))
+
+
+@register("p8_folder_year", with_views(
+    f"SELECT DISTINCT meeting, {Q.folder_year('meeting')} AS year FROM v_parts", "v_parts"))
+def p8_folder_year(spark, sf):
+    return V.v_parts(spark, sf).select("meeting").distinct().select("meeting", folder_year("meeting").alias("year"))
+
+
+@register("p9_part_no", with_views(f"SELECT part_name, {Q.part_no('part_name')} AS part_no FROM v_parts", "v_parts"))
+def p9_part_no(spark, sf):
+    return V.v_parts(spark, sf).select("part_name", part_no("part_name").alias("part_no"))
+
+
+# ------------------------------------- S4-S8: write, then read back with Spark
+from pyspark.sql import types as TT  # noqa: E402
+
+from ..sources import io  # noqa: E402
+
+_J1_CSV_SCHEMA = TT.StructType([TT.StructField(c, TT.StringType()) for c in
+                                ["Date", "PDF_File", "Synopsis", "Summary", "Key Notes", "Attendees"]])
+
+
+@register("s5_write_csv", with_views(f"""
+SELECT CAST(s."Date" AS VARCHAR) AS "Date", s.PDF_File, s.Synopsis, s.Summary, s."Key Notes", a.Attendees
+FROM v_summaries s LEFT JOIN ({_A1_SQL}) a ON CAST(s."Date" AS DATE) = a."Date"
+""", "v_summaries", "v_attendees"))
+def s5_write_csv(spark, sf):
+    """S5 then S4: the merged report as CSV (list as JSON), read back with a
+    declared schema."""
+    path = scratch_path(spark, f"s5-{uuid.uuid4().hex}")
+    io.write_csv(report.merge_report(V.v_summaries(spark, sf), V.v_attendees(spark, sf), as_json=False), path)
+    return io.read_table(spark, path, _J1_CSV_SCHEMA)
+
+
+@register("s6_append_index", with_views(_I1_SQL, "v_recordings", "v_transcripts"))
+def s6_append_index(spark, sf):
+    """The index appended twice; the second run adds nothing."""
+    path = scratch_path(spark, f"s6-{uuid.uuid4().hex}")
+    idx = report.recording_index(V.v_recordings(spark, sf), V.v_transcripts(spark, sf))
+    io.append_index(idx, path)
+    io.append_index(idx, path)
+    return spark.read.parquet(path)
+
+
+@register("s7_write_documents", with_views(f"""
+SELECT meeting, 'transcript' AS doc_kind, '# Transcript' || chr(10) || chr(10) || transcript AS markdown
+FROM ({_A3_SQL})""", "v_parts", "v_roster"))
+def s7_write_documents(spark, sf):
+    path = scratch_path(spark, f"s7-{uuid.uuid4().hex}")
+    t = assemble.assemble_transcript(V.v_parts(spark, sf), V.v_roster(spark, sf))
+    docs = t.select("meeting", F.lit("transcript").alias("doc_kind"), F.lit("Transcript").alias("heading"),
+                    F.col("transcript").alias("body"))
+    io.write_documents(docs, path)
+    return spark.read.parquet(path).select("meeting", F.col("doc_kind").cast("string"), "markdown")
+
+
+@register("s8_write_by_meeting", with_views(
+    "SELECT collection, path, page_name, meeting_key FROM (" + _W1_SQL + ")", "v_pages"))
+def s8_write_by_meeting(spark, sf):
+    path = scratch_path(spark, f"s8-{uuid.uuid4().hex}")
+    a = segment.assign_meetings(V.v_pages(spark, sf)).select("collection", "path", "page_name", "meeting_key")
+    io.write_by_meeting(a, path)
+    back = spark.read.option("basePath", path).schema(
+        "collection string, path string, page_name string, meeting_key string").parquet(path)
+    return back.select("collection", "path", "page_name", "meeting_key")

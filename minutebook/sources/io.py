@@ -48,7 +48,8 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType, missing_ok:
 
 def write_csv(df: DataFrame, path: str, cols: list[str] | None = None) -> None:
     """Overwrite a CSV folder with a fixed column list; arrays and
-    structs are written as JSON (nulls kept), since CSV cannot hold them."""
+    structs are written as JSON (nulls kept), since CSV cannot hold them.
+    Quotes inside values are doubled (RFC 4180), as ``read_table`` expects."""
     cols = cols or df.columns
     out = []
     for c in cols:
@@ -57,7 +58,8 @@ def write_csv(df: DataFrame, path: str, cols: list[str] | None = None) -> None:
         if isinstance(dt, (T.ArrayType, T.StructType, T.MapType)):
             col = F.to_json(col, {"ignoreNullFields": "false"})
         out.append(col.alias(c))
-    df.select(*out).write.mode("overwrite").option("header", True).csv(path)
+    (df.select(*out).write.mode("overwrite").option("header", True).option("escape", '"')
+     .csv(path))
 
 
 def append_index(df: DataFrame, path: str, key: str = "file") -> DataFrame:
