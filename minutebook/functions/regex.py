@@ -5,10 +5,10 @@ stops only at ``\\n`` (Java needs the UNIX_LINES flag for that).
 """
 from __future__ import annotations
 
-from .patterns import NON_WS_CLASS, WS, WS_CLASS
+from .patterns import NON_WS_CLASS, NON_WS_CLASS_RE2, WS, WS_CLASS, WS_CLASS_RE2, WS_RE2
 
 
-def portable(pattern: str) -> str:
+def portable(pattern: str, ws: str = WS, ws_class: str = WS_CLASS, non_ws_class: str = NON_WS_CLASS) -> str:
     """Pattern with explicit classes, valid in both Java regex and RE2."""
     out = []
     i = 0
@@ -18,9 +18,9 @@ def portable(pattern: str) -> str:
         if ch == "\\" and i + 1 < len(pattern):
             nxt = pattern[i + 1]
             if nxt == "s":
-                out.append(WS if in_class else WS_CLASS)
+                out.append(ws if in_class else ws_class)
             elif nxt == "S":
-                out.append(NON_WS_CLASS)
+                out.append(non_ws_class)
             elif nxt == "d":
                 out.append("0-9" if in_class else "[0-9]")
             else:
@@ -44,4 +44,4 @@ def java(pattern: str) -> str:
 
 def re2(pattern: str) -> str:
     """DuckDB (RE2) form of a Python-dialect pattern."""
-    return portable(pattern)
+    return portable(pattern, WS_RE2, WS_CLASS_RE2, NON_WS_CLASS_RE2)

@@ -2,7 +2,8 @@
 from __future__ import annotations
 
 from ..functions.patterns import (DATE_PATTERNS, KEPT_PUNCTUATION, MONTHS, OCR_FIXES, START_PHRASES,
-                                  WS, WS_CLASS, NON_WS_CLASS, MARKER_LENGTH, MARKER_LONGER, MAX_CHARS,
+                                  WS_RE2 as WS, WS_CLASS_RE2 as WS_CLASS, NON_WS_CLASS_RE2 as NON_WS_CLASS,
+                                  MARKER_LENGTH, MARKER_LONGER, MAX_CHARS,
                                   MAX_PROMPT_CHARS)
 from ..functions.regex import re2
 

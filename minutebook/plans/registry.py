@@ -390,7 +390,7 @@ def c4_token_count(spark, sf):
 
 
 # ---------------------------------------------------------- R1-R3, U1-U3, A5, J4, A8, W7
-from ..functions.patterns import SECTION_DEFAULTS, SECTION_HEADERS, WS_CLASS  # noqa: E402
+from ..functions.patterns import SECTION_DEFAULTS, SECTION_HEADERS, WS_CLASS_RE2 as WS_CLASS  # noqa: E402
 from ..functions.templates import SHORT_SUMMARY, STAGES, STRUCTURED_SUMMARY  # noqa: E402
 from ..operators import model, parse  # noqa: E402
 from ..session import checkpoint_dir  # noqa: E402
