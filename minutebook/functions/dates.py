@@ -164,26 +164,23 @@ def _date_from_whole(whole: Column, i: int) -> Column:
 def with_page_date(df, text, out: str = "page_date"):
     """``parse_date`` as a DataFrame step, for large texts.
 
-    Same result as ``parse_date(text)``.  Each pattern is its own projection
-    that scans the text only when no earlier pattern gave a date and its
-    cheap necessary condition holds, so every text is scanned at most once
-    per pattern and usually far less.  The whole match is kept in a column,
-    so the three groups are read from that short string.
+    Same result as ``parse_date(text)``.  Each pattern's whole first match is
+    computed once, in its own column, and only when the pattern's cheap
+    necessary condition holds (a 4-digit year; MEETING, BOARD + EDUCATION or
+    ``/`` present); the three groups are then read from that short match.
+    The pattern columns do not refer to each other, so if a later filter on
+    the date is pushed down by the optimizer, the inlined expression grows
+    linearly (a chain of "only if no date yet" steps would grow
+    exponentially).
     """
     t = _col(text)
-    cols = []
     d = df.withColumn("_has_year", t.rlike("[0-9]{4}"))
-    prev = None
+    wcols = []
     for i in (0, 2, 4, 6, 7):
         guard = F.col("_has_year")
-        for s in _GUARDS[i]:
-            guard = guard & (F.instr(t, s) > 0)
-        if prev is not None:
-            guard = guard & F.col(prev).isNull()
-        w, dc = f"_w{i}", f"_d{i}"
-        d = d.withColumn(w, F.when(guard, F.regexp_extract(t, _scan_pattern(i), 0)))
-        d = d.withColumn(dc, F.when(F.col(w) != "", _date_from_whole(F.col(w), i)))
-        d = d.withColumn(dc, F.coalesce(F.col(prev), F.col(dc)) if prev else F.col(dc))
-        cols += [w, dc]
-        prev = dc
-    return d.withColumn(out, F.col(prev)).drop("_has_year", *cols)
+        for s_ in _GUARDS[i]:
+            guard = guard & (F.instr(t, s_) > 0)
+        d = d.withColumn(f"_w{i}", F.when(guard, F.regexp_extract(t, _scan_pattern(i), 0)))
+        wcols.append(f"_w{i}")
+    dates = [F.when(F.col(f"_w{i}") != "", _date_from_whole(F.col(f"_w{i}"), i)) for i in (0, 2, 4, 6, 7)]
+    return d.withColumn(out, F.coalesce(*dates)).drop("_has_year", *wcols)

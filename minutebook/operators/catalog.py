@@ -41,8 +41,10 @@ def plan_moves(files: DataFrame, dest: str, name: str = "name", path: str = "pat
     low = F.lower(name)
     m = files.where(low.endswith(".pdf") & ~low.contains(OCR_SUFFIX))
     m = m.select(F.col(path).alias("source"), F.concat(F.lit(dest.rstrip("/") + "/"), F.col(name)).alias("target"))
-    w = Window.partitionBy("target")
-    return m.withColumn("conflict", F.count(F.lit(1)).over(w) > 1)
+    # counted with a partial + final aggregate and joined back, so a target
+    # claimed by very many files never lands whole in one window partition
+    claims = m.groupBy("target").agg((F.count(F.lit(1)) > 1).alias("conflict"))
+    return m.join(claims, "target").select("source", "target", "conflict")
 
 
 def derived_names(files: DataFrame, name: str = "name") -> DataFrame:

@@ -113,10 +113,27 @@ def page_evidence(pages: DataFrame, part_by="collection", order_by="page_name",
                     (F.instr("_up", F.col("indicator")) > 0).alias("present"))
 
 
-def number_pages(assigned: DataFrame, part_by=("collection", "meeting_key"), name: str = "page_name") -> DataFrame:
-    """Page numbers inside a meeting by lower-cased name, from 1."""
-    w = Window.partitionBy(*part_by).orderBy(F.lower(name), F.col(name))
-    return assigned.withColumn("page_in_meeting", F.row_number().over(w))
+def number_pages(assigned: DataFrame, part_by=("collection", "meeting_key"), name: str = "page_name",
+                 bucket: str | None = None) -> DataFrame:
+    """Page numbers inside a meeting by lower-cased name, from 1.
+
+    With ``bucket`` (a column that never decreases along ``lower(name),
+    name``, e.g. a prefix of the lower-cased name) one meeting is numbered
+    by many tasks: pages are counted per (meeting, bucket), a running sum
+    over that small table gives each bucket its offset, and pages are
+    numbered inside their bucket.
+    """
+    order = [F.lower(name), F.col(name)]
+    if bucket is None:
+        w = Window.partitionBy(*part_by).orderBy(*order)
+        return assigned.withColumn("page_in_meeting", F.row_number().over(w))
+    keys = list(part_by) + [bucket]
+    local = assigned.withColumn("_n", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
+    counts = assigned.groupBy(*keys).agg(F.count(F.lit(1)).alias("_c"))
+    before = Window.partitionBy(*part_by).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(*keys, F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_off"))
+    out = local.join(offsets, keys, "left")
+    return out.withColumn("page_in_meeting", (F.col("_off") + F.col("_n")).cast("int")).drop("_n", "_off")
 
 
 def first_files(files: DataFrame, n: int, order_by: str = "path") -> DataFrame:

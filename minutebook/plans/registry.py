@@ -118,14 +118,23 @@ def w2_assign_meetings_bucketed(spark, sf):
     return segment.assign_meetings_bucketed(pages, bucket="bucket").select(*_W_COLS)
 
 
+PAGES_PER_BUCKET = 40   # the test data's bucket width (FIXTURES.md); production uses ~10,000
+
+
+def _assigned(spark, sf):
+    """Meeting assignment for the consumers: the skew-safe bucketed form."""
+    pages = V.v_pages(spark, sf).withColumn("bucket", F.expr(f"page_no div {PAGES_PER_BUCKET}"))
+    return segment.assign_meetings_bucketed(pages, bucket="bucket", materialize=True)
+
+
 @register("w5_number_pages", with_views(f"""
 SELECT collection, meeting_key, page_name,
        CAST(row_number() OVER (PARTITION BY collection, meeting_key ORDER BY lower(page_name), page_name) AS INTEGER)
          AS page_in_meeting
 FROM ({_W1_SQL})""", "v_pages"))
 def w5_number_pages(spark, sf):
-    a = segment.assign_meetings(V.v_pages(spark, sf))
-    return segment.number_pages(a).select("collection", "meeting_key", "page_name", "page_in_meeting")
+    a = _assigned(spark, sf).withColumn("_b", F.left(F.lower("page_name"), F.lit(6)))
+    return segment.number_pages(a, bucket="_b").select("collection", "meeting_key", "page_name", "page_in_meeting")
 
 
 @register("w6_first_files", with_views(
@@ -681,7 +690,7 @@ GROUP BY ROLLUP (collection, meeting_key)"""
 
 @register("a4_organization_report", with_views(_A4_SQL, "v_pages"))
 def a4_organization_report(spark, sf):
-    return report.organization_report(segment.assign_meetings(V.v_pages(spark, sf)))
+    return report.organization_report(_assigned(spark, sf))
 
 
 _NUMBERED_SQL = f"""
@@ -695,8 +704,8 @@ SELECT collection, meeting_key, CAST(count(*) AS BIGINT) AS n_pages,
        meeting_key || '_meeting_minutes.pdf' AS pdf_file
 FROM ({_NUMBERED_SQL}) WHERE meeting_key <> 'unassigned' GROUP BY collection, meeting_key""", "v_pages"))
 def a6_meeting_manifest(spark, sf):
-    n = segment.number_pages(segment.assign_meetings(V.v_pages(spark, sf)))
-    return report.meeting_manifest(n)
+    a = _assigned(spark, sf).withColumn("_b", F.left(F.lower("page_name"), F.lit(6)))
+    return report.meeting_manifest(segment.number_pages(a, bucket="_b"))
 
 
 @register("a9_folder_stats", with_views(f"""
@@ -705,8 +714,9 @@ SELECT CAST(count(*) AS BIGINT) AS found, CAST(count_if(ok) AS BIGINT) AS succes
 FROM (SELECT collection, meeting_key, bool_or({Q.strip('text')} <> '') AS ok FROM ({_NUMBERED_SQL})
       WHERE meeting_key <> 'unassigned' GROUP BY collection, meeting_key)""", "v_pages"))
 def a9_folder_stats(spark, sf):
-    a = segment.assign_meetings(V.v_pages(spark, sf)).where(F.col("meeting_key") != "unassigned")
-    folders = a.groupBy("collection", "meeting_key").agg(F.bool_or(T.strip("text") != "").alias("ok"))
+    nonblank = V.v_pages(spark, sf).select("path", (T.strip("text") != "").alias("_nb"))
+    a = _assigned(spark, sf).where(F.col("meeting_key") != "unassigned").join(nonblank, "path")
+    folders = a.groupBy("collection", "meeting_key").agg(F.bool_or("_nb").alias("ok"))
     out = folders.select(F.when(F.col("ok"), "successful").otherwise("failed").alias("status"))
     return report.run_stats(out, seconds=None, statuses=("successful", "failed"))
 
@@ -922,7 +932,7 @@ def s7_write_documents(spark, sf):
     "SELECT collection, path, page_name, meeting_key FROM (" + _W1_SQL + ")", "v_pages"))
 def s8_write_by_meeting(spark, sf):
     path = scratch_path(spark, f"s8-{uuid.uuid4().hex}")
-    a = segment.assign_meetings(V.v_pages(spark, sf)).select("collection", "path", "page_name", "meeting_key")
+    a = _assigned(spark, sf).select("collection", "path", "page_name", "meeting_key")
     io.write_by_meeting(a, path)
     back = spark.read.option("basePath", path).schema(
         "collection string, path string, page_name string, meeting_key string").parquet(path)

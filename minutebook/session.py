@@ -28,6 +28,9 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     }
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if master and master.startswith("local"):
+        # local mode: the driver JVM is the only executor
+        conf["spark.driver.memory"] = "8g"
     for k, v in conf.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()

@@ -55,3 +55,14 @@ def test_number_pages_case_insensitive(spark):
                                "collection string, meeting_key string, page_name string")
     got = {r.page_name: r.page_in_meeting for r in segment.number_pages(df).collect()}
     assert got == {"a.jpg": 1, "B.jpg": 2, "C.jpg": 3}
+
+
+def test_number_pages_bucketed_equals_plain(spark):
+    rows = [("c%d" % (i % 3), "m%d" % (i % 5), "%s%04d.jpg" % ("AB"[i % 2], (i * 37) % 1000)) for i in range(600)]
+    df = spark.createDataFrame(rows, "collection string, meeting_key string, page_name string")
+    plain = {(r.collection, r.meeting_key, r.page_name): r.page_in_meeting
+             for r in segment.number_pages(df).collect()}
+    b = df.withColumn("_b", F.left(F.lower("page_name"), F.lit(3)))
+    got = {(r.collection, r.meeting_key, r.page_name): r.page_in_meeting
+           for r in segment.number_pages(b, bucket="_b").collect()}
+    assert got == plain
