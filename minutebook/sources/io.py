@@ -36,14 +36,12 @@ def list_files(spark: SparkSession, root: str, exts=IMAGE_EXTENSIONS, recursive:
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType, missing_ok: bool = False) -> DataFrame:
     """CSV with a header and a declared schema (no inference pass).
-    A missing file gives an empty table when ``missing_ok``."""
-    try:
-        return (spark.read.option("header", True).option("multiLine", True).option("escape", '"')
-                .schema(schema).csv(path))
-    except Exception as e:  # noqa: BLE001 - only the missing-path case is tolerated
-        if missing_ok and "PATH_NOT_FOUND" in str(e):
-            return spark.createDataFrame([], schema)
-        raise
+    A missing path gives an empty table when ``missing_ok`` (the roster case:
+    a run without a roster simply has no member headers)."""
+    if missing_ok and not _exists(spark, path):
+        return spark.createDataFrame([], schema)
+    return (spark.read.option("header", True).option("multiLine", True).option("escape", '"')
+            .schema(schema).csv(path))
 
 
 def write_csv(df: DataFrame, path: str, cols: list[str] | None = None) -> None:

@@ -30,3 +30,13 @@ def test_run_stats_average_only_when_processed(spark):
     df = spark.createDataFrame([("already_ocr", 2.0), ("processed", 4.0), ("failed", 3.0)],
                                "status string, seconds double")
     assert report.run_stats(df).first().avg_seconds == 4.5
+
+
+def test_merge_report_long_has_one_row_per_attendee(spark):
+    att = spark.createDataFrame([
+        ("1973-01-15", "A", "B", "n1", None, "t1", 2), ("01/15/1973", "C", "D", "n0", "m0", "t0", 1),
+        ("n/a", "E", "F", "n9", None, "t9", 3)], ATT)
+    summ = spark.createDataFrame([("1973-01-15", "f.pdf", "s", "u", "k"), ("1963-01-15", "g.pdf", "s", "u", "k")],
+                                 "Date string, PDF_File string, Synopsis string, Summary string, `Key Notes` string")
+    rows = report.merge_report_long(summ, att).collect()
+    assert sorted((r.PDF_File, r.Name_1) for r in rows) == [("f.pdf", "n0"), ("f.pdf", "n1"), ("g.pdf", None)]
