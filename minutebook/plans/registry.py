@@ -26,8 +26,8 @@ def register(name: str, sql: str | None = None):
 
 
 # ----------------------------------------------------------------- A1 / J1
-_ATT_JSON = ("to_json(list({'Category_1': Category_1, 'Category_2': Category_2, 'Name_1': Name_1, "
-             "'Name_2': Name_2, 'Title/Role': \"Title/Role\"} ORDER BY row_no))")
+_ATT_JSON = ("CAST(to_json(list({'Category_1': Category_1, 'Category_2': Category_2, 'Name_1': Name_1, "
+             "'Name_2': Name_2, 'Title/Role': \"Title/Role\"} ORDER BY row_no)) AS VARCHAR)")
 _ATT_DATE = ("coalesce(CAST(try_strptime(\"Date\", '%Y-%m-%d') AS DATE), "
              "CAST(try_strptime(\"Date\", '%m/%d/%Y') AS DATE))")
 _A1_SQL = f"""

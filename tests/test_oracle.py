@@ -38,13 +38,18 @@ def con():
     return c
 
 
+SPARK_TO_DUCK = {"StringType()": "VARCHAR", "LongType()": "BIGINT", "IntegerType()": "INTEGER",
+                 "DoubleType()": "DOUBLE", "DateType()": "DATE", "BooleanType()": "BOOLEAN"}
+
+
 @pytest.mark.parametrize("name", sorted(E.oracle_sql()))
 def test_matches_oracle(spark, con, name):
     df = E.queries()[name](spark, SF_SMALL)
     got = rows(df.columns, [tuple(r) for r in df.collect()])
-    cur = con.execute(E.oracle_sql()[name])
-    want = rows([d[0] for d in cur.description], cur.fetchall())
-    assert sorted(df.columns) == sorted(d[0] for d in cur.description)
+    rel = con.sql(E.oracle_sql()[name])
+    types = {c: str(t) for c, t in zip(rel.columns, rel.types)}
+    want = rows(rel.columns, rel.fetchall())
+    assert {f.name: SPARK_TO_DUCK.get(str(f.dataType), str(f.dataType)) for f in df.schema.fields} == types
     assert got == want
 
 
