@@ -22,7 +22,7 @@ VIEWS: dict[str, str] = {}
 
 VIEWS["v_pages"] = f"""
 SELECT source AS collection, source || '/' || {PAGE_NAME} AS path, {PAGE_NAME} AS page_name,
-       concat_ws(chr(10), CASE (doc_id // 20) % 8
+       concat_ws(chr(10), CASE (doc_id // 20 + 1) % 8
            WHEN 0 THEN 'MEETING OF ' || {long_date(day('doc_id'))}
            WHEN 2 THEN 'THE BOARD OF EDUCATION'
            WHEN 3 THEN {long_date(day('doc_id'))}

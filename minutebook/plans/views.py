@@ -30,9 +30,11 @@ def _page_name(doc_id: Column) -> Column:
 
 
 def v_pages(spark: SparkSession, sf: str) -> DataFrame:
-    """Ordered page images with OCR text; header kind by (doc_id/20) % 8."""
+    """Ordered page images with OCR text; header kind by (doc_id/20 + 1) % 8,
+    so every collection opens with three pages before its first meeting
+    (no header, a start without a date, a date without a phrase)."""
     docs = table(spark, sf, "documents").select("doc_id", "source", "text")
-    b = F.expr("(doc_id div 20) % 8")
+    b = F.expr("(doc_id div 20 + 1) % 8")
     d = long_date(day(F.col("doc_id")))
     header = (F.when(b == 0, F.concat(F.lit("MEETING OF "), d))
               .when(b == 2, F.lit("THE BOARD OF EDUCATION"))
