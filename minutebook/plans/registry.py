@@ -1,17 +1,35 @@
 """Registered queries: one per operator, each over the derived views of the
 driver tables, with its DuckDB oracle (``oracle_sql``) where SQL can say it.
 """
+
 from __future__ import annotations
 
+import os
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-
-from ..operators import report
+from pyspark.sql import types as TT
+
+from ..functions import text as T
+from ..functions.dates import file_date_key, folder_year, meeting_key, parse_date, part_no, recording_date
+from ..functions.patterns import (MARKER_LENGTH, MARKER_LONGER, MAX_CHARS, MAX_PROMPT_CHARS, SECTION_DEFAULTS,
+                                  SECTION_HEADERS)
+from ..functions.patterns import WS_CLASS_RE2 as WS_CLASS
+from ..functions.templates import SHORT_SUMMARY, STAGES, STRUCTURED_SUMMARY
+from ..functions.text import upper_text
+from ..functions.tokens import token_count
+from ..operators import assemble, catalog, chunk, model, parse, qc, report, segment
+from ..session import checkpoint_dir, scratch_path
+from ..sources import io
+from ..streaming.index import stream_index
+from . import oracle_funcs as Q
+from . import stub_model
 from . import views as V
 from .oracle_views import with_views
 
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
@@ -50,10 +68,6 @@ def j1_merge_report(spark, sf):
 
 
 # ------------------------------------------------------ P1-P5, W1, W2, W5, W6
-from ..functions.dates import meeting_key, parse_date  # noqa: E402
-from ..functions.text import upper_text  # noqa: E402
-from ..operators import segment  # noqa: E402
-from . import oracle_funcs as Q  # noqa: E402
 
 _UP = "upper(text)"
 _PAGES_CLASSIFIED = f"""
@@ -144,8 +158,6 @@ def w6_first_files(spark, sf):
 
 
 # ------------------------------------------- S2, S3, P6, P12, P15, P16, W3, W4, J3
-from ..functions.dates import file_date_key  # noqa: E402
-from ..operators import catalog  # noqa: E402
 
 
 @register("s2_pending_pdfs", with_views("""
@@ -262,11 +274,6 @@ def a7_ocr_run_stats(spark, sf):
 
 
 # ------------------------------------------ P10, P11, P13, P14, A2, A3, J2
-from ..functions import text as T  # noqa: E402
-from ..functions.dates import folder_year  # noqa: E402
-from ..functions.tokens import token_count  # noqa: E402
-from ..operators import assemble, chunk  # noqa: E402
-from ..functions.patterns import MARKER_LENGTH, MAX_CHARS  # noqa: E402
 
 
 @register("p10_clean_text", with_views(f"SELECT doc_id, {Q.clean_text('text')} AS text FROM v_dirty", "v_dirty"))
@@ -399,11 +406,6 @@ def c4_token_count(spark, sf):
 
 
 # ---------------------------------------------------------- R1-R3, U1-U3, A5, J4, A8, W7
-from ..functions.patterns import SECTION_DEFAULTS, SECTION_HEADERS, WS_CLASS_RE2 as WS_CLASS  # noqa: E402
-from ..functions.templates import SHORT_SUMMARY, STAGES, STRUCTURED_SUMMARY  # noqa: E402
-from ..operators import model, parse  # noqa: E402
-from ..session import checkpoint_dir  # noqa: E402
-from . import stub_model  # noqa: E402
 
 
 def sql_fill(template: str, text: str, date: str | None = None) -> str:
@@ -584,7 +586,6 @@ def a5_fuse(spark, sf):
 
 
 # ---------------------------------------------- R3 / A8 / W7: the summary run
-from ..functions.patterns import MARKER_LONGER, MAX_PROMPT_CHARS  # noqa: E402
 
 
 def _best_with_text(spark, sf):
@@ -722,11 +723,7 @@ def a9_folder_stats(spark, sf):
 
 
 # ---------------------------------------------------------------- I1, ST1
-import os  # noqa: E402
-import uuid  # noqa: E402
 
-from ..session import scratch_path  # noqa: E402
-from ..streaming.index import stream_index  # noqa: E402
 
 _I1_SQL = f"""
 SELECT w.file, {Q.recording_date('w.stem')} AS meeting_date, {Q.minutes('w.duration_s')} AS duration_min,
@@ -749,7 +746,6 @@ def st1_stream_index(spark, sf):
 
 
 # ------------------------------------------------------------------ Q1-Q10
-from ..operators import qc  # noqa: E402
 
 _Q1_SQL = """
 SELECT wav AS file, 'missing_' || k AS "check", stem AS detail
@@ -864,7 +860,6 @@ def q10_qc_report(spark, sf):
 
 
 # ------------------------------------------------------------ P7, P8, P9
-from ..functions.dates import part_no, recording_date  # noqa: E402
 
 
 @register("p7_recording_date", with_views(
@@ -886,9 +881,7 @@ def p9_part_no(spark, sf):
 
 
 # ------------------------------------- S4-S8: write, then read back with Spark
-from pyspark.sql import types as TT  # noqa: E402
 
-from ..sources import io  # noqa: E402
 
 _J1_CSV_SCHEMA = TT.StructType([TT.StructField(c, TT.StringType()) for c in
                                 ["Date", "PDF_File", "Synopsis", "Summary", "Key Notes", "Attendees"]])
