@@ -85,7 +85,8 @@ def run_model(requests: DataFrame, make_client: Callable[[], Callable[[str, str
               keys: list[str], prompt: str = "prompt", user_text: str = "user_text",
               source_text: str = "source_text",
               retry_template: str | None = None, date: str | None = None,
-              retry_chars: int = RETRY_CHARS, partitions: int | None = None) -> DataFrame:
+              retry_chars: int = RETRY_CHARS, partitions: int | None = None,
+              pause_s: float = 0.0) -> DataFrame:
     """Call the model once per request row.
 
     ``make_client()`` runs once per partition and returns ``call(prompt,
@@ -94,7 +95,9 @@ def run_model(requests: DataFrame, make_client: Callable[[], Callable[[str, str
     ``retry_template`` filled with ``source_text[:retry_chars]`` and the
     ``date`` column (status ``too_long`` if that fails too); any other error
     gives status ``error``.  ``partitions``
-    bounds how many calls run at once.  Persist the result (``checkpoint`` or
+    bounds how many calls run at once and ``pause_s`` spaces the calls of
+    one task (a service rate limit: at most ``partitions / pause_s`` calls
+    per second overall).  Persist the result (``checkpoint`` or
     a written table) before using it twice, so no call is repeated.
     """
     out_schema = ", ".join([f"`{k}` {requests.schema[k].dataType.simpleString()}" for k in keys]
@@ -105,7 +108,13 @@ def run_model(requests: DataFrame, make_client: Callable[[], Callable[[str, str
         req = req.repartition(partitions, *keys)
 
     def call_all(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        call = make_client()
+        import time
+        client = make_client()
+
+        def call(p, u):
+            if pause_s:
+                time.sleep(pause_s)
+            return client(p, u)
         for pdf in batches:
             status, content, error = [], [], []
             dates = pdf[date] if date else [None] * len(pdf)
