@@ -69,7 +69,8 @@ def roster_for(meetings: DataFrame, roster: DataFrame, year: str = "year", mode:
         lo = F.regexp_extract(range_col, "^([0-9]{4})-([0-9]{4})$", 1).try_cast("int")
         hi = F.regexp_extract(range_col, "^([0-9]{4})-([0-9]{4})$", 2).try_cast("int")
         r = (r.withColumn("_lo", lo).withColumn("_hi", hi).where("_lo IS NOT NULL AND _hi >= _lo")
-             .withColumn("_y", F.explode(F.sequence("_lo", "_hi")).cast("string")).drop("_lo", "_hi"))
+             .withColumn("_y", F.explode(F.transform(F.sequence("_lo", "_hi"), lambda y: y.cast("string"))))
+             .drop("_lo", "_hi"))
     else:
         raise ValueError(mode)
     m = meetings.withColumn("_y", F.col(year))

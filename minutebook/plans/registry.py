@@ -930,3 +930,18 @@ def s8_write_by_meeting(spark, sf):
     back = spark.read.option("basePath", path).schema(
         "collection string, path string, page_name string, meeting_key string").parquet(path)
     return back.select("collection", "path", "page_name", "meeting_key")
+
+
+@register("j2_roster_for_range", with_views(f"""
+SELECT y.meeting, y.year, r.name, r.year_range, r.row_no
+FROM (SELECT DISTINCT meeting, {_YEAR} AS year FROM v_parts) y
+LEFT JOIN (SELECT *, CAST(split_part(year_range, '-', 1) AS INTEGER) AS lo,
+                  CAST(split_part(year_range, '-', 2) AS INTEGER) AS hi
+           FROM v_roster WHERE regexp_matches(year_range, '^[0-9]{{4}}-[0-9]{{4}}$')) r
+  ON TRY_CAST(y.year AS INTEGER) BETWEEN r.lo AND r.hi AND CAST(TRY_CAST(y.year AS INTEGER) AS VARCHAR) = y.year""",
+                                            "v_parts", "v_roster"))
+def j2_roster_for_range(spark, sf):
+    """J2 with ``mode="range"``: every year between the two ends matches."""
+    m = V.v_parts(spark, sf).select("meeting").distinct().select("meeting", folder_year("meeting").alias("year"))
+    return assemble.roster_for(m, V.v_roster(spark, sf), mode="range").select(
+        "meeting", "year", "name", "year_range", "row_no")
