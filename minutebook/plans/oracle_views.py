@@ -91,11 +91,9 @@ SELECT strftime(d, '%Y-%m-%d') AS "Date",
        'Summary of the meeting on ' || strftime(d, '%Y-%m-%d') AS Summary,
        'Key notes of ' || strftime(d, '%Y-%m-%d') AS "Key Notes"
 FROM (
-  SELECT d FROM (SELECT DISTINCT CAST(o_orderdate AS DATE) AS d FROM orders
-                 WHERE dayofyear(o_orderdate) % 3 <> 0)
+  SELECT DISTINCT CAST(o_orderdate AS DATE) AS d FROM orders
   UNION
-  SELECT CAST(d - INTERVAL 10 YEAR AS DATE) FROM (SELECT DISTINCT CAST(o_orderdate AS DATE) AS d FROM orders
-                 WHERE dayofyear(o_orderdate) % 3 <> 0)
+  SELECT CAST(CAST(o_orderdate AS DATE) - INTERVAL 10 YEAR AS DATE) FROM orders
 )"""
 
 _meeting = ("'boe_meeting_' || strftime(" + day("conv_id * 37") + ", '%Y-%m-%d') || "
