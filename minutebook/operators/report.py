@@ -10,14 +10,17 @@ from ..functions.patterns import MEETING_PDF_SUFFIX, UNASSIGNED
 from ..functions.text import minutes, word_count
 
 ATTENDEE_FIELDS = ["Category_1", "Category_2", "Name_1", "Name_2", "Title/Role"]
-ACCEPTED_DATE_FORMATS = ("yyyy-MM-dd", "MM/dd/yyyy")
+# accepted attendee date formats, each with the shape a string must have to
+# be tried with it (a failed parse is costly, and strict formats of another
+# shape can never succeed)
+ACCEPTED_DATE_FORMATS = (("yyyy-MM-dd", "^[0-9]{4}-"), ("MM/dd/yyyy", "^[0-9]{2}/"))
 JSON_KEEP_NULLS = {"ignoreNullFields": "false"}
 
 
 def lenient_date(col, formats=ACCEPTED_DATE_FORMATS):
     """Date from text in any accepted format; null when none fits."""
     c = F.col(col) if isinstance(col, str) else col
-    return F.coalesce(*[F.try_to_date(c, f) for f in formats])
+    return F.coalesce(*[F.when(c.rlike(shape), F.try_to_date(c, f)) for f, shape in formats])
 
 
 def attendees_by_date(att: DataFrame, order_by: str = "row_no",
