@@ -40,39 +40,43 @@ def _valid_date(y: Column, m: Column, d: Column) -> Column:
     return F.when(yi.between(1900, 2100) & (F.length(d) > 0), _iso(ds))
 
 
-def date_from_pattern(text, i: int) -> Column:
-    """Date from the first match of pattern ``i`` only (null if invalid).
+def _date_from_whole(whole: Column, i: int) -> Column:
+    """Date from the whole first match of pattern ``i`` (null if invalid).
 
-    The long text is scanned once for the whole first match; the three
-    groups are then read from that short match with the anchored pattern
-    (same engine, same backtracking order, so the same groups).
+    The groups are read from the short match with the anchored pattern: same
+    engine, same backtracking order, so the same groups as on the full text.
     """
-    t = _col(text)
     p = java(DATE_PATTERNS[i])
-    whole = F.regexp_extract(t, p, 0)
     anchored = "^" + p if not p.startswith("(?d)") else "(?d)^" + p[4:]
     g1, g2, g3 = (F.regexp_extract(whole, anchored, k) for k in (1, 2, 3))
     if i in _NAMED_MONTH_FIRST:
-        month = F.try_element_at(_month_map(), g1)
-        return _valid_date(g3, month, g2)
+        return _valid_date(g3, F.try_element_at(_month_map(), g1), g2)
     if i in _NUMERIC_MONTH_FIRST:
         mi = g1.try_cast("int")
-        month = F.when(mi.between(1, 12), mi)
-        return _valid_date(g3, month, g2)
+        return _valid_date(g3, F.when(mi.between(1, 12), mi), g2)
     if i == 5:  # year first; only used when iso=True
         mi = g2.try_cast("int")
         return _valid_date(g1, F.when(mi.between(1, 12), mi), g3)
     raise ValueError(f"pattern {i} never yields a date")
 
 
+def date_from_pattern(text, i: int) -> Column:
+    """Date from the first match of pattern ``i`` only (null if invalid)."""
+    whole = F.regexp_extract(_col(text), java(DATE_PATTERNS[i]), 0)
+    return F.when(whole != "", _date_from_whole(whole, i))
+
+
+def _order(iso: bool) -> list[int]:
+    return [0, 2, 4] + ([5] if iso else []) + [6, 7]
+
+
 def parse_date(text, iso: bool = False) -> Column:
     """First valid date of patterns 0-7 in order (each: first match only).
 
     ``text`` should already be upper-cased (``upper_text``).  With
     ``iso=True`` year-first dates (pattern 5) are read as such.
     """
-    order = [0, 2, 4] + ([5] if iso else []) + [6, 7]
-    return F.coalesce(*[date_from_pattern(text, i) for i in order])
+    return F.coalesce(*[date_from_pattern(text, i) for i in _order(iso)])
 
 
 def meeting_key(d) -> Column:
@@ -130,6 +134,7 @@ _GUARDS = {
     0: ("MEETING",),
     2: (),
     4: ("/",),
+    5: ("-",),
     6: ("MEETING",),
     7: ("BOARD", "EDUCATION"),
 }
@@ -151,17 +156,7 @@ def _scan_pattern(i: int) -> str:
     return java(DATE_PATTERNS[i])
 
 
-def _date_from_whole(whole: Column, i: int) -> Column:
-    p = java(DATE_PATTERNS[i])
-    anchored = "^" + p if not p.startswith("(?d)") else "(?d)^" + p[4:]
-    g1, g2, g3 = (F.regexp_extract(whole, anchored, k) for k in (1, 2, 3))
-    if i in _NAMED_MONTH_FIRST:
-        return _valid_date(g3, F.try_element_at(_month_map(), g1), g2)
-    mi = g1.try_cast("int")
-    return _valid_date(g3, F.when(mi.between(1, 12), mi), g2)
-
-
-def with_page_date(df, text, out: str = "page_date"):
+def with_page_date(df, text, out: str = "page_date", iso: bool = False):
     """``parse_date`` as a DataFrame step, for large texts.
 
     Same result as ``parse_date(text)``.  Each pattern's whole first match is
@@ -176,11 +171,11 @@ def with_page_date(df, text, out: str = "page_date"):
     t = _col(text)
     d = df.withColumn("_has_year", t.rlike("[0-9]{4}"))
     wcols = []
-    for i in (0, 2, 4, 6, 7):
+    for i in _order(iso):
         guard = F.col("_has_year")
         for s_ in _GUARDS[i]:
             guard = guard & (F.instr(t, s_) > 0)
         d = d.withColumn(f"_w{i}", F.when(guard, F.regexp_extract(t, _scan_pattern(i), 0)))
         wcols.append(f"_w{i}")
-    dates = [F.when(F.col(f"_w{i}") != "", _date_from_whole(F.col(f"_w{i}"), i)) for i in (0, 2, 4, 6, 7)]
+    dates = [F.when(F.col(f"_w{i}") != "", _date_from_whole(F.col(f"_w{i}"), i)) for i in _order(iso)]
     return d.withColumn(out, F.coalesce(*dates)).drop("_has_year", *wcols)

@@ -64,3 +64,12 @@ def test_token_chunks_keeps_other_columns(spark):
     df = spark.createDataFrame([(1, "x", "a b c")], "id int, tag string, body string")
     row = chunk.token_chunks(df, 2, text="body").orderBy("chunk_no").first()
     assert (row.id, row.tag, row.text, row.n_tokens) == (1, "x", "a b", 2)
+
+
+def test_with_page_date_iso_matches_column_form(spark):
+    from minutebook.functions.dates import with_page_date
+    df = spark.createDataFrame([("OKLAHOMA CITY 1971-01-05",), ("MEETING OF MAY 2, 1972 1971-01-05",), ("X",)],
+                               "t string")
+    out = with_page_date(df.withColumn("ref", parse_date(F.col("t"), iso=True)), "t", iso=True)
+    assert out.where("NOT (ref <=> page_date)").count() == 0
+    assert out.where("page_date IS NOT NULL").count() == 2
