@@ -157,6 +157,3 @@ def attach_responses(requests: DataFrame, responses: DataFrame, keys: list[str])
     out = requests.join(r, keys, "left")
     return out.withColumn("status", F.coalesce("status", F.lit("missing")))
 
-
-def blank(text) -> F.Column:
-    return strip(text) == ""
