@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 
 from ..functions.patterns import (PACKED_CHUNK_TOKENS, RETRY_CHARS, SEP_STRICT_FUSE, WHOLE_BELOW_TOKENS)
 from ..functions.templates import CONTEXT_ERRORS, STAGES
-from ..functions.text import strip
 from ..functions.tokens import token_count
 from .chunk import paragraph_chunks
 
