@@ -25,6 +25,22 @@ def _issue(df: DataFrame, file, check, detail, when=None) -> DataFrame:
     return df.select(F.inline(F.filter(F.array(row), lambda r: when)))
 
 
+def fixed(x, places: int) -> F.Column:
+    """A number as text with ``places`` decimals (the value is first floored
+    at that precision).
+
+    Built from integer arithmetic, so every engine prints the same digits
+    (``%.nf`` rounds half up in Java and half to even elsewhere)."""
+    c = F.col(x) if isinstance(x, str) else x
+    scale = 10 ** places
+    n = F.floor(c * scale).cast("bigint")
+    a = F.abs(n)
+    sign = F.when(n < 0, F.lit("-")).otherwise(F.lit(""))
+    whole = (a / scale).cast("bigint").cast("string")
+    frac = F.lpad((a % scale).cast("string"), places, "0")
+    return F.concat(sign, whole, F.lit("."), frac)
+
+
 def check_complete(recordings: DataFrame, kinds=("mp3", "transcript", "summary")) -> DataFrame:
     """Q1: every WAV has an MP3, a transcript and a summary."""
     g = recordings.groupBy("stem").agg(
@@ -41,7 +57,7 @@ def check_durations(recordings: DataFrame, tol_s: float = 1.0) -> DataFrame:
     wav = recordings.where("kind = 'wav'").select("stem", F.col("file").alias("wav"), F.col("duration_s").alias("w"))
     mp3 = recordings.where("kind = 'mp3'").select("stem", F.col("duration_s").alias("m"))
     j = wav.join(mp3, "stem").where(F.abs(F.col("w") - F.col("m")) > tol_s)
-    return _issue(j, "wav", "duration_mismatch", F.format_string("%.3f", F.col("m") - F.col("w")))
+    return _issue(j, "wav", "duration_mismatch", fixed(F.col("m") - F.col("w"), 3))
 
 
 def check_readable(recordings: DataFrame, kinds=("wav", "mp3")) -> DataFrame:
@@ -55,7 +71,7 @@ def check_short(index: DataFrame, min_wpm: float = 60.0) -> DataFrame:
     """Q4: transcripts with fewer than ``min_wpm`` words per minute."""
     wpm = F.col("word_count") / F.col("duration_min")
     r = index.where((F.col("duration_min") > 0) & (wpm < min_wpm))
-    return _issue(r, "file", "short_transcript", F.format_string("%.2f", wpm))
+    return _issue(r, "file", "short_transcript", fixed(wpm, 2))
 
 
 def repeat_count(text) -> F.Column:

@@ -747,6 +747,13 @@ def st1_stream_index(spark, sf):
 
 # ------------------------------------------------------------------ Q1-Q10
 
+def _fixed_sql(x: str, places: int) -> str:
+    scale = 10 ** places
+    n = f"CAST(floor(({x}) * {scale}) AS BIGINT)"
+    return (f"((CASE WHEN {n} < 0 THEN '-' ELSE '' END) || CAST(abs({n}) // {scale} AS VARCHAR) || '.' || "
+            f"lpad(CAST(abs({n}) % {scale} AS VARCHAR), {places}, '0'))")
+
+
 _Q1_SQL = """
 SELECT wav AS file, 'missing_' || k AS "check", stem AS detail
 FROM (SELECT stem, max(CASE WHEN kind = 'wav' THEN file END) AS wav,
@@ -755,15 +762,15 @@ FROM (SELECT stem, max(CASE WHEN kind = 'wav' THEN file END) AS wav,
       FROM v_recordings GROUP BY stem) g,
      (SELECT unnest(['mp3', 'transcript', 'summary']) AS k) ks
 WHERE wav IS NOT NULL AND CASE k WHEN 'mp3' THEN mp3 WHEN 'transcript' THEN transcript ELSE summary END = 0"""
-_Q2_SQL = """
-SELECT w.file, 'duration_mismatch' AS "check", printf('%.3f', m.duration_s - w.duration_s) AS detail
+_Q2_SQL = f"""
+SELECT w.file, 'duration_mismatch' AS "check", {_fixed_sql('m.duration_s - w.duration_s', 3)} AS detail
 FROM v_recordings w JOIN v_recordings m ON w.stem = m.stem AND w.kind = 'wav' AND m.kind = 'mp3'
 WHERE abs(w.duration_s - m.duration_s) > 1.0"""
 _Q3_SQL = """
 SELECT file, 'unreadable' AS "check", kind AS detail FROM v_recordings
 WHERE kind IN ('wav', 'mp3') AND (duration_s IS NULL OR duration_s <= 0)"""
 _Q4_SQL = f"""
-SELECT file, 'short_transcript' AS "check", printf('%.2f', word_count / duration_min) AS detail
+SELECT file, 'short_transcript' AS "check", {_fixed_sql('word_count / duration_min', 2)} AS detail
 FROM ({_I1_SQL}) WHERE duration_min > 0 AND word_count / duration_min < 16"""
 _Q8_SQL = f"""
 SELECT path AS file, c AS "check", concat_ws(' / ', CAST(fd AS VARCHAR), CAST(td AS VARCHAR)) AS detail FROM (

@@ -28,3 +28,9 @@ def test_repeats_terms_support(spark):
     assert got == {"1": "dog", "2": "cat,dog"}
     sup = spark.createDataFrame([(1, "paid 120 and 98765", "paid 120 dollars")], "doc_id int, summary string, transcript string")
     assert qc.check_support(sup).first().detail == "98765"
+
+
+def test_fixed_formatting(spark):
+    df = spark.createDataFrame([(15.625,), (-1.5,), (0.0,), (2.0,), (-0.004,)], "x double")
+    got = [r[0] for r in df.select(qc.fixed("x", 2)).collect()]
+    assert got == ["15.62", "-1.50", "0.00", "2.00", "-0.01"]
