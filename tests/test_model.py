@@ -47,3 +47,21 @@ def test_fuse_and_attach(spark):
     r2 = resp.withColumn("status", F.lit("ok"))
     got = {r.chunk_no: r.status for r in model.attach_responses(req, r2, ["doc", "chunk_no"]).collect()}
     assert got == {0: "ok", 1: "ok", 2: "missing"}
+
+
+def test_checkpointed_replies_call_the_model_once(spark):
+    from minutebook.session import checkpoint_dir
+    checkpoint_dir(spark)
+    acc = spark.sparkContext.accumulator(0)
+
+    def factory():
+        def call(p, u):
+            acc.add(1)
+            return "x"
+        return call
+    df = spark.range(50).select(F.col("id").alias("doc"), F.lit("p").alias("prompt"),
+                                F.lit(None).cast("string").alias("user_text"), F.lit("s").alias("source_text"))
+    out = model.run_model(df, factory, keys=["doc"]).checkpoint(eager=True)
+    out.count()
+    out.collect()
+    assert acc.value == 50
