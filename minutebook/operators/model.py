@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from ..functions.patterns import (PACKED_CHUNK_TOKENS, RETRY_CHARS, SEP_STRICT_FUSE, WHOLE_BELOW_TOKENS)
 from ..functions.templates import CONTEXT_ERRORS, STAGES
 from ..functions.tokens import token_count
+from ..session import ship_package
 from .chunk import paragraph_chunks
 
 
@@ -99,6 +100,7 @@ def run_model(requests: DataFrame, make_client: Callable[[], Callable[[str, str
     per second overall).  Persist the result (``checkpoint`` or
     a written table) before using it twice, so no call is repeated.
     """
+    ship_package(requests.sparkSession)
     out_schema = ", ".join([f"`{k}` {requests.schema[k].dataType.simpleString()}" for k in keys]
                            + ["status string", "content string", "error string"])
     cols = keys + [prompt, user_text, source_text] + ([date] if date and date not in keys else [])

@@ -60,3 +60,33 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder for written tables."""
     base = checkpoint_dir(spark)
     return os.path.join(base, "tables", name)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``minutebook`` importable in the Python workers.
+
+    Functions handed to ``mapInPandas`` may refer to this package; the
+    workers import it from a zip that Spark distributes with ``addPyFile``
+    (on a cluster the same is done with ``--py-files``).  Once per
+    application; a no-op when the package itself runs from a zip.
+    """
+    import zipfile
+
+    sc = spark.sparkContext
+    key = sc.applicationId
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    if key in _SHIPPED or not os.path.isdir(pkg_dir):
+        return
+    out = os.path.join(tempfile.mkdtemp(prefix="minutebook-pkg-"), "minutebook.zip")
+    root = os.path.dirname(pkg_dir)
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for d, _, files in os.walk(pkg_dir):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(d, f)
+                    z.write(full, os.path.relpath(full, root))
+    sc.addPyFile(out)
+    _SHIPPED.add(key)
