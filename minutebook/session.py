@@ -8,7 +8,7 @@ from pyspark.sql import SparkSession
 
 
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
-                app_name: str = "minutebook") -> SparkSession:
+                app_name: str = "minutebook", extra: dict[str, str] | None = None) -> SparkSession:
     """Build (or reuse) a session with AQE on, UTC dates and no UI.
 
     On a cluster the master and most settings come from spark-submit; the
@@ -31,6 +31,7 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     if master and master.startswith("local"):
         # local mode: the driver JVM is the only executor
         conf["spark.driver.memory"] = "8g"
+    conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
