@@ -53,11 +53,20 @@ def check_complete(recordings: DataFrame, kinds=("mp3", "transcript", "summary")
 
 
 def check_durations(recordings: DataFrame, tol_s: float = 1.0) -> DataFrame:
-    """Q2: WAV and MP3 lengths agree within ``tol_s`` seconds."""
+    """Q2: WAV and MP3 lengths agree within ``tol_s`` seconds.
+
+    The MP3 side is first reduced to one (shortest, longest) row per stem,
+    so the join is many-to-one and never emits all wav x mp3 pairs of a
+    stem; a WAV is flagged when some MP3 of its stem is off by more than
+    ``tol_s``, and the detail is the signed difference of the farthest one
+    (with one MP3 per stem: that MP3's difference)."""
     wav = recordings.where("kind = 'wav'").select("stem", F.col("file").alias("wav"), F.col("duration_s").alias("w"))
-    mp3 = recordings.where("kind = 'mp3'").select("stem", F.col("duration_s").alias("m"))
-    j = wav.join(mp3, "stem").where(F.abs(F.col("w") - F.col("m")) > tol_s)
-    return _issue(j, "wav", "duration_mismatch", fixed(F.col("m") - F.col("w"), 3))
+    mp3 = (recordings.where("kind = 'mp3'").groupBy("stem")
+           .agg(F.min("duration_s").alias("lo"), F.max("duration_s").alias("hi")))
+    w, lo, hi = F.col("w"), F.col("lo"), F.col("hi")
+    j = wav.join(mp3, "stem").where((hi - w > tol_s) | (w - lo > tol_s))
+    far = F.when(hi - w >= w - lo, hi - w).otherwise(lo - w)
+    return _issue(j, "wav", "duration_mismatch", fixed(far, 3))
 
 
 def check_readable(recordings: DataFrame, kinds=("wav", "mp3")) -> DataFrame:

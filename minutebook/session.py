@@ -43,7 +43,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the cluster.
 
     Reads ``spark.checkpoint.dir`` from the session.  Only when it is unset
-    (local runs and tests) a private folder is created and registered.
+    in local mode (local runs and tests) a private folder is created and
+    registered; on a cluster a machine-local folder would be lost with its
+    executor, so an unset folder is an error there.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -52,6 +54,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder on shared storage")
         configured = tempfile.mkdtemp(prefix="minutebook-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

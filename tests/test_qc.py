@@ -34,3 +34,18 @@ def test_fixed_formatting(spark):
     df = spark.createDataFrame([(15.625,), (-1.5,), (0.0,), (2.0,), (-0.004,)], "x double")
     got = [r[0] for r in df.select(qc.fixed("x", 2)).collect()]
     assert got == ["15.62", "-1.50", "0.00", "2.00", "-0.01"]
+
+
+def test_durations_many_files_per_stem(spark):
+    # a stem with several WAVs and MP3s: one issue per WAV (no pair rows),
+    # flagged when some MP3 is off by more than the tolerance
+    wavs = [("h1.wav", "h", "wav", 100.0), ("h2.wav", "h", "wav", 102.0), ("h3.wav", "h", "wav", 101.0)]
+    mp3s = [("h%d.mp3" % i, "h", "mp3", d) for i, d in enumerate([100.5, 101.0, 101.5, 102.5])]
+    rec = spark.createDataFrame(wavs + mp3s + [("k.wav", "k", "wav", None), ("k.mp3", "k", "mp3", 9.0)], REC)
+    got = {r.file: r.detail for r in qc.check_durations(rec, tol_s=1.0).collect()}
+    want = {}
+    for f, _, _, w in wavs:
+        diffs = [m - w for *_, m in mp3s]
+        if any(abs(d) > 1.0 for d in diffs):
+            want[f] = "%.3f" % max(diffs, key=lambda d: (abs(d), d))
+    assert got == want == {"h1.wav": "2.500", "h2.wav": "-1.500", "h3.wav": "1.500"}
