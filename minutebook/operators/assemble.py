@@ -87,10 +87,15 @@ def assemble_transcript(parts: DataFrame, roster: DataFrame | None, meeting: str
     body = p.groupBy(meeting).agg(_ordered_join(meeting, ["_no", part_name], "_t", "\n").alias("_body"))
     if roster is None:
         return body.select(meeting, F.col("_body").alias("transcript"))
-    years = body.select(meeting, folder_year(meeting).alias("year")).where("year IS NOT NULL")
-    members = (roster_for(years, roster.where(F.col("name").isNotNull()), mode=mode)
-               .where(F.col("name").isNotNull())
-               .groupBy(meeting).agg(_ordered_join(meeting, ["row_no"], "name", ROSTER_SEP).alias("_names")))
-    out = body.join(members, meeting, "left")
+    # The member line depends on the year only: build it once per distinct
+    # meeting year and join it to the meetings many-to-one, instead of
+    # pairing every meeting with every roster row of its year.
+    body = body.withColumn("_year", folder_year(meeting))
+    years = body.select(F.col("_year").alias("year")).where("year IS NOT NULL").distinct()
+    lines = (roster_for(years, roster.where(F.col("name").isNotNull()), mode=mode)
+             .where(F.col("name").isNotNull())
+             .groupBy(F.col("year").alias("_year"))
+             .agg(_ordered_join("year", ["row_no"], "name", ROSTER_SEP).alias("_names")))
+    out = body.join(lines, "_year", "left")
     header = F.when(F.col("_names").isNotNull(), F.concat(F.lit(ROSTER_PREFIX), F.col("_names")))
     return out.select(meeting, F.concat_ws("\n", header, F.col("_body")).alias("transcript"))
