@@ -26,11 +26,31 @@ def _iso(s: Column) -> Column:
     return F.try_to_date(s, "yyyy-MM-dd")
 
 
+_BUILT: dict = {}
+
+
+def _once(key, build):
+    """A Column that depends only on column names, built once per JVM.
+
+    Column expressions are immutable and unresolved, so one object can serve
+    every DataFrame; this saves the driver a few hundred gateway calls per
+    query (the big date expressions), which matters for short queries.
+    """
+    from pyspark import SparkContext
+    sc = SparkContext._active_spark_context
+    k = (id(sc._jsc) if sc is not None else None, key)
+    if k not in _BUILT:
+        _BUILT[k] = build()
+    return _BUILT[k]
+
+
 def _month_map() -> Column:
-    items = []
-    for k, v in MONTHS.items():
-        items += [F.lit(k), F.lit(v)]
-    return F.create_map(*items)
+    def build():
+        items = []
+        for k, v in MONTHS.items():
+            items += [F.lit(k), F.lit(v)]
+        return F.create_map(*items)
+    return _once(("month_map",), build)
 
 
 def _valid_date(y: Column, m: Column, d: Column) -> Column:
@@ -177,5 +197,6 @@ def with_page_date(df, text, out: str = "page_date", iso: bool = False):
             guard = guard & (F.instr(t, s_) > 0)
         d = d.withColumn(f"_w{i}", F.when(guard, F.regexp_extract(t, _scan_pattern(i), 0)))
         wcols.append(f"_w{i}")
-    dates = [F.when(F.col(f"_w{i}") != "", _date_from_whole(F.col(f"_w{i}"), i)) for i in _order(iso)]
+    dates = [_once(("page_date", i), lambda i=i: F.when(F.col(f"_w{i}") != "", _date_from_whole(F.col(f"_w{i}"), i)))
+             for i in _order(iso)]
     return d.withColumn(out, F.coalesce(*dates)).drop("_has_year", *wcols)
