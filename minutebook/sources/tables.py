@@ -13,7 +13,22 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
 TEXT_TABLES = {"documents": "doc_id", "conversations": "conv_id", "pages": "page_id"}
 
 
+_OPENED: dict = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One table, opened once per session (like a view registered at start):
+    the file listing, footer read and partition check are not repeated by
+    every query that reads it.  The driver tables do not change while a
+    session runs."""
+    key = (id(spark), sf_dir, name)
+    df = _OPENED.get(key)
+    if df is None or df.sparkSession is not spark:
+        df = _OPENED[key] = _open_table(spark, sf_dir, name)
+    return df
+
+
+def _open_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Read one table; Catalyst prunes columns and pushes filters into the scan.
 
     A text table whose scan yields fewer partitions than the session has
