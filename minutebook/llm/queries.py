@@ -4,11 +4,17 @@ from __future__ import annotations
 from minutebook.llm import op2_token_counts as op2
 from minutebook.llm import op3_packing as op3
 from minutebook.llm import op4_quality as op4
+from minutebook.llm import op5_mixing as op5
+from minutebook.llm import op8_language as op8
 
 QUERIES = {
     "op2_token_counts": op2.op2_token_counts,
     "op3_packing": op3.op3_packing,
     "op4_quality": op4.op4_quality,
+    "op5_mixing": op5.op5_mixing,
+    "op8_language": op8.op8_language,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op5_mixing": op5.ORACLE,
+}
