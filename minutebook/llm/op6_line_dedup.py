@@ -95,7 +95,7 @@ def _parity(hashes: Column, shift: int) -> Column:
 
 
 def distinct_lines(docs: DataFrame) -> DataFrame:
-    """Lines with equal word sets as one row at their first position (written): pos, n, s1, s2, prefix."""
+    """Lines with equal word sets as one row at their first position (written): id, doc_id, line_no, n, s1, s2, prefix."""
     hashed = _lines(docs)
     classes = rarity_classes(hashed.select(F.explode("h").alias("h")))
     keyed = hashed.withColumn("keys", _keys(F.col("h"), classes))
@@ -106,11 +106,14 @@ def distinct_lines(docs: DataFrame) -> DataFrame:
         F.transform(F.slice("keys", F.lit(1), _prefix_size(n)), lambda k: F.hash(k)).alias("prefix"))
     one = rows.groupBy("k1", "k2").agg(F.min("pos").alias("pos"), F.first("n").alias("n"), F.first("s1").alias("s1"),
                                        F.first("s2").alias("s2"), F.first("prefix").alias("prefix"))
-    return saved(one.select("pos.doc_id", "pos.line_no", "n", "s1", "s2", "prefix"), "lines")
+    return saved(one.select(F.monotonically_increasing_id().alias("id"), "pos.doc_id", "pos.line_no", "n", "s1", "s2", "prefix"),
+                 "lines")
 
 
 def _index(lines: DataFrame) -> DataFrame:
-    return lines.select("doc_id", "line_no", "n", "s1", "s2", F.posexplode("prefix").alias("i", "word"))
+    """One narrow row for each prefix word; ``ni`` holds the line's size and the word's place."""
+    words = lines.select("id", "n", "s1", "s2", F.posexplode("prefix").alias("i", "word"))
+    return words.select("word", "id", F.shiftleft(F.col("n").cast("long"), 32).bitwiseOR(F.col("i").cast("long")).alias("ni"), "s1", "s2")
 
 
 def _as(df: DataFrame, mark: str) -> DataFrame:
@@ -126,8 +129,9 @@ def _earlier(a: str, b: str) -> Column:
 
 def _may_match(a: str, b: str) -> Column:
     """Length, positional and sketch filters at the first word that two lines share."""
-    na, nb = F.col(f"{a}_n"), F.col(f"{b}_n")
-    rest = F.least(na - F.col(f"{a}_i"), nb - F.col(f"{b}_i"))  # this word and those after it
+    na, nb = (F.shiftright(F.col(f"{x}_ni"), 32) for x in (a, b))
+    ia, ib = (F.col(f"{x}_ni").bitwiseAND(F.lit((1 << 32) - 1)) for x in (a, b))
+    rest = F.least(na - ia, nb - ib)  # this word and those after it
     differ = (F.bit_count(F.col(f"{a}_s1").bitwiseXOR(F.col(f"{b}_s1")))
               + F.bit_count(F.col(f"{a}_s2").bitwiseXOR(F.col(f"{b}_s2"))))
     both = na + nb
@@ -150,8 +154,9 @@ def near_repeats(docs: DataFrame, lines: DataFrame) -> DataFrame:
     """Positions of distinct lines that are similar to an earlier distinct line (written)."""
     index = _index(lines)
     a, b = _as(index, "a"), _as(index, "b")
-    other = ~(F.col("a_doc_id").eqNullSafe(F.col("b_doc_id")) & (F.col("a_line_no") == F.col("b_line_no")))
-    flagged = saved(b.join(a, (F.col("a_word") == F.col("b_word")) & other & _may_match("a", "b"), "left_semi"), "line-flags")
+    matched = b.join(a, (F.col("a_word") == F.col("b_word")) & (F.col("a_id") != F.col("b_id")) & _may_match("a", "b"), "left_semi")
+    at = lines.select("id", F.col("doc_id").alias("b_doc_id"), F.col("line_no").alias("b_line_no"))
+    flagged = saved(matched.join(at, F.col("b_id") == F.col("id")).drop("id"), "line-flags")
     wanted = (flagged.select(F.col("b_doc_id").alias("d"), F.col("b_line_no").alias("l")).distinct()
               .groupBy("d").agg(F.collect_list("l").alias("wanted")))
     here = docs.select("doc_id", "text").join(wanted, F.col("doc_id").eqNullSafe(F.col("d")))
@@ -160,9 +165,9 @@ def near_repeats(docs: DataFrame, lines: DataFrame) -> DataFrame:
     sets = saved(here.withColumn("lines", lines_here).select("doc_id", F.inline(picked).alias("line_no", "h"))
                  .filter(F.size("h") >= MIN_TOKENS).dropDuplicates(["doc_id", "line_no"]), "line-sets")
     # the earliest line under each word
-    first = flagged.groupBy("b_word").agg(F.min(F.struct("b_doc_id", "b_line_no", "b_n", "b_i", "b_s1", "b_s2")).alias("f"))
+    first = flagged.groupBy("b_word").agg(F.min(F.struct("b_doc_id", "b_line_no", "b_ni", "b_s1", "b_s2")).alias("f"))
     lead = first.select(F.col("b_word").alias("a_word"), *[F.col(f"f.b_{c}").alias(f"a_{c}") for c in
-                                                          ("doc_id", "line_no", "n", "i", "s1", "s2")])
+                                                          ("doc_id", "line_no", "ni", "s1", "s2")])
     pairs = (flagged.join(lead, F.col("a_word") == F.col("b_word")).filter(_earlier("a", "b") & _may_match("a", "b"))
              .select("a_doc_id", "a_line_no", "b_doc_id", "b_line_no").distinct())
     decided = saved(_verified(pairs, sets), "line-near")
