@@ -5,7 +5,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import folder_year, part_no
-from ..functions.patterns import MARKER_LENGTH, MAX_CHARS, PAGE_MARKER, ROSTER_PREFIX, ROSTER_SEP
+from ..functions.patterns import MARKER_LENGTH, PAGE_MARKER, ROSTER_PREFIX, ROSTER_SEP
 from ..functions.text import clean_text, strip, truncate_text
 
 
@@ -20,12 +20,12 @@ def _ordered_join(key_col: str, order_cols: list[str], value: str, sep: str) ->
 
 
 def assemble_text(pdf_pages: DataFrame, path: str = "path", clean: bool = True,
-                  max_chars: int | None = MAX_CHARS) -> DataFrame:
+                  max_chars: int | None = None) -> DataFrame:
     """A2 (with P17): the text of a PDF from its page rows.
 
     Non-blank pages become ``\\n--- Page n ---\\n`` + text + ``\\n`` (n counts
-    all pages from 1), in page order; then clean-up (P10) and the first cut
-    (P11).  A file whose pages are all blank gives ``""``.
+    all pages from 1), in page order; then clean-up (P10) and, if ``max_chars``
+    is given, the first cut (P11).  A file whose pages are all blank gives ``""``.
     """
     marker_pre, marker_post = PAGE_MARKER.split("{n}")
     piece = F.when(strip("text") != "", F.concat(

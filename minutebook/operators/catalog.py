@@ -86,11 +86,13 @@ def best_version(files: DataFrame, name: str = "name", parent: str = "parent",
 
 def best_candidate(cands: DataFrame, key: str = "path") -> DataFrame:
     """Per page the longest stripped candidate text, earliest config on
-    ties (a hash aggregate with partial combine, no sort)."""
+    ties (a hash aggregate with partial combine, no sort); ``""`` when every
+    candidate is blank."""
     score = F.struct(F.length(strip("text")).alias("n"), (-F.col("config_rank")).alias("r"))
     return cands.groupBy(key).agg(
         F.max_by(F.struct("config_rank", "text"), score).alias("_b")
-    ).select(key, F.col("_b.config_rank").alias("config_rank"), F.col("_b.text").alias("text"))
+    ).select(key, F.col("_b.config_rank").alias("config_rank"),
+             F.when(strip("_b.text") == "", F.lit("")).otherwise(F.col("_b.text")).alias("text"))
 
 
 def pending(inputs: DataFrame, done: DataFrame, key: str | list[str]) -> DataFrame:

@@ -86,7 +86,8 @@ def run_model(requests: DataFrame, make_client: Callable[[], Callable[[str, str
               source_text: str = "source_text",
               retry_template: str | None = None, date: str | None = None,
               retry_chars: int = RETRY_CHARS, partitions: int | None = None,
-              pause_s: float = 0.0) -> DataFrame:
+              pause_s: float = 0.0, settings: tuple[str, ...] = (),
+              retry_settings: dict | None = None) -> DataFrame:
     """Call the model once per request row.
 
     ``make_client()`` runs once per partition and returns ``call(prompt,
@@ -97,13 +98,16 @@ def run_model(requests: DataFrame, make_client: Callable[[], Callable[[str, str
     gives status ``error``.  ``partitions``
     bounds how many calls run at once and ``pause_s`` spaces the calls of
     one task (a service rate limit: at most ``partitions / pause_s`` calls
-    per second overall).  Persist the result (``checkpoint`` or
+    per second overall).  ``settings`` names request columns (model,
+    temperature, ...) that go to the client as keyword arguments of the call;
+    ``retry_settings`` replaces some of them for the retry.  Persist the result (``checkpoint`` or
     a written table) before using it twice, so no call is repeated.
     """
     ship_package(requests.sparkSession)
     out_schema = ", ".join([f"`{k}` {requests.schema[k].dataType.simpleString()}" for k in keys]
                            + ["status string", "content string", "error string"])
     cols = keys + [prompt, user_text, source_text] + ([date] if date and date not in keys else [])
+    cols += [c for c in settings if c not in cols]
     req = requests.select(*cols)
     if partitions:
         req = req.repartition(partitions, *keys)
@@ -112,26 +116,27 @@ def run_model(requests: DataFrame, make_client: Callable[[], Callable[[str, str
         import time
         client = make_client()
 
-        def call(p, u):
+        def call(p, u, given):
             if pause_s:
                 time.sleep(pause_s)
-            return client(p, u)
+            return client(p, u, **given)
         for pdf in batches:
             status, content, error = [], [], []
             dates = pdf[date] if date else [None] * len(pdf)
-            for p, u, s, d in zip(pdf[prompt], pdf[user_text], pdf[source_text], dates):
+            given = [dict(zip(settings, row)) for row in zip(*[pdf[c] for c in settings])] if settings else [{}] * len(pdf)
+            for p, u, s, d, g in zip(pdf[prompt], pdf[user_text], pdf[source_text], dates, given):
                 s = "" if s is None else s
                 if not s.strip():
                     status.append("blank"), content.append(None), error.append(None)
                     continue
                 try:
-                    content.append(call(p, u)), status.append("ok"), error.append(None)
+                    content.append(call(p, u, g)), status.append("ok"), error.append(None)
                 except Exception as e:  # noqa: BLE001 - any failure becomes a status
                     msg = str(e)
                     if retry_template is not None and any(k in msg for k in CONTEXT_ERRORS):
                         retry = retry_template.replace("{date}", str(d)).replace("{text}", s[:retry_chars])
                         try:
-                            content.append(call(retry, None))
+                            content.append(call(retry, None, {**g, **(retry_settings or {})}))
                             status.append("ok"), error.append(None)
                         except Exception as e2:  # noqa: BLE001
                             status.append("too_long"), content.append(None), error.append(str(e2))
@@ -146,10 +151,15 @@ def run_model(requests: DataFrame, make_client: Callable[[], Callable[[str, str
 
 def fuse(responses: DataFrame, doc: str = "doc", order: str = "chunk_no", content: str = "content",
          sep: str = SEP_STRICT_FUSE) -> DataFrame:
-    """A5: the partial replies of a document in order, joined by ``sep``."""
+    """A5: the partial replies of a document in order, joined by ``sep``.
+
+    ``n_failed`` counts partials without a reply; if there is any, ``fused``
+    is null, so an incomplete text never passes for a whole one.
+    """
     st = F.struct(F.col(order), F.col(content).alias("_v"))
-    return responses.groupBy(doc).agg(
-        F.array_join(F.transform(F.sort_array(F.collect_list(st)), lambda x: x["_v"]), sep).alias("fused"))
+    joined = F.array_join(F.transform(F.sort_array(F.collect_list(st)), lambda x: x["_v"]), sep)
+    failed = F.count_if(F.col(content).isNull())
+    return responses.groupBy(doc).agg(F.when(failed == 0, joined).alias("fused"), failed.alias("n_failed"))
 
 
 def attach_responses(requests: DataFrame, responses: DataFrame, keys: list[str]) -> DataFrame:

@@ -70,10 +70,11 @@ DECISION_SCHEMA = T.ArrayType(T.StructType([
 
 def parse_decisions(df: DataFrame, doc: str = "doc", content: str = "content") -> DataFrame:
     """R2: one row per record of a JSON array reply.  Invalid JSON, a fenced
-    reply or anything that is not an array gives no row: ``from_json`` alone
-    would wrap a bare object into a one-element array, so the reply must
-    start with ``[``."""
-    arr = F.when(F.col(content).rlike(f"^{WS_CLASS}*\\["), F.from_json(content, DECISION_SCHEMA))
+    reply, single quotes, text after the array or anything that is not an
+    array gives no row: ``from_json`` alone would wrap a bare object into a
+    one-element array and stop reading at the closing bracket."""
+    whole = F.col(content).rlike(f"(?s)^{WS_CLASS}*\\[.*\\]{WS_CLASS}*$")
+    arr = F.when(whole, F.from_json(content, DECISION_SCHEMA, {"allowSingleQuotes": "false"}))
     return df.select(doc, F.posexplode(arr).alias("idx", "d")).select(
         doc, "idx", "d.motion", "d.result", "d.yes", "d.no")
 

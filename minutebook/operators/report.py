@@ -13,7 +13,9 @@ ATTENDEE_FIELDS = ["Category_1", "Category_2", "Name_1", "Name_2", "Title/Role"]
 # accepted attendee date formats, each with the shape a string must have to
 # be tried with it (a failed parse is costly, and strict formats of another
 # shape can never succeed)
-ACCEPTED_DATE_FORMATS = (("yyyy-MM-dd", "^[0-9]{4}-"), ("MM/dd/yyyy", "^[0-9]{2}/"))
+ACCEPTED_DATE_FORMATS = (("yyyy-MM-dd", "^[0-9]{4}-[0-9-]*$"), ("M/d/yyyy", "^[0-9]{1,2}/[0-9/]*$"),
+                         ("yyyy-MM-dd HH:mm:ss", "^[0-9]{4}-[0-9-]+ "), ("MMMM d, yyyy", "^[A-Z][a-z]{3,} [0-9]"),
+                         ("MMM d, yyyy", "^[A-Z][a-z]{2} [0-9]"))
 JSON_KEEP_NULLS = {"ignoreNullFields": "false"}
 
 
@@ -85,13 +87,17 @@ def organization_report(assigned: DataFrame, part_by: str = "collection") -> Dat
     """A4: files per meeting, and per collection and overall: meetings found,
     unassigned files and meeting starts (``level`` 0 = meeting row, 1 =
     collection total, 3 = grand total)."""
-    key = F.col("meeting_key")
-    return assigned.rollup(part_by, "meeting_key").agg(
+    # one row per meeting first, so that only that small table is rolled up; a meeting
+    # belongs to its collection, so equal dates of two collections are two meetings
+    meetings = assigned.groupBy(part_by, "meeting_key").agg(
+        F.count(F.lit(1)).alias("_n"), F.count("start_date").alias("_s")).withColumn("_k", F.col("meeting_key"))
+    dated = F.col("_k") != UNASSIGNED
+    return meetings.rollup(part_by, "meeting_key").agg(
         F.grouping_id().cast("int").alias("level"),
-        F.count(F.lit(1)).alias("n_files"),
-        F.count("start_date").alias("n_starts"),
-        F.countDistinct(F.when(key != UNASSIGNED, key)).alias("n_meetings"),
-        F.count_if(key == UNASSIGNED).alias("n_unassigned"))
+        F.sum("_n").alias("n_files"),
+        F.sum("_s").alias("n_starts"),
+        F.count_if(dated).alias("n_meetings"),
+        F.coalesce(F.sum(F.when(~dated, F.col("_n"))), F.lit(0)).alias("n_unassigned"))
 
 
 def meeting_manifest(numbered: DataFrame, part_by: str = "collection", name: str = "page_name") -> DataFrame:

@@ -102,13 +102,14 @@ def assign_meetings_bucketed(pages: DataFrame, part_by="collection", bucket="buc
 def page_evidence(pages: DataFrame, part_by="collection", order_by="page_name",
                   first_n: int = 10, indicators=EVIDENCE_INDICATORS, text: str = "text") -> DataFrame:
     """P5: for the first ``first_n`` pages of each collection, the start flag,
-    the parsed date and one row per indicator with its presence."""
+    the parsed date of a start (a page that is none has no date) and one row
+    per indicator with its presence."""
     w = Window.partitionBy(part_by).orderBy(order_by)
     first = (pages.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= first_n)
              .drop("_rn"))
     c = classify_pages(first, text)
     ind = F.explode(F.array(*[F.lit(i) for i in indicators])).alias("indicator")
-    c = c.select(part_by, order_by, "is_start", "page_date", upper_text(text).alias("_up"), ind)
+    c = c.select(part_by, order_by, "is_start", F.col("start_date").alias("page_date"), upper_text(text).alias("_up"), ind)
     return c.select(part_by, order_by, "is_start", "page_date", "indicator",
                     (F.instr("_up", F.col("indicator")) > 0).alias("present"))
 

@@ -16,7 +16,7 @@ def long_date(d: str) -> str:
     return f"upper(strftime({d}, '%B %-d, %Y'))"
 
 
-PAGE_NAME = "lpad(CAST(doc_id AS VARCHAR), 8, '0') || '.jpg'"
+PAGE_NAME = "printf('%08d', doc_id) || '.jpg'"
 
 VIEWS: dict[str, str] = {}
 
@@ -101,7 +101,7 @@ _meeting = ("'boe_meeting_' || strftime(" + day("conv_id * 37") + ", '%Y-%m-%d')
 VIEWS["v_parts"] = f"""
 SELECT {_meeting} AS meeting,
        {_meeting} || CASE WHEN (conv_id + turn) % 7 = 3 THEN '_PART_' ELSE '_part_' END
-           || lpad(CAST(turn AS VARCHAR), 3, '0') AS part_name,
+           || printf('%03d', turn) AS part_name,
        text
 FROM conversations"""
 

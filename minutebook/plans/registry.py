@@ -106,7 +106,7 @@ _IND = ", ".join(Q.lit(i) for i in segment.EVIDENCE_INDICATORS)
 
 
 @register("p5_page_evidence", with_views(f"""
-SELECT collection, page_name, is_start, page_date, indicator, contains(upper(text), indicator) AS present
+SELECT collection, page_name, is_start, start_date AS page_date, indicator, contains(upper(text), indicator) AS present
 FROM (SELECT *, row_number() OVER (PARTITION BY collection ORDER BY page_name) AS rn FROM ({_PAGES_CLASSIFIED})),
      (SELECT unnest([{_IND}]) AS indicator) i
 WHERE rn <= 10""", "v_pages"))
@@ -225,7 +225,7 @@ def w3_best_version(spark, sf):
 
 
 @register("w4_best_candidate", with_views(f"""
-SELECT path, config_rank, text FROM (
+SELECT path, config_rank, CASE WHEN length({Q.strip('text')}) = 0 THEN '' ELSE text END AS text FROM (
   SELECT *, row_number() OVER (PARTITION BY path ORDER BY length({Q.strip('text')}) DESC, config_rank) AS rn
   FROM v_candidates) WHERE rn = 1""", "v_candidates"))
 def w4_best_candidate(spark, sf):
@@ -307,7 +307,7 @@ def p14_minutes(spark, sf):
 _PIECE = (f"CASE WHEN {Q.strip('text')} <> '' THEN chr(10) || '--- Page ' || CAST(page_no AS VARCHAR) || ' ---' "
           "|| chr(10) || text || chr(10) END")
 _A2_SQL = f"""
-SELECT path, {Q.truncate(Q.clean_text('raw'), MAX_CHARS, MARKER_LENGTH)} AS text FROM (
+SELECT path, {Q.clean_text('raw')} AS text FROM (
   SELECT path, coalesce(string_agg({_PIECE}, '' ORDER BY page_no), '') AS raw FROM v_pdf_pages GROUP BY path)"""
 
 
@@ -392,7 +392,7 @@ def c2_paragraph_chunks(spark, sf):
 @register("c3_segment_plan", with_views("""
 SELECT stem, CAST(i AS INTEGER) AS part_no, CAST(i * 1800 AS DOUBLE) AS start_s,
        least(CAST((i + 1) * 1800 AS DOUBLE), duration_s) AS end_s,
-       stem || '_part_' || lpad(CAST(i AS VARCHAR), 3, '0') || '.wav' AS part_file
+       stem || '_part_' || printf('%03d', i) || '.wav' AS part_file
 FROM (SELECT stem, duration_s, unnest(range(0, CAST(ceil(duration_s / 1800.0) AS BIGINT))) AS i
       FROM v_recordings WHERE kind = 'wav' AND duration_s > 0)""", "v_recordings"))
 def c3_segment_plan(spark, sf):
@@ -493,8 +493,7 @@ def r2_parse_decisions(spark, sf):
 # Summary requests over the documents: text cut for the prompt, dated by doc_id.
 def _doc_requests(spark, sf):
     d = V.v_texts(spark, sf).select(
-        "doc_id", T.truncate_for_prompt("text").alias("text"),
-        F.date_format(V.day(F.col("doc_id")), "yyyy-MM-dd").alias("date"))
+        "doc_id", "text", F.date_format(V.day(F.col("doc_id")), "yyyy-MM-dd").alias("date"))
     return model.build_requests(d, "structured_summary", text="text", date="date", keys=["doc_id", "date"])
 
 
@@ -502,7 +501,7 @@ _DOC_REQ_SQL = f"""
 SELECT doc_id, dt AS date, 'structured_summary' AS stage, 'gpt-3.5-turbo-16k' AS model, CAST(0.2 AS DOUBLE) AS temperature,
        {sql_fill(STRUCTURED_SUMMARY, 't', 'dt')} AS prompt, t AS source_text,
        {sql_fill(SHORT_SUMMARY, 'left(t, 8000)', 'dt')} AS retry_prompt
-FROM (SELECT doc_id, {Q.truncate_for_prompt('text')} AS t,
+FROM (SELECT doc_id, text AS t,
              strftime({'(DATE ' + chr(39) + '1970-01-01' + chr(39) + ' + CAST(doc_id AS INTEGER))'}, '%Y-%m-%d') AS dt
       FROM v_texts)"""
 
@@ -514,7 +513,7 @@ def u1_build_requests(spark, sf):
 
 
 def _run_stub(req, keys, retry=True, date="date"):
-    return model.run_model(req, stub_model.make_stub_client, keys=keys,
+    return model.run_model(req, stub_model.make_stub_client, keys=keys, settings=tuple(c for c in ("model", "temperature") if c in req.columns),
                            retry_template=SHORT_SUMMARY if retry else None, date=date if retry else None)
 
 
@@ -578,7 +577,7 @@ def j4_attach_responses(spark, sf):
 
 
 @register("a5_fuse", with_views(f"""
-SELECT doc_id, string_agg(text, chr(10) || chr(10) || '---' || chr(10) || chr(10) ORDER BY chunk_no) AS fused
+SELECT doc_id, string_agg(text, chr(10) || chr(10) || '---' || chr(10) || chr(10) ORDER BY chunk_no) AS fused, CAST(0 AS BIGINT) AS n_failed
 FROM ({_c1_body(300)}) GROUP BY doc_id""", "v_texts"))
 def a5_fuse(spark, sf):
     chunks = chunk.token_chunks(V.v_texts(spark, sf), 300)
@@ -591,8 +590,8 @@ def a5_fuse(spark, sf):
 def _best_with_text(spark, sf):
     best = catalog.best_version(V.v_files(spark, sf)).select("date_key", "path", "name")
     txt = V.v_file_text(spark, sf).select("path", "text")
-    ext = T.truncate_text(T.clean_text("text"), MAX_CHARS, MARKER_LENGTH)
-    return best.join(txt, "path").select(
+    ext = F.coalesce(T.clean_text("text"), F.lit(""))  # a file without text stays and counts as failed
+    return best.join(txt, "path", "left").select(
         F.date_format("date_key", "yyyy-MM-dd").alias("date"), "path", "name", ext.alias("text"))
 
 
@@ -601,7 +600,7 @@ def _summary_run(spark, sf):
     checkpoint_dir(spark)
     b = _best_with_text(spark, sf)
     req = model.build_requests(
-        b.select("date", "path", "name", T.truncate_text("text", MAX_PROMPT_CHARS, MARKER_LONGER).alias("text")),
+        b.select("date", "path", "name", "text"),
         "structured_summary", text="text", date="date", keys=["path", "name", "date"])
     return _run_stub(req, ["path", "name", "date"]).checkpoint(eager=True)
 
@@ -632,9 +631,8 @@ SELECT path, name, dt AS date, {stub_model.sql_call('prompt', None, 'src', 'retr
 FROM (SELECT path, name, dt, t AS src, {sql_fill(STRUCTURED_SUMMARY, 't', 'dt')} AS prompt,
              {sql_fill(SHORT_SUMMARY, 'left(t, 8000)', 'dt')} AS retry_prompt
       FROM (SELECT b.path, b.name, strftime(b.date_key, '%Y-%m-%d') AS dt,
-                   {Q.truncate(Q.truncate(Q.clean_text('x.text'), MAX_CHARS, MARKER_LENGTH), MAX_PROMPT_CHARS,
-                               MARKER_LONGER)} AS t
-            FROM ({_BEST_SQL}) b JOIN v_file_text x ON b.path = x.path))"""
+                   coalesce({Q.clean_text('x.text')}, '') AS t
+            FROM ({_BEST_SQL}) b LEFT JOIN v_file_text x ON b.path = x.path))"""
 _PH = {k: v for k, v in parse.PLACEHOLDERS.items()}
 
 
@@ -681,9 +679,9 @@ def a8_summary_run_stats(spark, sf):
 _A4_SQL = f"""
 SELECT collection, meeting_key, CAST(GROUPING(collection, meeting_key) AS INTEGER) AS level,
        CAST(count(*) AS BIGINT) AS n_files, CAST(count(start_date) AS BIGINT) AS n_starts,
-       CAST(count(DISTINCT CASE WHEN meeting_key <> 'unassigned' THEN meeting_key END) AS BIGINT) AS n_meetings,
+       CAST(count(DISTINCT CASE WHEN meeting_key <> 'unassigned' THEN coll || '/' || meeting_key END) AS BIGINT) AS n_meetings,
        CAST(count_if(meeting_key = 'unassigned') AS BIGINT) AS n_unassigned
-FROM (SELECT *, last_value(start_date IGNORE NULLS) OVER (PARTITION BY collection ORDER BY page_name
+FROM (SELECT *, collection AS coll, last_value(start_date IGNORE NULLS) OVER (PARTITION BY collection ORDER BY page_name
         ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS md FROM ({_PAGES_CLASSIFIED})) x,
      LATERAL (SELECT {Q.meeting_key('md')} AS meeting_key)
 GROUP BY ROLLUP (collection, meeting_key)"""

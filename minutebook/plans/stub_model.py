@@ -14,7 +14,7 @@ LIMIT = 8200
 
 
 def make_stub_client():
-    def call(prompt: str, user: str | None) -> str:
+    def call(prompt: str, user: str | None, **settings) -> str:
         full = prompt + (user or "")
         n = len(full)
         if n > LIMIT:

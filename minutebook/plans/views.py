@@ -26,7 +26,7 @@ def long_date(d: Column) -> Column:
 
 
 def _page_name(doc_id: Column) -> Column:
-    return F.concat(F.lpad(doc_id.cast("string"), 8, "0"), F.lit(".jpg"))
+    return F.concat(F.format_string("%08d", doc_id.cast("long")), F.lit(".jpg"))
 
 
 def v_pages(spark: SparkSession, sf: str) -> DataFrame:
@@ -165,7 +165,7 @@ def v_parts(spark: SparkSession, sf: str) -> DataFrame:
     tag = F.when((F.col("conv_id") + F.col("turn")) % 7 == 3, F.lit("_PART_")).otherwise(F.lit("_part_"))
     return c.select(
         meeting.alias("meeting"),
-        F.concat(meeting, tag, F.lpad(F.col("turn").cast("string"), 3, "0")).alias("part_name"),
+        F.concat(meeting, tag, F.format_string("%03d", F.col("turn").cast("long"))).alias("part_name"),
         "text")
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 import os
 import tempfile
 
+from pyspark import SparkConf
 from pyspark.sql import SparkSession
 
 
@@ -31,6 +32,9 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     if master and master.startswith("local"):
         # local mode: the driver JVM is the only executor
         conf["spark.driver.memory"] = "8g"
+    # under spark-submit the submitted settings are known already and stay as they are
+    given = SparkConf() if "PYSPARK_GATEWAY_PORT" in os.environ else None
+    conf = {k: v for k, v in conf.items() if given is None or not given.contains(k)}
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)

@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 from pyspark.sql import types as T
 
 from ..functions.patterns import IMAGE_EXTENSIONS
@@ -64,9 +65,11 @@ def append_index(df: DataFrame, path: str, key: str = "file") -> DataFrame:
     """Append index rows not yet present (anti join on ``key``), so a
     re-run adds nothing twice.  Returns the rows that were appended."""
     spark = df.sparkSession
-    new = df
+    # one row per key, also inside a batch: the first by all columns
+    w = Window.partitionBy(key).orderBy(*[F.col(f"`{c}`") for c in df.columns])
+    new = df.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
     if _exists(spark, path):
-        new = df.join(spark.read.parquet(path).select(key), key, "left_anti")
+        new = new.join(spark.read.parquet(path).select(key), key, "left_anti")
     new.write.mode("append").parquet(path)
     return new
 
@@ -90,8 +93,3 @@ def _exists(spark: SparkSession, path: str) -> bool:
     p = jvm.org.apache.hadoop.fs.Path(path)
     fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     return fs.exists(p)
-
-
-def local_path(p: str) -> str:
-    return p[len("file:"):] if p.startswith("file:") else p
-

@@ -8,48 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
 
-# Tables whose rows feed per-row work (long text, JSON, date parsing) or a
-# group-by on their key: they must be spread over all task slots.  Key = the
-# column to hash-partition on; for orders and lineitem it is also the key
-# the views group by, so that group-by needs no second exchange.
-SPREAD_TABLES = {"documents": "doc_id", "conversations": "conv_id", "pages": "page_id",
-                 "orders": "o_orderkey", "lineitem": "l_orderkey", "events": "event_id"}
-
-
-_OPENED: dict = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One table, opened once per session (like a view registered at start):
-    the file listing, footer read and partition check are not repeated by
-    every query that reads it.  The driver tables do not change while a
-    session runs."""
-    key = (id(spark), sf_dir, name)
-    df = _OPENED.get(key)
-    if df is None or df.sparkSession is not spark:
-        df = _OPENED[key] = _open_table(spark, sf_dir, name)
-    return df
-
-
-def _open_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Read one table; Catalyst prunes columns and pushes filters into the scan.
-
-    A table of SPREAD_TABLES whose scan yields fewer partitions than the session has
-    task slots (a small input, or a file written as one row group) is
-    hash-partitioned on its key over the slots.  Large inputs are left as
-    scanned: their splits already keep every slot busy, and a shuffle would
-    only add cost.
-    """
+    """One table, as it is scanned; Catalyst prunes columns and pushes filters into the scan."""
     if name not in TABLES:
         raise ValueError(f"unknown table {name}")
-    df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
-    key = SPREAD_TABLES.get(name)
-    if key:
-        try:
-            slots = spark.sparkContext.defaultParallelism
-            scanned = df.rdd.getNumPartitions()
-        except Exception:  # noqa: BLE001 - e.g. a Connect session: keep the scan as is
-            return df
-        if scanned < slots:
-            df = df.repartition(slots, key)
-    return df
+    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))

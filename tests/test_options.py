@@ -43,13 +43,6 @@ def test_run_model_bounded_partitions(spark):
     assert out.rdd.getNumPartitions() == 3 and out.where("content = 'p!'").count() == 20
 
 
-def test_check_terms_size_guard(spark):
-    docs = spark.createDataFrame([(1, "a b")], "doc_id int, text string")
-    terms = spark.createDataFrame([("a",), ("c",), ("d",)], "term string")
-    with pytest.raises(Exception, match="term list too large"):
-        qc.check_terms(docs, terms, max_terms=2).collect()
-
-
 def test_stream_in_bounded_batches(spark, tmpdir_path):
     rows = spark.createDataFrame([("f%d.wav" % i, "s_1970-01-0%d" % (i + 1), 60.0 * i, "a b c") for i in range(4)],
                                  "file string, stem string, duration_s double, transcript string")

@@ -5,7 +5,7 @@ import math
 import duckdb
 import pytest
 
-import __spark_entry__ as E
+from minutebook.plans.registry import ORACLE, QUERIES
 from minutebook.sources.tables import TABLES
 
 from .conftest import SF_SMALL
@@ -42,11 +42,11 @@ SPARK_TO_DUCK = {"StringType()": "VARCHAR", "LongType()": "BIGINT", "IntegerType
                  "DoubleType()": "DOUBLE", "DateType()": "DATE", "BooleanType()": "BOOLEAN"}
 
 
-@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLE))
 def test_matches_oracle(spark, con, name):
-    df = E.queries()[name](spark, SF_SMALL)
+    df = QUERIES[name](spark, SF_SMALL)
     got = rows(df.columns, [tuple(r) for r in df.collect()])
-    rel = con.sql(E.oracle_sql()[name])
+    rel = con.sql(ORACLE[name])
     types = {c: str(t) for c, t in zip(rel.columns, rel.types)}
     want = rows(rel.columns, rel.fetchall())
     assert {f.name: SPARK_TO_DUCK.get(str(f.dataType), str(f.dataType)) for f in df.schema.fields} == types
@@ -54,7 +54,7 @@ def test_matches_oracle(spark, con, name):
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
 
 
 def test_entry_returns_rows(spark):
