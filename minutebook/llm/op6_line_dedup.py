@@ -116,10 +116,6 @@ def _index(lines: DataFrame) -> DataFrame:
     return words.select("word", "id", F.shiftleft(F.col("n").cast("long"), 32).bitwiseOR(F.col("i").cast("long")).alias("ni"), "s1", "s2")
 
 
-def _as(df: DataFrame, mark: str) -> DataFrame:
-    return df.select(*[F.col(c).alias(f"{mark}_{c}") for c in df.columns])
-
-
 def _earlier(a: str, b: str) -> Column:
     """Position a before position b (rows without doc_id first)."""
     return (F.coalesce(F.col(f"{a}_doc_id") < F.col(f"{b}_doc_id"), F.lit(False))
@@ -128,12 +124,12 @@ def _earlier(a: str, b: str) -> Column:
 
 
 def _may_match(a: str, b: str) -> Column:
-    """Length, positional and sketch filters at the first word that two lines share."""
-    na, nb = (F.shiftright(F.col(f"{x}_ni"), 32) for x in (a, b))
-    ia, ib = (F.col(f"{x}_ni").bitwiseAND(F.lit((1 << 32) - 1)) for x in (a, b))
+    """Length, positional and sketch filters at the first word that two lines share; ``a`` and ``b`` begin the column names."""
+    na, nb = (F.shiftright(F.col(f"{x}ni"), 32) for x in (a, b))
+    ia, ib = (F.col(f"{x}ni").bitwiseAND(F.lit((1 << 32) - 1)) for x in (a, b))
     rest = F.least(na - ia, nb - ib)  # this word and those after it
-    differ = (F.bit_count(F.col(f"{a}_s1").bitwiseXOR(F.col(f"{b}_s1")))
-              + F.bit_count(F.col(f"{a}_s2").bitwiseXOR(F.col(f"{b}_s2"))))
+    differ = (F.bit_count(F.col(f"{a}s1").bitwiseXOR(F.col(f"{b}s1")))
+              + F.bit_count(F.col(f"{a}s2").bitwiseXOR(F.col(f"{b}s2"))))
     both = na + nb
     return ((na * DEN >= nb * NUM) & (nb * DEN >= na * NUM) & (rest * (NUM + DEN) >= both * NUM)
             & (differ * (NUM + DEN) <= 2 * (both * (NUM + DEN) - 2 * both * NUM)))
@@ -153,8 +149,10 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 def near_repeats(docs: DataFrame, lines: DataFrame) -> DataFrame:
     """Positions of distinct lines that are similar to an earlier distinct line (written)."""
     index = _index(lines)
-    a, b = _as(index, "a"), _as(index, "b")
-    matched = b.join(a, (F.col("a_word") == F.col("b_word")) & (F.col("a_id") != F.col("b_id")) & _may_match("a", "b"), "left_semi")
+    # both sides under the same column names, so that the index is shuffled once and read by both
+    matched = index.alias("b").join(index.alias("a"), (F.col("a.word") == F.col("b.word")) & (F.col("a.id") != F.col("b.id"))
+                                    & _may_match("a.", "b."), "left_semi")
+    matched = matched.select(*[F.col(c).alias(f"b_{c}") for c in index.columns])
     at = lines.select("id", F.col("doc_id").alias("b_doc_id"), F.col("line_no").alias("b_line_no"))
     flagged = saved(matched.join(at, F.col("b_id") == F.col("id")).drop("id"), "line-flags")
     wanted = (flagged.select(F.col("b_doc_id").alias("d"), F.col("b_line_no").alias("l")).distinct()
@@ -168,14 +166,14 @@ def near_repeats(docs: DataFrame, lines: DataFrame) -> DataFrame:
     first = flagged.groupBy("b_word").agg(F.min(F.struct("b_doc_id", "b_line_no", "b_ni", "b_s1", "b_s2")).alias("f"))
     lead = first.select(F.col("b_word").alias("a_word"), *[F.col(f"f.b_{c}").alias(f"a_{c}") for c in
                                                           ("doc_id", "line_no", "ni", "s1", "s2")])
-    pairs = (flagged.join(lead, F.col("a_word") == F.col("b_word")).filter(_earlier("a", "b") & _may_match("a", "b"))
+    pairs = (flagged.join(lead, F.col("a_word") == F.col("b_word")).filter(_earlier("a", "b") & _may_match("a_", "b_"))
              .select("a_doc_id", "a_line_no", "b_doc_id", "b_line_no").distinct())
     decided = saved(_verified(pairs, sets), "line-near")
     # what is left, against all others
     d = decided.select(F.col("doc_id").alias("d"), F.col("line_no").alias("l"))
     open_ = flagged.join(d, F.col("b_doc_id").eqNullSafe(F.col("d")) & (F.col("b_line_no") == F.col("l")), "left_anti")
     others = flagged.select(*[F.col(c).alias("a" + c[1:]) for c in flagged.columns])
-    left = (open_.join(others, F.col("a_word") == F.col("b_word")).filter(_earlier("a", "b") & _may_match("a", "b"))
+    left = (open_.join(others, F.col("a_word") == F.col("b_word")).filter(_earlier("a", "b") & _may_match("a_", "b_"))
             .select("a_doc_id", "a_line_no", "b_doc_id", "b_line_no").distinct())
     return decided.unionByName(saved(_verified(left, sets), "line-near"))
 
