@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import file_date_key, with_page_date
+from ..functions.patterns import MONTHS
 from ..functions.text import upper_text, words
 
 ISSUE_COLS = ["file", "check", "detail"]
@@ -113,17 +114,21 @@ def check_terms(df: DataFrame, terms: DataFrame, key: str = "doc_id", text: str
     return _issue(d, key, "missing_terms", F.array_join("m", ","), when=F.size("m") > 0)
 
 
-NUMBER = "[0-9]{2,}"
+NUMBER = "[0-9]+(?:[,.][0-9]+)*"
+# a month and day (with or without its year), an amount of money, or a number
+CLAIM = f"(?:{'|'.join(m.lower() for m in MONTHS)}) [0-9]{{1,2}}(?:, [0-9]{{4}})?|\\$ ?{NUMBER}|{NUMBER}"
 
 
 def check_support(df: DataFrame, key: str = "doc_id", summary: str = "summary",
                   transcript: str = "transcript") -> DataFrame:
-    """Q7: numbers (two or more digits: amounts, years, counts) in a summary
-    that do not occur in its transcript.  Lexical evidence only."""
-    s = F.regexp_extract_all(F.col(summary), F.lit(NUMBER), 0)
-    t = F.regexp_extract_all(F.col(transcript), F.lit(NUMBER), 0)
-    d = df.select(key, F.sort_array(F.array_distinct(F.array_except(s, t))).alias("u"))
-    return _issue(d, key, "unsupported_numbers", F.array_join("u", ","), when=F.size("u") > 0)
+    """Q7: dates, amounts and numbers in a summary that do not occur in its
+    transcript (case folded).  A plain number is also supported by the
+    numbers inside the transcript's dates and amounts.  Lexical evidence only."""
+    t = F.lower(transcript)
+    s = F.regexp_extract_all(F.lower(summary), F.lit(CLAIM), 0)
+    known = F.array_union(F.regexp_extract_all(t, F.lit(CLAIM), 0), F.regexp_extract_all(t, F.lit(NUMBER), 0))
+    d = df.select(key, F.sort_array(F.array_except(s, known)).alias("u"))
+    return _issue(d, key, "unsupported_claims", F.array_join("u", ";"), when=F.size("u") > 0)
 
 
 def check_dates(files: DataFrame, path: str = "path", name: str = "name", parent: str = "parent",

@@ -23,11 +23,11 @@ VIEWS: dict[str, str] = {}
 VIEWS["v_pages"] = f"""
 SELECT source AS collection, source || '/' || {PAGE_NAME} AS path, {PAGE_NAME} AS page_name,
        concat_ws(chr(10), CASE (doc_id // 20 + 1) % 8
-           WHEN 0 THEN 'MEETING OF ' || {long_date(day('doc_id'))}
+           WHEN 0 THEN 'MEETING OF ' || {long_date(day('(doc_id % 47000)'))}
            WHEN 2 THEN 'THE BOARD OF EDUCATION'
-           WHEN 3 THEN {long_date(day('doc_id'))}
+           WHEN 3 THEN {long_date(day('(doc_id % 47000)'))}
            WHEN 4 THEN 'BOARD OF EDUCATION 3/14/1972'
-           WHEN 5 THEN 'ROOM 12, 1234 BOARD OF EDUCATION MEETING HELD ' || {long_date(day('doc_id'))}
+           WHEN 5 THEN 'ROOM 12, 1234 BOARD OF EDUCATION MEETING HELD ' || {long_date(day('(doc_id % 47000)'))}
            WHEN 6 THEN 'MEETING OF FEBRUARY 30, 1971'
            WHEN 7 THEN 'OKLAHOMA CITY 1971-01-05' END, text) AS text,
        doc_id AS page_no
@@ -96,8 +96,8 @@ FROM (
   SELECT CAST(CAST(o_orderdate AS DATE) - INTERVAL 10 YEAR AS DATE) FROM orders
 )"""
 
-_meeting = ("'boe_meeting_' || strftime(" + day("conv_id * 37") + ", '%Y-%m-%d') || "
-            "CASE WHEN conv_id % 6 = 0 THEN '_x_y' ELSE '_x' END")
+_meeting = ("'boe_meeting_' || strftime(" + day("(conv_id * 37 % 12000)") + ", '%Y-%m-%d') || "
+            "CASE WHEN conv_id % 6 = 0 THEN '_x_y' ELSE '_x' END || CAST(conv_id // 12000 AS VARCHAR)")
 VIEWS["v_parts"] = f"""
 SELECT {_meeting} AS meeting,
        {_meeting} || CASE WHEN (conv_id + turn) % 7 = 3 THEN '_PART_' ELSE '_part_' END
@@ -111,8 +111,8 @@ SELECT s_name AS name,
        s_suppkey AS row_no
 FROM supplier"""
 
-_stem = ("CASE WHEN conv_id % 4 = 0 THEN 'boe_' || strftime(" + day("conv_id * 37") + ", '%Y%m%d') || '_' || "
-         "CAST(conv_id AS VARCHAR) ELSE 'boe_' || strftime(" + day("conv_id * 37") + ", '%Y-%m-%d') || '_' || "
+_stem = ("CASE WHEN conv_id % 4 = 0 THEN 'boe_' || strftime(" + day("(conv_id * 37 % 12000)") + ", '%Y%m%d') || '_' || "
+         "CAST(conv_id AS VARCHAR) ELSE 'boe_' || strftime(" + day("(conv_id * 37 % 12000)") + ", '%Y-%m-%d') || '_' || "
          "CAST(conv_id AS VARCHAR) END")
 VIEWS["v_recordings"] = f"""
 SELECT stem || ext AS file, stem, kind, duration_s FROM (
@@ -134,7 +134,8 @@ FROM conversations GROUP BY conv_id"""
 VIEWS["v_texts"] = "SELECT doc_id, text FROM documents"
 
 VIEWS["v_support"] = """
-SELECT doc_id, left(text, 300) || CASE WHEN doc_id % 2 = 1 THEN ' 98765' ELSE '' END AS summary,
+SELECT doc_id, text || CASE WHEN doc_id % 2 = 1 THEN ' 98765' ELSE '' END
+              || CASE WHEN doc_id % 3 = 0 THEN ' $1,250.50 on June 12, 1875' ELSE '' END AS summary,
        text AS transcript
 FROM documents"""
 
@@ -154,7 +155,7 @@ VIEWS["v_decisions"] = """
 SELECT 'o' || CAST(l_orderkey AS VARCHAR) AS doc,
        CASE WHEN l_orderkey % 7 = 0 THEN CAST(to_json(recs[1]) AS VARCHAR)
             WHEN l_orderkey % 11 = 0
-              THEN left(CAST(to_json(recs) AS VARCHAR), CAST(length(CAST(to_json(recs) AS VARCHAR)) // 2 AS INTEGER))
+              THEN left(CAST(to_json(recs) AS VARCHAR), length(CAST(to_json(recs) AS VARCHAR)) - 1) || '}'
             ELSE CAST(to_json(recs) AS VARCHAR) END AS content
 FROM (SELECT l_orderkey,
              list({'motion': l_returnflag, 'result': l_linestatus, 'yes': CAST(l_linenumber AS INTEGER),

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as TT
 
 from ..functions import text as T
-from ..functions.dates import file_date_key, folder_year, meeting_key, parse_date, part_no, recording_date
+from ..functions.dates import file_date_key, folder_year, meeting_key, part_no, recording_date, with_page_date
 from ..functions.patterns import (MARKER_LENGTH, MARKER_LONGER, MAX_CHARS, MAX_PROMPT_CHARS, SECTION_DEFAULTS,
                                   SECTION_HEADERS)
 from ..functions.patterns import WS_CLASS_RE2 as WS_CLASS
@@ -86,13 +86,14 @@ def p1_upper_text(spark, sf):
 
 @register("p2_parse_date", with_views(f"SELECT path, {Q.parse_date(_UP)} AS page_date FROM v_pages", "v_pages"))
 def p2_parse_date(spark, sf):
-    return V.v_pages(spark, sf).select("path", parse_date(upper_text("text")).alias("page_date"))
+    return with_page_date(V.v_pages(spark, sf).select("path", upper_text("text").alias("_up")), "_up").select("path", "page_date")
 
 
 @register("p3_meeting_key", with_views(
     f"SELECT path, {Q.meeting_key(Q.parse_date(_UP))} AS meeting_key FROM v_pages", "v_pages"))
 def p3_meeting_key(spark, sf):
-    return V.v_pages(spark, sf).select("path", meeting_key(parse_date(upper_text("text"))).alias("meeting_key"))
+    dated = with_page_date(V.v_pages(spark, sf).select("path", upper_text("text").alias("_up")), "_up")
+    return dated.select("path", meeting_key("page_date").alias("meeting_key"))
 
 
 @register("p4_is_start", with_views(f"""
@@ -135,9 +136,9 @@ def w2_assign_meetings_bucketed(spark, sf):
 PAGES_PER_BUCKET = 40   # the test data's bucket width (FIXTURES.md); production uses ~10,000
 
 
-def _assigned(spark, sf):
-    """Meeting assignment for the consumers: the skew-safe bucketed form."""
-    pages = V.v_pages(spark, sf).withColumn("bucket", F.expr(f"page_no div {PAGES_PER_BUCKET}"))
+def _assigned(spark, sf, **more):
+    """Meeting assignment for the consumers: the skew-safe bucketed form, with ``more`` columns of the pages."""
+    pages = V.v_pages(spark, sf).withColumns({"bucket": F.expr(f"page_no div {PAGES_PER_BUCKET}"), **more})
     return segment.assign_meetings_bucketed(pages, bucket="bucket", materialize=True)
 
 
@@ -493,7 +494,7 @@ def r2_parse_decisions(spark, sf):
 # Summary requests over the documents: text cut for the prompt, dated by doc_id.
 def _doc_requests(spark, sf):
     d = V.v_texts(spark, sf).select(
-        "doc_id", "text", F.date_format(V.day(F.col("doc_id")), "yyyy-MM-dd").alias("date"))
+        "doc_id", "text", F.date_format(V.day(F.col("doc_id") % V.PAGE_DAYS), "yyyy-MM-dd").alias("date"))
     return model.build_requests(d, "structured_summary", text="text", date="date", keys=["doc_id", "date"])
 
 
@@ -502,7 +503,7 @@ SELECT doc_id, dt AS date, 'structured_summary' AS stage, 'gpt-3.5-turbo-16k' AS
        {sql_fill(STRUCTURED_SUMMARY, 't', 'dt')} AS prompt, t AS source_text,
        {sql_fill(SHORT_SUMMARY, 'left(t, 8000)', 'dt')} AS retry_prompt
 FROM (SELECT doc_id, text AS t,
-             strftime({'(DATE ' + chr(39) + '1970-01-01' + chr(39) + ' + CAST(doc_id AS INTEGER))'}, '%Y-%m-%d') AS dt
+             strftime({'(DATE ' + chr(39) + '1970-01-01' + chr(39) + ' + CAST(doc_id % 47000 AS INTEGER))'}, '%Y-%m-%d') AS dt
       FROM v_texts)"""
 
 
@@ -713,8 +714,7 @@ SELECT CAST(count(*) AS BIGINT) AS found, CAST(count_if(ok) AS BIGINT) AS succes
 FROM (SELECT collection, meeting_key, bool_or({Q.strip('text')} <> '') AS ok FROM ({_NUMBERED_SQL})
       WHERE meeting_key <> 'unassigned' GROUP BY collection, meeting_key)""", "v_pages"))
 def a9_folder_stats(spark, sf):
-    nonblank = V.v_pages(spark, sf).select("path", (T.strip("text") != "").alias("_nb"))
-    a = _assigned(spark, sf).where(F.col("meeting_key") != "unassigned").join(nonblank, "path")
+    a = _assigned(spark, sf, _nb=T.strip("text") != "").where(F.col("meeting_key") != "unassigned")
     folders = a.groupBy("collection", "meeting_key").agg(F.bool_or("_nb").alias("ok"))
     out = folders.select(F.when(F.col("ok"), "successful").otherwise("failed").alias("status"))
     return report.run_stats(out, seconds=None, statuses=("successful", "failed"))
@@ -804,27 +804,38 @@ def q4_check_short(spark, sf):
     return qc.check_short(report.recording_index(_recs(spark, sf), V.v_transcripts(spark, sf)), min_wpm=16)
 
 
-@register("q5_check_repeats", with_views(f"""
+_Q5_SQL = f"""
 SELECT CAST(doc_id AS VARCHAR) AS file, 'repeated_words' AS "check", CAST(n AS VARCHAR) AS detail FROM (
   SELECT doc_id, len(list_filter(range(1, len(w)), lambda i: w[i] = w[i + 1])) AS n
-  FROM (SELECT doc_id, {Q.words('lower(text)')} AS w FROM v_texts)) WHERE n > 0""", "v_texts"))
+  FROM (SELECT doc_id, {Q.words('lower(text)')} AS w FROM v_texts)) WHERE n > 0"""
+
+
+@register("q5_check_repeats", with_views(_Q5_SQL, "v_texts"))
 def q5_check_repeats(spark, sf):
     return qc.check_repeats(V.v_texts(spark, sf))
 
 
-@register("q6_check_terms", with_views(f"""
+_Q6_SQL = f"""
 SELECT CAST(doc_id AS VARCHAR) AS file, 'missing_terms' AS "check", array_to_string(m, ',') AS detail FROM (
   SELECT doc_id, list_filter((SELECT list(term ORDER BY term) FROM v_terms), lambda t: NOT list_contains(w, t)) AS m
-  FROM (SELECT doc_id, {Q.words('lower(text)')} AS w FROM v_texts)) WHERE len(m) > 0""", "v_texts", "v_terms"))
+  FROM (SELECT doc_id, {Q.words('lower(text)')} AS w FROM v_texts)) WHERE len(m) > 0"""
+
+
+@register("q6_check_terms", with_views(_Q6_SQL, "v_texts", "v_terms"))
 def q6_check_terms(spark, sf):
     return qc.check_terms(V.v_texts(spark, sf), V.v_terms(spark, sf))
 
 
-@register("q7_check_support", with_views("""
-SELECT CAST(doc_id AS VARCHAR) AS file, 'unsupported_numbers' AS "check", array_to_string(u, ',') AS detail FROM (
-  SELECT doc_id, list_sort(list_distinct(list_filter(regexp_extract_all(summary, '[0-9]{2,}'),
-           lambda x: NOT list_contains(regexp_extract_all(transcript, '[0-9]{2,}'), x)))) AS u FROM v_support)
-WHERE len(u) > 0""", "v_support"))
+_Q7_SQL = f"""
+SELECT CAST(doc_id AS VARCHAR) AS file, 'unsupported_claims' AS "check", array_to_string(u, ';') AS detail FROM (
+  SELECT doc_id, list_sort(list_distinct(list_filter(regexp_extract_all(lower(summary), '{qc.CLAIM}'),
+           lambda x: NOT list_contains(known, x)))) AS u
+  FROM (SELECT doc_id, summary, list_concat(regexp_extract_all(lower(transcript), '{qc.CLAIM}'),
+               regexp_extract_all(lower(transcript), '{qc.NUMBER}')) AS known FROM v_support))
+WHERE len(u) > 0"""
+
+
+@register("q7_check_support", with_views(_Q7_SQL, "v_support"))
 def q7_check_support(spark, sf):
     return qc.check_support(V.v_support(spark, sf))
 
@@ -834,13 +845,20 @@ def q8_check_dates(spark, sf):
     return qc.check_dates(V.v_file_text(spark, sf))
 
 
-@register("q9_check_names", with_views(f"""
+_Q9_SQL = f"""
 SELECT y.meeting AS file, 'name_missing' AS "check", r.name AS detail
 FROM (SELECT meeting, {_YEAR} AS year, string_agg(coalesce(text, ''), chr(10)) AS body
       FROM v_parts GROUP BY meeting) y
 JOIN v_roster r ON y.year IS NOT NULL AND contains(r.year_range, y.year) AND r.name IS NOT NULL
-WHERE NOT contains(upper(y.body), upper(r.name))""", "v_parts", "v_roster"))
+WHERE NOT contains(upper(y.body), upper(r.name))"""
+
+
+@register("q9_check_names", with_views(_Q9_SQL, "v_parts", "v_roster"))
 def q9_check_names(spark, sf):
+    return _name_issues(spark, sf)
+
+
+def _name_issues(spark, sf):
     parts = V.v_parts(spark, sf)
     body = assemble.assemble_transcript(parts, None)
     years = body.select("meeting", folder_year("meeting").alias("year")).where("year IS NOT NULL")
@@ -851,16 +869,23 @@ def q9_check_names(spark, sf):
 @register("q10_qc_report", with_views(f"""
 SELECT u.file, CAST(coalesce(g.n, 0) AS BIGINT) AS n_issues, g.checks,
        CASE WHEN g.n IS NULL THEN 'pass' ELSE 'fail' END AS status
-FROM (SELECT file FROM v_recordings UNION SELECT path FROM v_files) u
+FROM (SELECT file FROM v_recordings UNION SELECT path FROM v_files
+      UNION SELECT CAST(doc_id AS VARCHAR) FROM v_texts UNION SELECT meeting FROM v_parts) u
 LEFT JOIN (SELECT file, count(*) AS n, array_to_string(list_sort(list_distinct(list("check"))), ',') AS checks
-           FROM ({_Q1_SQL} UNION ALL {_Q2_SQL} UNION ALL {_Q3_SQL} UNION ALL {_Q4_SQL} UNION ALL {_Q8_SQL})
-           GROUP BY file) g ON u.file = g.file""", "v_recordings", "v_transcripts", "v_files", "v_file_text"))
+           FROM ({_Q1_SQL} UNION ALL {_Q2_SQL} UNION ALL {_Q3_SQL} UNION ALL {_Q4_SQL} UNION ALL {_Q5_SQL}
+                 UNION ALL {_Q6_SQL} UNION ALL {_Q7_SQL} UNION ALL {_Q8_SQL} UNION ALL {_Q9_SQL})
+           GROUP BY file) g ON u.file = g.file""", "v_recordings", "v_transcripts", "v_files", "v_file_text", "v_texts",
+                                         "v_terms", "v_support", "v_parts", "v_roster"))
 def q10_qc_report(spark, sf):
     r = _recs(spark, sf)
     idx = report.recording_index(r, V.v_transcripts(spark, sf))
+    texts = V.v_texts(spark, sf)
     issues = [qc.check_complete(r), qc.check_durations(r), qc.check_readable(r), qc.check_short(idx, min_wpm=16),
-              qc.check_dates(V.v_file_text(spark, sf))]
-    files = r.select("file").unionByName(V.v_files(spark, sf).select(F.col("path").alias("file")))
+              qc.check_repeats(texts), qc.check_terms(texts, V.v_terms(spark, sf)), qc.check_support(V.v_support(spark, sf)),
+              qc.check_dates(V.v_file_text(spark, sf)), _name_issues(spark, sf)]
+    files = (r.select("file").unionByName(V.v_files(spark, sf).select(F.col("path").alias("file")))
+             .unionByName(texts.select(F.col("doc_id").cast("string").alias("file")))
+             .unionByName(V.v_parts(spark, sf).select(F.col("meeting").alias("file"))))
     return qc.qc_report(issues, files)
 
 

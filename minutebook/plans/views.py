@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 from ..sources.tables import table
 
 NL = "\n"
+# derived dates stay in the years that the date rules accept, however many keys there are
+PAGE_DAYS = 47000
+MEETING_DAYS = 12000
 
 
 def day(x: Column) -> Column:
@@ -35,7 +38,7 @@ def v_pages(spark: SparkSession, sf: str) -> DataFrame:
     (no header, a start without a date, a date without a phrase)."""
     docs = table(spark, sf, "documents").select("doc_id", "source", "text")
     b = F.expr("(doc_id div 20 + 1) % 8")
-    d = long_date(day(F.col("doc_id")))
+    d = long_date(day(F.col("doc_id") % PAGE_DAYS))
     header = (F.when(b == 0, F.concat(F.lit("MEETING OF "), d))
               .when(b == 2, F.lit("THE BOARD OF EDUCATION"))
               .when(b == 3, d)
@@ -154,8 +157,9 @@ def v_summaries(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _meeting_folder(conv_id: Column) -> Column:
-    return F.concat(F.lit("boe_meeting_"), F.date_format(day(conv_id * 37), "yyyy-MM-dd"),
-                    F.when(conv_id % 6 == 0, F.lit("_x_y")).otherwise(F.lit("_x")))
+    return F.concat(F.lit("boe_meeting_"), F.date_format(day(conv_id * 37 % MEETING_DAYS), "yyyy-MM-dd"),
+                    F.when(conv_id % 6 == 0, F.lit("_x_y")).otherwise(F.lit("_x")),
+                    F.floor(conv_id / MEETING_DAYS).cast("string"))
 
 
 def v_parts(spark: SparkSession, sf: str) -> DataFrame:
@@ -179,7 +183,7 @@ def v_roster(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _stem(conv_id: Column) -> Column:
-    d = day(conv_id * 37)
+    d = day(conv_id * 37 % MEETING_DAYS)
     return F.when(conv_id % 4 == 0,
                   F.concat(F.lit("boe_"), F.date_format(d, "yyyyMMdd"), F.lit("_"), conv_id.cast("string"))) \
         .otherwise(F.concat(F.lit("boe_"), F.date_format(d, "yyyy-MM-dd"), F.lit("_"), conv_id.cast("string")))
@@ -219,11 +223,13 @@ def v_texts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def v_support(spark: SparkSession, sf: str) -> DataFrame:
-    """Summary / transcript pairs; odd documents claim a number not in the text."""
+    """Summary / transcript pairs over whole texts; odd documents claim a
+    number not in the text, every third an amount and a date."""
     d = table(spark, sf, "documents").select("doc_id", "text")
     return d.select("doc_id",
-                    F.concat(F.left("text", F.lit(300)),
-                             F.when(F.col("doc_id") % 2 == 1, F.lit(" 98765")).otherwise(F.lit(""))).alias("summary"),
+                    F.concat("text", F.when(F.col("doc_id") % 2 == 1, F.lit(" 98765")).otherwise(F.lit("")),
+                             F.when(F.col("doc_id") % 3 == 0, F.lit(" $1,250.50 on June 12, 1875")).otherwise(F.lit("")))
+                    .alias("summary"),
                     F.col("text").alias("transcript"))
 
 
@@ -254,7 +260,7 @@ def v_responses(spark: SparkSession, sf: str) -> DataFrame:
 
 def v_decisions(spark: SparkSession, sf: str) -> DataFrame:
     """Decision replies: a JSON array per order; every 7th a bare object,
-    every 11th cut short; plus ``events.props`` objects (never decisions)."""
+    every 11th closed by the wrong bracket; plus ``events.props`` objects (never decisions)."""
     li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus")
     rec = F.struct(F.col("l_returnflag").alias("motion"), F.col("l_linestatus").alias("result"),
                    F.col("l_linenumber").cast("int").alias("yes"), F.lit(None).cast("int").alias("no"))
@@ -265,7 +271,7 @@ def v_decisions(spark: SparkSession, sf: str) -> DataFrame:
     first_json = F.to_json(F.col("a")[0]["r"], opts)
     k = F.col("l_orderkey")
     text = (F.when(k % 7 == 0, first_json)
-            .when(k % 11 == 0, F.left(arr_json, F.floor(F.length(arr_json) / 2).cast("int")))
+            .when(k % 11 == 0, F.concat(F.left(arr_json, F.length(arr_json) - 1), F.lit("}")))
             .otherwise(arr_json))
     out = g.select(F.concat(F.lit("o"), k.cast("string")).alias("doc"), text.alias("content"))
     ev = table(spark, sf, "events").select(

@@ -28,6 +28,11 @@ def test_repeats_terms_support(spark):
     assert got == {"1": "dog", "2": "cat,dog"}
     sup = spark.createDataFrame([(1, "paid 120 and 98765", "paid 120 dollars")], "doc_id int, summary string, transcript string")
     assert qc.check_support(sup).first().detail == "98765"
+    sup = spark.createDataFrame([
+        (1, "$1,250 on June 12, 1975 by 5 votes", "$9,250 on May 12, 1975 by 3 votes"),
+        (2, "In 1975 and on MAY 12, 1975: $9,250", "$9,250 on May 12, 1975 by 3 votes"),
+        (3, None, "5"), (4, "", None)], "doc_id int, summary string, transcript string")
+    assert {r.file: r.detail for r in qc.check_support(sup).collect()} == {"1": "$1,250;5;june 12, 1975"}
 
 
 def test_fixed_formatting(spark):
