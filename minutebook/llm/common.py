@@ -11,6 +11,8 @@ from pyspark.sql.window import Window
 
 from minutebook.session import scratch_path
 
+#: Spark's setting that removes an execution's shuffle files when it ends
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 #: most ranges that ``with_next`` cuts an order into; their borders go through the driver
 MAX_RANGES = 4096
 
@@ -24,11 +26,22 @@ def saved(df: DataFrame, label: str) -> DataFrame:
     """``df`` written to the shared checkpoint folder and read again.
 
     Cuts the lineage with files that survive a lost executor, and lets a
-    later step read the rows twice without computing them twice.
+    later step read the rows twice without computing them twice.  Nothing
+    reads the shuffles of this write again, so their files go when it ends
+    (executors lost before that are handled as usual).
     """
-    path = f"{scratch_path(df.sparkSession, label)}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = f"{scratch_path(spark, label)}-{uuid.uuid4().hex}"
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(CLEANUP)
+        else:
+            spark.conf.set(CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def doc_crc(doc_id: Column) -> Column:
