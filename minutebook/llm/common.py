@@ -2,7 +2,8 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,25 +23,34 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def saved(df: DataFrame, label: str) -> DataFrame:
-    """``df`` written to the shared checkpoint folder and read again.
+@contextmanager
+def freed(spark: SparkSession) -> Iterator[None]:
+    """Executions planned in this block remove their shuffle files when they end.
 
-    Cuts the lineage with files that survive a lost executor, and lets a
-    later step read the rows twice without computing them twice.  Nothing
-    reads the shuffles of this write again, so their files go when it ends
-    (executors lost before that are handled as usual).
+    For results that are written or go to the driver: nothing reads those
+    shuffles again.  An executor lost before the end is handled as usual.
     """
-    spark = df.sparkSession
-    path = f"{scratch_path(spark, label)}-{uuid.uuid4().hex}"
     before = spark.conf.get(CLEANUP, None)
     spark.conf.set(CLEANUP, "true")
     try:
-        df.write.parquet(path)
+        yield
     finally:
         if before is None:
             spark.conf.unset(CLEANUP)
         else:
             spark.conf.set(CLEANUP, before)
+
+
+def saved(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written to the shared checkpoint folder and read again.
+
+    Cuts the lineage with files that survive a lost executor, and lets a
+    later step read the rows twice without computing them twice.
+    """
+    spark = df.sparkSession
+    path = f"{scratch_path(spark, label)}-{uuid.uuid4().hex}"
+    with freed(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
