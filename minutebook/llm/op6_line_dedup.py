@@ -1,15 +1,19 @@
 """Line dedup: exact set-similarity join of lines; a line that matches an earlier one is removed.
 
-A line is the set of its lower-cased words (split at white space).  Lines of
-fewer than ``MIN_TOKENS`` different words are left alone.  A line is removed
-if an earlier line (by doc_id, then line number) has a word-set Jaccard
+A line is the set of its lower-cased words (split at white space).  A line is
+removed if an earlier line (by doc_id, then line number) has a word-set Jaccard
 similarity of at least 4/5 with it, whether or not that earlier line stays.
+Lines of fewer than ``least`` different words are left alone.  The pipeline and
+``op6_line_dedup_whole`` take every line with a word (``least`` 1);
+``op6_line_dedup`` follows its SQL, which begins at ``MIN_TOKENS``.  Lines of
+one to three different words match equal sets only, as does a line of one
+unbroken word (a sentence without spaces): no other set comes to 4/5.
 
 1. Word frequencies over all lines are summed in a fixed number of hash
    buckets; their logarithmic class orders words by rarity (ties by hash), so
    what every task holds is bounded.
 2. Lines with equal sets become one, at its first position, before any join.
-3. Each line is indexed under its rarest words (the prefix that two similar
+3. Each line of at least four words is indexed under its rarest words (the prefix that two similar
    lines must share).  A semi-join on those words with length, positional and
    sketch filters (the parity of 128 word buckets bounds how many words two
    sets may differ in) finds the lines that may have a partner; its output is
@@ -32,6 +36,7 @@ from pyspark.sql import functions as F
 
 from minutebook.llm.common import read, saved
 
+#: where the SQL of ``op6_line_dedup`` begins
 MIN_TOKENS = 5
 #: similarity as a fraction
 NUM, DEN = 4, 5
@@ -60,10 +65,10 @@ def tokens_of(line: Column) -> Column:
     return _words(_plain(line))
 
 
-def _lines(docs: DataFrame) -> DataFrame:
-    """doc_id, line_no and the hashes of a line's words; hashed before the explode, so that no later filter repeats it."""
+def _lines(docs: DataFrame, least: int) -> DataFrame:
+    """doc_id, line_no and the hashes of a line's words (``least`` or more); hashed before the explode, so that no later filter repeats it."""
     hashed = F.transform(lines_of(_plain(F.col("text").cast("string"))), lambda x: _hashes(_words(x)))
-    return docs.select("doc_id", F.posexplode(hashed).alias("line_no", "h")).filter(F.size("h") >= MIN_TOKENS)
+    return docs.select("doc_id", F.posexplode(hashed).alias("line_no", "h")).filter(F.size("h") >= least)
 
 
 def rarity_classes(hashes: DataFrame) -> Column:
@@ -106,9 +111,9 @@ def _parity(hashes: Column, shift: int) -> Column:
                         F.shiftrightunsigned(h, shift).bitwiseAND(F.lit(63)).cast("int"))))
 
 
-def distinct_lines(docs: DataFrame) -> DataFrame:
+def distinct_lines(docs: DataFrame, least: int = MIN_TOKENS) -> DataFrame:
     """Lines with equal word sets as one row at their first position (written): id, doc_id, line_no, n, s1, s2, prefix."""
-    hashed = _lines(docs)
+    hashed = _lines(docs, least)
     classes = rarity_classes(hashed.select(F.explode("h").alias("h")))
     keyed = hashed.withColumn("keys", _keys(F.col("h"), classes))
     n = F.size("keys")
@@ -123,8 +128,11 @@ def distinct_lines(docs: DataFrame) -> DataFrame:
 
 
 def _index(lines: DataFrame) -> DataFrame:
-    """One narrow row for each prefix word; ``ni`` holds the line's size and the word's place."""
-    words = lines.select("id", "n", "s1", "s2", F.posexplode("prefix").alias("i", "word"))
+    """One narrow row for each prefix word; ``ni`` holds the line's size and the word's place.
+
+    Under ``NUM`` words only equal sets are similar, and those are one line already.
+    """
+    words = lines.filter(F.col("n") >= NUM).select("id", "n", "s1", "s2", F.posexplode("prefix").alias("i", "word"))
     return words.select("word", "id", F.shiftleft(F.col("n").cast("long"), 32).bitwiseOR(F.col("i").cast("long")).alias("ni"), "s1", "s2")
 
 
@@ -158,7 +166,7 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.filter(similar).select(F.col("b_doc_id").alias("doc_id"), F.col("b_line_no").alias("line_no")).distinct()
 
 
-def near_repeats(docs: DataFrame, lines: DataFrame) -> DataFrame:
+def near_repeats(docs: DataFrame, lines: DataFrame, least: int = MIN_TOKENS) -> DataFrame:
     """Positions of distinct lines that are similar to an earlier distinct line (written)."""
     index = _index(lines)
     # both sides under the same column names, so that the index is shuffled once and read by both
@@ -173,7 +181,7 @@ def near_repeats(docs: DataFrame, lines: DataFrame) -> DataFrame:
     lines_here = lines_of(F.col("text"))
     picked = F.transform("wanted", lambda i: F.struct(i.alias("i"), _hashes(tokens_of(F.get(F.col("lines"), i))).alias("h")))
     sets = saved(here.withColumn("lines", lines_here).select("doc_id", F.inline(picked).alias("line_no", "h"))
-                 .filter(F.size("h") >= MIN_TOKENS).dropDuplicates(["doc_id", "line_no"]), "line-sets")
+                 .filter(F.size("h") >= max(least, NUM)).dropDuplicates(["doc_id", "line_no"]), "line-sets")
     # the earliest line under each word
     first = flagged.groupBy("b_word").agg(F.min(F.struct("b_doc_id", "b_line_no", "b_ni", "b_s1", "b_s2")).alias("f"))
     lead = first.select(F.col("b_word").alias("a_word"), *[F.col(f"f.b_{c}").alias(f"a_{c}") for c in
@@ -190,41 +198,41 @@ def near_repeats(docs: DataFrame, lines: DataFrame) -> DataFrame:
     return decided.unionByName(saved(_verified(left, sets), "line-near"))
 
 
-def kept_lines(docs: DataFrame) -> DataFrame:
-    """doc_id and the numbers of its lines (of MIN_TOKENS words or more) that stay."""
-    lines = distinct_lines(docs)
-    gone = near_repeats(docs, lines).select(F.col("doc_id").alias("d"), F.col("line_no").alias("l"))
+def kept_lines(docs: DataFrame, least: int = MIN_TOKENS) -> DataFrame:
+    """doc_id and the numbers of its lines (of ``least`` words or more) that stay."""
+    lines = distinct_lines(docs, least)
+    gone = near_repeats(docs, lines, least).select(F.col("doc_id").alias("d"), F.col("line_no").alias("l"))
     stay = lines.select("doc_id", "line_no").join(
         gone, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("line_no") == F.col("l")), "left_anti")
     return stay.groupBy(F.col("doc_id").alias("kept_doc")).agg(F.collect_list("line_no").alias("kept"))
 
 
-def _judged(text: Column) -> Column:
-    """Numbers of the lines that are long enough to be compared."""
+def _judged(text: Column, least: int) -> Column:
+    """Numbers of the lines of ``least`` words or more, which are compared."""
     numbered = F.transform(lines_of(_plain(text.cast("string"))),
                            lambda x, i: F.struct(i.alias("i"), F.size(F.array_distinct(_words(x))).alias("n")))
-    return F.transform(F.filter(numbered, lambda s: s["n"] >= MIN_TOKENS), lambda s: s["i"])
+    return F.transform(F.filter(numbered, lambda s: s["n"] >= least), lambda s: s["i"])
 
 
-def removed_lines(docs: DataFrame) -> DataFrame:
+def removed_lines(docs: DataFrame, least: int = MIN_TOKENS) -> DataFrame:
     """doc_id, n_lines and the sorted numbers of the removed lines, for each row."""
     text = F.col("text").cast("string")
     n = F.when(F.coalesce(text, F.lit("")) == "", F.lit(0)).otherwise(F.size(lines_of(text)))
-    own = docs.select("doc_id", n.cast("long").alias("n_lines"), _judged(text).alias("judged"))
-    joined = own.join(kept_lines(docs), F.col("doc_id").eqNullSafe(F.col("kept_doc")), "left")
+    own = docs.select("doc_id", n.cast("long").alias("n_lines"), _judged(text, least).alias("judged"))
+    joined = own.join(kept_lines(docs, least), F.col("doc_id").eqNullSafe(F.col("kept_doc")), "left")
     nothing = F.array().cast("array<int>")
     return joined.select("doc_id", "n_lines", F.array_sort(F.array_except(
         "judged", F.coalesce("kept", nothing))).alias("removed"))
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:
-    """``docs`` with the removed lines taken out of ``text`` (``n_chars`` follows, if there).
+    """``docs`` with the removed lines, however short, taken out of ``text`` (``n_chars`` follows, if there).
 
     Documents that lose all their non-blank lines go.  All columns stay as they are.
     """
     nothing = F.array().cast("array<int>")
-    joined = docs.join(kept_lines(docs), F.col("doc_id").eqNullSafe(F.col("kept_doc")), "left")
-    gone = F.array_except(_judged(F.col("text")), F.coalesce("kept", nothing))
+    joined = docs.join(kept_lines(docs, least=1), F.col("doc_id").eqNullSafe(F.col("kept_doc")), "left")
+    gone = F.array_except(_judged(F.col("text"), least=1), F.coalesce("kept", nothing))
     rows = joined.withColumn("__gone", gone)
     left = F.array_join(F.filter(lines_of(F.col("text")), lambda x, i: ~F.array_contains(F.col("__gone"), i)), "\n")
     rows = rows.withColumn("__text", F.when(F.size("__gone") == 0, F.col("text")).otherwise(left))
@@ -236,13 +244,21 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     return rows.select(*[changed.get(c, F.col(f"`{c}`")).alias(c) for c in docs.columns])
 
 
-def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document: doc_id, n_lines, n_removed and the removed lines' numbers."""
-    rows = removed_lines(read(spark, sf_dir, "documents"))
+def _report(rows: DataFrame) -> DataFrame:
     return rows.select("doc_id", "n_lines", F.size("removed").cast("long").alias("n_removed"),
                        F.array_join(F.transform("removed", lambda i: i.cast("string")), ",").alias("removed"))
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document: doc_id, n_lines, n_removed and the removed lines' numbers."""
+    return _report(removed_lines(read(spark, sf_dir, "documents")))
+
+
+def op6_line_dedup_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same over every line with a word."""
+    return _report(removed_lines(read(spark, sf_dir, "documents"), least=1))
+
+
 ORACLE = r"""
 WITH x AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
                   generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) - 1 AS line_no FROM documents),
@@ -267,3 +283,5 @@ SELECT documents.doc_id, CAST(CASE WHEN coalesce(text, '') = '' THEN 0 ELSE len(
        CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(removed, '') AS removed
 FROM documents LEFT JOIN d ON documents.doc_id = d.doc_id
 """
+
+ORACLE_WHOLE = ORACLE.replace("len(words) >= 5", "len(words) >= 1")

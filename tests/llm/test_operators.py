@@ -264,6 +264,26 @@ def test_line_dedup_matches_brute_force(docs, none):
     assert op6_line_dedup.removed_lines(none).count() == 0 and op6_line_dedup.without_repeats(none).count() == 0
 
 
+def test_line_dedup_of_every_line(spark):
+    title, body = "Board minutes", "the board met at seven and heard the report"
+    rows = [(1, f"{title}\n{body}\nShare this page\na b c d"), (2, f"{title}\n{body}"), (3, "share THIS page\n会議は七時に始まった\n\nna na na"),
+            (4, "会議は七時に始まった\nd c b a e\nShare this\nna"), (5, "a b c x\nplain words of this document only"), (None, "na\n")]
+    seen, want, left = [], {}, {}
+    for doc, text in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0)):
+        for i, line in enumerate(text.split("\n")):
+            words = frozenset(line.lower().split())
+            if words and any(9 * len(words & s) >= 4 * (len(words) + len(s)) for s in seen):
+                want.setdefault(doc, []).append(i)
+            else:
+                left.setdefault(doc, []).append(line)
+            if words:
+                seen.append(words)
+    assert want == {2: [0, 1], 3: [0, 3], 4: [0, 1, 3]}
+    table = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert {r.doc_id: r.removed for r in op6_line_dedup.removed_lines(table, least=1).collect() if r.removed} == want
+    assert {r.doc_id: r.text for r in op6_line_dedup.without_repeats(table).collect()} == {d: "\n".join(x) for d, x in left.items()}
+
+
 def test_preferences_on_odd_rows(spark):
     turns = [(1, 0, "user", "hi"), (1, 1, "assistant", "yes <|end|>"), (2, 0, "user", "hi"), (2, 1, "assistant", "no"), (2, None, None, None),
              (3, 0, "user", "only"), (None, 0, "user", "lost"), (2, 0, "user", "hi")]
