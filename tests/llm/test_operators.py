@@ -99,6 +99,22 @@ def test_join_over_several_blocks(spark, monkeypatch):
     assert {(r.class_id, r.n_links) for r in got} == {(0, 14)}
 
 
+def test_join_finds_least_links_beside_a_hot_group(spark):
+    rnd = random.Random(8)
+    new = lambda n: [f"w{rnd.getrandbits(48)}" for _ in range(n)]
+    base, rows = new(200), []
+    for i in range(2000):  # near copies of one text
+        at = rnd.randint(0, 199)
+        rows.append((i, " ".join([*base[:at], f"edit{i}", *base[at + 1:]])))
+    for i in range(300):  # 80 of 100 shingles shared
+        head = new(84)
+        rows += [(10000 + 2 * i + j, " ".join(head + new(10))) for j in (0, 1)]
+    got = op1_ngram_join.near_classes(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
+    pairs = [r for r in got if r.doc_id >= 10000]
+    assert len(pairs) == 600 and [r.doc_id for r in pairs if r.n_links != 1 or r.class_id != r.doc_id - r.doc_id % 2] == []
+    assert {r.class_id for r in got if r.doc_id < 10000} == {0}
+
+
 def test_one_of_each_keeps_columns(docs):
     kept = op1_ngram_join.one_of_each(docs)
     assert kept.columns == docs.columns
