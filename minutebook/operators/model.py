@@ -162,6 +162,36 @@ def fuse(responses: DataFrame, doc: str = "doc", order: str = "chunk_no", conten
     return responses.groupBy(doc).agg(F.when(failed == 0, joined).alias("fused"), failed.alias("n_failed"))
 
 
+def run_stages(plan: DataFrame, call: Callable[[DataFrame, list[str]], DataFrame], doc: str = "doc",
+               sep: str = SEP_STRICT_FUSE) -> DataFrame:
+    """The staged run of U2's rows: replies (doc, stage, chunk_no, status, content, error) of all stages.
+
+    Rows with an input go first; the summaries of a long text's chunks are
+    joined (A5) as the input of its ``fuse`` row, and the reply to that is the
+    input of its outline and decisions.  ``call(requests, keys)`` is the model
+    run of request rows; each stage's replies are checkpointed, so no call is
+    repeated.  A blank chunk adds nothing to the joined text; where a chunk or
+    the fuse row got no reply, the rows that depend on it are not sent and have
+    no row here.
+    """
+    keys = [doc, "stage", "chunk_no"]
+    system = F.coalesce(*[F.when(F.col("stage") == s, F.lit(STAGES[s][0])) for s in ("summary", "outline", "decisions", "fuse")])
+
+    def replies(rows: DataFrame) -> DataFrame:
+        return call(rows.select(*keys, system.alias("prompt"), F.col("input").alias("user_text"),
+                                F.col("input").alias("source_text")), keys).checkpoint(eager=True)
+
+    def after(stage: str, inputs: DataFrame) -> DataFrame:
+        return replies(plan.where(F.col("depends_on") == stage).select(*keys).join(inputs, doc))
+    first = replies(plan.where("input IS NOT NULL"))
+    partial = (first.where("stage = 'summary' AND status <> 'blank'")
+               .join(plan.where("stage = 'fuse'").select(doc), doc, "left_semi"))
+    joined = fuse(partial, doc=doc, sep=sep).where("fused IS NOT NULL")
+    fused = after("summary", joined.select(doc, F.col("fused").alias("input")))
+    last = after("fuse", fused.where("content IS NOT NULL").select(doc, F.col("content").alias("input")))
+    return first.unionByName(fused).unionByName(last)
+
+
 def attach_responses(requests: DataFrame, responses: DataFrame, keys: list[str]) -> DataFrame:
     """Every request with its reply (status ``missing`` when none)."""
     r = responses.select(*keys, "status", "content")

@@ -577,6 +577,29 @@ def j4_attach_responses(spark, sf):
     return model.attach_responses(plan.select("doc_id", "stage", "chunk_no"), resp, ["doc_id", "stage", "chunk_no"])
 
 
+def _staged_sql(rows: str) -> str:
+    return f"SELECT doc_id, stage, chunk_no, {stub_model.sql_call(_system_sql('stage'), 'input', 'input', None)} FROM ({rows})"
+
+
+@register("j4_staged_responses", with_views("""
+SELECT p.doc_id, p.stage, p.chunk_no, coalesce(r.status, 'missing') AS status, r.content
+FROM plan p LEFT JOIN (SELECT * FROM r1 UNION ALL SELECT * FROM r2 UNION ALL SELECT * FROM r3) r
+  ON p.doc_id = r.doc_id AND p.stage = r.stage AND p.chunk_no = r.chunk_no""", "v_texts", extra={
+    "plan": _u2_sql(500, 400),
+    "r1": _staged_sql("SELECT * FROM plan WHERE input IS NOT NULL"),
+    "r2": _staged_sql("""SELECT doc_id, 'fuse' AS stage, CAST(0 AS INTEGER) AS chunk_no,
+  string_agg(content, chr(10) || chr(10) ORDER BY chunk_no) AS input FROM r1
+WHERE stage = 'summary' AND status <> 'blank' AND doc_id IN (SELECT doc_id FROM plan WHERE stage = 'fuse')
+GROUP BY doc_id HAVING count(*) = count(content)"""),
+    "r3": _staged_sql("""SELECT p.doc_id, p.stage, p.chunk_no, r2.content AS input
+FROM plan p JOIN r2 ON p.doc_id = r2.doc_id AND p.depends_on = 'fuse' WHERE r2.content IS NOT NULL""")}))
+def j4_staged_responses(spark, sf):
+    checkpoint_dir(spark)
+    plan = model.plan_stages(V.v_texts(spark, sf), doc="doc_id", whole_below=500, max_tokens=400)
+    replies = model.run_stages(plan, lambda req, keys: _run_stub(req, keys, retry=False), doc="doc_id")
+    return model.attach_responses(plan.select("doc_id", "stage", "chunk_no"), replies, ["doc_id", "stage", "chunk_no"])
+
+
 @register("a5_fuse", with_views(f"""
 SELECT doc_id, string_agg(text, chr(10) || chr(10) || '---' || chr(10) || chr(10) ORDER BY chunk_no) AS fused, CAST(0 AS BIGINT) AS n_failed
 FROM ({_c1_body(300)}) GROUP BY doc_id""", "v_texts"))

@@ -65,3 +65,24 @@ def test_checkpointed_replies_call_the_model_once(spark):
     out.count()
     out.collect()
     assert acc.value == 50
+
+
+def test_staged_run_fuses_long_texts(spark):
+    long = "\n".join(f"part {i} " + "word " * 6 for i in range(3)).rstrip()
+    df = spark.createDataFrame([(1, "short text"), (2, long), (3, long.replace("part 1", "boom 1"))], "doc int, text string")
+
+    def factory():
+        def call(prompt, user):
+            if "boom" in user:
+                raise RuntimeError("boom")
+            return f"<{user[:6]}>"
+        return call
+    plan = model.plan_stages(df, whole_below=9, max_tokens=9)
+    replies = model.run_stages(plan, lambda req, keys: model.run_model(req, factory, keys=keys))
+    out = model.attach_responses(plan.select("doc", "stage", "chunk_no"), replies, ["doc", "stage", "chunk_no"]).collect()
+    got = {(r.doc, r.stage, r.chunk_no): (r.status, r.content) for r in out}
+    assert [got[2, "summary", i] for i in range(3)] == [("ok", f"<part {i}>") for i in range(3)]
+    assert got[2, "fuse", 0] == ("ok", "<<part >")  # begins as the first summary does
+    assert got[2, "outline", 0] == got[2, "decisions", 0] == ("ok", "<<<part>")
+    assert got[3, "summary", 1][0] == "error" and {got[3, s, 0][0] for s in ("fuse", "outline", "decisions")} == {"missing"}
+    assert len(got) == len(out) == 15 and got[1, "outline", 0] == ("ok", "<short >")
