@@ -51,7 +51,19 @@ def saved(df: DataFrame, label: str) -> DataFrame:
     path = f"{scratch_path(spark, label)}-{uuid.uuid4().hex}"
     with freed(spark):
         df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.written_at = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Removes written tables of ``saved`` that nothing reads any more (other tables stay)."""
+    for df in tables:
+        path = getattr(df, "written_at", None)
+        if path:
+            spark = df.sparkSession
+            where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def doc_crc(doc_id: Column) -> Column:

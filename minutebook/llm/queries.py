@@ -3,6 +3,9 @@ from __future__ import annotations
 
 from minutebook.llm import op1_ngram_join as op1
 from minutebook.llm import op10_topk as op10
+from minutebook.llm import op11_sentencepiece as op11
+from minutebook.llm import op12_filter_audit as op12
+from minutebook.llm import op13_ranked_search as op13
 from minutebook.llm import op2_token_counts as op2
 from minutebook.llm import op3_packing as op3
 from minutebook.llm import op4_quality as op4
@@ -24,6 +27,9 @@ QUERIES = {
     "op8_language": op8.op8_language,
     "op9_fingerprint": op9.op9_fingerprint,
     "op10_topk": op10.op10_topk,
+    "op11_sentencepiece": op11.op11_sentencepiece,
+    "op12_filter_audit": op12.op12_filter_audit,
+    "op13_ranked_search": op13.op13_ranked_search,
 }
 
 ORACLE: dict[str, str] = {
@@ -33,4 +39,6 @@ ORACLE: dict[str, str] = {
     "op7_preferences": op7.ORACLE,
     "op9_fingerprint": op9.ORACLE,
     "op10_topk": op10.ORACLE,
+    "op12_filter_audit": op12.ORACLE,
+    "op13_ranked_search": op13.ORACLE,
 }

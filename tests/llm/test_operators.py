@@ -54,7 +54,7 @@ def counter(rows):
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_matches_its_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "embeddings", "conversations"):
+    for t in ("documents", "embeddings", "conversations", "labels", "benchmark"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{DIR}/{t}.parquet'")
     want = con.execute(ORACLE[name]).df()
     got = QUERIES[name](spark, DIR).toPandas()
