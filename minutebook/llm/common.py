@@ -41,7 +41,7 @@ def freed(spark: SparkSession) -> Iterator[None]:
             spark.conf.set(CLEANUP, before)
 
 
-def saved(df: DataFrame, label: str) -> DataFrame:
+def saved(df: DataFrame, label: str, options: dict[str, str] | None = None) -> DataFrame:
     """``df`` written to the shared checkpoint folder and read again.
 
     Cuts the lineage with files that survive a lost executor, and lets a
@@ -50,7 +50,7 @@ def saved(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{scratch_path(spark, label)}-{uuid.uuid4().hex}"
     with freed(spark):
-        df.write.parquet(path)
+        df.write.options(**(options or {})).parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.written_at = path
     return out
@@ -66,6 +66,36 @@ def discard(*tables: DataFrame) -> None:
             where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
+#: a key filter: bits a block, bits a key, and most blocks (64 MB of bits)
+BLOCK_BITS, BITS_PER_KEY, MAX_BLOCKS = 4096, 16, 1 << 17
+
+
+def maybe_in(df: DataFrame, key: Column, keys: DataFrame, of: Column) -> DataFrame:
+    """The rows of ``df`` whose hash ``key`` may be among the hashes ``of`` of ``keys`` (written rows, counted here).
+
+    A Bloom filter by blocks (three bits a key) that is broadcast; its size follows the number of
+    keys up to a bound of 64 MB, above which it lets more rows through.  No row that matches is
+    lost, so a join on the full key may follow at any size.
+    """
+    wanted = max(1, -(-keys.count() * BITS_PER_KEY // BLOCK_BITS))
+    blocks = F.lit(min(MAX_BLOCKS, 1 << (wanted - 1).bit_length())).cast("long")
+
+    def places(h: Column) -> list[Column]:
+        mixed = F.xxhash64(h)
+        return [F.shiftright(mixed, s).bitwiseAND(F.lit(BLOCK_BITS - 1)).cast("int") for s in (0, 12, 24)]
+
+    bits = keys.select(F.pmod(of, blocks).alias("block"), F.explode(F.array(*places(of))).alias("place")).select(
+        "block", F.shiftright("place", 6).alias("word"),
+        F.call_function("shiftleft", F.lit(1).cast("long"), F.col("place").bitwiseAND(F.lit(63))).alias("bits"))
+    words = bits.groupBy("block", "word").agg(F.bit_or("bits").alias("bits"))
+    held = words.groupBy(F.col("block").alias("__block")).agg(
+        F.map_from_entries(F.collect_list(F.struct("word", "bits"))).alias("__bits"))
+    tests = [F.getbit(F.coalesce(F.try_element_at("__bits", F.shiftright(p, 6)), F.lit(0).cast("long")), p.bitwiseAND(F.lit(63))) == 1
+             for p in places(key)]
+    return (df.join(F.broadcast(held), F.pmod(key, blocks) == F.col("__block")).filter(tests[0] & tests[1] & tests[2])
+            .drop("__block", "__bits"))
+
+
 def doc_crc(doc_id: Column) -> Column:
     """crc32 of the id as text; a null id counts as an empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary"))

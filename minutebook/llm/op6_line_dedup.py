@@ -1,43 +1,42 @@
 """Line dedup: exact set-similarity join of lines; a line that matches an earlier one is removed.
 
-A line is the set of its lower-cased words (split at white space).  A line is
-removed if an earlier line (by doc_id, then line number) has a word-set Jaccard
-similarity of at least 4/5 with it, whether or not that earlier line stays.
-Lines of fewer than ``least`` different words are left alone.  The pipeline and
-``op6_line_dedup_whole`` take every line with a word (``least`` 1);
-``op6_line_dedup`` follows its SQL, which begins at ``MIN_TOKENS``.  Lines of
-one to three different words match equal sets only, as does a line of one
-unbroken word (a sentence without spaces): no other set comes to 4/5.
-
-1. Word frequencies over all lines are summed in a fixed number of hash
+A line is the set of its lower-cased words (split at white space).  A line
+with a word is removed if an earlier line has a word-set Jaccard similarity of
+at least 4/5 with it, whether or not that earlier line stays.  Earlier is by
+doc_id, then a hash of the text, then line number.  Lines of one to three
+different words match equal sets only, as does a line of one unbroken word (a
+sentence without spaces): no other set comes to 4/5.
+
+1. One pass over the texts writes the word hashes of every line, dictionary
+   coded; nothing after it tokenizes a text again.
+2. Word frequencies over all lines are summed in a fixed number of hash
    buckets; their logarithmic class orders words by rarity (ties by hash), so
    what every task holds is bounded.
-2. Lines with equal sets become one, at its first position, before any join.
-3. Each line of at least four words is indexed under its rarest words (the prefix that two similar
-   lines must share).  A semi-join on those words with length, positional and
-   sketch filters (the parity of 128 word buckets bounds how many words two
-   sets may differ in) finds the lines that may have a partner; its output is
-   never more than the index.
-4. The few lines left get their full word sets; each is verified first
+3. Lines with equal sets become one, at its first position, before any join.
+4. Each line of at least four words is indexed under its rarest words (the
+   prefix that two similar lines must share).  A semi-join on those words with
+   length, positional and sketch filters (the parity of 128 word buckets
+   bounds how many words two sets may differ in) finds the lines that may have
+   a partner; its output is never more than the index.
+5. The few lines left get their full word sets; each is verified first
    against the earliest line under each of its words, and only those not
-   decided by that against all others.  So a group of many like lines is
+   decided by that against others.  So a group of many like lines is
    decided without listing its pairs.
 
-Words are told apart by 57 bits of a hash.  Only DataFrame functions are
-used.  Defined results: null and empty texts have no lines; rows that share a
-doc_id count as one document; rows without doc_id are ordered first; ties do
-not occur (a position is unique); an empty table gives an empty result;
-other columns are ignored or passed on.
+Words are told apart by 64 bits of a hash.  Only DataFrame functions are
+used.  Defined results: null and empty texts have no lines; rows without
+doc_id are ordered first; rows that share a doc_id, or have none, are
+documents of their own if their texts differ, and rows that repeat both are
+one document (each copy loses the same lines); an empty table gives an empty
+result; other columns are ignored or passed on.
 """
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from minutebook.llm.common import read, saved
+from minutebook.llm.common import discard, maybe_in, read, saved
 
-#: where the SQL of ``op6_line_dedup`` begins
-MIN_TOKENS = 5
 #: similarity as a fraction
 NUM, DEN = 4, 5
 BUCKET_BITS = 17
@@ -65,10 +64,16 @@ def tokens_of(line: Column) -> Column:
     return _words(_plain(line))
 
 
-def _lines(docs: DataFrame, least: int) -> DataFrame:
-    """doc_id, line_no and the hashes of a line's words (``least`` or more); hashed before the explode, so that no later filter repeats it."""
-    hashed = F.transform(lines_of(_plain(F.col("text").cast("string"))), lambda x: _hashes(_words(x)))
-    return docs.select("doc_id", F.posexplode(hashed).alias("line_no", "h")).filter(F.size("h") >= least)
+def line_words(docs: DataFrame) -> DataFrame:
+    """doc_id, th (hash of the text) and lines (number and word hashes of each line with a word), for each row (written)."""
+    hashed = F.transform(lines_of(_plain(F.col("text").cast("string"))), lambda x, i: F.struct(i.alias("line_no"), _hashes(_words(x)).alias("h")))
+    rows = docs.select("doc_id", _text_hash().alias("th"), F.filter(hashed, lambda s: F.size(s["h"]) > 0).alias("lines"))
+    # word hashes repeat: a dictionary that holds a file's vocabulary takes about a third of the plain longs
+    return saved(rows, "line-words", {"parquet.dictionary.page.size": str(16 << 20)})
+
+
+def _text_hash() -> Column:
+    return F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
 
 
 def rarity_classes(hashes: DataFrame) -> Column:
@@ -104,27 +109,27 @@ def _prefix_size(n: Column) -> Column:
     return n - F.ceil(n * NUM / DEN).cast("int") + 1
 
 
-def _parity(hashes: Column, shift: int) -> Column:
-    """Parity of 64 word buckets, as the bits of a long."""
-    return F.aggregate(hashes, F.lit(0).cast("long"), lambda acc, h: acc.bitwiseXOR(
-        F.call_function("shiftleft", F.lit(1).cast("long"),
-                        F.shiftrightunsigned(h, shift).bitwiseAND(F.lit(63)).cast("int"))))
+def _parity(hashes: Column, half: int) -> Column:
+    """Parity of 64 of 128 word buckets, as the bits of a long."""
+    def bit(h: Column) -> Column:
+        one = F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftrightunsigned(h, 40).bitwiseAND(F.lit(63)).cast("int"))
+        return F.when(F.shiftrightunsigned(h, 50).bitwiseAND(F.lit(1)) == half, one).otherwise(F.lit(0).cast("long"))
+    return F.aggregate(hashes, F.lit(0).cast("long"), lambda acc, h: acc.bitwiseXOR(bit(h)))
 
 
-def distinct_lines(docs: DataFrame, least: int = MIN_TOKENS) -> DataFrame:
-    """Lines with equal word sets as one row at their first position (written): id, doc_id, line_no, n, s1, s2, prefix."""
-    hashed = _lines(docs, least)
+def distinct_lines(words: DataFrame) -> DataFrame:
+    """Lines with equal word sets as one row at their first position (written): id, pos, n, s1, s2, prefix."""
+    hashed = words.select("doc_id", "th", F.inline("lines"))
     classes = rarity_classes(hashed.select(F.explode("h").alias("h")))
     keyed = hashed.withColumn("keys", _keys(F.col("h"), classes))
     n = F.size("keys")
     rows = keyed.select(
-        F.struct("doc_id", "line_no").alias("pos"), F.xxhash64("keys").alias("k1"), F.xxhash64("keys", F.lit(1)).alias("k2"),
-        n.alias("n"), _parity(F.col("h"), 40).alias("s1"), _parity(F.col("h"), 50).alias("s2"),
+        F.struct("doc_id", "th", "line_no").alias("pos"), F.xxhash64("keys").alias("k1"), F.xxhash64("keys", F.lit(1)).alias("k2"),
+        n.alias("n"), _parity(F.col("h"), 0).alias("s1"), _parity(F.col("h"), 1).alias("s2"),
         F.transform(F.slice("keys", F.lit(1), _prefix_size(n)), lambda k: F.hash(k)).alias("prefix"))
     one = rows.groupBy("k1", "k2").agg(F.min("pos").alias("pos"), F.first("n").alias("n"), F.first("s1").alias("s1"),
                                        F.first("s2").alias("s2"), F.first("prefix").alias("prefix"))
-    return saved(one.select(F.monotonically_increasing_id().alias("id"), "pos.doc_id", "pos.line_no", "n", "s1", "s2", "prefix"),
-                 "lines")
+    return saved(one.select(F.monotonically_increasing_id().alias("id"), "pos", "n", "s1", "s2", "prefix"), "lines")
 
 
 def _index(lines: DataFrame) -> DataFrame:
@@ -136,13 +141,6 @@ def _index(lines: DataFrame) -> DataFrame:
     return words.select("word", "id", F.shiftleft(F.col("n").cast("long"), 32).bitwiseOR(F.col("i").cast("long")).alias("ni"), "s1", "s2")
 
 
-def _earlier(a: str, b: str) -> Column:
-    """Position a before position b (rows without doc_id first)."""
-    return (F.coalesce(F.col(f"{a}_doc_id") < F.col(f"{b}_doc_id"), F.lit(False))
-            | (F.col(f"{a}_doc_id").isNull() & F.col(f"{b}_doc_id").isNotNull())
-            | (F.col(f"{a}_doc_id").eqNullSafe(F.col(f"{b}_doc_id")) & (F.col(f"{a}_line_no") < F.col(f"{b}_line_no"))))
-
-
 def _may_match(a: str, b: str) -> Column:
     """Length, positional and sketch filters at the first word that two lines share; ``a`` and ``b`` begin the column names."""
     na, nb = (F.shiftright(F.col(f"{x}ni"), 32) for x in (a, b))
@@ -152,96 +150,106 @@ def _may_match(a: str, b: str) -> Column:
               + F.bit_count(F.col(f"{a}s2").bitwiseXOR(F.col(f"{b}s2"))))
     both = na + nb
     return ((na * DEN >= nb * NUM) & (nb * DEN >= na * NUM) & (rest * (NUM + DEN) >= both * NUM)
-            & (differ * (NUM + DEN) <= 2 * (both * (NUM + DEN) - 2 * both * NUM)))
+            & (differ * (NUM + DEN) <= both * (DEN - NUM)))
 
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Positions b of the pairs whose word sets are similar."""
-    a = sets.select(F.col("doc_id").alias("x_doc_id"), F.col("line_no").alias("x_line_no"), F.col("h").alias("a_h"))
-    b = sets.select(F.col("doc_id").alias("y_doc_id"), F.col("line_no").alias("y_line_no"), F.col("h").alias("b_h"))
-    both = (pairs.join(a, F.col("a_doc_id").eqNullSafe(F.col("x_doc_id")) & (F.col("a_line_no") == F.col("x_line_no")))
-            .join(b, F.col("b_doc_id").eqNullSafe(F.col("y_doc_id")) & (F.col("b_line_no") == F.col("y_line_no"))))
+    """id of every b of the pairs (a, b) whose word sets are similar."""
+    a = sets.select(F.col("id").alias("a"), F.col("h").alias("a_h"))
+    b = sets.select(F.col("id").alias("b"), F.col("h").alias("b_h"))
     shared = F.size(F.array_intersect("a_h", "b_h"))
     similar = shared * (NUM + DEN) >= (F.size("a_h") + F.size("b_h")) * NUM
-    return both.filter(similar).select(F.col("b_doc_id").alias("doc_id"), F.col("b_line_no").alias("line_no")).distinct()
+    return pairs.join(a, "a").join(b, "b").filter(similar).select(F.col("b").alias("id")).distinct()
 
 
-def near_repeats(docs: DataFrame, lines: DataFrame, least: int = MIN_TOKENS) -> DataFrame:
-    """Positions of distinct lines that are similar to an earlier distinct line (written)."""
+def near_repeats(words: DataFrame, lines: DataFrame) -> DataFrame:
+    """id of the distinct lines that are similar to an earlier distinct line (written)."""
     index = _index(lines)
     # both sides under the same column names, so that the index is shuffled once and read by both
     matched = index.alias("b").join(index.alias("a"), (F.col("a.word") == F.col("b.word")) & (F.col("a.id") != F.col("b.id"))
                                     & _may_match("a.", "b."), "left_semi")
-    matched = matched.select(*[F.col(c).alias(f"b_{c}") for c in index.columns])
-    at = lines.select("id", F.col("doc_id").alias("b_doc_id"), F.col("line_no").alias("b_line_no"))
-    flagged = saved(matched.join(at, F.col("b_id") == F.col("id")).drop("id"), "line-flags")
-    wanted = (flagged.select(F.col("b_doc_id").alias("d"), F.col("b_line_no").alias("l")).distinct()
-              .groupBy("d").agg(F.collect_list("l").alias("wanted")))
-    here = docs.select("doc_id", "text").join(wanted, F.col("doc_id").eqNullSafe(F.col("d")))
-    lines_here = lines_of(F.col("text"))
-    picked = F.transform("wanted", lambda i: F.struct(i.alias("i"), _hashes(tokens_of(F.get(F.col("lines"), i))).alias("h")))
-    sets = saved(here.withColumn("lines", lines_here).select("doc_id", F.inline(picked).alias("line_no", "h"))
-                 .filter(F.size("h") >= max(least, NUM)).dropDuplicates(["doc_id", "line_no"]), "line-sets")
+    marked = saved(matched, "line-marks")
+    at = saved(lines.join(marked.select("id").distinct(), "id", "left_semi").select("id", "pos"), "line-places")
+    flagged = saved(marked.join(at, "id"), "line-flags")
+    # the word sets of these lines: only documents that have one move
+    wanted = at.groupBy(F.col("pos.doc_id").alias("d"), F.col("pos.th").alias("t")).agg(
+        F.collect_list(F.struct("pos.line_no", "id")).alias("wanted"))
+    here = maybe_in(words, F.xxhash64("doc_id", "th"), at.select("pos.doc_id", "pos.th").distinct(), F.xxhash64("doc_id", "th"))
+    met = here.join(wanted, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("th") == F.col("t")))
+    own = met.select(F.explode("wanted").alias("w"), "lines").select(
+        "w.id", F.filter("lines", lambda x: x["line_no"] == F.col("w.line_no"))[0]["h"].alias("h"))
+    sets = saved(own.dropDuplicates(["id"]), "line-sets")
     # the earliest line under each word
-    first = flagged.groupBy("b_word").agg(F.min(F.struct("b_doc_id", "b_line_no", "b_ni", "b_s1", "b_s2")).alias("f"))
-    lead = first.select(F.col("b_word").alias("a_word"), *[F.col(f"f.b_{c}").alias(f"a_{c}") for c in
-                                                          ("doc_id", "line_no", "ni", "s1", "s2")])
-    pairs = (flagged.join(lead, F.col("a_word") == F.col("b_word")).filter(_earlier("a", "b") & _may_match("a_", "b_"))
-             .select("a_doc_id", "a_line_no", "b_doc_id", "b_line_no").distinct())
-    decided = saved(_verified(pairs, sets), "line-near")
+    columns = [c for c in flagged.columns if c != "word"]
+    lead = flagged.groupBy("word").agg(F.min(F.struct("pos", *[c for c in columns if c != "pos"])).alias("f")).select(
+        "word", *[F.col(f"f.{c}").alias(f"a_{c}") for c in columns])
+
+    def pairs(later: DataFrame, earlier: DataFrame) -> DataFrame:
+        named = later.select("word", *[F.col(c).alias(f"b_{c}") for c in columns])
+        met = named.join(earlier, "word").filter((F.col("a_pos") < F.col("b_pos")) & _may_match("a_", "b_"))
+        return met.select(F.col("a_id").alias("a"), F.col("b_id").alias("b")).distinct()
+
+    decided = saved(_verified(pairs(flagged, lead), sets), "line-near")
     # what is left, against all others
-    d = decided.select(F.col("doc_id").alias("d"), F.col("line_no").alias("l"))
-    open_ = flagged.join(d, F.col("b_doc_id").eqNullSafe(F.col("d")) & (F.col("b_line_no") == F.col("l")), "left_anti")
-    others = flagged.select(*[F.col(c).alias("a" + c[1:]) for c in flagged.columns])
-    left = (open_.join(others, F.col("a_word") == F.col("b_word")).filter(_earlier("a", "b") & _may_match("a_", "b_"))
-            .select("a_doc_id", "a_line_no", "b_doc_id", "b_line_no").distinct())
-    return decided.unionByName(saved(_verified(left, sets), "line-near"))
+    open_ = flagged.join(decided, "id", "left_anti")
+    others = flagged.select("word", *[F.col(c).alias(f"a_{c}") for c in columns])
+    found = saved(decided.unionByName(_verified(pairs(open_, others), sets)).distinct(), "line-near")
+    discard(marked, at, flagged, sets, decided)
+    return found
 
 
-def kept_lines(docs: DataFrame, least: int = MIN_TOKENS) -> DataFrame:
-    """doc_id and the numbers of its lines (of ``least`` words or more) that stay."""
-    lines = distinct_lines(docs, least)
-    gone = near_repeats(docs, lines, least).select(F.col("doc_id").alias("d"), F.col("line_no").alias("l"))
-    stay = lines.select("doc_id", "line_no").join(
-        gone, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("line_no") == F.col("l")), "left_anti")
-    return stay.groupBy(F.col("doc_id").alias("kept_doc")).agg(F.collect_list("line_no").alias("kept"))
+def kept_lines(words: DataFrame) -> DataFrame:
+    """doc_id, th and the numbers of its lines with a word that stay."""
+    lines = distinct_lines(words)
+    gone = near_repeats(words, lines)
+    stay = lines.select("id", "pos.*").join(gone, "id", "left_anti")
+    return stay.groupBy(F.col("doc_id").alias("kept_doc"), F.col("th").alias("kept_th")).agg(F.collect_list("line_no").alias("kept"))
 
 
-def _judged(text: Column, least: int) -> Column:
-    """Numbers of the lines of ``least`` words or more, which are compared."""
-    numbered = F.transform(lines_of(_plain(text.cast("string"))),
-                           lambda x, i: F.struct(i.alias("i"), F.size(F.array_distinct(_words(x))).alias("n")))
-    return F.transform(F.filter(numbered, lambda s: s["n"] >= least), lambda s: s["i"])
+def gone_lines(docs: DataFrame) -> DataFrame:
+    """doc_id, th and the sorted numbers of the removed lines, for each different document (written)."""
+    words = line_words(docs)
+    judged = words.select("doc_id", "th", F.transform("lines", lambda s: s["line_no"]).alias("judged")).dropDuplicates(["doc_id", "th"])
+    joined = judged.join(kept_lines(words), F.col("doc_id").eqNullSafe(F.col("kept_doc")) & (F.col("th") == F.col("kept_th")), "left")
+    out = saved(joined.select("doc_id", "th", F.array_sort(F.array_except(
+        "judged", F.coalesce("kept", F.array().cast("array<int>")))).alias("gone")).filter(F.size("gone") > 0), "line-gone")
+    discard(words)
+    return out
 
 
-def removed_lines(docs: DataFrame, least: int = MIN_TOKENS) -> DataFrame:
+def _with_gone(rows: DataFrame, gone: DataFrame) -> DataFrame:
+    """``rows`` (doc_id, __th) with the column __gone."""
+    held = gone.select(F.col("doc_id").alias("__doc"), F.col("th").alias("__of"), F.col("gone").alias("__gone"))
+    joined = rows.join(held, F.col("doc_id").eqNullSafe(F.col("__doc")) & (F.col("__th") == F.col("__of")), "left")
+    return joined.drop("__doc", "__of")
+
+
+def removed_lines(docs: DataFrame) -> DataFrame:
     """doc_id, n_lines and the sorted numbers of the removed lines, for each row."""
     text = F.col("text").cast("string")
     n = F.when(F.coalesce(text, F.lit("")) == "", F.lit(0)).otherwise(F.size(lines_of(text)))
-    own = docs.select("doc_id", n.cast("long").alias("n_lines"), _judged(text, least).alias("judged"))
-    joined = own.join(kept_lines(docs, least), F.col("doc_id").eqNullSafe(F.col("kept_doc")), "left")
-    nothing = F.array().cast("array<int>")
-    return joined.select("doc_id", "n_lines", F.array_sort(F.array_except(
-        "judged", F.coalesce("kept", nothing))).alias("removed"))
+    gone = gone_lines(docs)
+    joined = _with_gone(docs.select("doc_id", _text_hash().alias("__th"), n.cast("long").alias("n_lines")), gone)
+    return joined.select("doc_id", "n_lines", F.coalesce("__gone", F.array().cast("array<int>")).alias("removed"))
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:
-    """``docs`` with the removed lines, however short, taken out of ``text`` (``n_chars`` follows, if there).
+    """``docs`` with the removed lines taken out of ``text`` (``n_chars`` follows, if there).
 
     Documents that lose all their non-blank lines go.  All columns stay as they are.
     """
-    nothing = F.array().cast("array<int>")
-    joined = docs.join(kept_lines(docs, least=1), F.col("doc_id").eqNullSafe(F.col("kept_doc")), "left")
-    gone = F.array_except(_judged(F.col("text"), least=1), F.coalesce("kept", nothing))
-    rows = joined.withColumn("__gone", gone)
+    gone = gone_lines(docs)
+    # the removed line numbers are a plain column of the joined side, so no later filter repeats work for each line
+    rows = _with_gone(docs.withColumn("__th", _text_hash()), gone)
     left = F.array_join(F.filter(lines_of(F.col("text")), lambda x, i: ~F.array_contains(F.col("__gone"), i)), "\n")
-    rows = rows.withColumn("__text", F.when(F.size("__gone") == 0, F.col("text")).otherwise(left))
-    rows = rows.filter((F.size("__gone") == 0) | (F.trim("__text") != ""))
+    text = F.when(F.col("__gone").isNull(), F.col("text")).otherwise(left)
+    # a generator, so that the text is put together once and no filter on it is pushed down
+    made = rows.select("*", F.explode(F.filter(F.array(text), lambda t: F.col("__gone").isNull() | (F.trim(t) != ""))).alias("__text"))
     changed = {"text": F.col("__text")}
     if "n_chars" in docs.columns:
-        changed["n_chars"] = F.when(F.size("__gone") == 0, F.col("n_chars")).otherwise(
+        changed["n_chars"] = F.when(F.col("__gone").isNull(), F.col("n_chars")).otherwise(
             F.char_length("__text").cast(docs.schema["n_chars"].dataType))
-    return rows.select(*[changed.get(c, F.col(f"`{c}`")).alias(c) for c in docs.columns])
+    return made.select(*[changed.get(c, F.col(f"`{c}`")).alias(c) for c in docs.columns])
 
 
 def _report(rows: DataFrame) -> DataFrame:
@@ -254,17 +262,12 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _report(removed_lines(read(spark, sf_dir, "documents")))
 
 
-def op6_line_dedup_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same over every line with a word."""
-    return _report(removed_lines(read(spark, sf_dir, "documents"), least=1))
-
-
 ORACLE = r"""
 WITH x AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
                   generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) - 1 AS line_no FROM documents),
 t AS (SELECT doc_id, line_no, list_sort(list_distinct(list_filter(regexp_split_to_array(lower(line), '\s+'),
              lambda w: w <> ''))) AS words FROM x),
-j AS (SELECT * FROM t WHERE len(words) >= 5),
+j AS (SELECT * FROM t WHERE len(words) >= 1),
 c AS (SELECT words, min((doc_id, line_no)) AS pos FROM j GROUP BY words),
 l AS (SELECT row_number() OVER (ORDER BY pos) AS id, words, len(words) AS n, pos FROM c),
 k AS (SELECT id, n, unnest(words) AS w FROM l),
@@ -283,5 +286,3 @@ SELECT documents.doc_id, CAST(CASE WHEN coalesce(text, '') = '' THEN 0 ELSE len(
        CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(removed, '') AS removed
 FROM documents LEFT JOIN d ON documents.doc_id = d.doc_id
 """
-
-ORACLE_WHOLE = ORACLE.replace("len(words) >= 5", "len(words) >= 1")

@@ -22,7 +22,6 @@ QUERIES = {
     "op4_quality": op4.op4_quality,
     "op5_mixing": op5.op5_mixing,
     "op6_line_dedup": op6.op6_line_dedup,
-    "op6_line_dedup_whole": op6.op6_line_dedup_whole,
     "op7_preferences": op7.op7_preferences,
     "op8_language": op8.op8_language,
     "op9_fingerprint": op9.op9_fingerprint,
@@ -35,7 +34,6 @@ QUERIES = {
 ORACLE: dict[str, str] = {
     "op5_mixing": op5.ORACLE,
     "op6_line_dedup": op6.ORACLE,
-    "op6_line_dedup_whole": op6.ORACLE_WHOLE,
     "op7_preferences": op7.ORACLE,
     "op9_fingerprint": op9.ORACLE,
     "op10_topk": op10.ORACLE,

@@ -8,11 +8,12 @@ import zlib
 import duckdb
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from minutebook.llm import (op1_ngram_join, op2_token_counts, op3_packing, op4_quality, op5_mixing, op6_line_dedup,
                             op7_preferences, op8_language, op9_fingerprint, op10_topk)
-from minutebook.llm.common import with_next
+from minutebook.llm.common import maybe_in, with_next
 from minutebook.llm.queries import ORACLE, QUERIES
 from minutebook.llm.units import safe_pieces
 
@@ -261,43 +262,65 @@ def test_targets_by_resharing(docs):
     assert {s: pytest.approx(t) for s, t in want.items()} == {s: t for s, (_, t) in got.items()}
 
 
+def _lines_by_hand(rows):
+    """Removed line numbers of each different (doc_id, text): every line with a word against all earlier ones."""
+    seen, gone = [], {}
+    for doc, text in sorted({(d, t or "") for d, t in rows}, key=lambda r: (r[0] is not None, r[0] or 0, np.int64(np.uint64(xxhash.xxh64(r[1].encode(), seed=42).intdigest())))):
+        gone[doc, text] = []
+        for i, line in enumerate(text.split("\n")):
+            words = frozenset(line.lower().split())
+            if words and any(9 * len(words & s) >= 4 * (len(words) + len(s)) for s in seen):
+                gone[doc, text].append(i)
+            if words:
+                seen.append(words)
+    return gone
+
+
 def test_line_dedup_matches_brute_force(docs, none):
-    rows = {(r[0], r[1]) for r in corpus()}
-    seen, want = [], {}
-    for doc, text in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0)):
-        for i, line in enumerate((text or "").split("\n")):
-            words = frozenset(line.lower().replace("\t", " ").split(" ")) - {""}
-            if len(words) < 5:
-                continue
-            if any(9 * len(words & s) >= 4 * (len(words) + len(s)) for s in seen):
-                want.setdefault(doc, []).append(i)
-            seen.append(words)
-    got = {r.doc_id: r.removed for r in op6_line_dedup.removed_lines(docs).collect() if r.removed}
-    assert got == want and len(want) > 3
+    rows = [(r[0], r[1]) for r in corpus()]
+    gone = _lines_by_hand(rows)
+    got = op6_line_dedup.removed_lines(docs).collect()
+    assert counter((r.doc_id, r.removed) for r in got) == counter((d, gone[d, t or ""]) for d, t in rows)
+    assert sum(map(bool, gone.values())) > 3
     stay = op6_line_dedup.without_repeats(docs)
-    assert stay.columns == docs.columns
-    assert {300, 301, 302, 0} <= {r.doc_id for r in stay.collect()}
+    want = []
+    for d, t in rows:
+        left = [x for i, x in enumerate((t or "").split("\n")) if i not in gone[d, t or ""]]
+        if not gone[d, t or ""] or any(x.strip(" ") for x in left):
+            want.append((d, "\n".join(left) if gone[d, t or ""] else t))
+    assert stay.columns == docs.columns and counter((r.doc_id, r.text) for r in stay.collect()) == counter(want)
     assert op6_line_dedup.removed_lines(none).count() == 0 and op6_line_dedup.without_repeats(none).count() == 0
 
 
+@pytest.mark.parametrize("first, second", [("A", "B"), ("B", "A")])
+@pytest.mark.parametrize("doc", [None, 7])
+def test_line_dedup_of_shared_and_missing_ids(spark, doc, first, second):
+    a, b = "alpha beta gamma delta eps zeta", "one two three four five six"
+    rows = [(doc, a if first == "A" else b), (doc, a if second == "A" else b), (9, b), (10, a), (11, a + "\nown words here"), (11, a + "\nown words here")]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    got = counter((r.doc_id, r.removed) for r in op6_line_dedup.removed_lines(table).collect())
+    assert got == counter([(doc, []), (doc, []), (9, [0]), (10, [0]), (11, [0]), (11, [0])])
+
+
 def test_line_dedup_of_every_line(spark):
     title, body = "Board minutes", "the board met at seven and heard the report"
     rows = [(1, f"{title}\n{body}\nShare this page\na b c d"), (2, f"{title}\n{body}"), (3, "share THIS page\n会議は七時に始まった\n\nna na na"),
             (4, "会議は七時に始まった\nd c b a e\nShare this\nna"), (5, "a b c x\nplain words of this document only"), (None, "na\n")]
-    seen, want, left = [], {}, {}
-    for doc, text in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0)):
-        for i, line in enumerate(text.split("\n")):
-            words = frozenset(line.lower().split())
-            if words and any(9 * len(words & s) >= 4 * (len(words) + len(s)) for s in seen):
-                want.setdefault(doc, []).append(i)
-            else:
-                left.setdefault(doc, []).append(line)
-            if words:
-                seen.append(words)
-    assert want == {2: [0, 1], 3: [0, 3], 4: [0, 1, 3]}
+    gone = _lines_by_hand(rows)
+    assert {d: g for (d, _), g in gone.items() if g} == {2: [0, 1], 3: [0, 3], 4: [0, 1, 3]}
     table = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
-    assert {r.doc_id: r.removed for r in op6_line_dedup.removed_lines(table, least=1).collect() if r.removed} == want
-    assert {r.doc_id: r.text for r in op6_line_dedup.without_repeats(table).collect()} == {d: "\n".join(x) for d, x in left.items()}
+    assert {r.doc_id: r.removed for r in op6_line_dedup.removed_lines(table).collect()} == {d: g for (d, _), g in gone.items()}
+    left = {d: "\n".join(x for i, x in enumerate(t.split("\n")) if i not in gone[d, t]) for d, t in rows}
+    assert {r.doc_id: r.text for r in op6_line_dedup.without_repeats(table).collect()} == {d: x for d, x in left.items() if d != 2}
+
+
+def test_key_filter_loses_no_match(spark):
+    keys = spark.range(0, 5000, 7).select(F.xxhash64("id").alias("h"))
+    left = maybe_in(spark.range(5000).withColumn("kept", F.lit(1)), F.xxhash64("id"), keys, F.col("h"))
+    assert left.columns == ["id", "kept"]
+    got = {r.id for r in left.collect()}
+    assert set(range(0, 5000, 7)) <= got and len(got) < 900
+    assert maybe_in(spark.range(5000), F.xxhash64("id"), keys.limit(0), F.col("h")).count() == 0
 
 
 def test_preferences_on_odd_rows(spark):
