@@ -87,6 +87,35 @@ def test_join_matches_brute_force(docs, none):
     assert op1_ngram_join.near_classes(none).count() == 0
 
 
+@pytest.mark.parametrize("doc", [None, 5])
+def test_one_of_each_tells_texts_of_one_id_apart(spark, doc):
+    x, t = "one two three four five six seven", "this other text has nothing of it at all"
+    rows = [(1, x), (doc, t), (doc, x), (doc, t), (9, None), (9, ""), (9, None), (10, x + " x")]
+    table = spark.createDataFrame(rows, "doc_id long, text string").withColumns({"c": F.lit("c"), "k": F.lit(1)}).repartition(3)
+    got = op1_ngram_join.one_of_each(table)
+    assert got.columns == table.columns
+    assert counter((r.doc_id, r.text or "") for r in got.collect()) == counter([(1, x), (doc, t), (9, ""), (10, x + " x")])
+
+
+def test_forest_is_shortened_to_the_links_there_are(spark):
+    rnd = random.Random(6)
+    new = lambda n: [f"w{rnd.getrandbits(48)}" for _ in range(n)]
+
+    def depth(share):
+        rows = []
+        for i in range(40):  # pairs that share their first words
+            base = new(204)
+            rows += [(2 * i, " ".join(base)), (2 * i + 1, " ".join(base[:share] + new(204 - share)))]
+        sets = op1_ngram_join.signed(spark.createDataFrame(rows, "doc_id long, text string")).withColumn("id", F.col("doc_id"))
+        links, length, recall = op1_ngram_join.forest_links(sets)
+        assert recall >= op1_ngram_join.RECALL or length == op1_ngram_join.DEPTHS[-1]
+        return length, {(r.a, r.b) for r in links.collect()}
+    close, found = depth(202)
+    assert close == 8 and found == {(2 * i, 2 * i + 1) for i in range(40)}
+    far, found = depth(182)  # 178 of 222 shingles: just above the threshold
+    assert far == 5 and {(2 * i, 2 * i + 1) for i in range(40)} <= found
+
+
 def test_join_over_several_blocks(spark, monkeypatch):
     monkeypatch.setattr(op1_ngram_join, "BLOCK", 4)
     rnd = random.Random(1)
