@@ -40,7 +40,7 @@ from minutebook.llm.common import discard, maybe_in, read, saved
 #: similarity as a fraction
 NUM, DEN = 4, 5
 BUCKET_BITS = 17
-_LOW57 = (1 << 57) - 1
+_LOW56 = (1 << 56) - 1
 
 
 def lines_of(text: Column) -> Column:
@@ -54,22 +54,13 @@ def _plain(text: Column) -> Column:
     return F.when(other[0] | other[1] | other[2] | other[3], F.translate(low, "\t\r\x0b\x0c", "    ")).otherwise(low)
 
 
-def _words(plain: Column) -> Column:
-    """Words of a plain line; one space character to split at is much faster than a pattern."""
-    return F.array_remove(F.split(plain, " "), "")
-
-
-def tokens_of(line: Column) -> Column:
-    """The lower-cased words of a line."""
-    return _words(_plain(line))
-
-
 def line_words(docs: DataFrame) -> DataFrame:
-    """doc_id, th (hash of the text) and lines (number and word hashes of each line with a word), for each row (written)."""
-    hashed = F.transform(lines_of(_plain(F.col("text").cast("string"))), lambda x, i: F.struct(i.alias("line_no"), _hashes(_words(x)).alias("h")))
-    rows = docs.select("doc_id", _text_hash().alias("th"), F.filter(hashed, lambda s: F.size(s["h"]) > 0).alias("lines"))
+    """doc_id, th (hash of the text), line_no and h (hashes of the line's different words) for each line (written)."""
+    lines = docs.select("doc_id", _text_hash().alias("th"), F.posexplode(lines_of(_plain(F.col("text").cast("string")))).alias("line_no", "line"))
+    # one space to split at is much faster than a pattern; what is empty between two spaces leaves as a hash
+    h = F.array_remove(F.array_distinct(F.transform(F.split("line", " "), lambda t: F.xxhash64(t))), F.xxhash64(F.lit("")))
     # word hashes repeat: a dictionary that holds a file's vocabulary takes about a third of the plain longs
-    return saved(rows, "line-words", {"parquet.dictionary.page.size": str(16 << 20)})
+    return saved(lines.select("doc_id", "th", "line_no", h.alias("h")), "line-words", {"parquet.dictionary.page.size": str(16 << 20)})
 
 
 def _text_hash() -> Column:
@@ -91,17 +82,13 @@ def rarity_classes(hashes: DataFrame) -> Column:
     return F.lit(bytes(classes))
 
 
-def _hashes(tokens: Column) -> Column:
-    return F.array_distinct(F.transform(tokens, lambda t: F.xxhash64(t)))
-
-
 def _keys(hashes: Column, classes: Column) -> Column:
-    """Sorted word keys: rarity class above 57 bits of the hash."""
+    """Sorted word keys: rarity class (as its character) above 56 bits of the hash."""
     size = 1 << BUCKET_BITS
 
     def key(h: Column) -> Column:
         found = F.substring(classes, (h.bitwiseAND(F.lit(size - 1)) + 1).cast("int"), F.lit(1))
-        return F.shiftleft((F.ascii(found.cast("string")) - 48).cast("long"), 57).bitwiseOR(h.bitwiseAND(F.lit(_LOW57)))
+        return F.shiftleft(F.ascii(found.cast("string")).cast("long"), 56).bitwiseOR(h.bitwiseAND(F.lit(_LOW56)))
     return F.sort_array(F.transform(hashes, key))
 
 
@@ -109,23 +96,26 @@ def _prefix_size(n: Column) -> Column:
     return n - F.ceil(n * NUM / DEN).cast("int") + 1
 
 
-def _parity(hashes: Column, half: int) -> Column:
-    """Parity of 64 of 128 word buckets, as the bits of a long."""
+def _parity(hashes: Column, half: bool) -> Column:
+    """Parity of 64 word buckets, as the bits of a long: of all words, or of the half that another bit of the hash picks.
+
+    The two together are the parity of 128 buckets.  A shift takes its count modulo 64.
+    """
     def bit(h: Column) -> Column:
-        one = F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftrightunsigned(h, 40).bitwiseAND(F.lit(63)).cast("int"))
-        return F.when(F.shiftrightunsigned(h, 50).bitwiseAND(F.lit(1)) == half, one).otherwise(F.lit(0).cast("long"))
+        one = F.shiftrightunsigned(h, 50).bitwiseAND(F.lit(1)) if half else F.lit(1).cast("long")
+        return F.call_function("shiftleft", one, F.shiftrightunsigned(h, 40).cast("int"))
     return F.aggregate(hashes, F.lit(0).cast("long"), lambda acc, h: acc.bitwiseXOR(bit(h)))
 
 
 def distinct_lines(words: DataFrame) -> DataFrame:
     """Lines with equal word sets as one row at their first position (written): id, pos, n, s1, s2, prefix."""
-    hashed = words.select("doc_id", "th", F.inline("lines"))
+    hashed = words.filter(F.size("h") > 0)
     classes = rarity_classes(hashed.select(F.explode("h").alias("h")))
     keyed = hashed.withColumn("keys", _keys(F.col("h"), classes))
     n = F.size("keys")
     rows = keyed.select(
         F.struct("doc_id", "th", "line_no").alias("pos"), F.xxhash64("keys").alias("k1"), F.xxhash64("keys", F.lit(1)).alias("k2"),
-        n.alias("n"), _parity(F.col("h"), 0).alias("s1"), _parity(F.col("h"), 1).alias("s2"),
+        n.alias("n"), _parity(F.col("h"), False).alias("s1"), _parity(F.col("h"), True).alias("s2"),
         F.transform(F.slice("keys", F.lit(1), _prefix_size(n)), lambda k: F.hash(k)).alias("prefix"))
     one = rows.groupBy("k1", "k2").agg(F.min("pos").alias("pos"), F.first("n").alias("n"), F.first("s1").alias("s1"),
                                        F.first("s2").alias("s2"), F.first("prefix").alias("prefix"))
@@ -146,8 +136,8 @@ def _may_match(a: str, b: str) -> Column:
     na, nb = (F.shiftright(F.col(f"{x}ni"), 32) for x in (a, b))
     ia, ib = (F.col(f"{x}ni").bitwiseAND(F.lit((1 << 32) - 1)) for x in (a, b))
     rest = F.least(na - ia, nb - ib)  # this word and those after it
-    differ = (F.bit_count(F.col(f"{a}s1").bitwiseXOR(F.col(f"{b}s1")))
-              + F.bit_count(F.col(f"{a}s2").bitwiseXOR(F.col(f"{b}s2"))))
+    every, half = (F.col(f"{a}{s}").bitwiseXOR(F.col(f"{b}{s}")) for s in ("s1", "s2"))
+    differ = F.bit_count(half) + F.bit_count(every.bitwiseXOR(half))
     both = na + nb
     return ((na * DEN >= nb * NUM) & (nb * DEN >= na * NUM) & (rest * (NUM + DEN) >= both * NUM)
             & (differ * (NUM + DEN) <= both * (DEN - NUM)))
@@ -171,14 +161,11 @@ def near_repeats(words: DataFrame, lines: DataFrame) -> DataFrame:
     marked = saved(matched, "line-marks")
     at = saved(lines.join(marked.select("id").distinct(), "id", "left_semi").select("id", "pos"), "line-places")
     flagged = saved(marked.join(at, "id"), "line-flags")
-    # the word sets of these lines: only documents that have one move
-    wanted = at.groupBy(F.col("pos.doc_id").alias("d"), F.col("pos.th").alias("t")).agg(
-        F.collect_list(F.struct("pos.line_no", "id")).alias("wanted"))
-    here = maybe_in(words, F.xxhash64("doc_id", "th"), at.select("pos.doc_id", "pos.th").distinct(), F.xxhash64("doc_id", "th"))
-    met = here.join(wanted, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("th") == F.col("t")))
-    own = met.select(F.explode("wanted").alias("w"), "lines").select(
-        "w.id", F.filter("lines", lambda x: x["line_no"] == F.col("w.line_no"))[0]["h"].alias("h"))
-    sets = saved(own.dropDuplicates(["id"]), "line-sets")
+    # the word sets of these lines: a key filter comes before the join, so other lines do not move
+    wanted = at.select("id", F.col("pos.doc_id").alias("d"), F.col("pos.th").alias("t"), F.col("pos.line_no").alias("l"))
+    here = maybe_in(words, F.xxhash64("doc_id", "th", "line_no"), wanted, F.xxhash64("d", "t", "l"))
+    met = here.join(wanted, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("th") == F.col("t")) & (F.col("line_no") == F.col("l")))
+    sets = saved(met.select("id", "h").dropDuplicates(["id"]), "line-sets")
     # the earliest line under each word
     columns = [c for c in flagged.columns if c != "word"]
     lead = flagged.groupBy("word").agg(F.min(F.struct("pos", *[c for c in columns if c != "pos"])).alias("f")).select(
@@ -198,22 +185,17 @@ def near_repeats(words: DataFrame, lines: DataFrame) -> DataFrame:
     return found
 
 
-def kept_lines(words: DataFrame) -> DataFrame:
-    """doc_id, th and the numbers of its lines with a word that stay."""
-    lines = distinct_lines(words)
-    gone = near_repeats(words, lines)
-    stay = lines.select("id", "pos.*").join(gone, "id", "left_anti")
-    return stay.groupBy(F.col("doc_id").alias("kept_doc"), F.col("th").alias("kept_th")).agg(F.collect_list("line_no").alias("kept"))
-
-
 def gone_lines(docs: DataFrame) -> DataFrame:
-    """doc_id, th and the sorted numbers of the removed lines, for each different document (written)."""
+    """doc_id, th and the sorted numbers of the removed lines, for each different document that has any (written)."""
     words = line_words(docs)
-    judged = words.select("doc_id", "th", F.transform("lines", lambda s: s["line_no"]).alias("judged")).dropDuplicates(["doc_id", "th"])
-    joined = judged.join(kept_lines(words), F.col("doc_id").eqNullSafe(F.col("kept_doc")) & (F.col("th") == F.col("kept_th")), "left")
-    out = saved(joined.select("doc_id", "th", F.array_sort(F.array_except(
-        "judged", F.coalesce("kept", F.array().cast("array<int>")))).alias("gone")).filter(F.size("gone") > 0), "line-gone")
-    discard(words)
+    lines = distinct_lines(words)
+    near = near_repeats(words, lines)
+    stay = lines.select("id", "pos.*").join(near, "id", "left_anti").select(
+        F.col("doc_id").alias("d"), F.col("th").alias("t"), F.col("line_no").alias("l"))
+    gone = words.filter(F.size("h") > 0).select("doc_id", "th", "line_no").join(
+        stay, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("th") == F.col("t")) & (F.col("line_no") == F.col("l")), "left_anti")
+    out = saved(gone.groupBy("doc_id", "th").agg(F.array_sort(F.collect_set("line_no")).alias("gone")), "line-gone")
+    discard(words, lines, near)
     return out
 
 
