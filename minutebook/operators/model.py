@@ -13,11 +13,13 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.patterns import (PACKED_CHUNK_TOKENS, RETRY_CHARS, SEP_STRICT_FUSE, WHOLE_BELOW_TOKENS)
+from ..functions.patterns import (PACKED_CHUNK_TOKENS, RETRY_CHARS, SEP_AUDIO_FUSE, SEP_STRICT_FUSE,
+                                  TOKEN_CHUNK, WHOLE_BELOW_TOKENS)
 from ..functions.templates import CONTEXT_ERRORS, STAGES
+from ..functions.text import strip
 from ..functions.tokens import token_count
 from ..session import ship_package
-from .chunk import paragraph_chunks
+from .chunk import paragraph_chunks, token_chunks
 
 
 def fill_template(template: str, text, date=None):
@@ -69,7 +71,7 @@ def plan_stages(df: DataFrame, doc: str = "doc", text: str = "text",
     s_rows = short.select(doc, F.explode(F.array(*[F.lit(s) for s in ("summary", "outline", "decisions")]))
                           .alias("stage"), F.lit(0).alias("chunk_no"), F.col(text).alias("input"),
                           F.lit(None).cast("string").alias("depends_on"))
-    chunks = paragraph_chunks(long_.select(doc, text), whole_below=0, max_tokens=max_tokens)
+    chunks = paragraph_chunks(long_.select(doc, F.col(text).alias("text")), whole_below=0, max_tokens=max_tokens)
     c_rows = chunks.select(doc, F.lit("summary").alias("stage"), "chunk_no", F.col("text").alias("input"),
                            F.lit(None).cast("string").alias("depends_on"))
     later = long_.select(doc, F.explode(F.array(
@@ -94,8 +96,10 @@ def run_model(requests: DataFrame, make_client: Callable[[], Callable[[str, str
     user_text) -> reply``.  A blank source text is not sent (status
     ``blank``).  A context-length error is retried once with
     ``retry_template`` filled with ``source_text[:retry_chars]`` and the
-    ``date`` column (status ``too_long`` if that fails too); any other error
-    gives status ``error``.  ``partitions``
+    ``date`` column: status ``shortened``, so that a reply to a part of a text
+    never passes for one to the whole (``too_long`` if that fails too; texts
+    known to be long go through ``run_chunked``).  Any other error gives
+    status ``error``.  ``partitions``
     bounds how many calls run at once and ``pause_s`` spaces the calls of
     one task (a service rate limit: at most ``partitions / pause_s`` calls
     per second overall).  ``settings`` names request columns (model,
@@ -137,7 +141,7 @@ def run_model(requests: DataFrame, make_client: Callable[[], Callable[[str, str
                         retry = retry_template.replace("{date}", str(d)).replace("{text}", s[:retry_chars])
                         try:
                             content.append(call(retry, None, {**g, **(retry_settings or {})}))
-                            status.append("ok"), error.append(None)
+                            status.append("shortened"), error.append(None)
                         except Exception as e2:  # noqa: BLE001
                             status.append("too_long"), content.append(None), error.append(str(e2))
                     else:
@@ -192,6 +196,43 @@ def run_stages(plan: DataFrame, call: Callable[[DataFrame, list[str]], DataFrame
     return first.unionByName(fused).unionByName(last)
 
 
+def meeting_documents(transcripts: DataFrame, plan: DataFrame, replies: DataFrame, doc: str = "doc", text: str = "text") -> DataFrame:
+    """S7's text outputs: doc, doc_kind (transcript, summary, outline), heading and body.
+
+    The summary of a text that was sent whole is its reply, of a longer one the reply to its
+    ``fuse`` row.  A kind without a reply has no row.
+    """
+    fused = plan.where("stage = 'fuse'").select(doc, F.lit(True).alias("_long"))
+    answered = replies.where("content IS NOT NULL").join(fused, doc, "left")
+    kind = (F.when(F.col("stage") == "outline", "outline")
+            .when((F.col("stage") == "fuse") | ((F.col("stage") == "summary") & F.col("_long").isNull()), "summary"))
+    written = answered.select(doc, kind.alias("doc_kind"), strip("content").alias("body")).where("doc_kind IS NOT NULL")
+    rows = transcripts.select(doc, F.lit("transcript").alias("doc_kind"), F.col(text).alias("body")).unionByName(written)
+    return rows.select(doc, "doc_kind", F.initcap("doc_kind").alias("heading"), "body")
+
+
+def run_chunked(docs: DataFrame, call: Callable[[DataFrame, list[str]], DataFrame], doc: str = "doc", text: str = "text",
+                max_tokens: int = TOKEN_CHUNK, sep: str = SEP_AUDIO_FUSE) -> DataFrame:
+    """The audio run: a summary of every token chunk (C1), the summaries joined in order (A5), one merge request of the joined text.
+
+    Returns doc, n_chunks, n_failed, status, content and error of the merge; whole texts of any
+    length, no part left out.  Where a chunk got no reply the merge is not sent and the status is
+    ``incomplete``; a text without a token has no chunk and the status ``blank``.  Blank chunks
+    add nothing.  The replies of both steps are checkpointed, so no call is repeated.
+    """
+    chunks = token_chunks(docs.select(doc, text), max_tokens, text=text)
+    requests = build_requests(chunks, "chunk_summary", text=text, keys=[doc, "chunk_no"])
+    partial = call(requests, [doc, "chunk_no"]).checkpoint(eager=True)
+    counts = partial.groupBy(doc).agg(F.count(F.lit(1)).cast("int").alias("n_chunks"))
+    joined = fuse(partial.where("status <> 'blank'"), doc=doc, sep=sep)
+    merged = call(build_requests(joined.where("fused IS NOT NULL"), "merge_summary", text="fused", keys=[doc]), [doc]).checkpoint(eager=True)
+    out = docs.select(doc).distinct().join(counts, doc, "left").join(joined.select(doc, "n_failed"), doc, "left").join(merged, doc, "left")
+    status = (F.when(F.coalesce("n_failed", F.lit(0)) > 0, F.lit("incomplete"))
+              .otherwise(F.coalesce("status", F.lit("blank"))))
+    return out.select(doc, F.coalesce("n_chunks", F.lit(0)).alias("n_chunks"),
+                      F.coalesce("n_failed", F.lit(0)).cast("long").alias("n_failed"), status.alias("status"), "content", "error")
+
+
 def attach_responses(requests: DataFrame, responses: DataFrame, keys: list[str]) -> DataFrame:
     """Every request with its reply (status ``missing`` when none)."""
     r = responses.select(*keys, "status", "content")

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from ..functions.dates import file_date_key, with_page_date
 from ..functions.patterns import MONTHS
 from ..functions.text import upper_text, words
+from ..session import stored
+from .scan import running
 
 ISSUE_COLS = ["file", "check", "detail"]
 
@@ -101,17 +103,67 @@ def check_repeats(df: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     return _issue(r, key, "repeated_words", F.col("n"), when=F.col("n") > 0)
 
 
-def check_terms(df: DataFrame, terms: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Q6: key terms (whole words, case folded) missing from a text.
+def numbered_terms(terms: DataFrame, term: str = "term") -> DataFrame:
+    """Different terms (case folded, blanks as one space; blank ones left out) with dense numbers from 0, in term order."""
+    folded = F.array_join(words(F.lower(term)), " ")
+    rows = terms.select(folded.alias("term")).where("term <> ''").distinct().withColumn("_all", F.lit(0))
+    return running(rows, ["_all"], ["term"], total={"_n": F.lit(1).cast("long")}).select("term", (F.col("_n") - 1).alias("term_no"))
 
-    The term list (a reviewer's list) enters as one scalar; the words of each
-    text are taken off it inside the row, so texts are scanned once and not
-    shuffled.
+
+def found_terms(df: DataFrame, numbered: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The terms that each text holds, as bitmaps of 32,768 term numbers: key, bucket, bits.
+
+    Relational division: the different words and phrases of a text (as long as the terms are)
+    meet the term table by an equi join, so neither the list nor a text has to fit one row, and
+    a term of several words is found as such.  Texts without any term have no row.
+    """
+    lengths = [r[0] for r in numbered.select(F.size(F.split("term", " ")).alias("n")).distinct().collect()]  # few: words of a term
+    w = F.col("_w")
+
+    def phrases(n: int):
+        run = w if n == 1 else F.transform(F.sequence(F.lit(1), F.size(w) - n + 1), lambda i: F.array_join(F.slice(w, i, n), " "))
+        return F.when(F.size(w) >= n, run).otherwise(F.array().cast("array<string>"))
+    runs = [phrases(n) for n in sorted(lengths)]
+    every = F.array_distinct(F.concat(*runs)) if runs else F.array().cast("array<string>")
+    held = df.select(key, words(F.lower(text)).alias("_w")).select(key, F.explode(every).alias("term"))
+    numbers = held.join(numbered, "term")
+    return numbers.groupBy(key, F.bitmap_bucket_number(F.col("term_no") + 1).alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(F.col("term_no") + 1)).alias("bits"))
+
+
+def missing_terms(df: DataFrame, terms: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """key and term for every term that a text lacks: the complement of its bitmaps, one term a row."""
+    numbered = stored(numbered_terms(terms), "terms")
+    found = found_terms(df, numbered, key, text)
+    place = F.bitmap_bit_position(F.col("term_no") + 1)
+    by_bucket = numbered.groupBy(F.bitmap_bucket_number(F.col("term_no") + 1).alias("bucket")).agg(
+        F.collect_list(F.struct(place.alias("at"), "term")).alias("t"))
+    n = numbered.count()
+    asked = df.select(key).distinct().withColumn("bucket", F.explode(F.sequence(F.lit(1), F.lit(-(-n // 32768))).cast("array<bigint>"))) \
+        if n else df.select(key, F.lit(0).cast("long").alias("bucket")).limit(0)
+    rows = asked.join(by_bucket, "bucket").join(found, [key, "bucket"], "left")
+
+    def has(at):
+        byte = F.conv(F.hex(F.substring(F.col("bits"), F.floor(at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+        return F.coalesce(F.getbit(byte, (at % 8).cast("int")) == 1, F.lit(False))
+    return rows.select(key, F.inline(F.filter("t", lambda x: ~has(x["at"])))).select(key, "term")
+
+
+def check_terms(df: DataFrame, terms: DataFrame, key: str = "doc_id", text: str = "text", listed: bool = True) -> DataFrame:
+    """Q6: texts that lack key terms (words or phrases, case folded).
+
+    The detail names them in term order, or (``listed`` false, for lists of thousands of terms)
+    says how many of how many; ``missing_terms`` then has them one a row.  Rows that share a key
+    are one text.
     """
-    wanted = terms.select(F.lower("term").alias("term")).distinct().select(F.sort_array(F.collect_list("term")).alias("a"))
-    missing = F.array_except(wanted.scalar(), words(F.lower(text)))
-    d = df.select(key, missing.alias("m"))
-    return _issue(d, key, "missing_terms", F.array_join("m", ","), when=F.size("m") > 0)
+    if listed:
+        d = missing_terms(df, terms, key, text).groupBy(key).agg(F.array_join(F.sort_array(F.collect_list("term")), ",").alias("m"))
+        return _issue(d, key, "missing_terms", F.col("m"))
+    numbered = stored(numbered_terms(terms), "terms")
+    n = numbered.count()
+    per = found_terms(df, numbered, key, text).groupBy(key).agg(F.sum(F.bitmap_count("bits")).alias("found"))
+    d = df.select(key).distinct().join(per, key, "left").withColumn("lacks", F.lit(n) - F.coalesce("found", F.lit(0)))
+    return _issue(d, key, "missing_terms", F.concat(F.col("lacks").cast("string"), F.lit(f" of {n}")), when=F.col("lacks") > 0)
 
 
 NUMBER = "[0-9]+(?:[,.][0-9]+)*"

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.dates import recording_date
 from ..functions.patterns import MEETING_PDF_SUFFIX, UNASSIGNED
 from ..functions.text import minutes, word_count
+from .scan import PAGE_BYTES, paged
 
 ATTENDEE_FIELDS = ["Category_1", "Category_2", "Name_1", "Name_2", "Title/Role"]
 # accepted attendee date formats, each with the shape a string must have to
@@ -65,6 +66,40 @@ def merge_report_long(summaries: DataFrame, attendees: DataFrame, order_by: str
     return s.join(a, "Date", "left")
 
 
+def attendees_paged(att: DataFrame, order_by: str = "row_no", fields=ATTENDEE_FIELDS, page_bytes: int = PAGE_BYTES) -> DataFrame:
+    """A1 for dates of any size: the ordered attendee records (JSON, nulls kept) of a date as numbered
+    pages of bounded size: Date, page_no, n_before, n_values, Attendees (a JSON list)."""
+    rec = F.to_json(F.struct(*[F.col(f"`{f}`") for f in fields]), JSON_KEEP_NULLS)
+    rows = att.select(lenient_date("Date").alias("Date"), F.col(order_by), rec.alias("_r")).where(F.col("Date").isNotNull())
+    pages = paged(rows, ["Date"], [order_by], "_r", page_bytes)
+    return pages.select("Date", "page_no", "n_before", "n_values",
+                        F.concat(F.lit("["), F.array_join("values", ","), F.lit("]")).alias("Attendees"))
+
+
+def merge_report_paged(summaries: DataFrame, attendees: DataFrame, page_bytes: int = PAGE_BYTES) -> DataFrame:
+    """J1 with paged lists: one row per summary and page of its date's attendees (page_no 0 and a null
+    list where there are none), so no row grows with the table."""
+    s = summaries.withColumn("Date", F.to_date("Date", "yyyy-MM-dd"))
+    out = s.join(attendees_paged(attendees, page_bytes=page_bytes), "Date", "left")
+    return out.withColumns({"page_no": F.coalesce("page_no", F.lit(0)), "n_before": F.coalesce("n_before", F.lit(0)),
+                            "n_values": F.coalesce("n_values", F.lit(0))})
+
+
+def manifest_paged(numbered: DataFrame, part_by: str = "collection", name: str = "page_name", page_bytes: int = PAGE_BYTES) -> DataFrame:
+    """A6 for meetings of any size: header rows (``kind`` ``meeting``: n_values pages in all, PDF name) and the
+    numbered source list as pages (``kind`` ``sources``), each of bounded size."""
+    m = numbered.where(F.col("meeting_key") != UNASSIGNED)
+    line = F.format_string("%2d. %s", F.col("page_in_meeting"), F.col(name))
+    rows = m.select(part_by, "meeting_key", "page_in_meeting", line.alias("_l"))
+    pages = paged(rows, [part_by, "meeting_key"], ["page_in_meeting"], "_l", page_bytes).select(
+        part_by, "meeting_key", F.lit("sources").alias("kind"), "page_no", "n_before", "n_values",
+        F.array_join("values", "\n").alias("text"))
+    heads = rows.groupBy(part_by, "meeting_key").agg(F.count(F.lit(1)).alias("n_values")).select(
+        part_by, "meeting_key", F.lit("meeting").alias("kind"), F.lit(0).alias("page_no"), F.lit(0).cast("long").alias("n_before"),
+        "n_values", F.concat("meeting_key", F.lit(MEETING_PDF_SUFFIX)).alias("text"))
+    return heads.unionByName(pages)
+
+
 def run_stats(outcomes: DataFrame, status: str = "status", seconds: str | None = "seconds",
               statuses=("already_ocr", "processed", "failed")) -> DataFrame:
     """One row of run counters from a status column (no shared

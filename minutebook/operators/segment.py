@@ -17,6 +17,7 @@ from ..functions.dates import meeting_key, parse_date, with_page_date
 from ..functions.patterns import EVIDENCE_INDICATORS, START_PHRASES
 from ..functions.text import upper_text
 from ..session import checkpoint_dir
+from .scan import ROWS_PER_RANGE, running
 
 
 def _col(c) -> Column:
@@ -46,24 +47,24 @@ def classify_pages(pages: DataFrame, text: str = "text") -> DataFrame:
 
 
 def assign_meetings(pages: DataFrame, part_by="collection", order_by="page_name",
-                    text: str = "text") -> DataFrame:
-    """Forward fill of ``start_date`` within each collection.
+                    text: str = "text", rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
+    """Forward fill of ``start_date`` within each collection.
 
-    The window is partitioned by collection, so collections run in parallel;
-    for one very large collection use ``assign_meetings_bucketed``.
+    A distributed scan (``scan.running``): pages are classified once, the
+    classified rows without their text go into ranges of the page order, and
+    no window holds a whole collection, so one collection with most of the
+    pages is spread over all tasks.  The page text is not part of the result.
     """
     parts = [part_by] if isinstance(part_by, str) else list(part_by)
-    w = (Window.partitionBy(*parts).orderBy(order_by)
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    out = classify_pages(pages, text)
-    out = out.withColumn("meeting_date", F.last("start_date", ignorenulls=True).over(w))
+    order = [order_by] if isinstance(order_by, str) else list(order_by)
+    out = running(classify_pages(pages, text).drop(text), parts, order, last={"meeting_date": "start_date"}, rows_per_range=rows_per_range)
     return out.withColumn("meeting_key", meeting_key("meeting_date"))
 
 
 def assign_meetings_bucketed(pages: DataFrame, part_by="collection", bucket="bucket",
                              order_by="page_name", text: str = "text", materialize: bool = True) -> DataFrame:
-    """The same answer as ``assign_meetings`` without one task per
-    collection.
+    """The same answer as ``assign_meetings`` where the pages carry a
+    bucket column of the page order already (one scan level, no range sort).
 
     ``bucket`` must grow with the page order (e.g. page number / 10,000).
     Step 1 fills inside each (collection, bucket) window, which spreads one
@@ -115,26 +116,12 @@ def page_evidence(pages: DataFrame, part_by="collection", order_by="page_name",
 
 
 def number_pages(assigned: DataFrame, part_by=("collection", "meeting_key"), name: str = "page_name",
-                 bucket: str | None = None) -> DataFrame:
-    """Page numbers inside a meeting by lower-cased name, from 1.
-
-    With ``bucket`` (a column that never decreases along ``lower(name),
-    name``, e.g. a prefix of the lower-cased name) one meeting is numbered
-    by many tasks: pages are counted per (meeting, bucket), a running sum
-    over that small table gives each bucket its offset, and pages are
-    numbered inside their bucket.
-    """
-    order = [F.lower(name), F.col(name)]
-    if bucket is None:
-        w = Window.partitionBy(*part_by).orderBy(*order)
-        return assigned.withColumn("page_in_meeting", F.row_number().over(w))
-    keys = list(part_by) + [bucket]
-    local = assigned.withColumn("_n", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
-    counts = assigned.groupBy(*keys).agg(F.count(F.lit(1)).alias("_c"))
-    before = Window.partitionBy(*part_by).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(*keys, F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_off"))
-    out = local.join(offsets, keys, "left")
-    return out.withColumn("page_in_meeting", (F.col("_off") + F.col("_n")).cast("int")).drop("_n", "_off")
+                 rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
+    """Page numbers inside a meeting by lower-cased name, from 1: a running count by the
+    distributed scan, so one meeting with most of the pages is numbered by many tasks."""
+    out = running(assigned.withColumn("_low", F.lower(name)), list(part_by), ["_low", name], total={"_n": F.lit(1).cast("long")},
+                  rows_per_range=rows_per_range)
+    return out.withColumn("page_in_meeting", F.col("_n").cast("int")).drop("_n", "_low")
 
 
 def first_files(files: DataFrame, n: int, order_by: str = "path") -> DataFrame:

@@ -5,6 +5,8 @@ same names by the checker).  ``with_views`` prepends the ones a query uses.
 """
 from __future__ import annotations
 
+from .oracle_funcs import words
+
 D = "(DATE '1970-01-01' + CAST({x} AS INTEGER))"
 
 
@@ -35,7 +37,8 @@ FROM documents"""
 
 VIEWS["v_candidates"] = f"""
 SELECT source || '/' || {PAGE_NAME} AS path, r AS config_rank,
-       CASE WHEN doc_id % 11 = 0 THEN '' ELSE left(text, CAST(n_chars // (1 + (doc_id + r) % 3) AS INTEGER)) END AS text
+       CASE WHEN doc_id % 11 = 0 AND r % 2 = 0 THEN ' ' || chr(10) WHEN (doc_id + r) % 3 = 1 THEN replace(text, ' the ', ' ')
+            WHEN (doc_id + r) % 3 = 2 THEN replace(text, '. ', '.  ') ELSE text END AS text
 FROM documents, (SELECT unnest([0, 1, 2, 3]) AS r) ranks"""
 
 _d3 = day("page_id // 3")
@@ -164,9 +167,9 @@ FROM (SELECT l_orderkey,
 UNION ALL
 SELECT 'e' || CAST(event_id AS VARCHAR), props FROM events"""
 
-VIEWS["v_terms"] = """
-SELECT DISTINCT lower(regexp_extract(text, '^([A-Za-z]+)', 1)) AS term FROM benchmark
-WHERE length(regexp_extract(text, '^([A-Za-z]+)', 1)) >= 4"""
+VIEWS["v_terms"] = f"""
+SELECT DISTINCT unnest(w || CASE WHEN len(w) >= 2 THEN [w[1] || ' ' || w[2]] ELSE [] END) AS term
+FROM (SELECT {words('lower(text)')} AS w FROM benchmark)"""
 
 DEPENDS = {"v_file_text": ["v_files"]}
 

@@ -11,17 +11,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as TT
+from pyspark.errors import StreamingQueryException
 
 from ..functions import text as T
 from ..functions.dates import file_date_key, folder_year, meeting_key, part_no, recording_date, with_page_date
 from ..functions.patterns import (MARKER_LENGTH, MARKER_LONGER, MAX_CHARS, MAX_PROMPT_CHARS, SECTION_DEFAULTS,
                                   SECTION_HEADERS)
 from ..functions.patterns import WS_CLASS_RE2 as WS_CLASS
-from ..functions.templates import SHORT_SUMMARY, STAGES, STRUCTURED_SUMMARY
+from ..functions.templates import CHUNK_SUMMARY, MERGE_SUMMARY, SHORT_SUMMARY, STAGES, STRUCTURED_SUMMARY
 from ..functions.text import upper_text
 from ..functions.tokens import token_count
-from ..operators import assemble, catalog, chunk, model, parse, qc, report, segment
-from ..session import checkpoint_dir, scratch_path
+from ..operators import assemble, catalog, chunk, ledger, model, parse, qc, report, segment
+from ..session import checkpoint_dir, scratch_path, stored
 from ..sources import io
 from ..streaming.index import stream_index
 from . import oracle_funcs as Q
@@ -129,17 +130,17 @@ def w1_assign_meetings(spark, sf):
 
 @register("w2_assign_meetings_bucketed", with_views(_W1_SQL, "v_pages"))
 def w2_assign_meetings_bucketed(spark, sf):
-    pages = V.v_pages(spark, sf).withColumn("bucket", F.expr("page_no div 40"))
-    return segment.assign_meetings_bucketed(pages, bucket="bucket").select(*_W_COLS)
+    """The scan over ranges of few pages, so that carries cross many of them."""
+    return segment.assign_meetings(V.v_pages(spark, sf), rows_per_range=PAGES_PER_RANGE).select(*_W_COLS)
 
 
-PAGES_PER_BUCKET = 40   # the test data's bucket width (FIXTURES.md); production uses ~10,000
+# far below the default: the small test tables then have many ranges too
+PAGES_PER_RANGE = 500
 
 
 def _assigned(spark, sf, **more):
-    """Meeting assignment for the consumers: the skew-safe bucketed form, with ``more`` columns of the pages."""
-    pages = V.v_pages(spark, sf).withColumns({"bucket": F.expr(f"page_no div {PAGES_PER_BUCKET}"), **more})
-    return segment.assign_meetings_bucketed(pages, bucket="bucket", materialize=True)
+    """Meeting assignment for the consumers, with ``more`` columns of the pages."""
+    return segment.assign_meetings(V.v_pages(spark, sf).withColumns(more) if more else V.v_pages(spark, sf))
 
 
 @register("w5_number_pages", with_views(f"""
@@ -148,8 +149,7 @@ SELECT collection, meeting_key, page_name,
          AS page_in_meeting
 FROM ({_W1_SQL})""", "v_pages"))
 def w5_number_pages(spark, sf):
-    a = _assigned(spark, sf).withColumn("_b", F.left(F.lower("page_name"), F.lit(6)))
-    return segment.number_pages(a, bucket="_b").select("collection", "meeting_key", "page_name", "page_in_meeting")
+    return segment.number_pages(_assigned(spark, sf)).select("collection", "meeting_key", "page_name", "page_in_meeting")
 
 
 @register("w6_first_files", with_views(
@@ -527,6 +527,51 @@ def u3_run_model(spark, sf):
     return out.checkpoint(eager=True)
 
 
+@register("u3_resumable_run", with_views(f"""
+SELECT doc_id, {stub_model.sql_call('prompt', None, 'source_text', 'retry_prompt')}, CAST(1 AS BIGINT) AS n_sent FROM ({_DOC_REQ_SQL})""",
+                                         "v_texts"))
+def u3_resumable_run(spark, sf):
+    """The run broken off after half of its batches, then begun again: each request is sent once."""
+    checkpoint_dir(spark)
+    folder = scratch_path(spark, f"u3-{uuid.uuid4().hex}")
+    requests = _doc_requests(spark, sf)
+    batch = -(-requests.count() // 4)
+
+    def go(stop_after):
+        return ledger.run_resumable(requests, lambda rows, keys: _run_stub(rows, keys), folder, ["doc_id"],
+                                    ["prompt", "user_text", "model", "temperature"], per_batch=batch, stop_after=stop_after)
+    try:
+        go(2)
+    except StreamingQueryException as e:
+        if "stopped between two batches" not in str(e):
+            raise
+    named = requests.select("doc_id", ledger.request_key(["prompt", "user_text", "model", "temperature"]).alias("request_key"))
+    replies = go(None)
+    sent = named.join(ledger.times_sent(spark, f"{folder}/ledger"), "request_key", "left").select("doc_id", "n_sent")
+    return replies.join(sent, "doc_id")
+
+
+_AUDIO_PARTIAL = f"""
+SELECT doc_id, chunk_no, {stub_model.sql_call('prompt', None, 'text', None)}
+FROM (SELECT doc_id, chunk_no, text, {sql_fill(CHUNK_SUMMARY, 'text')} AS prompt FROM ({_c1_body(300)}))"""
+
+
+@register("u3_audio_run", with_views(f"""
+SELECT d.doc_id, coalesce(c.n, 0) AS n_chunks, coalesce(j.n_failed, 0) AS n_failed,
+       CASE WHEN coalesce(j.n_failed, 0) > 0 THEN 'incomplete' ELSE coalesce(m.status, 'blank') END AS status, m.content, m.error
+FROM (SELECT DISTINCT doc_id FROM v_texts) d LEFT JOIN (SELECT doc_id, CAST(count(*) AS INTEGER) AS n FROM partial GROUP BY doc_id) c USING (doc_id)
+LEFT JOIN joined j USING (doc_id)
+LEFT JOIN (SELECT doc_id, {stub_model.sql_call('prompt', None, 'fused', None)}
+           FROM (SELECT doc_id, fused, {sql_fill(MERGE_SUMMARY, 'fused')} AS prompt FROM joined WHERE fused IS NOT NULL)) m USING (doc_id)""",
+                                     "v_texts", extra={"partial": _AUDIO_PARTIAL, "joined": """
+SELECT doc_id, CASE WHEN count(*) = count(content) THEN string_agg(content, chr(10) || chr(10) || '---' || chr(10) || chr(10) ORDER BY chunk_no) END AS fused,
+       CAST(count_if(content IS NULL) AS BIGINT) AS n_failed FROM partial WHERE status <> 'blank' GROUP BY doc_id"""}))
+def u3_audio_run(spark, sf):
+    """Whole texts of any length: a summary of every chunk, joined, and the merge of these."""
+    checkpoint_dir(spark)
+    return model.run_chunked(V.v_texts(spark, sf), lambda rows, keys: _run_stub(rows, keys, retry=False), doc="doc_id", max_tokens=300)
+
+
 def _u2_sql(whole_below: int, max_tokens: int) -> str:
     costs = f"list_transform(paras, lambda p: {Q.token_count('p')} + 1)"
     fold = (f"list_reduce({costs}, {_C2_STEP.format(m=max_tokens)}, "
@@ -581,21 +626,24 @@ def _staged_sql(rows: str) -> str:
     return f"SELECT doc_id, stage, chunk_no, {stub_model.sql_call(_system_sql('stage'), 'input', 'input', None)} FROM ({rows})"
 
 
-@register("j4_staged_responses", with_views("""
-SELECT p.doc_id, p.stage, p.chunk_no, coalesce(r.status, 'missing') AS status, r.content
-FROM plan p LEFT JOIN (SELECT * FROM r1 UNION ALL SELECT * FROM r2 UNION ALL SELECT * FROM r3) r
-  ON p.doc_id = r.doc_id AND p.stage = r.stage AND p.chunk_no = r.chunk_no""", "v_texts", extra={
-    "plan": _u2_sql(500, 400),
+_STAGED_STEPS = {
     "r1": _staged_sql("SELECT * FROM plan WHERE input IS NOT NULL"),
     "r2": _staged_sql("""SELECT doc_id, 'fuse' AS stage, CAST(0 AS INTEGER) AS chunk_no,
   string_agg(content, chr(10) || chr(10) ORDER BY chunk_no) AS input FROM r1
 WHERE stage = 'summary' AND status <> 'blank' AND doc_id IN (SELECT doc_id FROM plan WHERE stage = 'fuse')
 GROUP BY doc_id HAVING count(*) = count(content)"""),
     "r3": _staged_sql("""SELECT p.doc_id, p.stage, p.chunk_no, r2.content AS input
-FROM plan p JOIN r2 ON p.doc_id = r2.doc_id AND p.depends_on = 'fuse' WHERE r2.content IS NOT NULL""")}))
+FROM plan p JOIN r2 ON p.doc_id = r2.doc_id AND p.depends_on = 'fuse' WHERE r2.content IS NOT NULL""")}
+
+
+@register("j4_staged_responses", with_views("""
+SELECT p.doc_id, p.stage, p.chunk_no, coalesce(r.status, 'missing') AS status, r.content
+FROM plan p LEFT JOIN (SELECT * FROM r1 UNION ALL SELECT * FROM r2 UNION ALL SELECT * FROM r3) r
+  ON p.doc_id = r.doc_id AND p.stage = r.stage AND p.chunk_no = r.chunk_no""", "v_texts", extra={
+    "plan": _u2_sql(500, 400), **_STAGED_STEPS}))
 def j4_staged_responses(spark, sf):
     checkpoint_dir(spark)
-    plan = model.plan_stages(V.v_texts(spark, sf), doc="doc_id", whole_below=500, max_tokens=400)
+    plan = stored(model.plan_stages(V.v_texts(spark, sf), doc="doc_id", whole_below=500, max_tokens=400), "plan")  # used by each stage
     replies = model.run_stages(plan, lambda req, keys: _run_stub(req, keys, retry=False), doc="doc_id")
     return model.attach_responses(plan.select("doc_id", "stage", "chunk_no"), replies, ["doc_id", "stage", "chunk_no"])
 
@@ -632,7 +680,7 @@ def _summary_run(spark, sf):
 def summary_records(replies):
     """CSV rows of the summary run: parsed sections for answered files,
     fixed records for failed calls, no row for blank text."""
-    ok = replies.where("status = 'ok'")
+    ok = replies.where("status IN ('ok', 'shortened')")
     parsed = parse.parse_sections(ok, doc="path", content="content")
     good = ok.select("path", "name", "date").join(parsed, "path").select(
         "date", "name", "synopsis", "summary", "key_notes")
@@ -671,9 +719,9 @@ def _ph_sql(i: int) -> str:
 
 _RECORDS_SQL = f"""
 SELECT r.date AS "Date", r.name AS PDF_File, p.synopsis AS Synopsis, p.summary AS Summary, p.key_notes AS "Key Notes"
-FROM run r JOIN ({_r1_sql("SELECT path, content FROM run WHERE status = 'ok'", 'path', 'content')}) p
+FROM run r JOIN ({_r1_sql("SELECT path, content FROM run WHERE status IN ('ok', 'shortened')", 'path', 'content')}) p
   ON r.path = p.path
-WHERE r.status = 'ok'
+WHERE r.status IN ('ok', 'shortened')
 UNION ALL
 SELECT date, name, {_ph_sql(0)}, {_ph_sql(1)}, {_ph_sql(2)} FROM run WHERE status IN ('error', 'too_long')"""
 
@@ -727,8 +775,62 @@ SELECT collection, meeting_key, CAST(count(*) AS BIGINT) AS n_pages,
        meeting_key || '_meeting_minutes.pdf' AS pdf_file
 FROM ({_NUMBERED_SQL}) WHERE meeting_key <> 'unassigned' GROUP BY collection, meeting_key""", "v_pages"))
 def a6_meeting_manifest(spark, sf):
-    a = _assigned(spark, sf).withColumn("_b", F.left(F.lower("page_name"), F.lit(6)))
-    return report.meeting_manifest(segment.number_pages(a, bucket="_b"))
+    return report.meeting_manifest(segment.number_pages(_assigned(spark, sf)))
+
+
+def _paged_sql(rows: str, keys: str, order: str, value: str, page_bytes: int) -> str:
+    """Pages of ordered values: the page is where a value begins in bytes, one byte between values."""
+    return f"""
+SELECT *, CAST(begun // {page_bytes} AS INTEGER) AS page_no FROM (
+  SELECT *, CAST(sum(strlen({value}) + 1) OVER (PARTITION BY {keys} ORDER BY {order}) - strlen({value}) - 1 AS BIGINT) AS begun,
+         row_number() OVER (PARTITION BY {keys} ORDER BY {order}) AS no FROM ({rows}))"""
+
+
+PAGE_BYTES = 512  # far below the default: the small test lists then have several pages too
+
+
+@register("a6_manifest_paged", with_views(f"""
+WITH l AS ({_paged_sql(f"SELECT collection, meeting_key, pim, printf('%2d. %s', pim, page_name) AS line FROM ({_NUMBERED_SQL}) WHERE meeting_key <> 'unassigned'",
+                       'collection, meeting_key', 'pim', 'line', PAGE_BYTES)})
+SELECT collection, meeting_key, 'sources' AS kind, page_no, CAST(min(no) - 1 AS BIGINT) AS n_before, CAST(count(*) AS BIGINT) AS n_values,
+       string_agg(line, chr(10) ORDER BY no) AS text FROM l GROUP BY collection, meeting_key, page_no
+UNION ALL
+SELECT collection, meeting_key, 'meeting', CAST(0 AS INTEGER), CAST(0 AS BIGINT), CAST(count(*) AS BIGINT), meeting_key || '_meeting_minutes.pdf'
+FROM l GROUP BY collection, meeting_key""", "v_pages").replace("\nWITH l AS", ", l AS", 1).replace("\n, l AS", ",\nl AS", 1))
+def a6_manifest_paged(spark, sf):
+    return report.manifest_paged(segment.number_pages(_assigned(spark, sf)), page_bytes=PAGE_BYTES)
+
+
+_ATT_REC = ("CAST(to_json({'Category_1': Category_1, 'Category_2': Category_2, 'Name_1': Name_1, 'Name_2': Name_2, "
+            "'Title/Role': \"Title/Role\"}) AS VARCHAR)")
+_A1_PAGED_SQL = f"""
+SELECT d AS "Date", page_no, CAST(min(no) - 1 AS BIGINT) AS n_before, CAST(count(*) AS BIGINT) AS n_values,
+       '[' || string_agg(rec, ',' ORDER BY no) || ']' AS Attendees
+FROM ({_paged_sql(f"SELECT * FROM (SELECT {_ATT_DATE} AS d, row_no, {_ATT_REC} AS rec FROM v_attendees) WHERE d IS NOT NULL", 'd', 'row_no', 'rec', PAGE_BYTES)})
+GROUP BY d, page_no"""
+
+
+@register("a1_attendees_paged", with_views(_A1_PAGED_SQL, "v_attendees"))
+def a1_attendees_paged(spark, sf):
+    return report.attendees_paged(V.v_attendees(spark, sf), page_bytes=PAGE_BYTES)
+
+
+@register("j1_merge_report_paged", with_views(f"""
+SELECT CAST(s."Date" AS DATE) AS "Date", s.PDF_File, s.Synopsis, s.Summary, s."Key Notes", coalesce(a.page_no, 0) AS page_no,
+       coalesce(a.n_before, 0) AS n_before, coalesce(a.n_values, 0) AS n_values, a.Attendees
+FROM v_summaries s LEFT JOIN ({_A1_PAGED_SQL}) a ON CAST(s."Date" AS DATE) = a."Date"
+""", "v_summaries", "v_attendees"))
+def j1_merge_report_paged(spark, sf):
+    return report.merge_report_paged(V.v_summaries(spark, sf), V.v_attendees(spark, sf), PAGE_BYTES)
+
+
+@register("j1_merge_report_long", with_views(f"""
+SELECT CAST(s."Date" AS DATE) AS "Date", s.PDF_File, s.Synopsis, s.Summary, s."Key Notes", a.row_no, a.Category_1, a.Category_2,
+       a.Name_1, a.Name_2, a."Title/Role"
+FROM v_summaries s LEFT JOIN (SELECT {_ATT_DATE} AS d, * EXCLUDE ("Date") FROM v_attendees) a ON CAST(s."Date" AS DATE) = a.d
+""", "v_summaries", "v_attendees"))
+def j1_merge_report_long(spark, sf):
+    return report.merge_report_long(V.v_summaries(spark, sf), V.v_attendees(spark, sf))
 
 
 @register("a9_folder_stats", with_views(f"""
@@ -839,14 +941,15 @@ def q5_check_repeats(spark, sf):
 
 
 _Q6_SQL = f"""
-SELECT CAST(doc_id AS VARCHAR) AS file, 'missing_terms' AS "check", array_to_string(m, ',') AS detail FROM (
-  SELECT doc_id, list_filter((SELECT list(term ORDER BY term) FROM v_terms), lambda t: NOT list_contains(w, t)) AS m
-  FROM (SELECT doc_id, {Q.words('lower(text)')} AS w FROM v_texts)) WHERE len(m) > 0"""
+SELECT CAST(doc_id AS VARCHAR) AS file, 'missing_terms' AS "check", CAST(n - found AS VARCHAR) || ' of ' || CAST(n AS VARCHAR) AS detail FROM (
+  SELECT doc_id, (SELECT count(*) FROM v_terms) AS n, (SELECT count(*) FROM v_terms WHERE list_contains(w, term)) AS found
+  FROM (SELECT doc_id, list_distinct(w || list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS w
+        FROM (SELECT doc_id, {Q.words('lower(text)')} AS w FROM v_texts))) WHERE n > found"""
 
 
 @register("q6_check_terms", with_views(_Q6_SQL, "v_texts", "v_terms"))
 def q6_check_terms(spark, sf):
-    return qc.check_terms(V.v_texts(spark, sf), V.v_terms(spark, sf))
+    return qc.check_terms(V.v_texts(spark, sf), V.v_terms(spark, sf), listed=False)
 
 
 _Q7_SQL = f"""
@@ -904,7 +1007,7 @@ def q10_qc_report(spark, sf):
     idx = report.recording_index(r, V.v_transcripts(spark, sf))
     texts = V.v_texts(spark, sf)
     issues = [qc.check_complete(r), qc.check_durations(r), qc.check_readable(r), qc.check_short(idx, min_wpm=16),
-              qc.check_repeats(texts), qc.check_terms(texts, V.v_terms(spark, sf)), qc.check_support(V.v_support(spark, sf)),
+              qc.check_repeats(texts), qc.check_terms(texts, V.v_terms(spark, sf), listed=False), qc.check_support(V.v_support(spark, sf)),
               qc.check_dates(V.v_file_text(spark, sf)), _name_issues(spark, sf)]
     files = (r.select("file").unionByName(V.v_files(spark, sf).select(F.col("path").alias("file")))
              .unionByName(texts.select(F.col("doc_id").cast("string").alias("file")))
@@ -962,16 +1065,41 @@ def s6_append_index(spark, sf):
     return spark.read.parquet(path)
 
 
-@register("s7_write_documents", with_views(f"""
-SELECT meeting, 'transcript' AS doc_kind, '# Transcript' || chr(10) || chr(10) || transcript AS markdown
-FROM ({_A3_SQL})""", "v_parts", "v_roster"))
+_S7_STEPS = {
+    "s7_t": _A3_SQL,
+    "v_texts": "SELECT meeting AS doc_id, transcript AS text FROM s7_t",
+    "plan": _u2_sql(500, 400), **_STAGED_STEPS,
+    "replies": "SELECT * FROM r1 UNION ALL SELECT * FROM r2 UNION ALL SELECT * FROM r3",
+    "kinds": f"""
+SELECT doc_id, doc_kind, {Q.strip('content')} AS body FROM (
+  SELECT *, CASE WHEN stage = 'outline' THEN 'outline' WHEN stage = 'fuse' THEN 'summary'
+                 WHEN stage = 'summary' AND doc_id NOT IN (SELECT doc_id FROM plan WHERE stage = 'fuse') THEN 'summary' END AS doc_kind
+  FROM replies WHERE content IS NOT NULL) WHERE doc_kind IS NOT NULL
+UNION ALL SELECT doc_id, 'transcript', text FROM v_texts"""}
+
+
+@register("s7_write_documents", with_views("""
+SELECT doc_id AS meeting, doc_kind, CAST(NULL AS INTEGER) AS idx,
+       '# ' || upper(left(doc_kind, 1)) || substr(doc_kind, 2) || chr(10) || chr(10) || body AS markdown FROM kinds
+UNION ALL
+SELECT doc_id, 'decision', 0, json_extract_string(content, '$[0].motion') || ' | ' || json_extract_string(content, '$[0].result') || ' | '
+       || coalesce(json_extract_string(content, '$[0].yes'), '') || ' | ' || coalesce(json_extract_string(content, '$[0].no'), '')
+FROM replies WHERE stage = 'decisions' AND content LIKE '[{%'""", "v_parts", "v_roster", extra=_S7_STEPS))
 def s7_write_documents(spark, sf):
+    """The strict run's outputs: transcript, summary and outline of all meetings in one write, and the
+    decisions table; both read back."""
+    checkpoint_dir(spark)
     path = scratch_path(spark, f"s7-{uuid.uuid4().hex}")
-    t = assemble.assemble_transcript(V.v_parts(spark, sf), V.v_roster(spark, sf))
-    docs = t.select("meeting", F.lit("transcript").alias("doc_kind"), F.lit("Transcript").alias("heading"),
-                    F.col("transcript").alias("body"))
-    io.write_documents(docs, path)
-    return spark.read.parquet(path).select("meeting", F.col("doc_kind").cast("string"), "markdown")
+    t = stored(assemble.assemble_transcript(V.v_parts(spark, sf), V.v_roster(spark, sf)), "s7-transcripts")
+    plan = stored(model.plan_stages(t, doc="meeting", text="transcript", whole_below=500, max_tokens=400), "s7-plan")
+    replies = model.run_stages(plan, lambda req, keys: _run_stub(req, keys, retry=False), doc="meeting")
+    io.write_documents(model.meeting_documents(t, plan, replies, doc="meeting", text="transcript"), f"{path}/documents")
+    io.write_decisions(parse.parse_decisions(replies.where("stage = 'decisions'"), doc="meeting"), f"{path}/decisions", doc="meeting")
+    docs = spark.read.parquet(f"{path}/documents").select(
+        "meeting", F.col("doc_kind").cast("string"), F.lit(None).cast("int").alias("idx"), "markdown")
+    votes = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("motion", "result", "yes", "no")]
+    decided = spark.read.parquet(f"{path}/decisions").select("meeting", F.lit("decision").alias("doc_kind"), "idx", F.concat_ws(" | ", *votes).alias("markdown"))
+    return docs.unionByName(decided)
 
 
 @register("s8_write_by_meeting", with_views(

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.text import words
 from ..sources.tables import table
 
 NL = "\n"
@@ -56,15 +57,16 @@ def v_pages(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def v_candidates(spark: SparkSession, sf: str) -> DataFrame:
-    """Four OCR candidate texts per page (config rank 0-3), ties included."""
-    docs = table(spark, sf, "documents").select("doc_id", "source", "text", "n_chars")
+    """Four OCR candidate texts per page (config rank 0-3), each of the whole text: as it is, with a
+    word lost, with doubled blanks after sentences, or (every 11th page, two of the settings) unread."""
+    docs = table(spark, sf, "documents").select("doc_id", "source", "text")
+    kind = (F.col("doc_id") + F.col("config_rank")) % 3
+    damaged = (F.when((F.col("doc_id") % 11 == 0) & (F.col("config_rank") % 2 == 0), F.lit(" \n"))
+               .when(kind == 1, F.replace(F.col("text"), F.lit(" the "), F.lit(" ")))
+               .when(kind == 2, F.replace(F.col("text"), F.lit(". "), F.lit(".  "))).otherwise(F.col("text")))
     return (docs.select("*", F.explode(F.array(*[F.lit(i) for i in range(4)])).alias("config_rank"))
-            .select(
-                F.concat(F.col("source"), F.lit("/"), _page_name(F.col("doc_id"))).alias("path"),
-                F.col("config_rank"),
-                F.when(F.col("doc_id") % 11 == 0, F.lit(""))
-                 .otherwise(F.expr("left(text, cast(n_chars div (1 + (doc_id + config_rank) % 3) as int))"))
-                 .alias("text")))
+            .select(F.concat(F.col("source"), F.lit("/"), _page_name(F.col("doc_id"))).alias("path"), "config_rank",
+                    damaged.alias("text")))
 
 
 def v_files(spark: SparkSession, sf: str) -> DataFrame:
@@ -280,8 +282,7 @@ def v_decisions(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def v_terms(spark: SparkSession, sf: str) -> DataFrame:
-    """Key terms: the lower-cased first word (four letters or more) of each
-    benchmark passage."""
-    b = table(spark, sf, "benchmark").select("text")
-    w = F.lower(F.regexp_extract("text", "^([A-Za-z]+)", 1))
-    return b.select(w.alias("term")).where(F.length("term") >= 4).distinct()
+    """Key terms: every word of every whole benchmark passage, and the phrase of its first two words."""
+    w = words(F.lower("text"))
+    both = F.when(F.size(w) >= 2, F.array_append(w, F.array_join(F.slice(w, 1, 2), " "))).otherwise(w)
+    return table(spark, sf, "benchmark").select(F.explode(both).alias("term")).distinct()

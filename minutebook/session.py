@@ -3,9 +3,10 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark import SparkConf
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
@@ -71,6 +72,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, "tables", name)
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared checkpoint folder and read again: computed once, and safe from lost executors."""
+    path = f"{scratch_path(df.sparkSession, name)}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 _SHIPPED: set[str] = set()
 
 

@@ -39,7 +39,7 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType, missing_ok:
     """CSV with a header and a declared schema (no inference pass).
     A missing path gives an empty table when ``missing_ok`` (the roster case:
     a run without a roster simply has no member headers)."""
-    if missing_ok and not _exists(spark, path):
+    if missing_ok and not path_exists(spark, path):
         return spark.createDataFrame([], schema)
     return (spark.read.option("header", True).option("multiLine", True).option("escape", '"')
             .schema(schema).csv(path))
@@ -68,7 +68,7 @@ def append_index(df: DataFrame, path: str, key: str = "file") -> DataFrame:
     # one row per key, also inside a batch: the first by all columns
     w = Window.partitionBy(key).orderBy(*[F.col(f"`{c}`") for c in df.columns])
     new = df.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
-    if _exists(spark, path):
+    if path_exists(spark, path):
         new = new.join(spark.read.parquet(path).select(key), key, "left_anti")
     new.write.mode("append").parquet(path)
     return new
@@ -76,19 +76,36 @@ def append_index(df: DataFrame, path: str, key: str = "file") -> DataFrame:
 
 def write_documents(df: DataFrame, path: str, kind: str = "doc_kind", heading: str | None = "heading",
                     body: str = "body") -> None:
-    """Per-meeting text outputs as one table partitioned by kind; the
-    Markdown form is ``# heading`` + blank line + body."""
+    """Per-meeting text outputs of all kinds as one table partitioned by kind; the
+    Markdown form is ``# heading`` + blank line + body.
+
+    One write for all kinds: rows are rebalanced by kind, and a kind that holds most of
+    the bytes is split over several tasks.  A kind that is written again replaces itself only.
+    """
     md = F.concat(F.lit("# "), F.col(heading), F.lit("\n\n"), F.col(body)) if heading else F.col(body)
-    df.withColumn("markdown", md).write.mode("overwrite").partitionBy(kind).parquet(path)
+    _write_parts(df.withColumn("markdown", md), path, kind)
+
+
+def write_decisions(decisions: DataFrame, path: str, doc: str = "doc") -> None:
+    """The decision records as a table (doc, idx, motion, result, yes, no); a meeting without any has no row."""
+    decisions.select(doc, "idx", "motion", "result", "yes", "no").write.mode("overwrite").parquet(path)
 
 
 def write_by_meeting(pages: DataFrame, path: str) -> None:
-    """Pages filed under their meeting (``meeting_key`` folders,
-    ``unassigned`` included) as a partitioned table."""
-    pages.repartition("meeting_key").write.mode("overwrite").partitionBy("meeting_key").parquet(path)
+    """Pages filed under their meeting (``meeting_key`` folders, ``unassigned`` included) as a
+    partitioned table; a meeting with very many pages is written by several tasks, and a repeated
+    run replaces the meetings it holds."""
+    _write_parts(pages, path, "meeting_key")
+
+
+def _write_parts(df: DataFrame, path: str, by: str) -> None:
+    """A table partitioned by ``by``: small partitions share a task, large ones are split (adaptive rebalancing)."""
+    (df.hint("rebalance", by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(by).parquet(path))
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there, on whatever file system the path names."""
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())

@@ -23,7 +23,7 @@ def test_run_model_statuses(spark):
         req, client_factory, keys=["doc"], retry_template="{text}", date="date", retry_chars=20).collect()}
     assert out[1] == ("ok", "ok:2")
     assert out[2] == ("blank", None)
-    assert out[3] == ("ok", "ok:20")          # retried with the first 20 characters
+    assert out[3] == ("shortened", "ok:20")   # retried with the first 20 characters, and marked so
     assert out[4][0] == "error"
     assert "{date}" in SHORT_SUMMARY
 

@@ -1,5 +1,6 @@
 import datetime as dt
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from minutebook.operators import segment
@@ -57,12 +58,22 @@ def test_number_pages_case_insensitive(spark):
     assert got == {"a.jpg": 1, "B.jpg": 2, "C.jpg": 3}
 
 
-def test_number_pages_bucketed_equals_plain(spark):
+def test_number_pages_over_many_ranges_equals_a_window(spark):
     rows = [("c%d" % (i % 3), "m%d" % (i % 5), "%s%04d.jpg" % ("AB"[i % 2], (i * 37) % 1000)) for i in range(600)]
+    rows += [("c0", "m0", "big%05d.jpg" % i) for i in range(900)]  # one meeting with most of the pages
     df = spark.createDataFrame(rows, "collection string, meeting_key string, page_name string")
-    plain = {(r.collection, r.meeting_key, r.page_name): r.page_in_meeting
-             for r in segment.number_pages(df).collect()}
-    b = df.withColumn("_b", F.left(F.lower("page_name"), F.lit(3)))
-    got = {(r.collection, r.meeting_key, r.page_name): r.page_in_meeting
-           for r in segment.number_pages(b, bucket="_b").collect()}
-    assert got == plain
+    w = Window.partitionBy("collection", "meeting_key").orderBy(F.lower("page_name"), "page_name")
+    plain = {tuple(r) for r in df.withColumn("n", F.row_number().over(w)).collect()}
+    assert {tuple(r) for r in segment.number_pages(df, rows_per_range=50).collect()} == plain
+
+
+def test_assign_meetings_over_many_ranges_equals_a_window(spark):
+    rows = [("c%d" % (i % 2) if i % 3 else "big", "%05d" % i, "MEETING OF MARCH %d, 1972" % (1 + i % 27) if i % 23 == 3 else "PAGE", i)
+            for i in range(700)]
+    df = spark.createDataFrame(rows, "collection string, page_name string, text string, page_no int").repartition(5)
+    w = Window.partitionBy("collection").orderBy("page_name").rowsBetween(Window.unboundedPreceding, 0)
+    c = segment.classify_pages(df).withColumn("d", F.last("start_date", ignorenulls=True).over(w))
+    plain = {(r.collection, r.page_name): r.d for r in c.collect()}
+    got = {(r.collection, r.page_name): r.meeting_date for r in segment.assign_meetings(df, rows_per_range=20).collect()}
+    assert got == plain and any(v is None for v in plain.values())
+
