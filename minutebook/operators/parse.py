@@ -1,7 +1,7 @@
 """Parse model replies: three sections, decision records, placeholders."""
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,6 +21,17 @@ def _header_regex(pattern: str, tolerant: bool) -> str:
     return "(?i)" + _TOLERANT_PREFIX + pattern[1:] + "\\**"
 
 
+def _labelled(line, tolerant: bool):
+    """A stripped line as (header, text): its section if it opens one, and its text (null if blank)."""
+    header = rest = F.lit(None).cast("string")
+    for name, pattern in reversed(SECTION_HEADERS):
+        rx = _header_regex(pattern, tolerant)
+        hit = line.rlike(rx)
+        header = F.when(hit, F.lit(name)).otherwise(header)
+        rest = F.when(hit, F.regexp_replace(line, rx + f"{WS_CLASS}*", "")).otherwise(line if name == SECTIONS[-1] else rest)
+    return F.struct(header.alias("header"), F.nullif(rest, F.lit("")).alias("text"))
+
+
 def parse_sections(df: DataFrame, doc: str = "doc", content: str = "content",
                    tolerant: bool = False) -> DataFrame:
     """Split a reply into synopsis, summary and key notes.
@@ -31,33 +42,28 @@ def parse_sections(df: DataFrame, doc: str = "doc", content: str = "content",
     with one blank; text before any header is dropped; missing sections get
     their default.
 
-    One shuffle on ``doc``: the line window, the per-section aggregate and the
-    per-document pivot all reuse that partitioning.
+    All of it happens inside the row, without a shuffle: lines are labelled, each
+    header takes the lines up to the next one, and a section joins its headers'
+    lines.  One row per reply, so replies that share a key stay apart; a null
+    reply gets the defaults.
     """
-    lines = df.select(doc, F.posexplode(F.split(F.col(content), "\n", -1)).alias("pos", "raw"))
-    lines = lines.withColumn("line", strip("raw"))
-    header = None
-    rest = None
-    for name, pat in reversed(SECTION_HEADERS):
-        rx = _header_regex(pat, tolerant)
-        hit = F.col("line").rlike(rx)
-        txt = F.regexp_replace("line", rx + f"{WS_CLASS}*", "")
-        header = F.when(hit, F.lit(name)) if header is None else F.when(hit, F.lit(name)).otherwise(header)
-        rest = F.when(hit, txt) if rest is None else F.when(hit, txt).otherwise(rest)
-    lines = lines.withColumn("header", header).withColumn("htext", rest)
-    w = Window.partitionBy(doc).orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    lines = lines.withColumn("section", F.last("header", ignorenulls=True).over(w)).where("section IS NOT NULL")
-    piece = F.when(F.col("header").isNotNull(), F.nullif(F.col("htext"), F.lit(""))) \
-        .otherwise(F.nullif(F.col("line"), F.lit("")))
-    per = lines.groupBy(doc, "section").agg(
-        F.max(F.when(F.col("header").isNotNull() & (F.col("htext") != ""), F.col("pos"))).alias("_from"),
-        F.collect_list(F.struct("pos", piece.alias("v"))).alias("_rows"))
-    kept = F.filter("_rows", lambda r: r["v"].isNotNull() & (F.col("_from").isNull() | (r["pos"] >= F.col("_from"))))
-    per = per.select(doc, "section", F.array_join(F.transform(F.sort_array(kept), lambda r: r["v"]), " ").alias("v"))
-    wide = per.groupBy(doc).agg(*[F.max(F.when(F.col("section") == s, F.col("v"))).alias(s) for s in SECTIONS])
-    out = df.select(doc).distinct().join(wide, doc, "left")
-    return out.select(doc, *[F.coalesce(F.nullif(strip(s), F.lit("")), F.lit(SECTION_DEFAULTS[s])).alias(s)
-                             for s in SECTIONS])
+    rows = df.select(doc, F.transform(F.split(F.col(content), "\n", -1), lambda raw: _labelled(strip(raw), tolerant)).alias("_rows"))
+    numbered = F.transform("_rows", lambda r, i: F.struct(i.alias("at"), r["header"].alias("header"), r["text"].alias("text")))
+    rows = rows.select(doc, "_rows", F.filter(numbered, lambda h: h["header"].isNotNull()).alias("_heads"))
+
+    def lines_under(h, j):
+        until = F.coalesce(F.try_element_at("_heads", j + 2)["at"], F.size("_rows"))
+        texts = F.transform(F.slice("_rows", h["at"] + 1, until - h["at"]), lambda r: r["text"])
+        return F.struct(h["header"].alias("header"), h["text"].isNotNull().alias("opens"), F.filter(texts, lambda t: t.isNotNull()).alias("texts"))
+    rows = rows.select(doc, F.transform("_heads", lines_under).alias("_blocks"))
+
+    def section(name: str):
+        mine = F.filter("_blocks", lambda b: b["header"] == name)
+        opened = F.coalesce(F.array_max(F.transform(mine, lambda b, i: F.when(b["opens"], i))), F.lit(0))
+        kept = F.slice(mine, opened + 1, F.size(mine))
+        return F.array_join(F.flatten(F.transform(kept, lambda b: b["texts"])), " ")
+    return rows.select(doc, *[F.coalesce(F.nullif(strip(section(s)), F.lit("")), F.lit(SECTION_DEFAULTS[s])).alias(s)
+                              for s in SECTIONS])
 
 
 DECISION_SCHEMA = T.ArrayType(T.StructType([

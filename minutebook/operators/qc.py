@@ -183,6 +183,40 @@ def check_support(df: DataFrame, key: str = "doc_id", summary: str = "summary",
     return _issue(d, key, "unsupported_claims", F.array_join("u", ";"), when=F.size("u") > 0)
 
 
+SENTENCE = "[^.!?\\n]+"
+# a word: letters, digits and whatever is not ASCII
+TERM = "[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+"
+
+
+def check_evidence(df: DataFrame, key: str = "doc_id", summary: str = "summary", transcript: str = "transcript",
+                   least: int = 60) -> DataFrame:
+    """Q7 beyond numbers: summary sentences whose words the transcript does not hold.
+
+    A sentence's support is the weight of its different words (case folded) that the transcript holds, as a share of
+    the weight of all of them.  A word weighs floor(1000 ln((2N+2)/(2n+1))) where n of N transcripts hold it, so
+    common words prove little.  Sentences below ``least`` percent are issues: ``number: percent``, numbered from 1.
+    Sentences without a word are none; a null transcript holds nothing; rows that share a key share their numbers.
+    """
+    def terms(c):
+        return F.array_distinct(F.regexp_extract_all(F.lower(c), F.lit(TERM), 0))
+    held = F.coalesce(terms(F.col(transcript)), F.array().cast("array<string>"))
+    said = F.filter(F.transform(F.regexp_extract_all(F.col(summary), F.lit(SENTENCE), 0), terms), lambda w: F.size(w) > 0)
+    n = df.count()
+    often = df.select(F.explode(held).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    docs = df.select(key, held.alias("_held"), said.alias("_said"))
+    docs = docs.select(key, "_said", F.array_except(F.array_distinct(F.flatten("_said")), "_held").alias("_not"))
+    each = docs.select(key, "_not", F.posexplode("_said").alias("no", "_words"))
+    pairs = each.select(key, "no", F.inline(F.concat(
+        F.transform(F.array_except("_words", "_not"), lambda w: F.struct(w.alias("word"), F.lit(1).alias("held"))),
+        F.transform(F.array_intersect("_words", "_not"), lambda w: F.struct(w.alias("word"), F.lit(0).alias("held"))))))
+    weight = F.floor(F.lit(1000) * F.log(F.lit(2.0 * n + 2) / (2 * F.coalesce("n", F.lit(0)) + 1))).cast("long")
+    per = pairs.join(often, "word", "left").withColumn("w", weight).groupBy(key, "no").agg(
+        F.sum(F.col("w") * F.col("held")).alias("held"), F.sum("w").alias("w"))
+    weak = per.where(100 * F.col("held") < least * F.col("w"))
+    return _issue(weak, key, "weak_evidence", F.concat((F.col("no") + 1).cast("string"), F.lit(": "),
+                                                       F.expr("100 * held div w").cast("string")))
+
+
 def check_dates(files: DataFrame, path: str = "path", name: str = "name", parent: str = "parent",
                 text: str = "text") -> DataFrame:
     """Q8: the date in a file name against the date found in its text.
@@ -200,12 +234,74 @@ def check_dates(files: DataFrame, path: str = "path", name: str = "name", parent
     return d.select(F.inline(F.filter(F.array(row), lambda r: r["check"].isNotNull())))
 
 
+RUN = "[\\p{L}\\p{N}]+"
+EDGE = 4
+
+
+def _name_tokens(name) -> F.Column:
+    """Tokens that every text holding ``name`` has: its inner runs of letters and digits as whole runs, the
+    first letters of a run that ends it, the last ones of a run that begins it; empty if there are none."""
+    runs = F.regexp_extract_all(name, F.lit(RUN), 0)
+    open_left, open_right = name.rlike(f"^{RUN}"), name.rlike(f"{RUN}\\z")
+
+    def token(r, i):
+        left, right = open_left & (i == 0), open_right & (i == F.size(runs) - 1)
+        return (F.when(~left & ~right, F.concat(F.lit("="), r))
+                .when(~left & (F.length(r) >= EDGE), F.concat(F.lit("^"), F.left(r, F.lit(EDGE))))
+                .when(~right & (F.length(r) >= EDGE), F.concat(F.lit("$"), F.right(r, F.lit(EDGE)))))
+    return F.array_distinct(F.filter(F.transform(runs, token), lambda t: t.isNotNull()))
+
+
+def _text_tokens(text) -> F.Column:
+    """Every token of a text that a name's token can meet (the empty one included)."""
+    runs = F.array_distinct(F.regexp_extract_all(text, F.lit(RUN), 0))
+    ends = F.filter(runs, lambda r: F.length(r) >= EDGE)
+    return F.array_distinct(F.concat(
+        F.array(F.lit("")), F.transform(runs, lambda r: F.concat(F.lit("="), r)),
+        F.transform(ends, lambda r: F.concat(F.lit("^"), F.left(r, F.lit(EDGE)))),
+        F.transform(ends, lambda r: F.concat(F.lit("$"), F.right(r, F.lit(EDGE))))))
+
+
+def named_in(texts: DataFrame, names: DataFrame, by: str, key: str, text: str, per_row: int = 1000) -> DataFrame:
+    """The (key, name) pairs of upper-cased ``names`` (by, name) that occur in a text of the same ``by``.
+
+    An inverted index of the names: each is filed under the rarest of its tokens (in how many texts of its
+    ``by`` the token occurs), and only texts that hold this token are searched, once for at most about
+    ``per_row`` names.  ``texts`` is read twice (tokens, search), so it should be a written table; names
+    without a token (one bare run, which may lie inside a longer one) meet every text of their ``by``.
+    """
+    filed = names.select(by, "name", F.explode(F.coalesce(F.nullif(_name_tokens(F.col("name")), F.array().cast("array<string>")),
+                                                          F.array(F.lit("")))).alias("token"))
+    held = texts.select(by, key, F.explode(_text_tokens(F.upper(text))).alias("token"))
+    held = stored(held.join(filed.select(by, "token").distinct(), [by, "token"], "left_semi"), "name-tokens")
+    often = held.groupBy(by, "token").agg(F.count(F.lit(1)).alias("n"))
+    # a name one of whose tokens no text holds is in no text
+    rarest = (filed.join(often, [by, "token"], "left").groupBy(by, "name")
+              .agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "token")).alias("t"))
+              .where("t.n > 0").select(by, "name", F.col("t.token").alias("token")))
+    asked = held.join(rarest, [by, "token"]).select(key, "name")
+    sized = asked.join(asked.groupBy(key).agg(F.ceil(F.count(F.lit(1)) / per_row).alias("_lists")), key)
+    lists = sized.groupBy(key, F.pmod(F.xxhash64("name"), "_lists").alias("_list")).agg(F.collect_set("name").alias("_names"))
+    found = texts.select(key, F.upper(text).alias("_up")).join(lists, key)
+    return found.select(key, F.explode(F.filter("_names", lambda n: F.instr(F.col("_up"), n) > 0)).alias("name")).distinct()
+
+
 def check_names(transcripts: DataFrame, members: DataFrame, meeting: str = "meeting",
-                text: str = "transcript") -> DataFrame:
-    """Q9: roster members of the meeting year whose name the transcript
-    never mentions (case folded)."""
-    j = members.where(F.col("name").isNotNull()).join(transcripts, meeting)
-    return _issue(j, meeting, "name_missing", F.col("name"), when=F.instr(F.upper(text), F.upper("name")) == 0)
+                text: str = "transcript", by: str | None = None) -> DataFrame:
+    """Q9: roster members whose name the transcript never mentions (case folded, anywhere in the text).
+
+    ``by`` is the column (the meeting year) that says whose members are asked for, so a year's members are
+    referred to by key and no transcript is repeated for them; without it ``members`` name their meeting.
+    Transcripts that share a meeting count as one; null names are left out; one row per missing member.
+    """
+    by = by or meeting
+    cols = [meeting] if by == meeting else [meeting, by]
+    texts = stored(transcripts.where(F.col(by).isNotNull()).select(*cols, F.coalesce(text, F.lit("")).alias("_text")), "name-texts")
+    m = members.where(F.col("name").isNotNull()).select(by, "name", F.upper("name").alias("_up"))
+    found = named_in(texts, m.select(by, F.col("_up").alias("name")).distinct(), by, meeting, "_text")
+    asked = texts.select(*cols).distinct().join(m, by)
+    missing = asked.join(found.withColumnRenamed("name", "_up"), [meeting, "_up"], "left_anti")
+    return _issue(missing, meeting, "name_missing", F.col("name"))
 
 
 def qc_report(issues: list[DataFrame], files: DataFrame, file: str = "file") -> DataFrame:

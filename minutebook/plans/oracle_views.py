@@ -142,6 +142,12 @@ SELECT doc_id, text || CASE WHEN doc_id % 2 = 1 THEN ' 98765' ELSE '' END
        text AS transcript
 FROM documents"""
 
+VIEWS["v_altered"] = r"""
+SELECT doc_id, array_to_string(list_transform(regexp_extract_all(text, '[^.!?\n]+'), lambda s, i:
+         CASE WHEN (doc_id + i - 1) % 3 = 0 THEN translate(s, 'aeiou', 'eioua') ELSE s END), '. ') AS summary,
+       text AS transcript
+FROM documents"""
+
 VIEWS["v_responses"] = """
 SELECT doc, concat_ws(chr(10),
          pre1 || 'Synopsis: ' || coalesce(lines[1], ''),

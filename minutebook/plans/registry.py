@@ -215,6 +215,19 @@ def p16_derived_names(spark, sf):
     return catalog.derived_names(V.v_files(spark, sf)).select("path", "ocr_name", "backup_name", "temp_name")
 
 
+@register("p16_output_names", with_views("""
+SELECT DISTINCT meeting_key AS source, meeting_key || '_meeting_minutes.pdf' AS output FROM (""" + _W1_SQL + """)
+UNION ALL
+SELECT stem, stem || e FROM (SELECT DISTINCT stem FROM v_recordings), (SELECT unnest(['.mp3', '.txt', '.summary.txt']) AS e)""",
+                                         "v_pages", "v_recordings"))
+def p16_output_names(spark, sf):
+    """The PDF that each meeting is bound into, and the files that each recording gives rise to."""
+    meetings = _assigned(spark, sf).select(F.col("meeting_key").alias("source")).distinct()
+    stems = V.v_recordings(spark, sf).select("stem").distinct().select("stem", catalog.recording_names("stem").alias("n"))
+    files = stems.select(F.col("stem").alias("source"), F.explode(F.array("n.mp3", "n.transcript", "n.summary")).alias("output"))
+    return meetings.select("source", catalog.meeting_pdf_name("source").alias("output")).unionByName(files)
+
+
 @register("w3_best_version", with_views(f"""
 SELECT date_key, path, name FROM (
   SELECT *, row_number() OVER (PARTITION BY date_key ORDER BY contains(name, '_ocr') DESC, path) AS rn
@@ -436,34 +449,35 @@ def _r1_sql(src: str, doc: str, content: str, tolerant: bool = False) -> str:
     final = ", ".join(f"coalesce(nullif({Q.strip(f'w.{s}')}, ''), {Q.lit(SECTION_DEFAULTS[s])}) AS {s}"
                       for s in secs)
     return f"""
+SELECT * FROM (WITH replies AS MATERIALIZED (SELECT row_number() OVER () AS reply, * FROM ({src}) s0)
 SELECT d.{doc}, {final}
-FROM (SELECT DISTINCT {doc} FROM ({src}) s0) d LEFT JOIN (
-  SELECT {doc}, {wide} FROM (
-    SELECT {doc}, section,
+FROM replies d LEFT JOIN (
+  SELECT reply, {wide} FROM (
+    SELECT reply, section,
            string_agg(piece, ' ' ORDER BY pos) FILTER (WHERE piece IS NOT NULL AND (f IS NULL OR pos >= f)) AS v
     FROM (
-      SELECT *, max(CASE WHEN hdr IS NOT NULL AND htext <> '' THEN pos END) OVER (PARTITION BY {doc}, section) AS f,
+      SELECT *, max(CASE WHEN hdr IS NOT NULL AND htext <> '' THEN pos END) OVER (PARTITION BY reply, section) AS f,
              CASE WHEN hdr IS NOT NULL THEN nullif(htext, '') ELSE nullif(line, '') END AS piece
       FROM (
-        SELECT *, last_value(hdr IGNORE NULLS) OVER (PARTITION BY {doc} ORDER BY pos
+        SELECT *, last_value(hdr IGNORE NULLS) OVER (PARTITION BY reply ORDER BY pos
                     ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS section
         FROM (
           SELECT *, CASE {' '.join(hdr)} END AS hdr, CASE {' '.join(txt)} END AS htext
           FROM (
-            SELECT {doc}, pos, {Q.strip('raw')} AS line
+            SELECT reply, pos, {Q.strip('raw')} AS line
             FROM (
-              SELECT {doc}, unnest(ls) AS raw, unnest(range(0, len(ls))) AS pos
-              FROM (SELECT {doc}, string_split({content}, chr(10)) AS ls FROM ({src}) s1) a1
+              SELECT reply, unnest(ls) AS raw, unnest(range(0, len(ls))) AS pos
+              FROM (SELECT reply, string_split({content}, chr(10)) AS ls FROM replies) a1
             ) a2
           ) a3
         ) a4
       ) a5
       WHERE section IS NOT NULL
     ) a6
-    GROUP BY {doc}, section
+    GROUP BY reply, section
   ) a7
-  GROUP BY {doc}
-) w ON d.{doc} = w.{doc}"""
+  GROUP BY reply
+) w ON d.reply = w.reply)"""
 
 
 @register("r1_parse_sections", with_views(_r1_sql("SELECT * FROM v_responses", "doc", "content"), "v_responses"))
@@ -864,8 +878,12 @@ def st1_stream_index(spark, sf):
     run = scratch_path(spark, f"st1-{uuid.uuid4().hex}")
     wav = V.v_recordings(spark, sf).where("kind = 'wav'").select("file", "stem", "duration_s")
     rows = wav.join(V.v_transcripts(spark, sf), "stem", "left")
-    rows.write.mode("overwrite").parquet(os.path.join(run, "in"))
-    return stream_index(spark, os.path.join(run, "in"), os.path.join(run, "out"), os.path.join(run, "ckpt"))
+    where = [os.path.join(run, d) for d in ("in", "out", "ckpt")]
+    rows.write.mode("overwrite").parquet(where[0])
+    stream_index(spark, *where)
+    # delivered again, and the stream begun again: every recording stays indexed once
+    rows.write.mode("append").parquet(where[0])
+    return stream_index(spark, *where)
 
 
 # ------------------------------------------------------------------ Q1-Q10
@@ -966,6 +984,28 @@ def q7_check_support(spark, sf):
     return qc.check_support(V.v_support(spark, sf))
 
 
+_EVIDENCE_SQL = rf"""
+WITH t AS (SELECT doc_id, list_distinct(regexp_extract_all(lower(coalesce(transcript, '')), '{qc.TERM}')) AS held,
+                  list_filter(list_transform(regexp_extract_all(summary, '{qc.SENTENCE}'),
+                              lambda s: list_distinct(regexp_extract_all(lower(s), '{qc.TERM}'))), lambda w: len(w) > 0) AS said
+           FROM v_altered),
+n AS (SELECT count(*) AS n FROM t),
+o AS (SELECT word, count(*) AS often FROM (SELECT unnest(held) AS word FROM t) GROUP BY word),
+s AS (SELECT doc_id, held, unnest(said) AS ws, unnest(range(1, len(said) + 1)) AS no FROM t),
+p AS (SELECT doc_id, no, word, list_contains(held, word) AS ok FROM (SELECT doc_id, no, held, unnest(ws) AS word FROM s)),
+w AS (SELECT doc_id, no, ok, CAST(floor(1000 * ln((2.0::DOUBLE * n + 2) / (2 * coalesce(often, 0) + 1))) AS BIGINT) AS w
+      FROM p CROSS JOIN n LEFT JOIN o USING (word)),
+g AS (SELECT doc_id, no, coalesce(sum(w) FILTER (WHERE ok), 0) AS held, sum(w) AS w FROM w GROUP BY doc_id, no)
+SELECT CAST(doc_id AS VARCHAR) AS file, 'weak_evidence' AS "check", CAST(no AS VARCHAR) || ': ' || CAST(100 * held // w AS VARCHAR) AS detail
+FROM g WHERE 100 * held < 60 * w"""
+
+
+@register("q7_check_evidence", with_views(f"SELECT * FROM ({_EVIDENCE_SQL})", "v_altered"))
+def q7_check_evidence(spark, sf):
+    """Q7 over the words of each sentence, on summaries with altered sentences."""
+    return qc.check_evidence(V.v_altered(spark, sf))
+
+
 @register("q8_check_dates", with_views(_Q8_SQL, "v_file_text"))
 def q8_check_dates(spark, sf):
     return qc.check_dates(V.v_file_text(spark, sf))
@@ -987,9 +1027,9 @@ def q9_check_names(spark, sf):
 def _name_issues(spark, sf):
     parts = V.v_parts(spark, sf)
     body = assemble.assemble_transcript(parts, None)
-    years = body.select("meeting", folder_year("meeting").alias("year")).where("year IS NOT NULL")
-    members = assemble.roster_for(years, V.v_roster(spark, sf))
-    return qc.check_names(body, members)
+    body = body.withColumn("year", folder_year("meeting"))
+    years = parts.select(folder_year("meeting").alias("year")).where("year IS NOT NULL").distinct()
+    return qc.check_names(body, assemble.roster_for(years, V.v_roster(spark, sf)), by="year")
 
 
 @register("q10_qc_report", with_views(f"""
@@ -1062,7 +1102,7 @@ def s6_append_index(spark, sf):
     idx = report.recording_index(V.v_recordings(spark, sf), V.v_transcripts(spark, sf))
     io.append_index(idx, path)
     io.append_index(idx, path)
-    return spark.read.parquet(path)
+    return io.read_index(spark, path)
 
 
 _S7_STEPS = {

@@ -235,6 +235,14 @@ def v_support(spark: SparkSession, sf: str) -> DataFrame:
                     F.col("text").alias("transcript"))
 
 
+def v_altered(spark: SparkSession, sf: str) -> DataFrame:
+    """Summary / transcript pairs over whole texts: every third sentence with other vowels."""
+    d = table(spark, sf, "documents").select("doc_id", "text")
+    altered = F.transform(F.regexp_extract_all("text", F.lit("[^.!?\\n]+"), 0), lambda s, i: F.when(
+        (F.col("doc_id") + i) % 3 == 0, F.translate(s, "aeiou", "eioua")).otherwise(s))
+    return d.select("doc_id", F.array_join(altered, ". ").alias("summary"), F.col("text").alias("transcript"))
+
+
 def v_responses(spark: SparkSession, sf: str) -> DataFrame:
     """Model replies with three section headers over the first three lines;
     every 6th numbered ``1. `` (not a header in the faithful parser), every

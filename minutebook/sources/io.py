@@ -5,10 +5,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 from pyspark.sql import types as T
 
 from ..functions.patterns import IMAGE_EXTENSIONS
+from ..session import stored
 
 LISTING_COLS = ["path", "dir", "parent", "name", "length", "modificationTime"]
 
@@ -61,17 +61,36 @@ def write_csv(df: DataFrame, path: str, cols: list[str] | None = None) -> None:
      .csv(path))
 
 
-def append_index(df: DataFrame, path: str, key: str = "file") -> DataFrame:
+INDEX_BUCKETS = 256
+BUCKET = "_bucket"
+
+
+def append_index(df: DataFrame, path: str, key: str = "file", buckets: int = INDEX_BUCKETS) -> DataFrame:
     """Append index rows not yet present (anti join on ``key``), so a
-    re-run adds nothing twice.  Returns the rows that were appended."""
+    re-run adds nothing twice.  Returns the rows that were appended.
+
+    The index is a table partitioned by a hash of the key (``buckets`` must stay the same for a table): an append
+    reads only the buckets its own keys fall into.  A null key is a key like others.
+    """
     spark = df.sparkSession
     # one row per key, also inside a batch: the first by all columns
-    w = Window.partitionBy(key).orderBy(*[F.col(f"`{c}`") for c in df.columns])
-    new = df.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
+    row = F.struct(*[F.col(f"`{c}`") for c in df.columns])
+    first = df.groupBy(F.col(key).alias("_key")).agg(F.min(row).alias("_row"))
+    new = first.select("_row.*").withColumn(BUCKET, F.pmod(F.hash(key), F.lit(buckets)))
     if path_exists(spark, path):
-        new = new.join(spark.read.parquet(path).select(key), key, "left_anti")
-    new.write.mode("append").parquet(path)
-    return new
+        new = stored(new, "index-batch")
+        wanted = [r[0] for r in new.select(BUCKET).distinct().collect()]  # at most ``buckets`` numbers
+        there = spark.read.parquet(path).where(F.col(BUCKET).isin(wanted)).select(F.col(key).alias("_there"), BUCKET)
+        there = there.withColumnRenamed(BUCKET, "_in")
+        new = new.join(there, (F.col(BUCKET) == F.col("_in")) & F.col(key).eqNullSafe(F.col("_there")), "left_anti")
+    # one file per bucket, or several for a large one
+    new.hint("rebalance", BUCKET).write.mode("append").partitionBy(BUCKET).parquet(path)
+    return new.drop(BUCKET)
+
+
+def read_index(spark: SparkSession, path: str) -> DataFrame:
+    """The index table of ``append_index``."""
+    return spark.read.parquet(path).drop(BUCKET)
 
 
 def write_documents(df: DataFrame, path: str, kind: str = "doc_kind", heading: str | None = "heading",

@@ -4,7 +4,10 @@ New rows (file, stem, duration_s, transcript) dropped into ``in_dir`` as
 parquet are indexed once: the streaming checkpoint remembers which input
 files were processed, which replaces the "skip if present" test of a batch
 re-run, and the parquet sink commits each micro-batch atomically, so a
-restarted or re-executed job neither loses nor duplicates rows.
+restarted or re-executed job neither loses nor duplicates rows.  A recording
+that is delivered again, in the same or in a later batch, is indexed once: the
+query keeps the names it has indexed as streaming state (on disk, by RocksDB),
+partitioned by name and restored from the checkpoint.
 """
 from __future__ import annotations
 
@@ -13,6 +16,9 @@ from pyspark.sql import types as T
 
 from ..operators.report import index_rows
 
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 INPUT_SCHEMA = T.StructType([
     T.StructField("file", T.StringType()),
     T.StructField("stem", T.StringType()),
@@ -24,12 +30,21 @@ INPUT_SCHEMA = T.StructType([
 def stream_index(spark: SparkSession, in_dir: str, out_dir: str, checkpoint: str,
                  max_files_per_trigger: int | None = None) -> DataFrame:
     """Index everything new in ``in_dir`` (``availableNow``: all pending
-    input, in bounded micro-batches, then stop) and return the index table."""
+    input, in bounded micro-batches, then stop) and return the index table.
+    Of rows with one file name the first delivered counts (any of those in one batch)."""
     reader = spark.readStream.schema(INPUT_SCHEMA).format("parquet")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     rows = reader.load(in_dir)
-    q = (index_rows(rows).writeStream.format("parquet").outputMode("append")
-         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start(out_dir))
+    before = spark.conf.get(STATE_STORE, None)
+    spark.conf.set(STATE_STORE, ROCKSDB)
+    try:
+        q = (index_rows(rows).dropDuplicates(["file"]).writeStream.format("parquet").outputMode("append")
+             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start(out_dir))
+    finally:
+        if before is None:
+            spark.conf.unset(STATE_STORE)
+        else:
+            spark.conf.set(STATE_STORE, before)
     q.awaitTermination()
     return spark.read.parquet(out_dir)

@@ -28,6 +28,15 @@ def test_sections_tolerant(spark):
     assert got[1][:2] == ("A", "B")
 
 
+def test_sections_of_replies_that_share_a_key(spark):
+    df = spark.createDataFrame([(1, "Synopsis: A"), (1, "Synopsis: B\nx"), (None, "Summary: C"), (2, None)], "doc int, content string")
+    got = parse.parse_sections(df)
+    rows = {(r.doc, r.synopsis, r.summary) for r in got.collect()}
+    no, nothing = "No synopsis provided", "No summary provided"
+    assert rows == {(1, "A", nothing), (1, "B x", nothing), (None, no, "C"), (2, no, nothing)}
+    assert "Exchange" not in got._jdf.queryExecution().executedPlan().toString()
+
+
 def test_decisions(spark):
     df = spark.createDataFrame([
         ("a", "[]"), ("b", '{"motion":"m"}'), ("c", "nope"), ("d", '```json\n[{"motion":"m"}]\n```'),

@@ -1,3 +1,7 @@
+import math
+import random
+import re
+
 from minutebook.operators import qc
 
 REC = "file string, stem string, kind string, duration_s double"
@@ -54,3 +58,47 @@ def test_durations_many_files_per_stem(spark):
         if any(abs(d) > 1.0 for d in diffs):
             want[f] = "%.3f" % max(diffs, key=lambda d: (abs(d), d))
     assert got == want == {"h1.wav": "2.500", "h2.wav": "-1.500", "h3.wav": "1.500"}
+
+
+def test_names_against_brute_force(spark):
+    # names inside longer words, with marks at their ends, of one bare run, with inner runs, twice in the roster
+    rng = random.Random(3)
+    pieces = ["ann", "lee", "Smithson", "O'Neil", "Jo", "de la", "Groß", "(Ray", "Kurt)", "x", "Mary-Jane", "St. John"]
+    names = [" ".join(rng.choice(pieces) for _ in range(rng.randint(1, 3))) for _ in range(60)] + ["", " ", None, "Ann Lee", "ann lee"]
+    members = [(str(1970 + rng.randint(0, 2)), n) for n in names]
+    texts = [(f"m{i}", str(1970 + i % 4) if i % 7 else None,
+              None if i == 5 else "".join(rng.choice(pieces + [" ", " ", "Joann leeds", "\n", "SMITHSON "]) for _ in range(rng.randint(0, 60)))) for i in range(40)]
+    got = qc.check_names(spark.createDataFrame(texts, "meeting string, year string, transcript string"),
+                         spark.createDataFrame(members, "year string, name string"), by="year").collect()
+    want = sorted((m, n) for m, y, t in texts for z, n in members if y == z and n is not None and n.upper() not in (t or "").upper())
+    assert sorted((r.file, r.detail) for r in got) == want and len(want) > 100
+    none = spark.createDataFrame([], "year string, name string")
+    assert qc.check_names(spark.createDataFrame(texts, "meeting string, year string, transcript string"), none, by="year").count() == 0
+
+
+def test_names_of_a_meeting_in_several_lists(spark):
+    names = spark.createDataFrame([("y", f"A {i} B") for i in range(50)], "y string, name string")
+    texts = spark.createDataFrame([("m", "y", " ".join(f"A {i} B" for i in range(0, 60, 2)))], "m string, y string, t string")
+    got = {r.name for r in qc.named_in(texts, names, "y", "m", "t", per_row=7).collect()}
+    assert got == {f"A {i} B" for i in range(0, 50, 2)}
+
+
+def test_evidence_against_brute_force(spark):
+    rows = [(1, "The budget passed. Zebras flew over Paris! ...", "the Budget was read and passed by all"),
+            (2, "Nobody spoke", None), (3, None, "the roll was called"), (4, "", "a"),
+            (5, "The roll was called? The roll was called by zebras.", "the roll was called at noon")]
+    got = {(r.file, r.detail) for r in qc.check_evidence(spark.createDataFrame(rows, "doc_id int, summary string, transcript string")).collect()}
+
+    def words(t):
+        return set(re.findall("[a-z]+", (t or "").lower()))
+    held = {k: words(t) for k, _, t in rows}
+
+    def weight(w):
+        return math.floor(1000 * math.log((2 * len(rows) + 2) / (2 * sum(w in h for h in held.values()) + 1)))
+    want = set()
+    for k, s, _ in rows:
+        for i, ws in enumerate([words(x) for x in re.split("[.!?\n]+", s or "") if words(x)], 1):
+            have, every = sum(weight(w) for w in ws & held[k]), sum(map(weight, ws))
+            if 100 * have < 60 * every:
+                want.add((str(k), f"{i}: {100 * have // every}"))
+    assert got == want and {k for k, _ in want} == {"1", "2", "5"}

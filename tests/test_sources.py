@@ -1,5 +1,6 @@
 import os
 
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from minutebook.sources import io
@@ -31,7 +32,22 @@ def test_write_csv_json_arrays_and_append_index(spark, tmpdir_path):
     rows = spark.createDataFrame([("f1", 1), ("f2", 2)], "file string, word_count int")
     io.append_index(rows, idx)
     io.append_index(rows, idx)                      # a re-run adds nothing
-    assert spark.read.parquet(idx).count() == 2
+    assert io.read_index(spark, idx).count() == 2
+
+
+def test_append_reads_only_the_buckets_of_its_keys(spark, tmpdir_path):
+    idx = os.path.join(tmpdir_path, "index")
+    schema = "file string, word_count int"
+    io.append_index(spark.createDataFrame([(f"f{i}", i) for i in range(200)] + [(None, 0)], schema), idx)
+    late = io.append_index(spark.createDataFrame([("f7", 70), ("new", 2), ("new", 1), (None, 5)], schema), idx)
+    plan = late._jdf.queryExecution().executedPlan().toString()
+    wanted = {r[0] for r in spark.createDataFrame([("f7",), ("new",), (None,)], "file string").select(F.pmod(F.hash("file"), F.lit(io.INDEX_BUCKETS))).collect()}
+    scan = plan[plan.rindex("PartitionFilters"):].split("\n")[0]
+    assert all(str(b) in scan for b in wanted)
+    got = {r.file: r.word_count for r in io.read_index(spark, idx).collect()}
+    assert len(got) == 202 and got["f7"] == 7 and got["new"] == 1 and got[None] == 0
+    io.append_index(spark.createDataFrame([], schema), idx)
+    assert io.read_index(spark, idx).count() == 202 and io.read_index(spark, idx).columns == ["file", "word_count"]
 
 
 def test_write_by_meeting_and_documents(spark, tmpdir_path):
