@@ -274,6 +274,58 @@ def test_mixing_on_odd_rows(docs, none):
     assert op5_mixing.mix(op5_mixing.sizes_of(none)).count() == 0 and op5_mixing.mixed_documents(none).count() == 0
 
 
+def _inclusion_by_hand(sizes, rest):
+    """Probabilities proportional to a root of the size, capped at 1, whose expected words are ``rest``."""
+    def root(n):
+        step = 1 << max(0, n.bit_length() - 8)
+        return int(16 * (n - n % step) ** 0.5)
+    certain = set()
+    while True:
+        open_ = [i for i in range(len(sizes)) if i not in certain and sizes[i]]
+        load = sum(root(sizes[i]) * sizes[i] for i in open_)
+        factor = (rest - sum(sizes[i] for i in certain)) / load if load else 0
+        over = {i for i in open_ if factor * root(sizes[i]) > 1}
+        if not over:
+            return [1.0 if i in certain else factor * root(n) for i, n in enumerate(sizes)]
+        # the largest first: only they are certain for sure
+        top = max(root(sizes[i]) for i in over)
+        certain |= {i for i in over if root(sizes[i]) == top}
+
+
+def test_mixing_meets_its_inclusion_probabilities(spark):
+    # 240 sources of the same documents, half of their words taken: certain large ones, and shares as stated for the others
+    sizes = [3000, 900, 300] + [40] * 6 + [7] * 8 + [0, 1]
+    rows = [(1000 * s + i, f"s{s:03d}", n) for s in range(240) for i, n in enumerate(sizes)]
+    table = spark.createDataFrame(rows, "doc_id long, source string, size long")
+    got = op5_mixing.mix(table, weights=(3, 1)).toPandas()
+    total = sum(sizes)
+    for no, share in ((1, 0.5), (0, 0.5)):
+        part = got[got["source_no"] % 2 == no]
+        want = _inclusion_by_hand(sizes, share * total)
+        assert want[0] == 1.0 or max(want) < 1
+        i = part["doc_id"] % 1000
+        for k, p in enumerate(want):
+            mine = part[i == k]
+            assert mine["probability"].iloc[0] == pytest.approx(p) and mine["probability"].nunique() == 1
+            if p == 1:
+                assert (mine["copies"] == mine["whole"] + 1).all()
+        # shares are those of the probabilities up to what a sample of whole documents can do
+        extra = part["copies"] - part["whole"]
+        for n in (7, 40):
+            assert abs(extra[part["size"] == n].mean() - want[sizes.index(n)]) < 0.12
+    few = spark.createDataFrame([(i, "a" if i % 2 else "b", 10 + i % 5) for i in range(400)], "doc_id long, source string, size long")
+    runs = [op5_mixing.mix(few, weights=(3, 1), salt=str(k)).toPandas().sort_values("doc_id") for k in range(6)]
+    share = sum(r["copies"].to_numpy() - r["whole"].to_numpy() for r in runs).mean() / 6
+    assert abs(share - runs[0]["probability"].mean()) < 0.02
+    assert len({tuple(r["copies"]) for r in runs}) == 6
+
+
+def test_mixed_documents_are_those_of_the_mix(docs):
+    want = op5_mixing.mix(op5_mixing.sizes_of(docs)).select("doc_id", "size", "copies").collect()
+    got = op5_mixing.mixed_documents(docs).select("doc_id", op5_mixing.words(F.col("text")).alias("size")).collect()
+    assert counter(tuple(r) for r in got) == counter((r.doc_id, r["size"]) for r in want for _ in range(r.copies))
+
+
 def test_targets_by_resharing(docs):
     got = {r.source: (r.source_size, r.target) for r in op5_mixing.targets(op5_mixing.sizes_of(docs)).collect()}
     total, free = sum(s for s, _ in got.values()), dict(got)
