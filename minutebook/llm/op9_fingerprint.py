@@ -71,18 +71,74 @@ def likeness(a: Column, b: Column) -> Column:
         F.greatest(_dice(F.array_distinct(blocks_a), F.array_distinct(blocks_b)), aligned))
 
 
-def changed_paragraphs(a: Column, b: Column) -> Column:
-    """Numbers (from 0) of the paragraphs of ``b`` that lie in sections ``a`` lacks and that ``a`` lacks too.
+def _common(x: Column, y: Column) -> Column:
+    """How many entries two lists have in common from their beginnings."""
+    at = F.array_position(F.zip_with(x, y, lambda p, q: F.coalesce(p == q, F.lit(False))), False)
+    return F.when(at == 0, F.size(x)).otherwise(at - 1).cast("int")
 
-    Descends from the root: empty where the roots agree; whole sections that
-    both have are skipped by their hash.
+
+def _from(x: Column, n: Column) -> Column:
+    return F.slice(x, n + 1, F.size(x))
+
+
+def _counted(side: str, part: Column) -> Column:
+    """The paragraphs (struct of hash and place) of one side, as (hash, how often it occurred so far, side, place)."""
+    ordered = F.sort_array(part)
+    # equal hashes follow each other: each run of them is numbered from 1
+    runs = F.regexp_extract_all(F.array_join(F.transform(ordered, lambda x: x["h"]), ""), F.lit(r"([0-9a-f]{16})\1*+"), 0)
+    nth = F.flatten(F.transform(runs, lambda r: F.sequence(F.lit(1), (F.length(r) / 16).cast("int"))))
+    return F.zip_with(ordered, nth, lambda x, n: F.struct(x["h"].alias("h"), n.alias("n"), F.lit(side).alias("side"), x["at"].alias("at")))
+
+
+def with_edits(df: DataFrame, a: str, b: str) -> DataFrame:
+    """Adds where fingerprint ``b`` differs from ``a``: the paragraphs (from 0, joined by commas) that are ``removed`` (of a),
+    ``added`` (of b) and ``moved`` (of b: in both, in another order).
+
+    Descends from the root: equal roots give empty lists; the leading and trailing sections that agree are passed over by
+    their hashes, then the paragraphs that agree in the first and last differing section.  Of the paragraphs between,
+    the n-th occurrence of one matches the n-th on the other side; the rest is removed or added.  A rewritten paragraph
+    is one removed and one added.
     """
-    old = _level(a, 2, 16)
-    numbered = F.transform(_level(b, 2, 16), lambda p, i: F.struct(p.alias("p"), i.alias("i")))
-    moved = F.transform(F.filter(numbered, lambda s: ~F.array_contains(old, s["p"])), lambda s: s["i"])
-    same = F.size(F.array_except(_level(b, 1, 16), _level(a, 1, 16))) == 0
-    return F.when((F.element_at(F.split(a, ":"), 1) == F.element_at(F.split(b, ":"), 1)) | same,
-                  F.array().cast("array<int>")).otherwise(moved)
+    lengths = F.transform(F.filter(F.regexp_extract_all(F.element_at(F.split(a, ":"), 3), F.lit(SECTION), 0), lambda s: s != ""),
+                          lambda s: (F.length(s) / 16).cast("int"))
+
+    def total(x):
+        return F.aggregate(x, F.lit(0), lambda acc, n: acc + n)
+    out = df.withColumns({"__pa": _level(F.col(a), 2, 16), "__pb": _level(F.col(b), 2, 16), "__n": lengths,
+                          "__sa": _level(F.col(a), 1, 16), "__sb": _level(F.col(b), 1, 16)})
+    same = F.col(a) == F.col(b)
+    lead = total(F.slice("__n", F.lit(1), _common(F.col("__sa"), F.col("__sb"))))
+    tail = total(F.slice(F.reverse("__n"), F.lit(1), _common(F.reverse("__sa"), F.reverse("__sb"))))
+    out = out.withColumns({"__lead": F.when(same, 0).otherwise(lead), "__tail": F.when(same, 0).otherwise(tail)})
+    out = out.withColumns({
+        "__lead": F.col("__lead") + _common(_from(F.col("__pa"), F.col("__lead")), _from(F.col("__pb"), F.col("__lead"))),
+        "__tail": F.col("__tail") + _common(_from(F.reverse("__pa"), F.col("__tail")), _from(F.reverse("__pb"), F.col("__tail")))})
+    out = out.withColumn("__tail", F.least("__tail", F.least(F.size("__pa"), F.size("__pb")) - F.col("__lead")))
+
+    def between(p):
+        part = F.slice(p, F.col("__lead") + 1, F.size(p) - F.col("__lead") - F.col("__tail"))
+        return F.transform(part, lambda h, i: F.struct(h.alias("h"), (i + F.col("__lead")).alias("at")))
+    nothing = F.array().cast("array<struct<h:string,n:int,side:string,at:int>>")
+    both = F.sort_array(F.concat(_counted("a", between("__pa")), _counted("b", between("__pb"))))
+    out = out.withColumn("__all", F.when(same, nothing).otherwise(both))
+    # an occurrence on both sides stands twice in a row, a before b
+    after = F.concat(_from(F.col("__all"), F.lit(1)), F.array(F.lit(None)))
+    before = F.concat(F.array(F.lit(None)), F.col("__all"))
+
+    def pair(x, y):
+        return F.coalesce((x["h"] == y["h"]) & (x["n"] == y["n"]), F.lit(False))
+    out = out.withColumns({
+        "__gone": F.zip_with("__all", after, lambda x, y: F.when((x["side"] == "a") & ~pair(x, y), x["at"])),
+        "__new": F.zip_with("__all", F.slice(before, F.lit(1), F.size("__all")), lambda x, y: F.when((x["side"] == "b") & ~pair(x, y), x["at"])),
+        "__kept": F.array_sort(F.filter(F.zip_with("__all", after, lambda x, y: F.when(
+            (x["side"] == "a") & pair(x, y), F.struct(x["at"].alias("a"), y["at"].alias("b")))), lambda k: k.isNotNull()))})
+    places = F.transform("__kept", lambda k: k["b"])
+    moved = F.zip_with(places, F.sort_array(places), lambda x, y: F.when(x != y, x))
+
+    def numbers(x):
+        return F.array_join(F.sort_array(F.filter(x, lambda n: n.isNotNull())).cast("array<string>"), ",")
+    out = out.withColumns({"removed": numbers(F.col("__gone")), "added": numbers(F.col("__new")), "moved": numbers(moved)})
+    return out.drop("__pa", "__pb", "__n", "__sa", "__sb", "__lead", "__tail", "__all", "__gone", "__new", "__kept")
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
@@ -102,12 +158,13 @@ def with_edit(printed: DataFrame) -> DataFrame:
 
 
 def op9_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document with its fingerprint, its edited text's, and how alike they and the next document's are."""
+    """Every document with its fingerprint, its edited text's, how alike they and the next document's are, and which
+    paragraphs the edit removed, added and moved."""
     rows = with_edit(fingerprints(read(spark, sf_dir, "documents")))
-    rows = rows.withColumn("edited_fingerprint", fingerprint(F.col("edited")))
+    rows = with_edits(rows.withColumn("edited_fingerprint", fingerprint(F.col("edited"))), "fingerprint", "edited_fingerprint")
     return rows.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "fingerprint",
                        "edited_fingerprint", likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
-                       likeness(F.col("fingerprint"), F.col("next_fingerprint")).alias("near_next"))
+                       likeness(F.col("fingerprint"), F.col("next_fingerprint")).alias("near_next"), "removed", "added", "moved")
 
 
 def _sql_print(text: str) -> str:
@@ -133,6 +190,11 @@ def _sql_like(a: str, b: str) -> str:
             f"{placed}::DOUBLE / greatest(len({every(a)}), len({every(b)}), 1)) END")
 
 
+def _sql_common(x: str, y: str) -> str:
+    same = f"list_transform(list_zip({x}, {y}), lambda z: coalesce(z[1] = z[2], false))"
+    return f"coalesce(nullif(list_position({same}, false), 0) - 1, len({x}))"
+
+
 ORACLE = f"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
 f AS (SELECT *, {_sql_print('text')} AS fingerprint FROM d),
@@ -140,9 +202,26 @@ n AS (SELECT *, coalesce(lead(text) OVER w, first_value(text) OVER w) AS next_te
              coalesce(lead(fingerprint) OVER w, first_value(fingerprint) OVER w) AS next_fingerprint
       FROM f WINDOW w AS (ORDER BY doc_id DESC NULLS LAST, text)),
 e AS (SELECT *, substr(text, 1, length(text) - length(text) // 3) || substr(next_text, 1, length(text) // 3) AS edited FROM n),
-g AS (SELECT *, {_sql_print('edited')} AS edited_fingerprint FROM e)
+g AS MATERIALIZED (SELECT row_number() OVER () AS rid, *, {_sql_print('edited')} AS edited_fingerprint FROM e),
+p AS (SELECT rid, regexp_extract_all(string_split(fingerprint, ':')[3], '[0-9a-f]{{16}}') AS pa,
+             regexp_extract_all(string_split(edited_fingerprint, ':')[3], '[0-9a-f]{{16}}') AS pb
+      FROM g WHERE fingerprint <> edited_fingerprint),
+c AS (SELECT *, {_sql_common('pa', 'pb')} AS lead, {_sql_common('list_reverse(pa)', 'list_reverse(pb)')} AS tail FROM p),
+r AS (SELECT rid, pa, pb, lead, least(tail, least(len(pa), len(pb)) - lead) AS tail FROM c),
+x AS (SELECT rid, 'a' AS side, unnest(pa) AS h, unnest(range(0, len(pa))) AS place, lead, len(pa) - tail AS stop FROM r
+      UNION ALL SELECT rid, 'b', unnest(pb), unnest(range(0, len(pb))), lead, len(pb) - tail FROM r),
+y AS (SELECT rid, side, h, place, row_number() OVER (PARTITION BY rid, side, h ORDER BY place) AS nth FROM x WHERE place >= lead AND place < stop),
+m AS (SELECT coalesce(a.rid, b.rid) AS rid, a.place AS a_at, b.place AS b_at FROM (FROM y WHERE side = 'a') a
+      FULL JOIN (FROM y WHERE side = 'b') b ON a.rid = b.rid AND a.h = b.h AND a.nth = b.nth),
+o AS (SELECT rid, a_at, b_at, row_number() OVER (PARTITION BY rid, a_at IS NULL OR b_at IS NULL ORDER BY a_at) AS ra,
+             row_number() OVER (PARTITION BY rid, a_at IS NULL OR b_at IS NULL ORDER BY b_at) AS rb FROM m),
+t AS (SELECT rid, string_agg(CAST(a_at AS VARCHAR), ',' ORDER BY a_at) FILTER (WHERE b_at IS NULL) AS removed,
+             string_agg(CAST(b_at AS VARCHAR), ',' ORDER BY b_at) FILTER (WHERE a_at IS NULL) AS added,
+             string_agg(CAST(b_at AS VARCHAR), ',' ORDER BY b_at) FILTER (WHERE a_at IS NOT NULL AND b_at IS NOT NULL AND ra <> rb) AS moved
+      FROM o GROUP BY rid)
 SELECT doc_id, CAST(length(text) AS BIGINT) AS n_chars, sha256(edited) AS edited_sha256, fingerprint, edited_fingerprint,
        {_sql_like('fingerprint', 'edited_fingerprint')} AS near_edited,
-       {_sql_like('fingerprint', 'next_fingerprint')} AS near_next
-FROM g
+       {_sql_like('fingerprint', 'next_fingerprint')} AS near_next,
+       coalesce(removed, '') AS removed, coalesce(added, '') AS added, coalesce(moved, '') AS moved
+FROM g LEFT JOIN t USING (rid)
 """

@@ -466,14 +466,50 @@ def test_fingerprints_on_odd_rows(docs, none):
     assert op9_fingerprint.with_edit(op9_fingerprint.fingerprints(none)).count() == 0
 
 
-def test_changed_paragraphs(spark):
-    a = "\n".join(f"paragraph number {i}." for i in range(30))
-    b = a.replace("number 17.", "number seventeen.")
-    df = spark.createDataFrame([(a, b), (a, a)], "a string, b string").select(
-        op9_fingerprint.changed_paragraphs(op9_fingerprint.fingerprint(F.col("a")), op9_fingerprint.fingerprint(F.col("b"))).alias("c"),
-        op9_fingerprint.likeness(op9_fingerprint.fingerprint(F.col("a")), op9_fingerprint.fingerprint(F.col("b"))).alias("s"))
-    (x, y) = df.collect()
-    assert list(x.c) == [17] and 0.8 < x.s < 1 and list(y.c) == [] and y.s == 1
+def _edits_by_hand(a, b):
+    """removed, added and moved paragraph numbers: equal ends passed over, then n-th occurrence against n-th."""
+    x, y = a.split("\n"), b.split("\n")
+    lead = next((i for i, (p, q) in enumerate(zip(x, y)) if p != q), min(len(x), len(y)))
+    tail = next((i for i, (p, q) in enumerate(zip(x[::-1], y[::-1])) if p != q), min(len(x), len(y)))
+    tail = min(tail, min(len(x), len(y)) - lead)
+
+    def places(lines):
+        seen, out = {}, {}
+        for i in range(lead, len(lines) - tail):
+            seen[lines[i]] = seen.get(lines[i], 0) + 1
+            out[lines[i], seen[lines[i]]] = i
+        return out
+    px, py = places(x), places(y)
+    kept = [py[k] for k in sorted(px.keys() & py.keys(), key=px.get)]
+    return (",".join(str(px[k]) for k in sorted(px.keys() - py.keys(), key=px.get)), ",".join(str(py[k]) for k in sorted(py.keys() - px.keys(), key=py.get)),
+            ",".join(str(i) for i in sorted(i for i, j in zip(kept, sorted(kept)) if i != j)))
+
+
+def test_edits_are_located(spark):
+    lines = [f"paragraph number {i}." for i in range(30)]
+    a = "\n".join(lines)
+    known = {"\n".join(lines[:17] + ["seventeen"] + lines[18:]): ("17", "17", ""),
+             "\n".join(lines[:5] + lines[6:]): ("5", "", ""),                                  # a deletion
+             "\n".join(lines[:9] + [lines[2]] + lines[10:]): ("9", "9", ""),                   # overwritten by a copy
+             "\n".join(lines[:3] + [lines[4], lines[3]] + lines[5:]): ("", "", "3,4"),         # two in another order
+             a + "\n" + lines[0]: ("", "30", ""), a: ("", "", "")}
+    rnd = random.Random(11)
+    pairs = [(a, b) for b in known] + [("", ""), ("", "x"), ("x\ny", ""), ("\n" * 9000, "\n" * 8000 + "z"), ("z\n" + "same\n" * 5000, "same\n" * 5001)]
+    for _ in range(200):
+        x = [rnd.choice("abcdefgh") for _ in range(rnd.randint(1, 40))]
+        y = list(x)
+        for _ in range(rnd.randint(0, 4)):
+            i = rnd.randrange(len(y) + 1)
+            y[i:i + rnd.randint(0, 3)] = [rnd.choice("abcdefghij") for _ in range(rnd.randint(0, 3))]
+        pairs.append(("\n".join(x), "\n".join(y)))
+    df = spark.createDataFrame(pairs, "a string, b string")
+    df = df.select("a", "b", op9_fingerprint.fingerprint(F.col("a")).alias("fa"), op9_fingerprint.fingerprint(F.col("b")).alias("fb"))
+    rows = op9_fingerprint.with_edits(df, "fa", "fb").withColumn("s", op9_fingerprint.likeness(F.col("fa"), F.col("fb"))).collect()
+    for r in rows:
+        assert (r.removed, r.added, r.moved) == _edits_by_hand(r.a, r.b), (r.a[:200], r.b[:200])
+    for r in rows[:len(known)]:
+        assert (r.removed, r.added, r.moved) == known[r.b]
+    assert rows[0].s > 0.8 and rows[5].s == 1
 
 
 def test_next_row_over_many_ranges(spark):
