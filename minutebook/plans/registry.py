@@ -403,6 +403,12 @@ def c2_paragraph_chunks(spark, sf):
     return chunk.paragraph_chunks(V.v_texts(spark, sf), whole_below=500, max_tokens=400)
 
 
+@register("c2_paragraph_row_chunks", _c2_sql(500, 400))
+def c2_paragraph_row_chunks(spark, sf):
+    paras = V.v_texts(spark, sf).select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("para_no", "text"))
+    return chunk.paragraph_row_chunks(paras, "doc_id", whole_below=500, max_tokens=400)
+
+
 @register("c3_segment_plan", with_views("""
 SELECT stem, CAST(i AS INTEGER) AS part_no, CAST(i * 1800 AS DOUBLE) AS start_s,
        least(CAST((i + 1) * 1800 AS DOUBLE), duration_s) AS end_s,

@@ -1,3 +1,6 @@
+import random
+
+import pytest
 from pyspark.sql import functions as F
 
 from minutebook.operators import chunk
@@ -29,6 +32,30 @@ def test_paragraph_chunks_rejoin(spark):
     assert [r.text for r in rows if r.doc == 2] == ["short"]
 
 
+def _texts():
+    rnd = random.Random(8)
+    word = ["", "w", "w w", " ", "w " * 5, " w w w", "w\t", "w " * 30, "w " * 14]
+    texts = ["", "w", " ", "\n", "\n\n", "w\n", "w " * 40, "w " * 40 + "\n", "w\n" + "w " * 40, None]
+    texts += ["\n".join(rnd.choice(word) for _ in range(rnd.randint(1, 40))) for _ in range(60)]
+    return list(enumerate(texts)) + [(1000, "\n".join(rnd.choice(word) for _ in range(2500)))]
+
+
+@pytest.mark.parametrize("rows_per_range, max_tokens", [(10 ** 6, 12), (300, 3)])
+def test_paragraph_rows_give_the_same_chunks_as_the_fold(spark, rows_per_range, max_tokens):
+    df = spark.createDataFrame(_texts(), "doc int, text string")
+    paras = df.select("doc", F.posexplode(F.split("text", "\n", -1)).alias("para_no", "text"))
+    want = chunk.paragraph_chunks(df, whole_below=8, max_tokens=max_tokens)
+    got = chunk.paragraph_row_chunks(paras.repartition(5), "doc", 8, max_tokens, rows_per_range=rows_per_range)
+    assert got.columns == ["doc", "chunk_no", "text"]
+    as_rows = lambda d: sorted((r.doc, r.chunk_no, r.text) for r in d.select("doc", "chunk_no", "text").collect())
+    assert as_rows(got) == as_rows(want)
+
+
+def test_paragraph_rows_of_an_empty_table(spark):
+    none = spark.createDataFrame([], "doc int, para_no int, text string")
+    assert chunk.paragraph_row_chunks(none, "doc").count() == 0
+
+
 def test_segment_plan(spark):
     df = spark.createDataFrame([("a", 3600.0), ("b", 3601.0), ("c", 0.0), ("d", None)], "stem string, duration_s double")
     rows = chunk.segment_plan(df, 1800).collect()
