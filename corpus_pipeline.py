@@ -11,8 +11,8 @@ return the columns of documents.
 5. packing: one row per piece with its place in a sequence of at most 1,024 tokens.
 
 Some stages have no SQL form (a trained classifier, a tokenizer), so there is no
-``ORACLE_SQL``.  In ``tests/llm``, line_dedup and near_duplicates are tested
-against brute force, the other stages by properties.
+``ORACLE_SQL``.  ``tests/llm/test_brute_force.py`` compares every stage with plain
+Python on a whole small table (packing: whole, gapless, and no worse than best fit).
 """
 from __future__ import annotations
 
