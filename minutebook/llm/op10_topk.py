@@ -14,7 +14,8 @@ below the query's kth score.  Partial results meet per query.
 What is broadcast is one bound row for each range; ranges grow in size rather
 than in number beyond ``MAX_RANGES``, so its size is limited to
 ``MAX_RANGES`` x components x 2 numbers.  Within a range, queries are dealt
-over parts of at most about ``QUERIES_PER_PART``.
+over parts of at most about ``QUERIES_PER_PART``; a range's blocks go only to
+the parts in which some query asks for it.
 
 Defined results: vectors that are null, empty or hold null or non-finite
 components take no part, nor rows without an id; vectors of different length
@@ -163,7 +164,12 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, vec: str = "embeddin
     n_ranges = max(1, min(MAX_RANGES, shape["n"] // RANGE_ROWS))
     parts = max(1, shape["queries"] // QUERIES_PER_PART)
     blocks = laid_out(rows, dims, n_ranges)
-    with_part = blocks.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+
+    def asked_blocks(ask: DataFrame) -> DataFrame:
+        """The blocks of each (range, part) that ``ask`` (written rows) names."""
+        cells = ask.select("rng", F.col("part").alias("in_part")).distinct()
+        return blocks.join(cells, "rng").withColumnRenamed("in_part", "part")
+
     queries = (rows.filter(is_query).select(F.col("vec_id").alias("query_id"), "q").distinct()
                .withColumn("query_key", F.xxhash64("query_id", "q"))
                .withColumn("part", F.pmod("query_key", F.lit(parts)).cast("int")))
@@ -191,8 +197,9 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, vec: str = "embeddin
 
     asked = "query_id long, q array<bigint>, query_key long, part int, rng int, floor double"
     search = _searcher(dims, k)
-    first_ask = queries.select("query_id", "q", "query_key", "part").mapInPandas(nearest, asked)
-    seeds = saved(first_ask.groupBy("rng", "part").cogroup(with_part.groupBy("rng", "part")).applyInPandas(search, _FOUND), "seeds")
+    first_ask = saved(queries.select("query_id", "q", "query_key", "part").mapInPandas(nearest, asked), "asked")
+    seeds = saved(first_ask.groupBy("rng", "part").cogroup(asked_blocks(first_ask).groupBy("rng", "part"))
+                  .applyInPandas(search, _FOUND), "seeds")
     kth = (seeds.groupBy("query_key").agg(F.min("score").alias("worst"), F.count(F.lit(1)).alias("held"))
            .select("query_key", F.when(F.col("held") >= k, F.col("worst").cast("double"))
                    .otherwise(F.lit(float("-inf"))).alias("reach")))
@@ -208,8 +215,9 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, vec: str = "embeddin
                 ["query_id", "q", "query_key", "part", "rng", "floor"]]
 
     known = queries.join(kth, "query_key", "left").withColumn("reach", F.coalesce("reach", F.lit(float("-inf"))))
-    second_ask = known.select("query_id", "q", "query_key", "part", "reach").mapInPandas(others, asked)
-    rest = second_ask.groupBy("rng", "part").cogroup(with_part.groupBy("rng", "part")).applyInPandas(search, _FOUND)
+    second_ask = saved(known.select("query_id", "q", "query_key", "part", "reach").mapInPandas(others, asked), "asked")
+    rest = (second_ask.groupBy("rng", "part").cogroup(asked_blocks(second_ask).groupBy("rng", "part"))
+            .applyInPandas(search, _FOUND))
     # a query gathers at most k rows from each range; sorted slices keep k of them
     gathered = F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("s"), F.col("vec_id"))))
     merged = (seeds.unionByName(rest).groupBy("query_key", "query_id")
