@@ -24,11 +24,25 @@ def meeting_folders(files: DataFrame, name: str = "name", parent: str = "parent"
             .select(F.col(parent).alias("folder")).distinct())
 
 
-def has_text(pdf_pages: DataFrame, catalog: DataFrame, path: str = "path",
+def page_totals(pdf_pages: DataFrame, path: str = "path", first_n: int = 3, min_chars: int = 100) -> DataFrame:
+    """For each file with pages, by one aggregate over one scan: ``has_text`` (P12), ``chars`` (stripped, of all
+    pages) and ``pages``.  Columns that are not read leave the aggregate."""
+    chars = F.length(strip("text"))
+    return pdf_pages.groupBy(path).agg(
+        F.coalesce(F.sum(F.when(F.col("page_no") <= first_n, chars)) > min_chars, F.lit(False)).alias("has_text"),
+        F.sum(chars).alias("chars"), F.count(F.lit(1)).alias("pages"))
+
+
+def has_text(pdf_pages: DataFrame, catalog: DataFrame | None = None, path: str = "path",
              first_n: int = 3, min_chars: int = 100) -> DataFrame:
     """A PDF is searchable when the stripped text of its first
-    ``first_n`` pages adds up to more than ``min_chars``.  Files without
-    pages get false.  The page filter is pushed into the scan."""
+    ``first_n`` pages adds up to more than ``min_chars``.
+
+    Without a ``catalog`` the files are those of the pages, read once.  With
+    one, its files without pages get false, and the page filter is pushed
+    into the scan of the pages."""
+    if catalog is None:
+        return page_totals(pdf_pages, path, first_n, min_chars).select(path, "has_text")
     per = (pdf_pages.where(F.col("page_no") <= first_n)
            .groupBy(path).agg(F.sum(F.length(strip("text"))).alias("_chars")))
     return (catalog.select(path).distinct().join(per, path, "left")

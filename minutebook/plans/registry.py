@@ -196,8 +196,7 @@ LEFT JOIN (SELECT path, sum(length({Q.strip('text')})) AS chars FROM v_pdf_pages
 
 @register("p12_has_text", with_views(_P12_SQL, "v_pdf_pages"))
 def p12_has_text(spark, sf):
-    pages = V.v_pdf_pages(spark, sf)
-    return catalog.has_text(pages, pages)
+    return catalog.has_text(V.v_pdf_pages(spark, sf))
 
 
 @register("p15_plan_moves", with_views("""
@@ -276,11 +275,7 @@ FROM (
 
 @register("a7_ocr_run_stats", with_views(_A7_SQL, "v_pdf_pages"))
 def a7_ocr_run_stats(spark, sf):
-    pages = V.v_pdf_pages(spark, sf)
-    ht = catalog.has_text(pages, pages)
-    tot = pages.groupBy("path").agg(F.sum(F.length(catalog.strip("text"))).alias("chars"),
-                                    F.count(F.lit(1)).alias("pages"))
-    outcomes = ht.join(tot, "path").select(
+    outcomes = catalog.page_totals(V.v_pdf_pages(spark, sf)).select(
         "path",
         F.when(F.col("has_text"), "already_ocr").when(F.col("chars") > 0, "processed").otherwise("failed").alias("status"),
         (F.col("pages") * 2.5).alias("seconds"))

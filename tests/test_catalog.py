@@ -44,3 +44,5 @@ def test_has_text_first_pages_only(spark):
     files = spark.createDataFrame([("f1",), ("f2",), ("f3",)], "path string")
     got = {r.path: r.has_text for r in catalog.has_text(pages, files).collect()}
     assert got == {"f1": True, "f2": False, "f3": False}
+    once = catalog.page_totals(pages.union(spark.createDataFrame([("f4", 9, None)], pages.schema))).collect()
+    assert {r.path: (r.has_text, r.chars, r.pages) for r in once} == {"f1": (True, 101, 2), "f2": (False, 460, 2), "f4": (False, None, 1)}

@@ -1,4 +1,6 @@
 """Physical-plan checks: the plans we want at scale, not just right rows."""
+from minutebook.operators import catalog
+from minutebook.plans import views
 from minutebook.plans.registry import ORACLE, QUERIES
 
 from .conftest import SF_SMALL
@@ -37,10 +39,17 @@ def test_no_python_outside_model_calls(spark):
 
 
 def test_first_pages_filter_reaches_scan(spark):
-    p, _ = plan(spark, "p12_has_text")
+    pages = views.v_pdf_pages(spark, SF_SMALL)
+    p = catalog.has_text(pages, pages)._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters" in p and "turn" in p
 
 
+def test_file_outcomes_read_the_pages_once(spark):
+    for name in ("p12_has_text", "a7_ocr_run_stats"):
+        p, _ = plan(spark, name)
+        assert p.count("FileScan") == 1 and "Join" not in p, name
+
+
 def test_no_cross_joins_anywhere(spark):
     for name in QUERIES:
         if name == "st1_stream_index":
