@@ -2,18 +2,18 @@
 
 Everything up to the call is plain DataFrame work.  The call itself is the
 one place rows leave the JVM: ``run_model`` hands Arrow batches to a user
-function with ``mapInPandas`` (a client is built once per partition), and
+function with ``mapInArrow`` (a client is built once per partition), and
 records a status per row instead of raising.
 """
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.patterns import (PACKED_CHUNK_TOKENS, RETRY_CHARS, SEP_AUDIO_FUSE, SEP_STRICT_FUSE,
+from ..functions.patterns import (NON_WS_CLASS, PACKED_CHUNK_TOKENS, RETRY_CHARS, SEP_AUDIO_FUSE, SEP_STRICT_FUSE,
                                   TOKEN_CHUNK, WHOLE_BELOW_TOKENS)
 from ..functions.templates import CONTEXT_ERRORS, STAGES
 from ..functions.text import strip
@@ -21,6 +21,9 @@ from ..functions.tokens import token_count
 from ..session import ship_package
 from .chunk import paragraph_chunks, token_chunks
 
+#: requests of a batch that are Python objects at a time
+CALL_ROWS = 64
+
 
 def fill_template(template: str, text, date=None):
     """``template`` with ``{text}`` / ``{date}`` replaced by column values."""
@@ -108,15 +111,21 @@ def run_model(requests: DataFrame, make_client: Callable[[], Callable[[str, str
     a written table) before using it twice, so no call is repeated.
     """
     ship_package(requests.sparkSession)
-    out_schema = ", ".join([f"`{k}` {requests.schema[k].dataType.simpleString()}" for k in keys]
+    kinds = {f.name: f.dataType for f in requests.schema}
+    out_schema = ", ".join([f"`{k}` {kinds[k].simpleString()}" for k in keys]
                            + ["status string", "content string", "error string"])
-    cols = keys + [prompt, user_text, source_text] + ([date] if date and date not in keys else [])
-    cols += [c for c in settings if c not in cols]
-    req = requests.select(*cols)
+    # the source is a copy of the text in the prompt: the task gets whether it is blank, and the part a retry sends
+    source = F.coalesce(F.col(source_text).cast("string"), F.lit(""))
+    again = F.left(source, F.lit(retry_chars)) if retry_template is not None else F.lit(None).cast("string")
+    extra = ([F.col(date).cast("string")] if date else []) + [F.col(c) for c in settings]
+    # keys may be among the other columns, so those have names of their own
+    req = requests.select(*keys, F.col(prompt).alias("_prompt"), F.col(user_text).alias("_user"),
+                          (~source.rlike(NON_WS_CLASS)).alias("_blank"), again.alias("_again"),
+                          *[c.alias(f"_x{i}") for i, c in enumerate(extra)])
     if partitions:
         req = req.repartition(partitions, *keys)
 
-    def call_all(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def call_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import time
         client = make_client()
 
@@ -124,33 +133,31 @@ def run_model(requests: DataFrame, make_client: Callable[[], Callable[[str, str
             if pause_s:
                 time.sleep(pause_s)
             return client(p, u, **given)
-        for pdf in batches:
-            status, content, error = [], [], []
-            dates = pdf[date] if date else [None] * len(pdf)
-            given = [dict(zip(settings, row)) for row in zip(*[pdf[c] for c in settings])] if settings else [{}] * len(pdf)
-            for p, u, s, d, g in zip(pdf[prompt], pdf[user_text], pdf[source_text], dates, given):
-                s = "" if s is None else s
-                if not s.strip():
-                    status.append("blank"), content.append(None), error.append(None)
-                    continue
+
+        def reply(p, u, blank, s, *rest):
+            if blank:
+                return "blank", None, None
+            given = dict(zip(settings, rest[1:] if date else rest))
+            try:
+                return "ok", call(p, u, given), None
+            except Exception as e:  # noqa: BLE001 - any failure becomes a status
+                msg = str(e)
+                if retry_template is None or not any(k in msg for k in CONTEXT_ERRORS):
+                    return "error", None, msg
+                retry = retry_template.replace("{date}", str(rest[0] if date else None)).replace("{text}", s)
                 try:
-                    content.append(call(p, u, g)), status.append("ok"), error.append(None)
-                except Exception as e:  # noqa: BLE001 - any failure becomes a status
-                    msg = str(e)
-                    if retry_template is not None and any(k in msg for k in CONTEXT_ERRORS):
-                        retry = retry_template.replace("{date}", str(d)).replace("{text}", s[:retry_chars])
-                        try:
-                            content.append(call(retry, None, {**g, **(retry_settings or {})}))
-                            status.append("shortened"), error.append(None)
-                        except Exception as e2:  # noqa: BLE001
-                            status.append("too_long"), content.append(None), error.append(str(e2))
-                    else:
-                        status.append("error"), content.append(None), error.append(msg)
-            out = pdf[keys].copy()
-            out["status"], out["content"], out["error"] = status, content, error
-            yield out
-
-    return req.mapInPandas(call_all, out_schema)
+                    return "shortened", call(retry, None, {**given, **(retry_settings or {})}), None
+                except Exception as e2:  # noqa: BLE001
+                    return "too_long", None, str(e2)
+        for whole in batches:
+            # a few rows at a time become Python objects, however many come in a batch
+            for at in range(0, whole.num_rows, CALL_ROWS):
+                batch = whole.slice(at, CALL_ROWS)
+                replies = [reply(*row) for row in zip(*[c.to_pylist() for c in batch.columns[len(keys):]])]
+                answered = [pa.array([r[i] for r in replies], pa.string()) for i in range(3)]
+                yield pa.RecordBatch.from_arrays([*batch.columns[:len(keys)], *answered], names=[*keys, "status", "content", "error"])
+
+    return req.mapInArrow(call_all, out_schema)
 
 
 def fuse(responses: DataFrame, doc: str = "doc", order: str = "chunk_no", content: str = "content",
