@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.patterns import IMAGE_EXTENSIONS
-from ..session import stored
+from ..session import ROW_GROUP, stored
 
 LISTING_COLS = ["path", "dir", "parent", "name", "length", "modificationTime"]
 
@@ -120,7 +120,7 @@ def write_by_meeting(pages: DataFrame, path: str) -> None:
 def _write_parts(df: DataFrame, path: str, by: str) -> None:
     """A table partitioned by ``by``: small partitions share a task, large ones are split (adaptive rebalancing)."""
     (df.hint("rebalance", by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(by).parquet(path))
+     .options(**ROW_GROUP).partitionBy(by).parquet(path))
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
