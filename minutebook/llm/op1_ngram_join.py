@@ -9,9 +9,8 @@ four words is one shingle).  Texts with equal sets are one class of copies.
    candidates.  Matching begins at the longest prefix and is shortened, all
    trees together, until the recall reaches ``RECALL`` at the least similarity
    that links have: the similarity of the candidate links is estimated from
-   whole signatures (less two standard errors; at most ``SAMPLE`` links, by a
-   hash), and a prefix is long enough if links as unlike as the least of them
-   are found with that chance.  Links just above the threshold always shorten
+   whole signatures (of every one, less two standard errors), and a prefix is
+   long enough if links as unlike as the least of them are found with that chance.  Links just above the threshold always shorten
    it to the length that finds them; a corpus of close copies alone stops early.
 3. Candidates of one connected group are verified exactly, on their full
    shingle sets, in blocks of at most about ``BLOCK`` documents and ``BLOCK_SHINGLES``
@@ -51,8 +50,6 @@ RECALL = 0.9995
 #: bytes of a signature value: the low bits of a minimum; two different minima agree in them once in 65,536
 VALUE = 2
 BLOCK, BLOCK_SHINGLES = 256, 1 << 20
-#: links whose similarity is estimated at each prefix length
-SAMPLE = 1 << 13
 _CHUNK = 1 << 19
 _RNG = np.random.default_rng(20240501)
 _WORD_BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -148,12 +145,11 @@ def _chance(s: float, depth: int) -> float:
 def _least_similarity(sigs: DataFrame, links: DataFrame) -> float | None:
     """The least similarity, estimated from whole signatures less two standard errors, that links of the threshold may have.
 
-    None where no link comes near the threshold.
+    Every candidate link is looked at.  None where no link comes near the threshold.
     """
-    every = max(1, -(-links.count() // SAMPLE))
-    some = links.filter(F.pmod(F.xxhash64("a", "b"), F.lit(every)) == 0)  # about SAMPLE rows at most, so the signatures stay where they are
-    half = sigs.select(F.col("id").alias("a"), F.col("sig").alias("x")).join(F.broadcast(some), "a")
-    both = sigs.select(F.col("id").alias("b"), F.col("sig").alias("y")).join(F.broadcast(half), "b").select("x", "y")
+    # the end that many links share comes first, while their rows are two numbers
+    half = links.join(sigs.select(F.col("id").alias("a"), F.col("sig").alias("x")), "a")
+    both = half.join(sigs.select(F.col("id").alias("b"), F.col("sig").alias("y")), "b").select("x", "y")
 
     def agreement(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
