@@ -52,11 +52,20 @@ def answers(spark: SparkSession, ledger: str, answered_only: bool = True) -> Dat
     return rows.groupBy("request_key").agg(best.alias("r")).select("request_key", "r.status", "r.content", "r.error")
 
 
+#: requests of one file, so of one task
+PER_FILE = 2000
+
+
+def _files_of(per_batch: int) -> int:
+    return max(1, -(-per_batch // PER_FILE))
+
+
 def queue_requests(requests: DataFrame, ledger: str, queue: str, per_batch: int = 1000) -> DataFrame:
-    """Writes the requests without an answer to ``queue``: each different request once, ``per_batch`` a file."""
+    """Writes the requests without an answer to ``queue``: each different request once, ``per_batch`` a batch, whose
+    files hold about ``PER_FILE`` at most, however large the batch is."""
     spark = requests.sparkSession
     new = pending(requests.dropDuplicates(["request_key"]), answers(spark, ledger), "request_key")
-    files = max(1, -(-new.count() // per_batch))
+    files = max(1, -(-new.count() // per_batch)) * _files_of(per_batch)
     # the number is given, so neither adaptive merging nor the size of the input changes the batches
     new.repartition(files, "request_key").write.mode("overwrite").parquet(queue)
     return spark.read.parquet(queue)
@@ -108,6 +117,7 @@ def run_resumable(requests: DataFrame, call: Callable[[DataFrame, list[str]], Da
     if not path_exists(spark, f"{queue}/_SUCCESS"):
         queue_requests(named, ledger, queue, per_batch)
     schema = spark.read.parquet(queue).schema
-    answer_queue(spark, queue, ledger, f"{folder}/progress-{run}", call, schema, stop_after=stop_after)
+    answer_queue(spark, queue, ledger, f"{folder}/progress-{run}", call, schema,
+                 files_per_batch=_files_of(per_batch), stop_after=stop_after)
     return named.select(*keys, "request_key").join(answers(spark, ledger, answered_only=False), "request_key", "left").select(
         *keys, F.coalesce("status", F.lit("missing")).alias("status"), "content", "error")
