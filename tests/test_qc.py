@@ -2,6 +2,8 @@ import math
 import random
 import re
 
+import pytest
+
 from minutebook.operators import qc
 
 REC = "file string, stem string, kind string, duration_s double"
@@ -102,3 +104,34 @@ def test_evidence_against_brute_force(spark):
             if 100 * have < 60 * every:
                 want.add((str(k), f"{i}: {100 * have // every}"))
     assert got == want and {k for k, _ in want} == {"1", "2", "5"}
+
+
+@pytest.mark.parametrize("least, most", [(60, 1), (60, 1 << 19), (101, 9)])
+def test_evidence_in_batches(spark, monkeypatch, least, most):
+    """Whatever the batches: shared and null keys, an empty transcript, sigma at a sentence's end, and one text that repeats
+    its sentences, whose words are written once."""
+    rows = [(1, "The budget passed. The zebra left.", "the budget passed"), (1, "The motion was read. The budget passed.", "the"),
+            (None, "A B.C", "a"), (None, "A B.C d", "c"), (2, "\u039f\u03a3.\u0391 no", "\u03bf\u03c2 \u03b1"), (3, "x. y", ""),
+            (4, "one two lost. " * 300, "one two " * 300), (5, "all here", "here all")]
+    written, stored = [], qc.stored
+
+    def kept(df, name):
+        written.append(stored(df, name))
+        return written[-1]
+    monkeypatch.setattr(qc, "stored", kept)
+    monkeypatch.setattr(qc, "BATCH_WORDS", most)
+    df = spark.createDataFrame(rows, "doc_id int, summary string, transcript string")
+    got = sorted((r.file or "", r.detail) for r in qc.check_evidence(df, least=least).collect())
+
+    def words(t):
+        return set(re.findall("[a-z\u03b1-\u03c9]+", (t or "").lower()))
+    held = [words(t) for _, _, t in rows]
+    weight = {w: math.floor(1000 * math.log((2 * len(rows) + 2) / (2 * sum(w in h for h in held) + 1)))
+              for w in set().union(*held, *(words(s) for _, s, _ in rows))}
+    sums = {}
+    for (k, s, _), h in zip(rows, held):
+        for i, ws in enumerate([words(x) for x in re.split("[.!?\n]+", s) if words(x)], 1):
+            have, every = sums.get((k, i), (0, 0))
+            sums[k, i] = have + sum(weight[w] for w in ws & h), every + sum(weight[w] for w in ws)
+    assert got == sorted((str(k or ""), f"{i}: {100 * a // b}") for (k, i), (a, b) in sums.items() if 100 * a < least * b)
+    assert sum(r.w.count("lost") for r in written[0].selectExpr("words AS w").collect()) == 1
