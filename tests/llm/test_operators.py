@@ -559,3 +559,11 @@ def test_edited_hash(spark):
         t, n = texts[r.doc_id], len(texts[r.doc_id]) // 3
         after = texts[order[(order.index(r.doc_id) + 1) % len(order)]]
         assert r.edited_sha256 == hashlib.sha256((t[:len(t) - n] + after[:n]).encode()).hexdigest()
+
+
+def test_line_dedup_lower_cases_once(spark):
+    """The written words hold their number, and no text is lower-cased once for every mention of it."""
+    words = op6_line_dedup.line_words(spark.createDataFrame([(1, "B a\tA b\n\nc")], "doc_id int, text string"))
+    assert sorted((r.line_no, r.n, len(r.h)) for r in words.collect()) == [(0, 2, 2), (1, 0, 0), (2, 1, 1)]
+    plain = spark.createDataFrame([("a",)], "low string").select(op6_line_dedup._plain(F.col("low")))
+    assert "lower" not in plain._jdf.queryExecution().optimizedPlan().toString()
