@@ -567,3 +567,17 @@ def test_line_dedup_lower_cases_once(spark):
     assert sorted((r.line_no, r.n, len(r.h)) for r in words.collect()) == [(0, 2, 2), (1, 0, 0), (2, 1, 1)]
     plain = spark.createDataFrame([("a",)], "low string").select(op6_line_dedup._plain(F.col("low")))
     assert "lower" not in plain._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_line_dedup_reads_no_text_for_its_report(spark):
+    """Line counts and rows come from the written words, 64 lines of a document are one number; also over 64 lines."""
+    long = "\n".join(f"w{i} x{i}" if i % 5 else "" for i in range(200))
+    rows = [(1, long), (2, f"w7 x7\nown\n{long}"), (3, None), (3, ""), (3, ""), (4, "\n"), (5, "Own\r\n\nalone\n"), (None, long), (1, long)]
+    table = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = op6_line_dedup.removed_lines(table)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "text" not in plan and "split(" not in plan
+    gone = _lines_by_hand(rows)
+    want = counter((d, len(t.split("\n")) if t else 0, gone[d, t or ""]) for d, t in rows)
+    assert counter((r.doc_id, r.n_lines, r.removed) for r in got.collect()) == want
+    assert max(map(len, gone.values())) > 128
