@@ -569,6 +569,45 @@ def test_line_dedup_lower_cases_once(spark):
     assert "lower" not in plain._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_line_dedup_cuts_each_text_once(spark, monkeypatch):
+    """The step that writes words lower-cases and cuts a text once: no count and no filter of its own does so again."""
+    plans = []
+    kept = op6_line_dedup.saved
+    monkeypatch.setattr(op6_line_dedup, "saved", lambda df, *a: plans.append(df._jdf.queryExecution().optimizedPlan().toString()) or kept(df, *a))
+    words = op6_line_dedup.line_words(spark.createDataFrame([(1, "B a\nc"), (2, None), (3, "")], "doc_id int, text string"))
+    assert sorted((r.doc_id, r.line_no, r.n_lines, r.n) for r in words.collect()) == [(1, 0, 2, 2), (1, 1, 2, 1), (2, 0, 0, 0), (3, 0, 0, 0)]
+    assert plans[0].count("lower(") == 1 and "replace(" not in plans[0]
+
+
+def test_line_dedup_bounds_of_a_shared_word(spark):
+    """An index row's most words are those of the length and positional filters, for every size and place."""
+    lines = [(n, n, 0, 0, [0] * (n - -(-4 * n // 5) + 1)) for n in range(1, 40)]
+    index = op6_line_dedup._index(spark.createDataFrame(lines, "id long, n int, s1 long, s2 long, prefix array<int>")).collect()
+    at = {}
+    for r in index:
+        at.setdefault(r.id, []).append(r.nm & 0xFFFFFFFF)
+        assert r.nm >> 32 == r.id
+    assert set(at) == set(range(4, 40))
+    for n, most in at.items():
+        for i, m in enumerate(sorted(most, reverse=True)):
+            fits = [k for k in range(1, 200) if 9 * (n - i) >= 4 * (n + k) and 4 * k <= 5 * n]
+            assert m == max(fits)
+
+
+def test_line_dedup_of_long_lines(spark):
+    """Near lines on both sides of 64 words, where the sketch gets its second half, and just below 4/5."""
+    rows, rng = [], np.random.default_rng(3)
+    for g, n in enumerate([50, 63, 64, 65, 72, 100, 150, 300]):
+        words = [f"g{g}w{i}" for i in range(n)]
+        kept = [words[:-(-4 * n // 5)], words[:-(-4 * n // 5) - 1], words + [f"g{g}x{i}" for i in range(n // 4)],
+                words + [f"g{g}y{i}" for i in range(n // 4 + 1)], words]
+        rows += [(10 * g + k, " ".join(rng.permutation(w))) for k, w in enumerate(kept)]
+    gone = _lines_by_hand(rows)
+    got = op6_line_dedup.removed_lines(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
+    assert {r.doc_id: r.removed for r in got} == {d: g for (d, _), g in gone.items()}
+    assert 0 < sum(map(bool, gone.values())) < len(rows) - 8
+
+
 def test_line_dedup_reads_no_text_for_its_report(spark):
     """Line counts and rows come from the written words, 64 lines of a document are one number; also over 64 lines."""
     long = "\n".join(f"w{i} x{i}" if i % 5 else "" for i in range(200))
