@@ -22,3 +22,12 @@ def tokens(text) -> Column:
 
 def token_count(text) -> Column:
     return F.size(tokens(text)).cast("bigint")
+
+
+def tokens_up_to(text, limit: int) -> Column:
+    """``token_count`` where that is ``limit`` or less, else some number above ``limit``: the beginning of a text
+    never has more tokens than the text, so a very long one is seldom read to its end."""
+    t = _col(text)
+    chars = F.lit(64 * limit)
+    enough = (F.length(t) > chars) & (token_count(F.left(t, chars)) > limit)
+    return F.when(enough, F.lit(limit + 1).cast("bigint")).otherwise(token_count(t))

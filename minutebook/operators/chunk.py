@@ -5,7 +5,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.patterns import NON_WS_CLASS, PACKED_CHUNK_TOKENS, PART_SECONDS, TOKEN_CHUNK, WHOLE_BELOW_TOKENS, WS_CLASS
-from ..functions.tokens import token_count, tokens
+from ..functions.tokens import token_count, tokens, tokens_up_to
 from ..session import stored
 from .scan import ROWS_PER_RANGE, running
 
@@ -47,9 +47,17 @@ def paragraph_chunks(df: DataFrame, whole_below: int = WHOLE_BELOW_TOKENS,
     its tokens + 1; an over-long paragraph is a chunk of its own); shorter
     texts stay whole."""
     keep = [c for c in df.columns if c != text]
+    return with_chunks(df, whole_below, max_tokens, text).select(*keep, F.inline("_chunks"))
+
+
+def with_chunks(df: DataFrame, whole_below: int, max_tokens: int, text: str = "text") -> DataFrame:
+    """The rows with ``_chunks``, the list of their chunks (chunk_no, text), for their text; ``_n`` is the text's
+    tokens, counted as far as ``whole_below`` asks."""
+    keep = [c for c in df.columns if c != text]
     paras = F.split(F.col(text), "\n", -1)
-    t = df.select(*keep, F.col(text).alias("_text"), token_count(text).alias("_n"), paras.alias("_p"))
-    costs = F.transform("_p", lambda p: token_count(p) + 1)
+    t = df.select(*keep, F.col(text).alias("_text"), tokens_up_to(text, whole_below).alias("_n"), paras.alias("_p"))
+    # a paragraph above the limit is a chunk of its own, however far above
+    costs = F.transform("_p", lambda p: tokens_up_to(p, max_tokens) + 1)
     starts = F.when(F.col("_n") < whole_below, F.array(F.lit(0))).otherwise(pack_starts(costs, max_tokens))
     t = t.withColumn("_s", starts)
     ends = F.concat(F.slice("_s", 2, F.size("_s")), F.array(F.size("_p")))
@@ -57,7 +65,7 @@ def paragraph_chunks(df: DataFrame, whole_below: int = WHOLE_BELOW_TOKENS,
         i.alias("chunk_no"),
         F.when(F.col("_n") < whole_below, F.col("_text"))
          .otherwise(F.array_join(F.slice("_p", x["a"] + 1, x["b"] - x["a"]), "\n")).alias("text")))
-    return t.select(*keep, F.inline(chunks))
+    return t.select(*keep, "_n", chunks.alias("_chunks"))
 
 
 def next_starts(costs: DataFrame, key: str, max_tokens: int, rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:

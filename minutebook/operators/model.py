@@ -17,9 +17,8 @@ from ..functions.patterns import (NON_WS_CLASS, PACKED_CHUNK_TOKENS, RETRY_CHARS
                                   TOKEN_CHUNK, WHOLE_BELOW_TOKENS)
 from ..functions.templates import CONTEXT_ERRORS, STAGES
 from ..functions.text import strip
-from ..functions.tokens import token_count
 from ..session import ship_package
-from .chunk import paragraph_chunks, token_chunks
+from .chunk import token_chunks, with_chunks
 
 #: requests of a batch that are Python objects at a time
 CALL_ROWS = 64
@@ -66,24 +65,17 @@ def plan_stages(df: DataFrame, doc: str = "doc", text: str = "text",
     """Stage rows of the strict audio route.  A short text gets summary,
     outline and decisions from the full text; a long one gets one
     ``summary`` row per packed chunk, then a ``fuse`` row and outline /
-    decisions that take the fused text (``input`` null, ``depends_on`` set)."""
-    n = df.select(doc, text, token_count(text).alias("_n"))
-    short = n.where(F.col("_n") < whole_below)
-    long_ = n.where(F.col("_n") >= whole_below)
-    cols = [doc, "stage", "chunk_no", "input", "depends_on"]
-    s_rows = short.select(doc, F.explode(F.array(*[F.lit(s) for s in ("summary", "outline", "decisions")]))
-                          .alias("stage"), F.lit(0).alias("chunk_no"), F.col(text).alias("input"),
-                          F.lit(None).cast("string").alias("depends_on"))
-    chunks = paragraph_chunks(long_.select(doc, F.col(text).alias("text")), whole_below=0, max_tokens=max_tokens)
-    c_rows = chunks.select(doc, F.lit("summary").alias("stage"), "chunk_no", F.col("text").alias("input"),
-                           F.lit(None).cast("string").alias("depends_on"))
-    later = long_.select(doc, F.explode(F.array(
-        F.struct(F.lit("fuse").alias("stage"), F.lit("summary").alias("depends_on")),
-        F.struct(F.lit("outline").alias("stage"), F.lit("fuse").alias("depends_on")),
-        F.struct(F.lit("decisions").alias("stage"), F.lit("fuse").alias("depends_on")))).alias("s")) \
-        .select(doc, "s.stage", F.lit(0).alias("chunk_no"), F.lit(None).cast("string").alias("input"),
-                "s.depends_on")
-    return s_rows.select(*cols).unionByName(c_rows.select(*cols)).unionByName(later.select(*cols))
+    decisions that take the fused text (``input`` null, ``depends_on`` set).
+    All rows of a text come from one reading of it."""
+    def row(stage: str, chunk_no=F.lit(0), text=F.lit(None), depends_on: str | None = None):
+        return F.struct(F.lit(stage).alias("stage"), chunk_no.alias("chunk_no"), text.cast("string").alias("input"),
+                        F.lit(depends_on).cast("string").alias("depends_on"))
+    t = with_chunks(df.select(doc, F.col(text).alias("text")), whole_below, max_tokens)
+    whole = F.array(*[row(s, text=F.col("_chunks")[0]["text"]) for s in ("summary", "outline", "decisions")])
+    pieces = F.transform("_chunks", lambda c: row("summary", c["chunk_no"], c["text"]))
+    later = F.array(row("fuse", depends_on="summary"), row("outline", depends_on="fuse"), row("decisions", depends_on="fuse"))
+    rows = F.when(F.col("_n") < whole_below, whole).when(F.col("_n") >= whole_below, F.concat(pieces, later))
+    return t.select(doc, F.inline(rows))
 
 
 def run_model(requests: DataFrame, make_client: Callable[[], Callable[[str, str | None], str]],

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.patterns import IMAGE_EXTENSIONS
-from ..session import ROW_GROUP, stored
+from ..session import ROW_GROUP, WIDE_ROWS, stored
 
 LISTING_COLS = ["path", "dir", "parent", "name", "length", "modificationTime"]
 
@@ -94,15 +94,21 @@ def read_index(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_documents(df: DataFrame, path: str, kind: str = "doc_kind", heading: str | None = "heading",
-                    body: str = "body") -> None:
+                    body: str = "body", even: tuple[str, ...] = ()) -> None:
     """Per-meeting text outputs of all kinds as one table partitioned by kind; the
     Markdown form is ``# heading`` + blank line + body.
 
     One write for all kinds: rows are rebalanced by kind, and a kind that holds most of
     the bytes is split over several tasks.  A kind that is written again replaces itself only.
+    Kinds named in ``even`` come from a stored table, in tasks of like size: they are written
+    where they lie, not shuffled or sorted.
     """
     md = F.concat(F.lit("# "), F.col(heading), F.lit("\n\n"), F.col(body)) if heading else F.col(body)
-    _write_parts(df.withColumn("markdown", md), path, kind)
+    for k in even:
+        (df.where(F.col(kind) == k).withColumn("markdown", md).drop(kind).write.mode("overwrite")
+         .options(**WIDE_ROWS).parquet(f"{path}/{kind}={k}"))
+        df = df.where(~F.col(kind).eqNullSafe(k))
+    _write_parts(df.withColumn("markdown", md), path, kind, WIDE_ROWS)
 
 
 def write_decisions(decisions: DataFrame, path: str, doc: str = "doc") -> None:
@@ -114,13 +120,13 @@ def write_by_meeting(pages: DataFrame, path: str) -> None:
     """Pages filed under their meeting (``meeting_key`` folders, ``unassigned`` included) as a
     partitioned table; a meeting with very many pages is written by several tasks, and a repeated
     run replaces the meetings it holds."""
-    _write_parts(pages, path, "meeting_key")
+    _write_parts(pages, path, "meeting_key", ROW_GROUP)
 
 
-def _write_parts(df: DataFrame, path: str, by: str) -> None:
+def _write_parts(df: DataFrame, path: str, by: str, options: dict[str, str]) -> None:
     """A table partitioned by ``by``: small partitions share a task, large ones are split (adaptive rebalancing)."""
     (df.hint("rebalance", by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .options(**ROW_GROUP).partitionBy(by).parquet(path))
+     .options(**options).partitionBy(by).parquet(path))
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
