@@ -29,5 +29,5 @@ def tokens_up_to(text, limit: int) -> Column:
     never has more tokens than the text, so a very long one is seldom read to its end."""
     t = _col(text)
     chars = F.lit(64 * limit)
-    enough = (F.length(t) > chars) & (token_count(F.left(t, chars)) > limit)
+    enough = (F.octet_length(t) > chars) & (token_count(F.left(t, chars)) > limit)  # bytes need no counting
     return F.when(enough, F.lit(limit + 1).cast("bigint")).otherwise(token_count(t))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from minutebook.functions.tokens import token_count, tokens_up_to
 from minutebook.operators import model
-from minutebook.plans.registry import QUERIES, WIDE_CHARS
+from minutebook.plans.registry import QUERIES, WIDE_BYTES
 from minutebook.session import WIDE_ROWS, stored
 from minutebook.sources import io
 
@@ -94,9 +94,9 @@ def test_wide_transcripts_share_no_task_with_short_ones(spark, tmpdir_path):
     spark.range(48).select("id", F.explode(F.sequence(F.lit(0), F.lit(1))).alias("turn")).select(
         F.col("id").alias("conv_id"), "turn", F.concat(F.lit("words of "), "id").alias("text")).write.parquet(f"{tmpdir_path}/conversations.parquet")
     out = QUERIES["s7_write_documents"](spark, tmpdir_path).where("doc_kind <> 'decision'")
-    n = F.length("markdown")
+    n = F.octet_length("markdown")
     tasks = out.groupBy(F.spark_partition_id().alias("task")).agg(F.min(n).alias("least"), F.max(n).alias("most")).collect()
-    assert max(t.most for t in tasks) > WIDE_CHARS > min(t.least for t in tasks)
-    assert all(t.most <= WIDE_CHARS or t.least > WIDE_CHARS for t in tasks), tasks
+    assert max(t.most for t in tasks) > WIDE_BYTES > min(t.least for t in tasks)
+    assert all(t.most <= WIDE_BYTES or t.least > WIDE_BYTES for t in tasks), tasks
     got = {r.doc_kind: r.n for r in out.groupBy("doc_kind").agg(F.count(F.lit(1)).alias("n")).collect()}
     assert got["transcript"] == 48
